@@ -45,3 +45,164 @@ def q_latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 def q_latency_percentiles_all(spark: SparkSession, sf: str) -> DataFrame:
     t = _t(spark, sf, "flights", "ships", "vehicle_positions", "departures", "satellites")
     return agg.latency_percentiles(t, window=None)
+
+
+FIVE = ("flights", "ships", "vehicle_positions", "departures", "satellites")
+GEO3 = ("flights", "ships", "vehicle_positions")
+
+
+# --- AGG-2 / SRT-1 / FLT-7: p99 per minute over the dashboard range --------
+@register("latency_p99_by_minute")
+def q_latency_p99_by_minute(spark, sf):
+    f = standin.flights(spark, sf)
+    return agg.latency_p99_by_minute(f, start=f.agg(F.min("ingested_at")).scalar(), end=latest(f))
+
+
+# --- AGG-3: p99 alarm over the last 60 s, seconds ---------------------------
+@register("latency_alarm")
+def q_latency_alarm(spark, sf):
+    f = standin.flights(spark, sf)
+    return agg.latency_alarm(f, as_of=latest(f), window="60 seconds", threshold_s=2.0)
+
+
+# --- AGG-5: NULL-safe p99 ----------------------------------------------------
+@register("latency_p99_or_zero")
+def q_latency_p99_or_zero(spark, sf):
+    return agg.latency_p99_or_zero(standin.flights(spark, sf))
+
+
+# --- AGG-4: row count per table ---------------------------------------------
+@register("row_counts")
+def q_row_counts(spark, sf):
+    return agg.row_counts(_t(spark, sf, *FIVE))
+
+
+# --- FLT-8: COUNT(*) FILTER (WHERE geom IS NOT NULL) ------------------------
+@register("count_filtered")
+def q_count_filtered(spark, sf):
+    return agg.count_filtered(_t(spark, sf, *GEO3))
+
+
+# --- AGG-6: freshness per table / source ------------------------------------
+@register("freshness")
+def q_freshness(spark, sf):
+    t = _t(spark, sf, *FIVE)
+    return agg.freshness(t, as_of=_as_of(*t.values()), stale_after="10 minutes",
+                         group_col={"flights": "source"})
+
+
+# --- AGG-7 / AGG-8 -----------------------------------------------------------
+@register("flights_per_minute")
+def q_flights_per_minute(spark, sf):
+    return agg.flights_per_minute(standin.flights(spark, sf))
+
+
+@register("ship_rate_per_hour")
+def q_ship_rate_per_hour(spark, sf):
+    return agg.ship_rate_per_hour(standin.ships(spark, sf))
+
+
+# --- AGG-9 / AGG-10: departures delay histogram and trend -------------------
+@register("delay_histogram")
+def q_delay_histogram(spark, sf):
+    return agg.delay_histogram(standin.departures(spark, sf))
+
+
+@register("delay_trend")
+def q_delay_trend(spark, sf):
+    d = standin.departures(spark, sf)
+    return agg.delay_trend(d, as_of=latest(d, "planned_time"), days=90)
+
+
+# --- AGG-11: ship density per 1-degree cell over the trailing week ----------
+@register("ship_density")
+def q_ship_density(spark, sf):
+    s = standin.ships(spark, sf)
+    return agg.ship_density(s, cell_deg=1.0, as_of=latest(s), window="7 days")
+
+
+# --- AGG-12 / AGG-13 ---------------------------------------------------------
+@register("throughput_report")
+def q_throughput_report(spark, sf):
+    return agg.throughput_report(_t(spark, sf, *GEO3))
+
+
+@register("fleet_totals")
+def q_fleet_totals(spark, sf):
+    return agg.fleet_totals(
+        _t(spark, sf, *FIVE),
+        source_col={"flights": "source", "ships": "message_type", "vehicle_positions": "route_id"},
+        key_col={"flights": "icao24", "ships": "mmsi", "vehicle_positions": "vehicle_id",
+                 "departures": "station_id", "satellites": "norad_id"})
+
+
+# --- FLT-2 / FLT-3 / FLT-6 / FLT-7 / FLT-9 / FLT-12 / PRJ-1 ------------------
+from movelake.functions.rules import ntz  # noqa: E402
+from movelake.operators import filters as flt  # noqa: E402
+
+
+def _flight_rows(df):
+    return df.select("icao24", ntz("timestamp").alias("timestamp"),
+                     ntz("ingested_at").alias("ingested_at"), "latitude", "longitude", "source")
+
+
+@register("filter_has_position")
+def q_filter_has_position(spark, sf):
+    return _flight_rows(flt.filter_has_position(standin.flights(spark, sf)))
+
+
+@register("filter_required_keys")
+def q_filter_required_keys(spark, sf):
+    return _flight_rows(flt.filter_required_keys(standin.flights(spark, sf),
+                                                 "icao24", "latitude", "longitude"))
+
+
+@register("filter_trailing")
+def q_filter_trailing(spark, sf):
+    f = standin.flights(spark, sf)
+    return _flight_rows(flt.filter_trailing(f, latest(f), "5 minutes"))
+
+
+@register("filter_time_range")
+def q_filter_time_range(spark, sf):
+    f = standin.flights(spark, sf)
+    end = latest(f)
+    return _flight_rows(flt.filter_time_range(f, end - flt.interval("24 hours"), end))
+
+
+BOXES = [((35.0, -10.0), (60.0, 30.0)), ((-40.0, 100.0), (-10.0, 155.0))]
+
+
+@register("filter_bbox")
+def q_filter_bbox(spark, sf):
+    s = flt.filter_bbox(standin.ships(spark, sf), BOXES)
+    return s.select("mmsi", ntz("timestamp").alias("timestamp"), "latitude", "longitude")
+
+
+@register("filter_sources")
+def q_filter_sources(spark, sf):
+    return _flight_rows(flt.filter_sources(standin.flights(spark, sf), ["opensky", "adsblol"]))
+
+
+@register("point_lookup")
+def q_point_lookup(spark, sf):
+    # Equality lookup with X/Y projection (the feature itself is a lookup).
+    v = standin.vehicle_positions(spark, sf).where(F.col("vehicle_id") == "v1")
+    return v.select("vehicle_id", ntz("timestamp").alias("timestamp"),
+                    F.col("geom.lon").alias("x"), F.col("geom.lat").alias("y"))
+
+
+# --- SET-3: every mover in one relation -------------------------------------
+from movelake.operators import quality  # noqa: E402
+from movelake.operators.unions import all_positions  # noqa: E402
+
+
+@register("all_positions")
+def q_all_positions(spark, sf):
+    return all_positions(_t(spark, sf, *GEO3))
+
+
+# --- DQ-3: geom NULL iff a coordinate is NULL -------------------------------
+@register("geom_consistency")
+def q_geom_consistency(spark, sf):
+    return quality.geom_consistency(_t(spark, sf, *GEO3))

@@ -38,3 +38,123 @@ ORACLE["latency_percentiles_all"] = (
     ctes("flights", "ships", "vehicle_positions", "departures", "satellites")
     + "\nUNION ALL\n".join(_lat_block(t, None, "")
                            for t in ["flights", "ships", "vehicle_positions", "departures", "satellites"]))
+
+
+FIVE = ["flights", "ships", "vehicle_positions", "departures", "satellites"]
+GEO3 = ["flights", "ships", "vehicle_positions"]
+
+ORACLE["latency_p99_by_minute"] = ctes("flights") + f"""
+SELECT date_trunc('minute', ingested_at) AS "time",
+       round(quantile_cont({_lat_ms()}, 0.99), 6) AS p99_ms_flights
+FROM flights
+WHERE ingested_at BETWEEN (SELECT min(ingested_at) FROM flights) AND (SELECT max(ingested_at) FROM flights)
+GROUP BY 1 ORDER BY 1"""
+
+ORACLE["latency_alarm"] = ctes("flights") + """
+SELECT p99_seconds, p99_seconds > 2.0 AS alarm FROM (
+  SELECT round(quantile_cont((epoch_us(ingested_at) - epoch_us("timestamp")) / 1000000.0, 0.99), 6)
+         AS p99_seconds
+  FROM flights
+  WHERE ingested_at > (SELECT max(ingested_at) FROM flights) - INTERVAL '60 seconds')"""
+
+ORACLE["latency_p99_or_zero"] = ctes("flights") + f"""
+SELECT round(coalesce(quantile_cont({_lat_ms()}, 0.99), 0.0), 6) AS p99_ms FROM flights"""
+
+ORACLE["row_counts"] = ctes(*FIVE) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM {t}" for t in FIVE)
+
+ORACLE["count_filtered"] = ctes(*GEO3) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", "
+    f"count(*) FILTER (WHERE geom_lon IS NOT NULL) AS with_geom FROM {t}" for t in GEO3)
+
+_AS_OF5 = "greatest(" + ", ".join(f"(SELECT max(ingested_at) FROM {t})" for t in FIVE) + ")"
+ORACLE["freshness"] = ctes(*FIVE) + f"""
+SELECT "table", source, newest,
+       (epoch_us({_AS_OF5}) - epoch_us(newest)) / 1000000.0 AS age_seconds,
+       newest < {_AS_OF5} - INTERVAL '10 minutes' AS stale
+FROM (
+  SELECT 'flights' AS "table", source, max("timestamp") AS newest FROM flights GROUP BY source
+""" + "".join(
+    f"  UNION ALL SELECT '{t}', CAST(NULL AS VARCHAR), max(\"timestamp\") FROM {t}\n"
+    for t in FIVE[1:]) + ")"
+
+ORACLE["flights_per_minute"] = ctes("flights") + """
+SELECT date_trunc('minute', "timestamp") AS "minute", source, count(*) AS "rows"
+FROM flights GROUP BY 1, 2"""
+
+ORACLE["ship_rate_per_hour"] = ctes("ships") + """
+SELECT date_trunc('hour', "timestamp") AS "hour", message_type, count(*) AS "rows",
+       round(count(*) / 3600.0, 6) AS per_second
+FROM ships GROUP BY 1, 2"""
+
+ORACLE["delay_histogram"] = ctes("departures") + """
+SELECT CAST(planned_time AS DATE) AS "day", station_id,
+       CAST(floor(delay_seconds / 60) AS BIGINT) AS delay_min,
+       count(*) AS departures, count(*) FILTER (WHERE cancelled) AS cancelled
+FROM departures GROUP BY 1, 2, 3"""
+
+ORACLE["delay_trend"] = ctes("departures") + """
+SELECT CAST(planned_time AS DATE) AS "day", count(*) AS departures,
+       round(avg(delay_seconds), 6) AS avg_delay_s,
+       round(quantile_cont(CAST(delay_seconds AS DOUBLE), 0.5), 6) AS p50_delay_s,
+       round(quantile_cont(CAST(delay_seconds AS DOUBLE), 0.95), 6) AS p95_delay_s,
+       count(*) FILTER (WHERE cancelled) AS cancelled
+FROM departures
+WHERE planned_time > (SELECT max(planned_time) FROM departures) - INTERVAL '90 days'
+GROUP BY 1"""
+
+ORACLE["ship_density"] = ctes("ships") + """
+SELECT CAST(floor(latitude / 1.0) AS BIGINT) AS cell_lat, CAST(floor(longitude / 1.0) AS BIGINT) AS cell_lon,
+       count(*) AS messages, count(DISTINCT mmsi) AS ships
+FROM ships
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+  AND "timestamp" > (SELECT max(ingested_at) FROM ships) - INTERVAL '7 days'
+GROUP BY 1, 2"""
+
+ORACLE["throughput_report"] = ctes(*GEO3) + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS "table", count(*) AS "rows",
+       round((epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) / 1000000.0, 6) AS span_seconds,
+       round(CASE WHEN max(ingested_at) > min(ingested_at) THEN count(*) /
+             ((epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) / 1000000.0) END, 6) AS avg_rows_per_s,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM {t} GROUP BY date_trunc('hour', ingested_at))) AS peak_hour_rows,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM {t} GROUP BY date_trunc('minute', ingested_at))) AS peak_minute_rows
+FROM {t}""" for t in GEO3)
+
+_FLEET = {"flights": ("source", "icao24"), "ships": ("message_type", "mmsi"),
+          "vehicle_positions": ("route_id", "vehicle_id"), "departures": (None, "station_id"),
+          "satellites": (None, "norad_id")}
+ORACLE["fleet_totals"] = ctes(*FIVE) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", {('CAST(NULL AS VARCHAR)' if s is None else s)} AS source, "
+    f"count(*) AS \"rows\", count(DISTINCT {k}) AS movers FROM {t} GROUP BY 1, 2"
+    for t, (s, k) in _FLEET.items())
+
+_FROWS = 'icao24, "timestamp", ingested_at, latitude, longitude, source'
+ORACLE["filter_has_position"] = ctes("flights") + f"""
+SELECT {_FROWS} FROM flights WHERE latitude IS NOT NULL AND longitude IS NOT NULL"""
+ORACLE["filter_required_keys"] = ctes("flights") + f"""
+SELECT {_FROWS} FROM flights WHERE icao24 IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL"""
+ORACLE["filter_trailing"] = ctes("flights") + f"""
+SELECT {_FROWS} FROM flights WHERE ingested_at > (SELECT max(ingested_at) FROM flights) - INTERVAL '5 minutes'"""
+ORACLE["filter_time_range"] = ctes("flights") + f"""
+SELECT {_FROWS} FROM flights
+WHERE ingested_at BETWEEN (SELECT max(ingested_at) FROM flights) - INTERVAL '24 hours'
+                      AND (SELECT max(ingested_at) FROM flights)"""
+ORACLE["filter_bbox"] = ctes("ships") + """
+SELECT mmsi, "timestamp", latitude, longitude FROM ships
+WHERE (latitude BETWEEN 35.0 AND 60.0 AND longitude BETWEEN -10.0 AND 30.0)
+   OR (latitude BETWEEN -40.0 AND -10.0 AND longitude BETWEEN 100.0 AND 155.0)"""
+ORACLE["filter_sources"] = ctes("flights") + f"""
+SELECT {_FROWS} FROM flights WHERE source IN ('opensky', 'adsblol')"""
+ORACLE["point_lookup"] = ctes("vehicle_positions") + """
+SELECT vehicle_id, "timestamp", geom_lon AS x, geom_lat AS y FROM vehicle_positions WHERE vehicle_id = 'v1'"""
+
+ORACLE["all_positions"] = ctes(*GEO3) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS kind, {k} AS id, \"timestamp\" AS ts, latitude AS lat, longitude AS lon "
+    f"FROM {t} WHERE latitude IS NOT NULL AND longitude IS NOT NULL"
+    for t, k in [("flights", "icao24"), ("ships", "mmsi"), ("vehicle_positions", "vehicle_id")])
+
+ORACLE["geom_consistency"] = ctes(*GEO3) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", count(*) FILTER (WHERE geom_lon IS NULL) AS geom_null, "
+    f"count(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) AS coord_null, "
+    f"count(*) FILTER (WHERE (geom_lon IS NULL) <> (latitude IS NULL OR longitude IS NULL)) AS violations "
+    f"FROM {t}" for t in GEO3)
