@@ -206,3 +206,129 @@ def q_all_positions(spark, sf):
 @register("geom_consistency")
 def q_geom_consistency(spark, sf):
     return quality.geom_consistency(_t(spark, sf, *GEO3))
+
+
+# --- DED-1 / SRT-2: ship ping de-dup (one-shot: the whole input is one batch)
+from movelake.operators import dedup, joins, layout, sinks, windows  # noqa: E402
+from movelake.sources.dims import ORBIT_CATEGORIES  # noqa: E402
+
+
+@register("dedup_pings")
+def q_dedup_pings(spark, sf):
+    d = dedup.dedup_pings(standin.ship_pings(spark, sf), order="seq")
+    return d.select("mmsi", ntz("timestamp").alias("timestamp"), "latitude", "longitude",
+                    "message_type", "ship_name", "seq").orderBy("seq")
+
+
+def _cycle(ts="timestamp", seconds=300):
+    return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts)) / seconds) * seconds)
+
+
+# --- DED-2: aircraft first-wins per 5-minute cycle ---------------------------
+@register("dedup_aircraft")
+def q_dedup_aircraft(spark, sf):
+    f = standin.flights(spark, sf).withColumn("cycle_ts", _cycle())
+    d = dedup.dedup_aircraft(f, cycle_col="cycle_ts", order=("ingested_at", "timestamp"))
+    return d.select(ntz("cycle_ts").alias("cycle_ts"), "icao24", ntz("timestamp").alias("timestamp"),
+                    "source", "latitude", "longitude")
+
+
+# --- DED-4: orbit identity (norad_id, epoch), first category wins ----------
+@register("dedup_orbits")
+def q_dedup_orbits(spark, sf):
+    cats = F.create_map(*[x for i, c in enumerate(ORBIT_CATEGORIES) for x in (F.lit(c), F.lit(i))])
+    e = standin.satellite_elements(spark, sf).withColumn("category_idx", cats[F.col("category")])
+    d = dedup.dedup_orbits(e, order="category_idx")
+    return d.select("norad_id", "name", ntz("epoch").alias("epoch"), "category")
+
+
+# --- WIN-1 / WIN-2 -----------------------------------------------------------
+@register("stall_gaps")
+def q_stall_gaps(spark, sf):
+    return windows.stall_gaps(_t(spark, sf, *GEO3), min_gap_s=120)
+
+
+@register("throughput_collapse")
+def q_throughput_collapse(spark, sf):
+    return windows.throughput_collapse(_t(spark, sf, *GEO3), window_s=300, min_rows=1000)
+
+
+# --- WIN-3 / WIN-4 / WIN-5 ---------------------------------------------------
+_MOVER = {"flights": "icao24", "ships": "mmsi", "vehicle_positions": "vehicle_id"}
+
+
+@register("latest_position")
+def q_latest_position(spark, sf):
+    return agg.union_all([
+        windows.latest_position(df, _MOVER[n]).select(
+            F.lit(n).alias("kind"), F.col(_MOVER[n]).alias("id"), "timestamp", "latitude", "longitude")
+        for n, df in _t(spark, sf, *GEO3).items()])
+
+
+@register("mover_track")
+def q_mover_track(spark, sf):
+    return windows.mover_track(standin.flights(spark, sf), "icao24")
+
+
+@register("session_summary")
+def q_session_summary(spark, sf):
+    return windows.session_summary(standin.ship_pings(spark, sf), dedup.ping_key(), "10 minutes")
+
+
+# --- SRT-4: first 30 departures per station board ---------------------------
+@register("top_departures")
+def q_top_departures(spark, sf):
+    t = windows.top_n_per_group(standin.departures(spark, sf), ["station_id", "timestamp"],
+                                ["planned_time", "trip_id"], 30)
+    return t.select("station_id", ntz("timestamp").alias("timestamp"), "trip_id",
+                    ntz("planned_time").alias("planned_time"), F.col("rank").cast("long").alias("rank"))
+
+
+# --- JOIN-1 / FLT-10: region coverage by distance join ----------------------
+@register("region_coverage")
+def q_region_coverage(spark, sf):
+    f = standin.flights(spark, sf)
+    return joins.region_coverage(spark, f, ["icao24", "timestamp", "latitude", "longitude"], "icao24")
+
+
+# --- JOIN-2: station id -> station name --------------------------------------
+@register("station_names")
+def q_station_names(spark, sf):
+    counts = (standin.departures(spark, sf).groupBy("station_id")
+              .agg(F.count(F.lit(1)).alias("departures")))
+    nation = standin.read(spark, sf, "nation")
+    stations = nation.select(F.concat(F.lit("be:"), F.col("n_nationkey").cast("string")).alias("station_id"),
+                             F.col("n_name").alias("station_name"))
+    return joins.attach_station_names(counts, stations).select("station_id", "station_name", "departures")
+
+
+# --- LAY-1 / LAY-3 / LAY-4 ---------------------------------------------------
+@register("chunk_counts")
+def q_chunk_counts(spark, sf):
+    return layout.chunk_counts(_t(spark, sf, *FIVE))
+
+
+@register("chunks_to_compact")
+def q_chunks_to_compact(spark, sf):
+    t = _t(spark, sf, *FIVE)
+    return layout.chunks_to_compact(t, {n: latest(d) for n, d in t.items()})
+
+
+RETENTION_DAYS = {"flights": 7, "ships": 7, "vehicle_positions": 3, "departures": 30}
+
+
+@register("retention_keep")
+def q_retention_keep(spark, sf):
+    t = _t(spark, sf, *FIVE)
+    return layout.retention_summary(t, {n: latest(d) for n, d in t.items()}, RETENTION_DAYS)
+
+
+# --- SNK-10 / JOIN-3: idempotent append of a retried batch ------------------
+@register("append_idempotent")
+def q_append_idempotent(spark, sf):
+    f = layout.with_chunk(standin.flights(spark, sf), "flights")
+    m = latest(f)
+    target = f.where(F.col("ingested_at") < m - flt.interval("1 day"))
+    batch = f.where(F.col("ingested_at") >= m - flt.interval("2 days"))
+    out = sinks.append_idempotent(batch, target)
+    return out.select("source", "icao24", ntz("timestamp").alias("timestamp"), "chunk")

@@ -158,3 +158,136 @@ ORACLE["geom_consistency"] = ctes(*GEO3) + "\nUNION ALL\n".join(
     f"count(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) AS coord_null, "
     f"count(*) FILTER (WHERE (geom_lon IS NULL) <> (latitude IS NULL OR longitude IS NULL)) AS violations "
     f"FROM {t}" for t in GEO3)
+
+
+ORACLE["dedup_pings"] = ctes("ship_pings") + """
+SELECT mmsi, "timestamp", latitude, longitude, message_type, ship_name, seq FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY mmsi, round(latitude * 1e5), round(longitude * 1e5), epoch_us("timestamp") // 1000000
+      ORDER BY seq) AS rn
+  FROM ship_pings) WHERE rn = 1 ORDER BY seq"""
+
+ORACLE["dedup_aircraft"] = ctes("flights") + """
+SELECT cycle_ts, icao24, "timestamp", source, latitude, longitude FROM (
+  SELECT make_timestamp((epoch_us("timestamp") // 300000000) * 300000000) AS cycle_ts, *,
+         row_number() OVER (PARTITION BY epoch_us("timestamp") // 300000000, icao24
+                            ORDER BY ingested_at, "timestamp") AS rn
+  FROM flights WHERE icao24 IS NOT NULL) WHERE rn = 1"""
+
+ORACLE["dedup_orbits"] = ctes("sat_elements") + """
+SELECT norad_id, name, epoch, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY norad_id, epoch ORDER BY cat_idx) AS rn FROM sat_elements)
+WHERE rn = 1"""
+
+_SECS = "\nUNION ALL\n".join(
+    f"SELECT DISTINCT '{t}' AS t, epoch_us(ingested_at) // 1000000 AS sec FROM {t}" for t in GEO3)
+ORACLE["stall_gaps"] = ctes(*GEO3, extra=[f"s AS ({_SECS})"]) + """
+SELECT t AS "table", make_timestamp(prev * 1000000) AS gap_start, make_timestamp(sec * 1000000) AS gap_end,
+       sec - prev AS gap_seconds
+FROM (SELECT t, sec, lag(sec) OVER (PARTITION BY t ORDER BY sec) AS prev FROM s)
+WHERE sec - prev > 120"""
+
+_PERSEC = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS t, epoch_us(ingested_at) // 1000000 AS sec, count(*) AS n FROM {t} GROUP BY 2"
+    for t in GEO3)
+ORACLE["throughput_collapse"] = ctes(*GEO3, extra=[f"c AS ({_PERSEC})"]) + """
+SELECT t AS "table", make_timestamp(sec * 1000000) AS "second", CAST(w AS BIGINT) AS rows_in_window FROM (
+  SELECT t, sec, sum(n) OVER (PARTITION BY t ORDER BY sec RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS w,
+         min(sec) OVER (PARTITION BY t) AS start
+  FROM c)
+WHERE sec - start > 300 AND w < 1000"""
+
+ORACLE["latest_position"] = ctes(*GEO3) + "\nUNION ALL\n".join(f"""
+SELECT kind, id, "timestamp", latitude, longitude FROM (
+  SELECT '{t}' AS kind, {k} AS id, "timestamp", latitude, longitude,
+         row_number() OVER (PARTITION BY {k} ORDER BY "timestamp" DESC, ingested_at DESC,
+                            latitude DESC, longitude DESC) AS rn
+  FROM {t} WHERE latitude IS NOT NULL AND longitude IS NOT NULL) WHERE rn = 1"""
+    for t, k in [("flights", "icao24"), ("ships", "mmsi"), ("vehicle_positions", "vehicle_id")])
+
+ORACLE["mover_track"] = ctes("flights") + """
+SELECT icao24, "timestamp", latitude, longitude FROM flights
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY icao24, "timestamp" """
+
+ORACLE["session_summary"] = ctes("ship_pings") + """
+SELECT make_timestamp(b * 600000000) AS window_start, make_timestamp((b + 1) * 600000000) AS window_end,
+       CAST(sum(n) AS BIGINT) AS messages, count(*) AS inserted
+FROM (SELECT epoch_us("timestamp") // 600000000 AS b, count(*) AS n FROM ship_pings
+      GROUP BY b, mmsi, round(latitude * 1e5), round(longitude * 1e5), epoch_us("timestamp") // 1000000)
+GROUP BY b"""
+
+ORACLE["top_departures"] = ctes("departures") + """
+SELECT station_id, "timestamp", trip_id, planned_time, "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY planned_time, trip_id) AS "rank"
+  FROM departures) WHERE "rank" <= 30"""
+
+from movelake.sources.dims import NM_KM, REGION_GRID, REGION_RADIUS_NM  # noqa: E402
+
+_REGIONS = ", ".join(f"({i}, '{n}', {float(a)!r}, {float(b)!r})" for i, (n, a, b) in enumerate(REGION_GRID))
+_RADIUS = repr(REGION_RADIUS_NM * NM_KM)
+
+
+def _haversine(lat1, lon1, lat2, lon2):
+    return (f"(2 * 6371.0 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+            f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))")
+
+
+ORACLE["region_coverage"] = ctes("flights", extra=[
+    f"regions AS (SELECT * FROM (VALUES {_REGIONS}) r(region_idx, region, r_lat, r_lon))"]) + f"""
+SELECT r.region, count(*) AS positions, count(DISTINCT icao24) AS movers FROM (
+  SELECT f.icao24, f."timestamp", f.latitude, f.longitude, min(r.region_idx) AS region_idx
+  FROM flights f, regions r
+  WHERE f.latitude IS NOT NULL AND f.longitude IS NOT NULL
+    AND {_haversine('f.latitude', 'f.longitude', 'r.r_lat', 'r.r_lon')} <= {_RADIUS}
+  GROUP BY 1, 2, 3, 4) c
+JOIN regions r ON r.region_idx = c.region_idx
+GROUP BY r.region"""
+
+ORACLE["station_names"] = ctes("departures") + """
+SELECT station_id, station_name, count(*) AS departures FROM departures GROUP BY 1, 2"""
+
+
+def _chunk(t: str) -> str:
+    if t == "satellites":
+        return ("(DATE '1970-01-01' + CAST(floor(date_diff('day', DATE '1970-01-01', "
+                "CAST(\"timestamp\" AS DATE)) / 7) * 7 AS INTEGER))")
+    return 'CAST("timestamp" AS DATE)'
+
+
+_CHUNK_DAYS = {"satellites": 7}
+_COMPACT_DAYS = {"satellites": 14}
+
+ORACLE["chunk_counts"] = ctes(*FIVE) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", {_chunk(t)} AS chunk, count(*) AS \"rows\" FROM {t} GROUP BY 2" for t in FIVE)
+
+ORACLE["chunks_to_compact"] = ctes(*FIVE) + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS "table", chunk, count(*) AS "rows" FROM (SELECT {_chunk(t)} AS chunk FROM {t})
+GROUP BY chunk
+HAVING CAST(chunk + {_CHUNK_DAYS.get(t, 1)} AS TIMESTAMP)
+       <= (SELECT max(ingested_at) FROM {t}) - INTERVAL '{_COMPACT_DAYS.get(t, 7)} days'""" for t in FIVE)
+
+_RET = {"flights": 7, "ships": 7, "vehicle_positions": 3, "departures": 30}
+
+
+def _keep(t):
+    d = _RET.get(t)
+    if d is None:
+        return "TRUE"
+    return (f"CAST(chunk + {_CHUNK_DAYS.get(t, 1)} AS TIMESTAMP) > "
+            f"(SELECT max(ingested_at) FROM {t}) - INTERVAL '{d} days'")
+
+
+ORACLE["retention_keep"] = ctes(*FIVE) + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS "table",
+       CAST(coalesce(sum(CASE WHEN keep THEN n ELSE 0 END), 0) AS BIGINT) AS rows_kept,
+       CAST(coalesce(sum(CASE WHEN NOT keep THEN n ELSE 0 END), 0) AS BIGINT) AS rows_dropped,
+       count(*) FILTER (WHERE keep) AS chunks_kept, count(*) FILTER (WHERE NOT keep) AS chunks_dropped
+FROM (SELECT chunk, n, {_keep(t)} AS keep FROM
+      (SELECT {_chunk(t)} AS chunk, count(*) AS n FROM {t} GROUP BY 1))""" for t in FIVE)
+
+ORACLE["append_idempotent"] = ctes("flights") + """
+SELECT DISTINCT source, icao24, "timestamp", CAST("timestamp" AS DATE) AS chunk FROM flights b
+WHERE ingested_at >= (SELECT max(ingested_at) FROM flights) - INTERVAL '2 days'
+  AND NOT EXISTS (SELECT 1 FROM flights t
+                  WHERE t.ingested_at < (SELECT max(ingested_at) FROM flights) - INTERVAL '1 day'
+                    AND t.source = b.source AND t.icao24 = b.icao24 AND t."timestamp" = b."timestamp")"""
