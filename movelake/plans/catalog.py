@@ -332,3 +332,115 @@ def q_append_idempotent(spark, sf):
     batch = f.where(F.col("ingested_at") >= m - flt.interval("2 days"))
     out = sinks.append_idempotent(batch, target)
     return out.select("source", "icao24", ntz("timestamp").alias("timestamp"), "chunk")
+
+
+# --- SRC-1 ... SRC-12, SRC-15, AGG-15, DQ-1, DQ-2: payload normalisation -----
+from movelake.session import scratch_path  # noqa: E402
+from movelake.sources import aircraft, landed, orbits, payloads, rail, ships  # noqa: E402
+
+
+def _flights_out(df):
+    return df.select(ntz("timestamp").alias("timestamp"), *aircraft.FLIGHT_COLS[1:])
+
+
+@register("norm_state_vectors")
+def q_norm_state_vectors(spark, sf):
+    return _flights_out(aircraft.norm_state_vectors(landed.land_state_vectors(spark, sf)))
+
+
+@register("norm_adsb_records")
+def q_norm_adsb_records(spark, sf):
+    r = aircraft.adsb_records(landed.land_adsb(spark, sf, "adsb_endpoints"), "adsblol")
+    return r.select("endpoint", ntz("timestamp").alias("timestamp"), *aircraft.FLIGHT_COLS[1:])
+
+
+@register("norm_adsb_endpoints")
+def q_norm_adsb_endpoints(spark, sf):
+    return _flights_out(aircraft.norm_adsb_endpoints(landed.land_adsb(spark, sf, "adsb_endpoints")))
+
+
+@register("norm_adsb_regions")
+def q_norm_adsb_regions(spark, sf):
+    return _flights_out(aircraft.norm_adsb_regions(landed.land_adsb(spark, sf, "adsb_regions")))
+
+
+@register("norm_adsb_types")
+def q_norm_adsb_types(spark, sf):
+    return _flights_out(aircraft.norm_adsb_types(landed.land_adsb(spark, sf, "adsb_types")))
+
+
+@register("norm_adsb_snapshot")
+def q_norm_adsb_snapshot(spark, sf):
+    return _flights_out(aircraft.norm_adsb_snapshot(landed.land_adsb(spark, sf, "adsb_snapshot")))
+
+
+@register("norm_private_feeder")
+def q_norm_private_feeder(spark, sf):
+    return _flights_out(aircraft.norm_private_feeder(landed.land_private(spark, sf)))
+
+
+@register("norm_ship_messages")
+def q_norm_ship_messages(spark, sf):
+    s = ships.norm_ship_messages(landed.land_ship_frames(spark, sf))
+    return s.select(ntz("timestamp").alias("timestamp"), *ships.SHIP_COLS[1:], "seq")
+
+
+def _dep_out(df):
+    return df.select(ntz("timestamp").alias("timestamp"), "station_id", "station_name", "trip_id",
+                     "line_name", "direction", ntz("planned_time").alias("planned_time"),
+                     ntz("actual_time").alias("actual_time"), "delay_seconds", "cancelled",
+                     "platform_planned", "platform_actual", "platform_changed")
+
+
+@register("norm_departures_ch")
+def q_norm_departures_ch(spark, sf):
+    return _dep_out(rail.norm_departures_ch(landed.land_board_ch(spark, sf), landed.station_dim(spark, sf)))
+
+
+@register("norm_departures_be")
+def q_norm_departures_be(spark, sf):
+    return _dep_out(rail.norm_departures_be(landed.land_board_be(spark, sf), landed.station_dim(spark, sf)))
+
+
+@register("norm_departures_at")
+def q_norm_departures_at(spark, sf):
+    return _dep_out(rail.norm_departures_at(landed.land_board_at(spark, sf), landed.station_dim(spark, sf)))
+
+
+@register("norm_orbital_elements")
+def q_norm_orbital_elements(spark, sf):
+    o = orbits.norm_orbital_elements(landed.land_orbits(spark, sf))
+    return o.select(ntz("timestamp").alias("timestamp"), "norad_id", "name", ntz("epoch").alias("epoch"),
+                    "mean_motion", "inclination", "eccentricity", "tle_line1", "tle_line2")
+
+
+@register("landed_ok")
+def q_landed_ok(spark, sf):
+    ok = payloads.landed_ok(landed.land_adsb(spark, sf, "adsb_endpoints"))
+    return ok.select("source", "endpoint", ntz("cycle_ts").alias("cycle_ts"), "seq")
+
+
+@register("counts_by_endpoint")
+def q_counts_by_endpoint(spark, sf):
+    r = aircraft.adsb_records(landed.land_adsb(spark, sf, "adsb_regions"), "airplaneslive")
+    return agg.counts_by_endpoint(r)
+
+
+def _rejects(spark, sf):
+    a = payloads.rejected(landed.land_adsb(spark, sf, "adsb_endpoints"), aircraft.ADSB_DOC)
+    p = payloads.rejected(landed.land_private(spark, sf), aircraft.PRIVATE_DOC)
+    return a.unionByName(p)
+
+
+@register("dead_letter")
+def q_dead_letter(spark, sf):
+    path = scratch_path(spark, "dead_letter")
+    payloads.dead_letter(_rejects(spark, sf), path)
+    back = spark.read.schema("source string, endpoint string, cycle_ts timestamp, seq long, "
+                             "status int, body string, reason string").json(path)
+    return back.select("source", "endpoint", ntz("cycle_ts").alias("cycle_ts"), "seq", "status", "reason")
+
+
+@register("dropped_counts")
+def q_dropped_counts(spark, sf):
+    return quality.dropped_counts(_rejects(spark, sf))

@@ -291,3 +291,164 @@ WHERE ingested_at >= (SELECT max(ingested_at) FROM flights) - INTERVAL '2 days'
   AND NOT EXISTS (SELECT 1 FROM flights t
                   WHERE t.ingested_at < (SELECT max(ingested_at) FROM flights) - INTERVAL '1 day'
                     AND t.source = b.source AND t.icao24 = b.icao24 AND t."timestamp" = b."timestamp")"""
+
+
+# --- payload normalisation ----------------------------------------------------
+# Document keys and damage rules mirror movelake.sources.landed:
+# h = cycle_no + endpoint_idx + page; HTTP 500 when h % 23 = 0, truncated
+# when h % 29 = 7.
+from movelake.sources.dims import ADSB_ENDPOINTS, AIRCRAFT_TYPES  # noqa: E402
+
+_OK = "(h % 23 <> 0 AND h % 29 <> 7)"
+_AX = """ax AS (
+  SELECT *, epoch_us("timestamp") // 300000000 AS cycle_no, event_id // 64 AS page FROM flights_x)"""
+
+
+def _acopies(n: int, copies: bool) -> str:
+    join = "JOIN (VALUES (0), (1)) c(k) ON c.k = 0 OR a.event_id % 4 = 0" if copies and n > 1 \
+        else "JOIN (VALUES (0)) c(k) ON TRUE"
+    return f"""acp AS (
+  SELECT a.*, c.k, CAST((a.event_id % {n} + c.k) % {n} AS INTEGER) AS endpoint_idx,
+         a.cycle_no + CAST((a.event_id % {n} + c.k) % {n} AS INTEGER) + a.page AS h
+  FROM ax a {join})"""
+
+
+def _adsb_map(source: str) -> str:
+    return f"""make_timestamp(cycle_no * 300000000) AS "timestamp",
+  CASE WHEN event_id % 23 <> 0 THEN icao24 END AS icao24,
+  CASE WHEN event_id % 31 = 0 THEN '' ELSE callsign END AS callsign,
+  CAST(NULL AS VARCHAR) AS origin_country, longitude, latitude,
+  CASE WHEN event_type = 'error' OR event_id % 19 = 0 OR event_id % 13 = 0
+       THEN (CASE WHEN event_id % 3 = 0 THEN value * 100.0 + 50.0 END) ELSE baro_altitude END AS baro_altitude,
+  CASE WHEN event_type = 'error' THEN TRUE WHEN event_id % 19 = 0 THEN FALSE END AS on_ground,
+  velocity + k AS velocity, true_track, vertical_rate, '{source}' AS source"""
+
+
+_FCOLS = ('"timestamp", icao24, callsign, origin_country, longitude, latitude, baro_altitude, '
+          'on_ground, velocity, true_track, vertical_rate, source')
+
+
+def _adsb_rows(n, copies, source):
+    return ctes("flights_x", extra=[_AX, _acopies(n, copies), f"""m AS (
+  SELECT {_adsb_map(source)}, endpoint_idx, event_id, cycle_no FROM acp WHERE {_OK})"""])
+
+
+def _endpoint_names(names):
+    vals = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
+    return f"(SELECT * FROM (VALUES {vals}) e(endpoint_idx, endpoint))"
+
+
+ORACLE["norm_adsb_records"] = _adsb_rows(3, True, "adsblol") + f"""
+SELECT e.endpoint, {_FCOLS} FROM m JOIN {_endpoint_names(ADSB_ENDPOINTS)} e USING (endpoint_idx)"""
+
+
+def _dedup(where: str) -> str:
+    return f"""
+SELECT {_FCOLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY cycle_no, icao24 ORDER BY endpoint_idx, event_id) AS rn
+  FROM m WHERE icao24 IS NOT NULL {where}) WHERE rn = 1"""
+
+
+_POS = "AND latitude IS NOT NULL AND longitude IS NOT NULL"
+ORACLE["norm_adsb_endpoints"] = _adsb_rows(3, True, "adsblol") + _dedup("")
+ORACLE["norm_adsb_regions"] = _adsb_rows(len(REGION_GRID), True, "airplaneslive") + _dedup(_POS)
+ORACLE["norm_adsb_types"] = _adsb_rows(len(AIRCRAFT_TYPES), True, "adsbone") + _dedup(_POS)
+ORACLE["norm_adsb_snapshot"] = _adsb_rows(1, False, "adsbfi") + f"""
+SELECT {_FCOLS} FROM m WHERE latitude IS NOT NULL AND longitude IS NOT NULL"""
+
+ORACLE["norm_private_feeder"] = ctes("flights_x", extra=[_AX, """pv AS (
+  SELECT *, cycle_no + page AS h,
+         bool_or(event_id % 37 = 0) OVER (PARTITION BY cycle_no, page) AS bad_doc,
+         CASE WHEN event_id % 3 = 0 THEN CAST(CAST(floor(value * 100.0) AS INTEGER) AS DOUBLE) END AS alt_geom
+  FROM ax)""", """alt AS (
+  SELECT *, CASE WHEN event_type = 'error' THEN 0.0
+                 WHEN event_id % 19 = 0 OR event_id % 13 = 0 THEN alt_geom
+                 ELSE baro_altitude END AS alt_v
+  FROM pv WHERE (h % 23 <> 0 AND h % 29 <> 7) AND NOT bad_doc)"""]) + """
+SELECT make_timestamp(cycle_no * 300000000) AS "timestamp", icao24,
+       CASE WHEN event_id % 31 = 0 THEN '' ELSE callsign END AS callsign,
+       CAST(NULL AS VARCHAR) AS origin_country, longitude, latitude,
+       CAST(alt_v AS DOUBLE) AS baro_altitude, coalesce(alt_v = 0.0, FALSE) AS on_ground,
+       velocity, true_track, vertical_rate, 'private' AS source
+FROM alt WHERE event_id % 23 <> 0 AND latitude IS NOT NULL AND longitude IS NOT NULL"""
+
+ORACLE["norm_state_vectors"] = ctes("flights_x", extra=[_AX]) + """
+SELECT make_timestamp(cycle_no * 300000000) AS "timestamp", icao24, callsign, origin_country,
+       longitude, CASE WHEN event_id % 13 = 0 THEN NULL ELSE latitude END AS latitude,
+       baro_altitude, on_ground, velocity, true_track, vertical_rate, 'opensky' AS source
+FROM ax WHERE ((cycle_no + page) % 23 <> 0 AND (cycle_no + page) % 29 <> 7) AND event_id % 11 <> 0"""
+
+ORACLE["norm_ship_messages"] = ctes("ship_pings") + """
+SELECT "timestamp", mmsi, ship_name || '  ' AS ship_name, latitude, longitude, message_type, seq
+FROM ship_pings WHERE seq % 11 <> 0 AND seq % 13 <> 0"""
+
+_BOARD = """b AS (
+  SELECT d.*, CAST(regexp_extract(station_id, '^be:(.*)$', 1) AS INTEGER) AS endpoint_idx,
+         regexp_extract(station_id, '^be:(.*)$', 1) AS endpoint,
+         epoch_us("timestamp") // 86400000000 AS cycle_no
+  FROM departures d),
+bo AS (SELECT * FROM b WHERE (cycle_no + endpoint_idx) % 23 <> 0 AND (cycle_no + endpoint_idx) % 29 <> 7)"""
+
+ORACLE["norm_departures_ch"] = ctes("departures", extra=[_BOARD]) + """
+SELECT "timestamp", 'sbb:' || endpoint AS station_id, station_name, CAST(NULL AS VARCHAR) AS trip_id,
+       CASE WHEN direction <> 'BUILDING' AND platform_planned = 'O' THEN 'IC ' || substring(line_name, 4, 8)
+            WHEN direction <> 'BUILDING' THEN 'IC' ELSE line_name END AS line_name,
+       direction, planned_time,
+       CASE WHEN ((CAST(floor(delay_seconds / 60) AS BIGINT) % 4) + 4) % 4 IN (0, 1) THEN actual_time END
+         AS actual_time,
+       CASE WHEN direction <> 'MACHINERY' THEN delay_seconds END AS delay_seconds,
+       FALSE AS cancelled, platform_planned, platform_actual, platform_changed
+FROM bo WHERE NOT cancelled"""
+
+ORACLE["norm_departures_be"] = ctes("departures", extra=[_BOARD]) + """
+SELECT "timestamp", 'be:' || endpoint AS station_id, station_name, trip_id, trip_id AS line_name,
+       direction, planned_time, CAST(NULL AS TIMESTAMP) AS actual_time,
+       CASE WHEN direction IN ('HOUSEHOLD', 'AUTOMOBILE') THEN NULL ELSE delay_seconds END AS delay_seconds,
+       cancelled, platform_planned,
+       CASE WHEN platform_actual IS NOT NULL THEN platform_planned END AS platform_actual,
+       platform_actual IS NOT NULL AS platform_changed
+FROM bo"""
+
+ORACLE["norm_departures_at"] = ctes("departures", extra=[_BOARD]) + """
+SELECT "timestamp", 'at:' || endpoint AS station_id, station_name, trip_id, line_name, direction,
+       planned_time, actual_time, delay_seconds, FALSE AS cancelled, platform_planned, platform_actual,
+       coalesce(platform_planned <> platform_actual, FALSE) AS platform_changed
+FROM bo"""
+
+ORACLE["norm_orbital_elements"] = ctes("sat_elements", extra=["""so AS (
+  SELECT *, epoch_us("timestamp") // 300000000 AS cycle_no, norad_id // 64 AS page FROM sat_elements)""",
+    """sd AS (
+  SELECT *, cycle_no + cat_idx + page AS h,
+         bool_or(norad_id % 53 = 0) OVER (PARTITION BY category, cycle_no, page) AS bad_doc
+  FROM so)"""]) + """
+SELECT "timestamp", norad_id, name, CASE WHEN norad_id % 5 = 0 THEN NULL ELSE epoch END AS epoch,
+       mean_motion, inclination, eccentricity, tle_line1, tle_line2
+FROM sd WHERE h % 23 <> 0 AND h % 29 <> 7 AND NOT bad_doc"""
+
+ORACLE["landed_ok"] = ctes("flights_x", extra=[_AX, _acopies(3, True)]) + f"""
+SELECT DISTINCT 'adsb_endpoints' AS source, e.endpoint, make_timestamp(cycle_no * 300000000) AS cycle_ts,
+       CAST(endpoint_idx AS BIGINT) * 1000000000 + page AS seq
+FROM acp JOIN {_endpoint_names(ADSB_ENDPOINTS)} e USING (endpoint_idx)
+WHERE h % 23 <> 0"""
+
+ORACLE["counts_by_endpoint"] = ctes("flights_x", extra=[_AX, _acopies(len(REGION_GRID), True)]) + f"""
+SELECT 'airplaneslive' AS source, e.endpoint, count(*) AS "rows"
+FROM acp JOIN {_endpoint_names([r[0] for r in REGION_GRID])} e USING (endpoint_idx)
+WHERE {_OK} GROUP BY 1, 2"""
+
+_REJECTS = ctes("flights_x", extra=[_AX, _acopies(3, True), f"""rj AS (
+  SELECT DISTINCT 'adsb_endpoints' AS source, e.endpoint, make_timestamp(cycle_no * 300000000) AS cycle_ts,
+         CAST(endpoint_idx AS BIGINT) * 1000000000 + page AS seq,
+         CASE WHEN h % 23 = 0 THEN 500 ELSE 200 END AS status,
+         CASE WHEN h % 23 = 0 THEN 'http_status' ELSE 'corrupt' END AS reason
+  FROM acp JOIN {_endpoint_names(ADSB_ENDPOINTS)} e USING (endpoint_idx)
+  WHERE NOT {_OK}
+  UNION ALL
+  SELECT DISTINCT 'private_feeder', 'feeder', make_timestamp(cycle_no * 300000000), page,
+         CASE WHEN (cycle_no + page) % 23 = 0 THEN 500 ELSE 200 END,
+         CASE WHEN (cycle_no + page) % 23 = 0 THEN 'http_status' ELSE 'corrupt' END
+  FROM (SELECT *, bool_or(event_id % 37 = 0) OVER (PARTITION BY cycle_no, page) AS bad_doc FROM ax)
+  WHERE (cycle_no + page) % 23 = 0 OR (cycle_no + page) % 29 = 7 OR bad_doc)"""])
+
+ORACLE["dead_letter"] = _REJECTS + "SELECT source, endpoint, cycle_ts, seq, status, reason FROM rj"
+ORACLE["dropped_counts"] = _REJECTS + 'SELECT source, reason, count(*) AS "rows" FROM rj GROUP BY 1, 2'
