@@ -444,3 +444,113 @@ def q_dead_letter(spark, sf):
 @register("dropped_counts")
 def q_dropped_counts(spark, sf):
     return quality.dropped_counts(_rejects(spark, sf))
+
+
+# --- SCL-*: scalar rule families ---------------------------------------------
+from movelake.functions import geo as G  # noqa: E402
+from movelake.functions import rules as R  # noqa: E402
+
+
+def _alt_text(eid, et, value):
+    return (F.when(et == "error", F.lit('"ground"'))
+             .when(eid % 19 == 0, F.lit('"35000"'))
+             .when(eid % 13 == 0, F.lit(None).cast("string"))
+             .when(eid % 7 == 0, F.lit('"unknown"'))
+             .otherwise((value * F.lit(100.0)).cast("string")))
+
+
+@register("scl_altitude_ground")
+def q_scl_altitude_ground(spark, sf):
+    f = standin.flights(spark, sf, with_event_id=True)
+    eid, et = F.col("event_id"), F.col("event_type")
+    v = F.try_parse_json(_alt_text(eid, et, F.col("value")))
+    geom_alt = F.when(eid % 3 == 0, F.floor(F.col("value") * F.lit(100.0)).cast("int"))
+    alt_p = R.altitude_private(v, geom_alt)
+    return f.select(
+        eid.alias("event_id"),
+        R.altitude_shared(v, geom_alt).alias("alt_shared"),
+        R.on_ground_shared(v).alias("ground_shared"),
+        alt_p.alias("alt_private"), R.on_ground_private(alt_p).alias("ground_private"))
+
+
+@register("scl_text")
+def q_scl_text(spark, sf):
+    f = standin.flights(spark, sf, with_event_id=True)
+    eid, uid = F.col("event_id"), F.col("user_id")
+    padded = (F.when(eid % 5 == 0, F.lit(" \t\r\n "))
+               .when(eid % 5 == 1, F.concat(F.lit("\t"), F.col("callsign"), F.lit("\n")))
+               .otherwise(F.concat(F.lit("  "), F.col("callsign"), F.lit("  "))))
+    cat = F.when(eid % 4 != 0, F.lit("IR"))
+    num = F.when(eid % 3 != 0, (eid % 100).cast("string"))
+    return f.select(
+        eid.alias("event_id"),
+        R.trim_all(padded).alias("callsign"),
+        F.lower(F.upper(F.col("icao24"))).alias("hex"),
+        R.line_name(cat, num, F.col("callsign")).alias("line_name"),
+        R.station_key("sbb:", uid).alias("station_id"),
+        R.id_text(F.lit(200000000) + uid).alias("mmsi"))
+
+
+@register("scl_time")
+def q_scl_time(spark, sf):
+    f = standin.flights(spark, sf, with_event_id=True)
+    eid = F.col("event_id")
+    secs = F.unix_seconds("timestamp")
+    wild = F.when(eid % 10 == 0, secs * F.lit(1_000_000)).otherwise(secs)
+    fmt = eid % 4
+    ts_s = F.timestamp_seconds(secs)
+    z = F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss")
+    text = (F.when(fmt == 0, F.concat(z, F.lit("Z")))
+             .when(fmt == 1, F.concat(F.date_format(ts_s + F.expr("INTERVAL 90 MINUTES"),
+                                                    "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:30")))
+             .when(fmt == 2, F.concat(z, F.lit("+0000")))
+             .otherwise(z))
+    entity = F.when(eid % 5 == 0, F.lit(None).cast("long")).when(eid % 5 == 1, F.lit(0)).otherwise(secs)
+    feed = F.when(eid % 3 == 0, F.lit(0)).otherwise(secs + 1)
+    return f.select(
+        eid.alias("event_id"),
+        ntz(R.seconds_to_ts(wild)).alias("from_seconds"),
+        ntz(R.rfc3339_to_ts(text)).alias("strict"),
+        ntz(R.rfc3339_to_ts(text, lenient=True)).alias("lenient"),
+        ntz(R.entity_time(entity, feed, F.col("timestamp"))).alias("entity_time"),
+        R.whole_second("timestamp").alias("second"),
+        R.utc_day_text("timestamp").alias("day_text"),
+        ntz(F.date_trunc("minute", "timestamp")).alias("minute"))
+
+
+@register("scl_delay_platform")
+def q_scl_delay_platform(spark, sf):
+    d = standin.departures(spark, sf)
+    k = F.col("delay_seconds")
+    mins = (k / 60).cast("int")
+    text = (F.when(mins % 5 == 0, F.concat(F.lit(" "), k.cast("string"), F.lit(" ")))
+             .when(mins % 5 == 1, F.concat(F.lit("+"), F.abs(k).cast("string")))
+             .when(mins % 5 == 2, F.lit("99999999999"))
+             .when(mins % 5 == 3, F.concat(k.cast("string"), F.lit("s")))
+             .otherwise(k.cast("string")))
+    big = F.when(mins % 7 == 0, F.lit(40000000)).otherwise(mins)
+    normal = F.when(F.col("platform_actual").isNull(), F.lit("1")).otherwise(F.lit("0"))
+    canceled = F.when(F.col("cancelled"), F.lit("1")).when(mins % 2 == 0, F.lit("0"))
+    return d.select(
+        "trip_id",
+        R.int_text(text).alias("delay_text_s"),
+        R.minutes_to_seconds(big).alias("delay_min_s"),
+        R.platform_changed_ch(F.col("platform_planned"), F.col("platform_actual")).alias("changed_ch"),
+        R.platform_changed_be(normal).alias("changed_be"),
+        R.platform_changed_at(F.col("platform_planned"), F.col("platform_actual")).alias("changed_at"),
+        R.cancelled_flag(canceled).alias("cancelled"))
+
+
+@register("scl_geo")
+def q_scl_geo(spark, sf):
+    f = standin.flights(spark, sf, with_event_id=True)
+    p = R.make_point(F.col("longitude"), F.col("latitude"))
+    return f.select(
+        F.col("event_id"),
+        R.widen_float(F.col("latitude")).alias("lat_f32"),
+        R.coord_cell(F.col("latitude")).alias("lat_cell"),
+        R.coord_cell(F.col("longitude")).alias("lon_cell"),
+        p["lon"].alias("x"), p["lat"].alias("y"), p["srid"].alias("srid"),
+        G.grid_cell(F.col("latitude"), 0.5).alias("cell_half_deg"),
+        F.round(G.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(50.0), F.lit(10.0)), 3)
+         .alias("km_to_50_10"))

@@ -452,3 +452,67 @@ _REJECTS = ctes("flights_x", extra=[_AX, _acopies(3, True), f"""rj AS (
 
 ORACLE["dead_letter"] = _REJECTS + "SELECT source, endpoint, cycle_ts, seq, status, reason FROM rj"
 ORACLE["dropped_counts"] = _REJECTS + 'SELECT source, reason, count(*) AS "rows" FROM rj GROUP BY 1, 2'
+
+
+# --- scalar rule families -------------------------------------------------------
+ORACLE["scl_altitude_ground"] = ctes("flights_x", extra=["""sa AS (
+  SELECT event_id,
+         CASE WHEN event_type = 'error' THEN 'ground' WHEN event_id % 19 = 0 THEN 'num_text'
+              WHEN event_id % 13 = 0 THEN 'missing' WHEN event_id % 7 = 0 THEN 'other'
+              ELSE 'number' END AS kind,
+         value * 100.0 AS num,
+         CASE WHEN event_id % 3 = 0 THEN CAST(CAST(floor(value * 100.0) AS INTEGER) AS DOUBLE) END AS geom_alt
+  FROM flights_x)"""]) + """
+SELECT event_id,
+       CASE WHEN kind = 'number' THEN num ELSE geom_alt END AS alt_shared,
+       CASE WHEN kind = 'ground' THEN TRUE WHEN kind IN ('num_text', 'other') THEN FALSE END AS ground_shared,
+       CASE WHEN kind = 'number' THEN num WHEN kind = 'ground' THEN 0.0 ELSE geom_alt END AS alt_private,
+       coalesce((CASE WHEN kind = 'number' THEN num WHEN kind = 'ground' THEN 0.0 ELSE geom_alt END) = 0.0,
+                FALSE) AS ground_private
+FROM sa"""
+
+ORACLE["scl_text"] = ctes("flights_x") + """
+SELECT event_id,
+       CASE WHEN event_id % 5 = 0 THEN '' ELSE callsign END AS callsign,
+       icao24 AS hex,
+       CASE WHEN event_id % 4 <> 0 AND event_id % 3 <> 0 THEN 'IR ' || CAST(event_id % 100 AS VARCHAR)
+            WHEN event_id % 4 <> 0 THEN 'IR' ELSE callsign END AS line_name,
+       'sbb:' || CAST(user_id AS VARCHAR) AS station_id,
+       CAST(200000000 + user_id AS VARCHAR) AS mmsi
+FROM flights_x"""
+
+ORACLE["scl_time"] = ctes("flights_x", extra=["""st AS (
+  SELECT event_id, "timestamp", epoch_us("timestamp") // 1000000 AS secs FROM flights_x)"""]) + """
+SELECT event_id,
+       CASE WHEN event_id % 10 = 0 THEN NULL ELSE make_timestamp(secs * 1000000) END AS from_seconds,
+       CASE WHEN event_id % 4 IN (0, 1) THEN make_timestamp(secs * 1000000) END AS strict,
+       make_timestamp(secs * 1000000) AS lenient,
+       CASE WHEN event_id % 5 = 1 THEN TIMESTAMP '1970-01-01 00:00:00'
+            WHEN event_id % 5 <> 0 THEN make_timestamp(secs * 1000000)
+            WHEN event_id % 3 <> 0 THEN make_timestamp((secs + 1) * 1000000)
+            ELSE "timestamp" END AS entity_time,
+       secs AS "second", strftime("timestamp", '%Y%m%d') AS day_text,
+       date_trunc('minute', "timestamp") AS "minute"
+FROM st"""
+
+ORACLE["scl_delay_platform"] = ctes("departures", extra=["""sd AS (
+  SELECT *, CAST(trunc(delay_seconds / 60) AS INTEGER) AS mins FROM departures)"""]) + """
+SELECT trip_id,
+       CASE WHEN mins % 5 = 1 THEN abs(delay_seconds) WHEN mins % 5 IN (0, 2, 3) THEN NULL
+            ELSE delay_seconds END AS delay_text_s,
+       CASE WHEN mins % 7 = 0 THEN NULL ELSE mins * 60 END AS delay_min_s,
+       platform_actual IS NOT NULL AND platform_planned IS DISTINCT FROM platform_actual AS changed_ch,
+       platform_actual IS NOT NULL AS changed_be,
+       coalesce(platform_planned <> platform_actual, FALSE) AS changed_at,
+       cancelled
+FROM sd"""
+
+ORACLE["scl_geo"] = ctes("flights_x") + f"""
+SELECT event_id, CAST(CAST(latitude AS FLOAT) AS DOUBLE) AS lat_f32,
+       CAST(round(latitude * 1e5) AS BIGINT) AS lat_cell, CAST(round(longitude * 1e5) AS BIGINT) AS lon_cell,
+       CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN longitude END AS x,
+       CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN latitude END AS y,
+       CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 4326 END AS srid,
+       CAST(floor(latitude / 0.5) AS BIGINT) AS cell_half_deg,
+       round({_haversine('latitude', 'longitude', '50.0', '10.0')}, 3) AS km_to_50_10
+FROM flights_x"""
