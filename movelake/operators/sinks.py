@@ -51,7 +51,13 @@ def append(df: DataFrame, path: str, table: str, as_of=None, metrics_path: str |
     a second pass over the data."""
     obs = Observation(f"write_{table}")
     t0 = time.time()
-    rows = with_chunk(prepare(df, table, as_of), table).observe(obs, F.count(F.lit(1)).alias("n"))
+    rows = with_chunk(prepare(df, table, as_of), table)
+    # Range-partition on (chunk, timestamp): each task writes a contiguous
+    # run of chunks (few files per chunk), and one very large chunk is split
+    # across tasks by time instead of landing in a single task.
+    rows = rows.repartitionByRange("chunk", "timestamp").sortWithinPartitions("chunk", "timestamp")
+    # Observe after the exchange so the range sampler's job is not counted.
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     (rows.write.mode("append").partitionBy("chunk")
          .option("compression", "zstd").option("maxRecordsPerFile", max_records_per_file)
          .parquet(path))

@@ -554,3 +554,96 @@ def q_scl_geo(spark, sf):
         G.grid_cell(F.col("latitude"), 0.5).alias("cell_half_deg"),
         F.round(G.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(50.0), F.lit(10.0)), 3)
          .alias("km_to_50_10"))
+
+
+# --- SNK-1 ... SNK-9, LAY-2: writers, read back through the fixed schema ------
+def _write_read(spark, df, table):
+    path = scratch_path(spark, table)
+    sinks.append(df, path, table)
+    return sinks.read_table(spark, path, table)
+
+
+def _geom_xy(df):
+    return [F.col("geom.lon").alias("geom_x"), F.col("geom.lat").alias("geom_y")]
+
+
+@register("append_flights")
+def q_append_flights(spark, sf):
+    r = _write_read(spark, standin.flights(spark, sf), "flights")
+    return r.select(ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"),
+                    *aircraft.FLIGHT_COLS[1:], *_geom_xy(r), "chunk")
+
+
+@register("append_ships")
+def q_append_ships(spark, sf):
+    r = _write_read(spark, standin.ships(spark, sf), "ships")
+    return r.select(ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"),
+                    "mmsi", "ship_name", "latitude", "longitude", "message_type", *_geom_xy(r), "chunk")
+
+
+@register("append_departures")
+def q_append_departures(spark, sf):
+    r = _write_read(spark, standin.departures(spark, sf), "departures")
+    return r.select(
+        ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"), "station_id",
+        "station_name", "trip_id", "line_name", "direction", ntz("planned_time").alias("planned_time"),
+        ntz("actual_time").alias("actual_time"), "delay_seconds", "cancelled", "platform_planned",
+        "platform_actual", "platform_changed", "chunk")
+
+
+@register("append_orbits")
+def q_append_orbits(spark, sf):
+    r = _write_read(spark, standin.satellites(spark, sf), "satellites")
+    return r.select(ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"),
+                    "norad_id", "name", ntz("epoch").alias("epoch"), "mean_motion", "inclination",
+                    "eccentricity", "tle_line1", "tle_line2", "chunk")
+
+
+@register("append_vehicles")
+def q_append_vehicles(spark, sf):
+    r = _write_read(spark, standin.vehicle_positions(spark, sf), "vehicle_positions")
+    return r.select(ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"),
+                    "feed_timestamp", "vehicle_id", "trip_id", "route_id", "latitude", "longitude",
+                    "bearing", "speed", *_geom_xy(r), "chunk")
+
+
+@register("ingest_metrics")
+def q_ingest_metrics(spark, sf):
+    """One batch per feed source (the fixed feed list), each append
+    recording (table, rows) in ingest_metrics."""
+    from movelake.sources.standin import EVENT_SOURCE
+    f = standin.flights(spark, sf)
+    data, metrics = scratch_path(spark, "flights"), scratch_path(spark, "ingest_metrics")
+    for src in EVENT_SOURCE.values():
+        sinks.append(f.where(F.col("source") == src), data, "flights", metrics_path=metrics)
+    return spark.read.parquet(metrics).select("table", "rows")
+
+
+@register("unnest_columns")
+def q_unnest_columns(spark, sf):
+    """Column-array documents (one per 5-minute cycle and page) zipped back
+    to rows."""
+    f = standin.flights(spark, sf, with_event_id=True).withColumn("cycle_ts", _cycle())
+    f = f.withColumn("page", F.floor(F.col("event_id") / 64))
+    g = (f.groupBy("cycle_ts", "page")
+          .agg(F.array_sort(F.collect_list(F.struct("event_id", "icao24", "latitude", "longitude")))
+               .alias("r")))
+    cols = g.select("cycle_ts",
+                    F.transform("r", lambda x: x["icao24"]).alias("hex"),
+                    F.transform("r", lambda x: x["latitude"]).alias("lat"),
+                    F.transform("r", lambda x: x["longitude"]).alias("lon"))
+    rows = sinks.unnest_columns(cols, ["hex", "lat", "lon"], ["icao24", "latitude", "longitude"])
+    return rows.select(ntz("cycle_ts").alias("cycle_ts"), "icao24", "latitude", "longitude")
+
+
+@register("compact_chunk")
+def q_compact_chunk(spark, sf):
+    """LAY-2: rewrite the chunks due for compaction, segmented by source and
+    sorted newest first; rows per (chunk, source) must be unchanged."""
+    f = standin.flights(spark, sf)
+    due = layout.retention_filter(f, "flights", latest(f), None)
+    c = layout.compact(due, "flights")
+    path = scratch_path(spark, "flights_compacted")
+    c.write.mode("overwrite").partitionBy("chunk").option("compression", "zstd").parquet(path)
+    back = spark.read.parquet(path)
+    return back.groupBy("chunk", "source").agg(F.count(F.lit(1)).alias("rows"))

@@ -516,3 +516,27 @@ SELECT event_id, CAST(CAST(latitude AS FLOAT) AS DOUBLE) AS lat_f32,
        CAST(floor(latitude / 0.5) AS BIGINT) AS cell_half_deg,
        round({_haversine('latitude', 'longitude', '50.0', '10.0')}, 3) AS km_to_50_10
 FROM flights_x"""
+
+
+# --- writers ---------------------------------------------------------------------
+ORACLE["append_flights"] = ctes("flights") + f"""
+SELECT {_FCOLS}, ingested_at, geom_lon AS geom_x, geom_lat AS geom_y, CAST("timestamp" AS DATE) AS chunk
+FROM flights"""
+ORACLE["append_ships"] = ctes("ships") + """
+SELECT "timestamp", ingested_at, mmsi, ship_name, latitude, longitude, message_type,
+       geom_lon AS geom_x, geom_lat AS geom_y, CAST("timestamp" AS DATE) AS chunk FROM ships"""
+ORACLE["append_departures"] = ctes("departures") + """
+SELECT *, CAST("timestamp" AS DATE) AS chunk FROM departures"""
+ORACLE["append_orbits"] = ctes("satellites") + f"""
+SELECT *, {_chunk('satellites')} AS chunk FROM satellites"""
+ORACLE["append_vehicles"] = ctes("vehicle_positions") + """
+SELECT "timestamp", ingested_at, feed_timestamp, vehicle_id, trip_id, route_id, latitude, longitude,
+       bearing, speed, geom_lon AS geom_x, geom_lat AS geom_y, CAST("timestamp" AS DATE) AS chunk
+FROM vehicle_positions"""
+ORACLE["ingest_metrics"] = ctes("flights") + """
+SELECT 'flights' AS "table", count(*) AS "rows" FROM flights GROUP BY source"""
+ORACLE["unnest_columns"] = ctes("flights") + """
+SELECT make_timestamp((epoch_us("timestamp") // 300000000) * 300000000) AS cycle_ts, icao24, latitude, longitude
+FROM flights"""
+ORACLE["compact_chunk"] = ctes("flights") + """
+SELECT CAST("timestamp" AS DATE) AS chunk, source, count(*) AS "rows" FROM flights GROUP BY 1, 2"""
