@@ -540,3 +540,43 @@ SELECT make_timestamp((epoch_us("timestamp") // 300000000) * 300000000) AS cycle
 FROM flights"""
 ORACLE["compact_chunk"] = ctes("flights") + """
 SELECT CAST("timestamp" AS DATE) AS chunk, source, count(*) AS "rows" FROM flights GROUP BY 1, 2"""
+
+
+# --- streams ----------------------------------------------------------------------
+_SHIP_STREAM = ctes("ship_pings") + """
+SELECT "timestamp", mmsi, ship_name || '  ' AS ship_name, latitude, longitude, message_type FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY mmsi, round(latitude * 1e5), round(longitude * 1e5), epoch_us("timestamp") // 1000000
+      ORDER BY seq) AS rn
+  FROM ship_pings WHERE seq % 11 <> 0 AND seq % 13 <> 0) WHERE rn = 1"""
+ORACLE["stream_ships"] = _SHIP_STREAM
+ORACLE["stream_ships_once"] = _SHIP_STREAM
+ORACLE["stream_snapshots"] = ORACLE["norm_adsb_snapshot"]
+
+ORACLE["stream_rollup"] = ctes("flights") + """
+SELECT make_timestamp((epoch_us("timestamp") // 60000000) * 60000000) AS window_start,
+       make_timestamp((epoch_us("timestamp") // 60000000 + 1) * 60000000) AS window_end,
+       source, count(*) AS "rows"
+FROM flights GROUP BY 1, 2, 3
+HAVING window_end <= (SELECT max("timestamp") FROM flights) - INTERVAL '10 minutes'"""
+
+ORACLE["stream_latency"] = ctes("flights") + f"""
+SELECT window_start, p99_ms, samples, p99_ms > 2000.0 AS alarm FROM (
+  SELECT make_timestamp((epoch_us(ingested_at) // 60000000) * 60000000) AS window_start,
+         round(quantile_cont({_lat_ms()}, 0.99), 6) AS p99_ms, count(*) AS samples
+  FROM flights GROUP BY 1)
+WHERE window_start + INTERVAL '1 minute' <= (SELECT max(ingested_at) FROM flights) - INTERVAL '10 minutes'"""
+
+ORACLE["stream_collapse"] = ctes("vehicle_positions") + """
+SELECT window_start, window_end, "rows" FROM (
+  SELECT make_timestamp(s) AS window_start, make_timestamp(s + 300000000) AS window_end, count(*) AS "rows"
+  FROM (SELECT (epoch_us(ingested_at) // 60000000) * 60000000 - j * 60000000 AS s
+        FROM vehicle_positions, (VALUES (0), (1), (2), (3), (4)) w(j))
+  GROUP BY s)
+WHERE "rows" < 1000
+  AND window_end <= (SELECT max(ingested_at) FROM vehicle_positions) - INTERVAL '10 minutes'"""
+
+ORACLE["dedup_pings_stream"] = ctes("ship_pings") + """
+SELECT DISTINCT mmsi, "timestamp", CAST(round(latitude * 1e5) AS BIGINT) AS lat_cell,
+       CAST(round(longitude * 1e5) AS BIGINT) AS lon_cell
+FROM ship_pings WHERE seq % 11 <> 0 AND seq % 13 <> 0"""

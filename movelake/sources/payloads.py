@@ -57,5 +57,6 @@ def dead_letter(rejects: DataFrame, path: str) -> int:
     from pyspark.sql import Observation
     obs = Observation("dead_letter")
     (rejects.observe(obs, F.count(F.lit(1)).alias("n"))
-            .write.mode("append").option("compression", "gzip").json(path))
+            .write.mode("append").option("compression", "gzip")
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path))
     return int(obs.get.get("n", 0) or 0)
