@@ -742,3 +742,33 @@ def q_dedup_pings_stream(spark, sf):
     return r.select("mmsi", ntz("timestamp").alias("timestamp"),
                     R.coord_cell(F.col("latitude")).alias("lat_cell"),
                     R.coord_cell(F.col("longitude")).alias("lon_cell"))
+
+
+# --- SRC-13, AGG-14, EXT-1, EXT-2: GTFS-realtime -----------------------------
+from movelake.sources import gtfs  # noqa: E402
+
+
+@register("norm_vehicle_positions")
+def q_norm_vehicle_positions(spark, sf):
+    v = gtfs.norm_vehicle_positions(landed.land_gtfs(spark, sf))
+    return v.select(ntz("timestamp").alias("timestamp"), *gtfs.VP_COLS[1:])
+
+
+@register("feed_counters")
+def q_feed_counters(spark, sf):
+    c = gtfs.feed_counters(landed.land_gtfs(spark, sf))
+    return c.select(ntz("cycle_ts").alias("cycle_ts"), "seq", "total_entities", "vehicle_positions")
+
+
+@register("norm_service_alerts")
+def q_norm_service_alerts(spark, sf):
+    a = gtfs.norm_service_alerts(landed.land_gtfs(spark, sf))
+    return a.select(ntz("timestamp").alias("timestamp"), "alert_id", "header_text", "description_text",
+                    "cause", "effect")
+
+
+@register("norm_trip_updates")
+def q_norm_trip_updates(spark, sf):
+    t = gtfs.norm_trip_updates(landed.land_gtfs(spark, sf))
+    return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "trip_id", "route_id", "stop_sequence",
+                    "stop_id", "arrival_delay", "departure_delay")

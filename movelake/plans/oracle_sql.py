@@ -3,7 +3,7 @@ match the Spark side exactly."""
 
 from __future__ import annotations
 
-from movelake.plans.oracle import ctes
+from movelake.plans.oracle import ctes, lat_sql, lon_sql
 
 ORACLE: dict = {}
 
@@ -580,3 +580,55 @@ ORACLE["dedup_pings_stream"] = ctes("ship_pings") + """
 SELECT DISTINCT mmsi, "timestamp", CAST(round(latitude * 1e5) AS BIGINT) AS lat_cell,
        CAST(round(longitude * 1e5) AS BIGINT) AS lon_cell
 FROM ship_pings WHERE seq % 11 <> 0 AND seq % 13 <> 0"""
+
+
+# --- GTFS-realtime --------------------------------------------------------------------
+from movelake.sources.dims import ALERT_CAUSE, ALERT_EFFECT  # noqa: E402
+
+_GT = ctes("ev", extra=["""g AS (
+  SELECT *, epoch_us("timestamp") // 1000000 AS secs, epoch_us("timestamp") // 300000000 AS cycle_no,
+         event_id // 64 AS page,
+         epoch_us("timestamp") // 300000000 + event_id // 64 AS h
+  FROM ev)""", """gok AS (SELECT * FROM g WHERE h % 23 <> 0 AND h % 29 <> 7)"""])
+
+ORACLE["norm_vehicle_positions"] = _GT + f"""
+SELECT CASE WHEN event_id % 5 = 1 THEN TIMESTAMP '1970-01-01 00:00:00'
+            WHEN event_id % 5 <> 0 THEN make_timestamp(secs * 1000000)
+            WHEN h % 7 <> 0 THEN make_timestamp((cycle_no * 300 + 300) * 1000000)
+            ELSE make_timestamp(cycle_no * 300000000) END AS "timestamp",
+       CASE WHEN h % 7 = 0 THEN 0 ELSE cycle_no * 300 + 300 END AS feed_timestamp,
+       'v' || CAST(user_id AS VARCHAR) AS vehicle_id, 't' || CAST(event_id % 97 AS VARCHAR) AS trip_id,
+       event_type AS route_id,
+       CAST(CAST({lat_sql('event_id')} AS FLOAT) AS DOUBLE) AS latitude,
+       CAST(CAST({lon_sql('event_id')} AS FLOAT) AS DOUBLE) AS longitude,
+       CAST(event_id % 360 AS FLOAT) AS bearing, CAST(value AS FLOAT) AS speed
+FROM gok"""
+
+ORACLE["feed_counters"] = _GT + """
+SELECT make_timestamp(cycle_no * 300000000) AS cycle_ts, page AS seq,
+       count(*) + count(*) FILTER (WHERE event_id % 8 = 0) + count(*) FILTER (WHERE event_id % 6 IN (0, 3))
+         AS total_entities,
+       count(*) AS vehicle_positions
+FROM gok GROUP BY cycle_no, page"""
+
+
+def _enum_case(col, names, default):
+    return ("CASE coalesce(" + col + f", {default}) "
+            + " ".join(f"WHEN {k} THEN '{v}'" for k, v in names.items()) + " END")
+
+
+ORACLE["norm_service_alerts"] = _GT + f"""
+SELECT make_timestamp(cycle_no * 300000000) AS "timestamp", 'a' || CAST(event_id AS VARCHAR) AS alert_id,
+       'Alert ' || CAST(event_id AS VARCHAR) AS header_text,
+       CASE WHEN event_id % 4 <> 0 THEN 'Delay on ' || event_type END AS description_text,
+       {_enum_case("CASE WHEN event_id % 12 <> 11 THEN event_id % 12 + 1 END", ALERT_CAUSE, 1)} AS cause,
+       {_enum_case("event_id % 9 + 1", ALERT_EFFECT, 8)} AS effect
+FROM gok WHERE event_id % 6 = 0"""
+
+ORACLE["norm_trip_updates"] = _GT + """
+SELECT make_timestamp(cycle_no * 300000000) AS "timestamp", 'u' || CAST(event_id AS VARCHAR) AS entity_id,
+       't' || CAST(event_id % 97 AS VARCHAR) AS trip_id, event_type AS route_id,
+       CAST(s.k AS BIGINT) AS stop_sequence, 's' || CAST(event_id % 50 + s.k - 1 AS VARCHAR) AS stop_id,
+       CASE WHEN s.k = 1 THEN CAST(floor(value) AS INTEGER) END AS arrival_delay,
+       CASE WHEN s.k = 2 THEN CAST(floor(value) AS INTEGER) + 60 END AS departure_delay
+FROM gok, (VALUES (1), (2)) s(k) WHERE event_id % 6 = 3"""

@@ -276,3 +276,100 @@ def land_orbits(spark: SparkSession, sf: str) -> DataFrame:
     return docs.withColumn("body", F.regexp_replace("body", r'^\{"now":[0-9]+,"elements":', "")).withColumn(
         "body", F.when(F.col("body").endswith("]}"), F.expr("substring(body, 1, length(body) - 1)"))
         .otherwise(F.col("body")))
+
+
+# --- GTFS-realtime payloads -------------------------------------------------------
+GTFS_LANDED = ("source string, endpoint string, cycle_ts timestamp, seq long, status int, body binary")
+# Fixed bytes appended to a cut payload: field 2 with a length far beyond the
+# end, so the damaged payload can never decode as a shorter valid feed.
+BROKEN_TAIL = b"\x12\xff\xff\xff\xff\x0f"
+
+
+def _encode_feed(pdf):
+    import pandas as pd
+    from movelake.sources.gtfs import message_classes
+    cls = message_classes()["FeedMessage"]
+    pdf = pdf.sort_values("event_id")
+    first = pdf.iloc[0]
+    cycle_no, page = int(first["cycle_no"]), int(first["page"])
+    h = cycle_no + page
+    feed = cls()
+    feed.header.gtfs_realtime_version = "2.0"
+    if h % 7 != 0:
+        feed.header.timestamp = cycle_no * CYCLE_S + CYCLE_S
+    for r in pdf.itertuples(index=False):
+        eid = int(r.event_id)
+        ent = feed.entity.add(id=f"e{eid}")
+        v = ent.vehicle
+        v.trip.trip_id = f"t{eid % 97}"
+        v.trip.route_id = r.event_type
+        v.vehicle.id = f"v{int(r.user_id)}"
+        v.position.latitude = float(r.latitude)
+        v.position.longitude = float(r.longitude)
+        v.position.bearing = float(eid % 360)
+        v.position.speed = float(r.value)
+        if eid % 5 == 1:
+            v.timestamp = 0
+        elif eid % 5 != 0:
+            v.timestamp = int(r.secs)
+        if eid % 8 == 0:
+            n = feed.entity.add(id=f"n{eid}")
+            n.vehicle.trip.trip_id = f"t{eid % 97}"
+        if eid % 6 == 0:
+            a = feed.entity.add(id=f"a{eid}").alert
+            if eid % 12 != 11:
+                a.cause = eid % 12 + 1
+            a.effect = eid % 9 + 1
+            a.header_text.translation.add(text=f"Alert {eid}", language="en")
+            if eid % 4 != 0:
+                a.description_text.translation.add(text=f"Delay on {r.event_type}")
+        if eid % 6 == 3:
+            tu = feed.entity.add(id=f"u{eid}").trip_update
+            tu.trip.trip_id = f"t{eid % 97}"
+            tu.trip.route_id = r.event_type
+            s1 = tu.stop_time_update.add(stop_sequence=1, stop_id=f"s{eid % 50}")
+            s1.arrival.delay = int(r.value // 1)
+            s2 = tu.stop_time_update.add(stop_sequence=2, stop_id=f"s{eid % 50 + 1}")
+            s2.departure.delay = int(r.value // 1) + 60
+    body = feed.SerializeToString()
+    status = 500 if h % STATUS_MOD == 0 else 200
+    if h % TRUNC_MOD == TRUNC_REM:
+        body = body[: len(body) // 2] + BROKEN_TAIL
+    return pd.DataFrame({"source": ["gtfs_rt"], "endpoint": ["vehicle_positions"],
+                         "cycle_ts": [pd.Timestamp(cycle_no * CYCLE_S, unit="s", tz="UTC")],
+                         "seq": [page], "status": [status], "body": [body]})
+
+
+def land_gtfs(spark: SparkSession, sf: str) -> DataFrame:
+    """GTFS-realtime payloads from the events table, one per (cycle, page)."""
+    e = standin._events(spark, sf)
+    eid = F.col("event_id")
+    rows = e.select(
+        eid, "user_id", "event_type", "value",
+        F.unix_seconds("timestamp").alias("secs"),
+        F.floor(F.unix_seconds("timestamp") / CYCLE_S).alias("cycle_no"),
+        F.floor(eid / PAGE).alias("page"),
+        standin._lat(eid).alias("latitude"), standin._lon(eid).alias("longitude"))
+    # Rows of one payload are contiguous after the hash repartition + sort;
+    # each Arrow batch is split into payloads in one Python call (a payload
+    # cut by a batch boundary is carried into the next batch).
+    parts = rows.repartition("cycle_no", "page").sortWithinPartitions("cycle_no", "page", "event_id")
+    return parts.mapInPandas(_encode_partition, GTFS_LANDED)
+
+
+def _encode_partition(batches):
+    import pandas as pd
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        key = pdf["cycle_no"].astype("int64") * 1_000_000_000 + pdf["page"].astype("int64")
+        last = key.iloc[-1]
+        done, carry = pdf[key != last], pdf[key == last]
+        if not done.empty:
+            yield pd.concat([_encode_feed(g) for _, g in done.groupby(key[key != last], sort=False)],
+                            ignore_index=True)
+    if carry is not None and not carry.empty:
+        yield _encode_feed(carry)
