@@ -772,3 +772,37 @@ def q_norm_trip_updates(spark, sf):
     t = gtfs.norm_trip_updates(landed.land_gtfs(spark, sf))
     return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "trip_id", "route_id", "stop_sequence",
                     "stop_id", "arrival_delay", "departure_delay")
+
+
+# --- SRC-14 / DED-3: archive catalogue ------------------------------------------
+from movelake.sources import archives  # noqa: E402
+
+
+@register("archive_catalogue")
+def q_archive_catalogue(spark, sf):
+    """Two fetch rounds of per-(feed, day) archives derived from events;
+    days whose day-of-month is a multiple of 3 are fetched again later and
+    must win."""
+    e = standin._events(spark, sf).select(
+        F.col("event_type").alias("feed"), F.date_format("timestamp", "yyyyMMdd").alias("day"),
+        F.col("event_id").cast("string").alias("value"), "timestamp")
+    base = scratch_path(spark, "archives")
+    e.drop("timestamp").write.partitionBy("feed", "day").option("compression", "gzip").text(f"{base}/fetch=1")
+    again = e.where(F.dayofmonth("timestamp") % 3 == 0).drop("timestamp")
+    again.write.partitionBy("feed", "day").option("compression", "gzip").text(f"{base}/fetch=2")
+    pattern = r"fetch=([0-9]+)/feed=([^/]+)/day=([0-9]{8})/"
+    cat = archives.archive_catalogue(spark, base, pattern=r"feed=([^/]+)/day=([0-9]{8})/", glob="*.gz")
+    return cat.select("feed", "day", F.regexp_extract("path", pattern, 1).cast("int").alias("fetch"))
+
+
+# --- FLT-11: aircraft-type selection ---------------------------------------------
+from movelake.sources.dims import AIRCRAFT_TYPES  # noqa: E402
+
+AIRBUS_TYPES = [t for t in AIRCRAFT_TYPES if t.startswith("A")]
+
+
+@register("filter_type_list")
+def q_filter_type_list(spark, sf):
+    r = aircraft.adsb_records(landed.land_adsb(spark, sf, "adsb_types"), "adsbone")
+    return flt.filter_sources(r, AIRBUS_TYPES, col="endpoint").select(
+        "endpoint", "icao24", ntz("timestamp").alias("timestamp"), "velocity")

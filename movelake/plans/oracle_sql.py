@@ -632,3 +632,16 @@ SELECT make_timestamp(cycle_no * 300000000) AS "timestamp", 'u' || CAST(event_id
        CASE WHEN s.k = 1 THEN CAST(floor(value) AS INTEGER) END AS arrival_delay,
        CASE WHEN s.k = 2 THEN CAST(floor(value) AS INTEGER) + 60 END AS departure_delay
 FROM gok, (VALUES (1), (2)) s(k) WHERE event_id % 6 = 3"""
+
+
+ORACLE["archive_catalogue"] = ctes("ev") + """
+SELECT feed, "day", CASE WHEN max(dom) % 3 = 0 THEN 2 ELSE 1 END AS fetch FROM (
+  SELECT event_type AS feed, CAST("timestamp" AS DATE) AS "day", dayofmonth("timestamp") AS dom FROM ev)
+GROUP BY 1, 2"""
+
+_AIRBUS = [i for i, t in enumerate(AIRCRAFT_TYPES) if t.startswith("A")]
+ORACLE["filter_type_list"] = ctes("flights_x", extra=[_AX, _acopies(len(AIRCRAFT_TYPES), True)]) + f"""
+SELECT e.endpoint, CASE WHEN event_id % 23 <> 0 THEN icao24 END AS icao24,
+       make_timestamp(cycle_no * 300000000) AS "timestamp", velocity + k AS velocity
+FROM acp JOIN {_endpoint_names(AIRCRAFT_TYPES)} e USING (endpoint_idx)
+WHERE {_OK} AND endpoint_idx IN ({", ".join(map(str, _AIRBUS))})"""
