@@ -19,6 +19,10 @@ from movelake.operators.layout import with_chunk
 from movelake.schemas import TABLES
 
 GEOM_TABLES = {"flights", "ships", "vehicle_positions"}
+# LAY-6: vehicle files are clustered by 1-degree cell inside each chunk, so
+# Parquet min/max statistics on latitude/longitude let bounding-box filters
+# skip row groups (the role of the spatial index).
+CELL_CLUSTERED = {"vehicle_positions"}
 BOOL_DEFAULT_FALSE = {"departures": ["cancelled", "platform_changed"]}
 
 
@@ -55,7 +59,11 @@ def append(df: DataFrame, path: str, table: str, as_of=None, metrics_path: str |
     # Range-partition on (chunk, timestamp): each task writes a contiguous
     # run of chunks (few files per chunk), and one very large chunk is split
     # across tasks by time instead of landing in a single task.
-    rows = rows.repartitionByRange("chunk", "timestamp").sortWithinPartitions("chunk", "timestamp")
+    rows = rows.repartitionByRange("chunk", "timestamp")
+    if table in CELL_CLUSTERED:
+        rows = rows.sortWithinPartitions("chunk", F.floor("latitude"), F.floor("longitude"), "timestamp")
+    else:
+        rows = rows.sortWithinPartitions("chunk", "timestamp")
     # Observe after the exchange so the range sampler's job is not counted.
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     (rows.write.mode("append").partitionBy("chunk")

@@ -806,3 +806,11 @@ def q_filter_type_list(spark, sf):
     r = aircraft.adsb_records(landed.land_adsb(spark, sf, "adsb_types"), "adsbone")
     return flt.filter_sources(r, AIRBUS_TYPES, col="endpoint").select(
         "endpoint", "icao24", ntz("timestamp").alias("timestamp"), "velocity")
+
+
+# --- LAY-6 / FLT-9: bounding-box lookup on the cell-clustered vehicle table ----
+@register("vehicles_in_bbox")
+def q_vehicles_in_bbox(spark, sf):
+    r = _write_read(spark, standin.vehicle_positions(spark, sf), "vehicle_positions")
+    v = flt.filter_bbox(r, BOXES)
+    return v.select("vehicle_id", ntz("timestamp").alias("timestamp"), "latitude", "longitude", "chunk")

@@ -645,3 +645,9 @@ SELECT e.endpoint, CASE WHEN event_id % 23 <> 0 THEN icao24 END AS icao24,
        make_timestamp(cycle_no * 300000000) AS "timestamp", velocity + k AS velocity
 FROM acp JOIN {_endpoint_names(AIRCRAFT_TYPES)} e USING (endpoint_idx)
 WHERE {_OK} AND endpoint_idx IN ({", ".join(map(str, _AIRBUS))})"""
+
+
+ORACLE["vehicles_in_bbox"] = ctes("vehicle_positions") + """
+SELECT vehicle_id, "timestamp", latitude, longitude, CAST("timestamp" AS DATE) AS chunk FROM vehicle_positions
+WHERE (latitude BETWEEN 35.0 AND 60.0 AND longitude BETWEEN -10.0 AND 30.0)
+   OR (latitude BETWEEN -40.0 AND -10.0 AND longitude BETWEEN 100.0 AND 155.0)"""
