@@ -87,3 +87,68 @@ def compact(df: DataFrame, table: str, partitions_per_chunk: int = 1) -> DataFra
     else:
         d = d.repartition(*keys)
     return d.sortWithinPartitions(*keys, F.col("timestamp").desc())
+
+
+# --- maintenance jobs on a stored table ------------------------------------------
+
+def _fs(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_chunks(spark, path: str) -> list[str]:
+    """Chunk partition values present under ``path`` (one directory listing;
+    the number of chunks is the number of days, not of rows)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("chunk="):
+            out.append(name[len("chunk="):])
+    return sorted(out)
+
+
+def drop_chunks(spark, path: str, table: str, as_of, days: int | None) -> list[str]:
+    """LAY-4 retention: delete every chunk directory whose chunk ends at or
+    before ``as_of - days``. Chunk-granular like hypertable retention;
+    unset ``days`` keeps everything. ``as_of`` is a date/datetime/ISO text."""
+    import datetime as dt
+    if days is None:
+        return []
+    a = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    cutoff = a.replace(tzinfo=None) - dt.timedelta(days=days)
+    width = CHUNK_DAYS[table]
+    fs, base = _fs(spark, path)
+    dropped = []
+    for c in list_chunks(spark, path):
+        end = dt.datetime.fromisoformat(c) + dt.timedelta(days=width)
+        if end <= cutoff:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base, f"chunk={c}"), True)
+            dropped.append(c)
+    return dropped
+
+
+def compact_chunks(spark, path: str, table: str, as_of, partitions_per_chunk: int = 1) -> list[str]:
+    """LAY-2 + LAY-3: rewrite the chunks due for compaction (ended at least
+    the table's compaction age before ``as_of``) clustered by segment and
+    sorted newest first. Lineage is cut with a reliable checkpoint in the
+    shared folder so the same partitions can be overwritten in place (dynamic
+    partition overwrite touches only the rewritten chunks)."""
+    import datetime as dt
+    from movelake.operators.sinks import read_table
+    from movelake.session import shared_dir
+    a = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    cutoff = a.replace(tzinfo=None) - dt.timedelta(days=COMPACT_AFTER_DAYS[table])
+    due = [c for c in list_chunks(spark, path)
+           if dt.datetime.fromisoformat(c) + dt.timedelta(days=CHUNK_DAYS[table]) <= cutoff]
+    if not due:
+        return []
+    shared_dir(spark)  # make sure the checkpoint folder is set
+    rows = read_table(spark, path, table).where(F.col("chunk").isin(due)).drop("chunk")
+    c = compact(rows, table, partitions_per_chunk).checkpoint(eager=True)
+    (c.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+      .option("compression", "zstd").partitionBy("chunk").parquet(path))
+    return due
