@@ -87,8 +87,7 @@ def q_count_filtered(spark, sf):
 @register("freshness")
 def q_freshness(spark, sf):
     t = _t(spark, sf, *FIVE)
-    return agg.freshness(t, as_of=_as_of(*t.values()), stale_after="10 minutes",
-                         group_col={"flights": "source"})
+    return agg.freshness(t, stale_after="10 minutes", group_col={"flights": "source"})
 
 
 # --- AGG-7 / AGG-8 -----------------------------------------------------------
