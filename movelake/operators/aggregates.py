@@ -21,11 +21,26 @@ APPROX_ACCURACY = 100000
 
 
 def _pct(x: Column, ps, approx: bool) -> Column:
+    """In-aggregate percentiles (used by streaming windows and the approx
+    path). Batch queries use ``percentiles_of`` below."""
     if approx:
         return F.percentile_approx(x, ps, APPROX_ACCURACY)
     return F.percentile(x, F.array(*[F.lit(p) for p in ps]))
 
 
+def percentiles_of(df: DataFrame, groups, x: Column, ps, approx: bool = False) -> DataFrame:
+    """Per group: ``p0..p{k-1}`` and ``n``. Exact by default through the
+    distributed operator (no task holds a whole group); ``approx=True``
+    uses one-pass ``percentile_approx``."""
+    from movelake.operators.quantiles import exact_percentiles
+    d = df.select(*groups, x.alias("_x"))
+    if approx:
+        q = F.percentile_approx("_x", ps, APPROX_ACCURACY)
+        agg = d.groupBy(*groups).agg(q.alias("_q"), F.count("_x").alias("n"))
+        return agg.select(*groups, *[F.col("_q")[i].alias(f"p{i}") for i in range(len(ps))], "n")
+    return exact_percentiles(d, groups, "_x", ps)
+
+
 def union_all(dfs) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
@@ -33,22 +48,21 @@ def union_all(dfs) -> DataFrame:
 def latency_percentiles(tables: dict, as_of=None, window: str | None = "5 minutes",
                         approx: bool = False, digits: int = 6) -> DataFrame:
     """p50/p95/p99 of ingest latency (ms) and sample count, one row per
-    table, even when a table has no rows in the window (UNION ALL of global
-    aggregates, as the reference query does)."""
-    rows = []
+    table, also for a table with no rows in the window (NULL percentiles,
+    0 samples), as the reference's UNION ALL of global aggregates gives.
+    All tables go through one percentile computation grouped by table."""
+    parts = []
     for name, df in tables.items():
         d = df.select("timestamp", "ingested_at")
         if window is not None:
             d = filter_trailing(d, as_of, window)
-        p = _pct(latency_ms("ingested_at", "timestamp"), PCTS, approx)
-        agg = d.agg(p.alias("p"), F.count(F.lit(1)).alias("samples"))
-        rows.append(agg.select(
-            F.lit(name).alias("table"),
-            F.round(F.col("p")[0], digits).alias("p50_ms"),
-            F.round(F.col("p")[1], digits).alias("p95_ms"),
-            F.round(F.col("p")[2], digits).alias("p99_ms"),
-            F.col("samples")))
-    return union_all(rows)
+        parts.append(d.select(F.lit(name).alias("table"), latency_ms("ingested_at", "timestamp").alias("v")))
+    q = percentiles_of(union_all(parts), ["table"], F.col("v"), PCTS, approx)
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame([(n,) for n in tables], "table string")  # table list (configuration)
+    return (names.join(q, "table", "left").select(
+        "table", F.round("p0", digits).alias("p50_ms"), F.round("p1", digits).alias("p95_ms"),
+        F.round("p2", digits).alias("p99_ms"), F.coalesce("n", F.lit(0)).cast("long").alias("samples")))
 
 
 def latency_p99_by_minute(df: DataFrame, start=None, end=None, approx: bool = False,
@@ -57,27 +71,25 @@ def latency_p99_by_minute(df: DataFrame, start=None, end=None, approx: bool = Fa
     d = df.select("timestamp", "ingested_at")
     if start is not None or end is not None:
         d = filter_time_range(d, start, end)
-    p = _pct(latency_ms("ingested_at", "timestamp"), [0.99], approx)
-    return (d.groupBy(F.date_trunc("minute", F.col("ingested_at")).alias("minute"))
-             .agg(p.alias("p"))
-             .select(ntz("minute").alias("time"), F.round(F.col("p")[0], digits).alias(col_name))
-             .orderBy("time"))
+    d = d.select(F.date_trunc("minute", F.col("ingested_at")).alias("minute"),
+                 latency_ms("ingested_at", "timestamp").alias("v"))
+    q = percentiles_of(d, ["minute"], F.col("v"), [0.99], approx)
+    return q.select(ntz("minute").alias("time"), F.round("p0", digits).alias(col_name)).orderBy("time")
 
 
 def latency_alarm(df: DataFrame, as_of, window: str = "60 seconds", threshold_s: float = 2.0,
                   approx: bool = False, digits: int = 6) -> DataFrame:
     """p99 latency in seconds over the trailing window, and the alarm flag."""
     d = filter_trailing(df.select("timestamp", "ingested_at"), as_of, window)
-    p = _pct(latency_seconds("ingested_at", "timestamp"), [0.99], approx)
-    return (d.agg(p.alias("p"))
-             .select(F.round(F.col("p")[0], digits).alias("p99_seconds"))
+    q = percentiles_of(d, [], latency_seconds("ingested_at", "timestamp"), [0.99], approx)
+    return (q.select(F.round("p0", digits).alias("p99_seconds"))
              .withColumn("alarm", F.col("p99_seconds") > F.lit(threshold_s)))
 
 
 def latency_p99_or_zero(df: DataFrame, approx: bool = False, digits: int = 6) -> DataFrame:
-    p = _pct(latency_ms("ingested_at", "timestamp"), [0.99], approx)
-    return (df.select("timestamp", "ingested_at").agg(p.alias("p"))
-              .select(F.round(F.coalesce(F.col("p")[0], F.lit(0.0)), digits).alias("p99_ms")))
+    q = percentiles_of(df.select("timestamp", "ingested_at"), [],
+                       latency_ms("ingested_at", "timestamp"), [0.99], approx)
+    return q.select(F.round(F.coalesce("p0", F.lit(0.0)), digits).alias("p99_ms"))
 
 
 def row_counts(tables: dict) -> DataFrame:
@@ -150,14 +162,15 @@ def delay_trend(dep: DataFrame, as_of=None, days: int | None = 90, approx: bool
     d = dep.select("planned_time", "delay_seconds", "cancelled")
     if days is not None:
         d = d.where(F.col("planned_time") > as_column(as_of) - interval(f"{days} days"))
-    p = _pct(F.col("delay_seconds").cast("double"), [0.5, 0.95], approx)
-    return (d.groupBy(F.to_date("planned_time").alias("day"))
-             .agg(F.count(F.lit(1)).alias("departures"),
-                  F.avg("delay_seconds").alias("avg"), p.alias("p"),
-                  F.count_if(F.col("cancelled")).alias("cancelled"))
-             .select("day", "departures", F.round("avg", digits).alias("avg_delay_s"),
-                     F.round(F.col("p")[0], digits).alias("p50_delay_s"),
-                     F.round(F.col("p")[1], digits).alias("p95_delay_s"), "cancelled"))
+    d = d.withColumn("day", F.to_date("planned_time"))
+    base = d.groupBy("day").agg(F.count(F.lit(1)).alias("departures"),
+                                F.avg("delay_seconds").alias("avg"),
+                                F.count_if(F.col("cancelled")).alias("cancelled"))
+    q = percentiles_of(d, ["day"], F.col("delay_seconds").cast("double"), [0.5, 0.95], approx)
+    return (base.join(q, "day", "left")
+                .select("day", "departures", F.round("avg", digits).alias("avg_delay_s"),
+                        F.round("p0", digits).alias("p50_delay_s"),
+                        F.round("p1", digits).alias("p95_delay_s"), "cancelled"))
 
 
 def ship_density(ships: DataFrame, cell_deg: float = 1.0, boxes=None, as_of=None,
