@@ -385,9 +385,11 @@ FROM ship_pings WHERE seq % 11 <> 0 AND seq % 13 <> 0"""
 _BOARD = """b AS (
   SELECT d.*, CAST(regexp_extract(station_id, '^be:(.*)$', 1) AS INTEGER) AS endpoint_idx,
          regexp_extract(station_id, '^be:(.*)$', 1) AS endpoint,
-         epoch_us("timestamp") // 86400000000 AS cycle_no
+         epoch_us("timestamp") // 86400000000 AS cycle_no,
+         CAST(regexp_extract(trip_id, '^([0-9]+)-', 1) AS BIGINT) // 256 AS page
   FROM departures d),
-bo AS (SELECT * FROM b WHERE (cycle_no + endpoint_idx) % 23 <> 0 AND (cycle_no + endpoint_idx) % 29 <> 7)"""
+bo AS (SELECT * FROM b WHERE (cycle_no + endpoint_idx + page) % 23 <> 0
+                         AND (cycle_no + endpoint_idx + page) % 29 <> 7)"""
 
 ORACLE["norm_departures_ch"] = ctes("departures", extra=[_BOARD]) + """
 SELECT "timestamp", 'sbb:' || endpoint AS station_id, station_name, CAST(NULL AS VARCHAR) AS trip_id,

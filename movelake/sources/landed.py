@@ -169,7 +169,9 @@ def _boards(spark: SparkSession, sf: str) -> DataFrame:
     return (d.withColumn("endpoint", F.regexp_extract("station_id", r"^be:(.*)$", 1))
              .withColumn("endpoint_idx", F.col("endpoint").cast("int"))
              .withColumn("cycle_no", F.floor(F.unix_seconds("timestamp") / 86400))
-             .withColumn("page", F.lit(0).cast("long"))
+             # a board page holds the departures of at most 256 orders, so a
+             # busy station-day is split over several documents
+             .withColumn("page", F.floor(F.regexp_extract("trip_id", r"^([0-9]+)-", 1).cast("long") / 256))
              .withColumn("cycle_ts", F.col("timestamp")))
 
 
