@@ -38,3 +38,45 @@ def test_first_wins_multi_column_order(spark):
     df = spark.createDataFrame([("k", 2, 0, "b"), ("k", 1, 5, "a"), ("k", 1, 3, "c")],
                                "key string, seq int, pos int, v string")
     assert first_wins(df, ["key"], ["seq", "pos"]).first().v == "c"
+
+
+# --- normalise(encode(record)) follows the feed rules -----------------------------
+import json  # noqa: E402
+
+from movelake.schemas import LANDED  # noqa: E402
+from movelake.sources import aircraft  # noqa: E402
+
+alt_baro = st.one_of(st.none(), st.just("ground"), st.sampled_from(["35000", "other"]),
+                     st.integers(-1000, 45000), st.floats(-1000, 45000, allow_nan=False))
+record = st.fixed_dictionaries({
+    "hex": st.one_of(st.none(), st.text("0123456789abcdef", min_size=6, max_size=6)),
+    "flight": st.one_of(st.none(), st.sampled_from(["DLH12  ", " \tAB1\n", "   ", "X"])),
+    "lat": st.one_of(st.none(), st.floats(-90, 90, allow_nan=False)),
+    "lon": st.one_of(st.none(), st.floats(-180, 180, allow_nan=False)),
+    "alt_baro": alt_baro,
+    "alt_geom": st.one_of(st.none(), st.floats(0, 40000, allow_nan=False)),
+    "gs": st.one_of(st.none(), st.floats(0, 600, allow_nan=False)),
+})
+
+
+def _expected(r):
+    ab = r["alt_baro"]
+    is_num = isinstance(ab, (int, float)) and not isinstance(ab, bool)
+    alt = float(ab) if is_num else (float(r["alt_geom"]) if r["alt_geom"] is not None else None)
+    ground = (ab == "ground") if isinstance(ab, str) else None
+    cs = r["flight"].strip(" \t\n\r\x0b\x0c") if r["flight"] is not None else None
+    return (r["hex"], cs, r["lat"], r["lon"], alt, ground, r["gs"])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(record, min_size=1, max_size=8))
+def test_adsb_snapshot_roundtrip(spark, recs):
+    import datetime as dt
+    body = json.dumps({"aircraft": [{k: v for k, v in r.items() if v is not None} for r in recs]})
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    landed = spark.createDataFrame([("snap", "global", cyc, 0, 200, body)], LANDED)
+    got = sorted((tuple(x) for x in aircraft.norm_adsb_snapshot(landed).select(
+        "icao24", "callsign", "latitude", "longitude", "baro_altitude", "on_ground", "velocity").collect()),
+        key=repr)
+    want = sorted((_expected(r) for r in recs if r["lat"] is not None and r["lon"] is not None), key=repr)
+    assert got == want
