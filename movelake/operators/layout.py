@@ -74,19 +74,18 @@ def retention_summary(tables: dict, as_of: dict, days: dict) -> DataFrame:
     return union_all(out)
 
 
-def compact(df: DataFrame, table: str, partitions_per_chunk: int = 1) -> DataFrame:
-    """LAY-2: one chunk's rows clustered by segment and sorted newest first,
-    ready to be written with zstd. Repartition on (chunk[, segment]) keeps
-    a segment's rows in one file; a salted segment spreads a hot one."""
+def compact(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
+    """LAY-2: rows clustered by (chunk, segment) and sorted newest first,
+    ready to be written with zstd. Range partitioning on (chunk, segment,
+    timestamp) keeps each segment's rows together in file order while a hot
+    segment (one source with a third of a day's rows) is split across
+    several tasks by time instead of landing in one."""
     seg = SEGMENT_BY.get(table)
     d = with_chunk(df, table)
     keys = ["chunk"] + ([seg] if seg else [])
-    if partitions_per_chunk > 1:
-        d = d.withColumn("_salt", F.pmod(F.xxhash64(*d.columns), F.lit(partitions_per_chunk)))
-        d = d.repartition(*keys, "_salt").drop("_salt")
-    else:
-        d = d.repartition(*keys)
-    return d.sortWithinPartitions(*keys, F.col("timestamp").desc())
+    order = [*keys, F.col("timestamp").desc()]
+    d = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
+    return d.sortWithinPartitions(*order)
 
 
 # --- maintenance jobs on a stored table ------------------------------------------
@@ -131,7 +130,7 @@ def drop_chunks(spark, path: str, table: str, as_of, days: int | None) -> list[s
     return dropped
 
 
-def compact_chunks(spark, path: str, table: str, as_of, partitions_per_chunk: int = 1) -> list[str]:
+def compact_chunks(spark, path: str, table: str, as_of, partitions: int | None = None) -> list[str]:
     """LAY-2 + LAY-3: rewrite the chunks due for compaction (ended at least
     the table's compaction age before ``as_of``) clustered by segment and
     sorted newest first. Lineage is cut with a reliable checkpoint in the
@@ -148,7 +147,7 @@ def compact_chunks(spark, path: str, table: str, as_of, partitions_per_chunk: in
         return []
     shared_dir(spark)  # make sure the checkpoint folder is set
     rows = read_table(spark, path, table).where(F.col("chunk").isin(due)).drop("chunk")
-    c = compact(rows, table, partitions_per_chunk).checkpoint(eager=True)
+    c = compact(rows, table, partitions).checkpoint(eager=True)
     (c.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .option("compression", "zstd").partitionBy("chunk").parquet(path))
     return due
