@@ -25,6 +25,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def value_counts(df: DataFrame, group_cols, value_col: str, partitions: int | None = None) -> DataFrame:
+    """Rows per distinct (group, value) as ``_c``, range-partitioned on
+    (group, value) and tagged with the partition id ``_pid``: a hot group's
+    values spread over many partitions."""
+    g, x = list(group_cols), value_col
+    vc = df.where(F.col(x).isNotNull()).groupBy(*g, x).agg(F.count(F.lit(1)).alias("_c"))
+    vc = vc.repartitionByRange(partitions, *g, x) if partitions else vc.repartitionByRange(*g, x)
+    return vc.withColumn("_pid", F.spark_partition_id())
+
+
 def exact_percentiles(df: DataFrame, group_cols, value_col: str, ps, partitions: int | None = None,
                       prefix: str = "p") -> DataFrame:
     """One row per group: ``<prefix>0 .. <prefix>{k-1}`` = percentile_cont of
@@ -37,9 +47,7 @@ def exact_percentiles(df: DataFrame, group_cols, value_col: str, ps, partitions:
         return out.agg(*[F.max(f"{prefix}{i}").alias(f"{prefix}{i}") for i in range(len(ps))],
                        F.coalesce(F.max("n"), F.lit(0)).alias("n"))
     x = value_col
-    vc = (df.where(F.col(x).isNotNull()).groupBy(*g, x).agg(F.count(F.lit(1)).alias("_c")))
-    vc = vc.repartitionByRange(partitions, *g, x) if partitions else vc.repartitionByRange(*g, x)
-    vc = vc.withColumn("_pid", F.spark_partition_id())
+    vc = value_counts(df, g, x, partitions)
 
     # rank offset of each (partition, group) inside its group
     tot = vc.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
