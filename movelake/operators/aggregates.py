@@ -46,16 +46,18 @@ def union_all(dfs) -> DataFrame:
 
 
 def latency_percentiles(tables: dict, as_of=None, window: str | None = "5 minutes",
-                        approx: bool = False, digits: int = 6) -> DataFrame:
+                        approx: bool = False, digits: int = 6, chunk_col: str | None = None
+                        ) -> DataFrame:
     """p50/p95/p99 of ingest latency (ms) and sample count, one row per
     table, also for a table with no rows in the window (NULL percentiles,
     0 samples), as the reference's UNION ALL of global aggregates gives.
     All tables go through one percentile computation grouped by table."""
     parts = []
     for name, df in tables.items():
-        d = df.select("timestamp", "ingested_at")
+        d = df.select("timestamp", "ingested_at", *([chunk_col] if chunk_col else []))
         if window is not None:
-            d = filter_trailing(d, as_of, window)
+            # on a chunked table the chunk predicate prunes whole directories
+            d = filter_trailing(d, as_of, window, chunk_col=chunk_col)
         parts.append(d.select(F.lit(name).alias("table"), latency_ms("ingested_at", "timestamp").alias("v")))
     q = percentiles_of(union_all(parts), ["table"], F.col("v"), PCTS, approx)
     spark = next(iter(tables.values())).sparkSession

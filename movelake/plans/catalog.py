@@ -813,3 +813,10 @@ def q_vehicles_in_bbox(spark, sf):
     r = _write_read(spark, standin.vehicle_positions(spark, sf), "vehicle_positions")
     v = flt.filter_bbox(r, BOXES)
     return v.select("vehicle_id", ntz("timestamp").alias("timestamp"), "latitude", "longitude", "chunk")
+
+
+# --- AGG-1 on stored tables: trailing window with chunk (partition) pruning ----
+@register("latency_percentiles_stored")
+def q_latency_percentiles_stored(spark, sf):
+    t = {n: _write_read(spark, standin.table(spark, sf, n), n) for n in ("flights", "ships")}
+    return agg.latency_percentiles(t, as_of=_as_of(*t.values()), window="5 minutes", chunk_col="chunk")

@@ -653,3 +653,6 @@ ORACLE["vehicles_in_bbox"] = ctes("vehicle_positions") + """
 SELECT vehicle_id, "timestamp", latitude, longitude, CAST("timestamp" AS DATE) AS chunk FROM vehicle_positions
 WHERE (latitude BETWEEN 35.0 AND 60.0 AND longitude BETWEEN -10.0 AND 30.0)
    OR (latitude BETWEEN -40.0 AND -10.0 AND longitude BETWEEN 100.0 AND 155.0)"""
+
+
+ORACLE["latency_percentiles_stored"] = ORACLE["latency_percentiles"]
