@@ -9,8 +9,6 @@ matches. No cross join, no all-pairs.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from movelake.functions.geo import haversine_km
@@ -74,6 +72,3 @@ def attach_station_names(df: DataFrame, stations: DataFrame, key: str = "station
     configuration (tens of rows), so it is broadcast."""
     return df.join(F.broadcast(stations), key, "left")
 
-
-def degrees_for_km(km: float, at_lat: float) -> float:
-    return km / (KM_PER_DEG_LAT * max(math.cos(math.radians(at_lat)), 1e-6))

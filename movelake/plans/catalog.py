@@ -654,17 +654,13 @@ from movelake.streaming import streams  # noqa: E402
 
 
 def _land_files(df, name, n_files, order_expr, fmt="json"):
-    path = scratch_path(spark_of(df), name)
+    path = scratch_path(df.sparkSession, name)
     w = (df.repartitionByRange(n_files, order_expr).write.mode("overwrite")
            .option("timestampFormat", streams.TS_FORMAT))
     getattr(w, fmt)(path)
     return path
 
 
-def spark_of(df):
-    return df.sparkSession
-
-
 def _ship_landing(spark, sf):
     frames = landed.land_ship_frames(spark, sf)
     # copies of one ping (seq = 3 * event + k) always land in the same file

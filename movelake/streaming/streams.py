@@ -25,7 +25,7 @@ from movelake.schemas import LANDED
 from movelake.sources.ships import norm_ship_messages
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # landed JSON keeps microseconds
-FLUSH_ROWS = 500          # reference flushes at 500 rows ...
+FLUSH_ROWS = 500          # a batch is flushed at 500 rows ...
 FLUSH_INTERVAL = "3 seconds"  # ... or after 3 s, whichever first
 
 

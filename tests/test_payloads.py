@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from movelake.schemas import LANDED
 from movelake.sources import aircraft, orbits, payloads, rail, ships
