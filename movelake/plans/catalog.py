@@ -816,3 +816,16 @@ def q_vehicles_in_bbox(spark, sf):
 def q_latency_percentiles_stored(spark, sf):
     t = {n: _write_read(spark, standin.table(spark, sf, n), n) for n in ("flights", "ships")}
     return agg.latency_percentiles(t, as_of=_as_of(*t.values()), window="5 minutes", chunk_col="chunk")
+
+
+# --- one-shot ingest job: landed -> table, dead letter, metrics ----------------
+from movelake import jobs  # noqa: E402
+
+
+@register("ingest_job")
+def q_ingest_job(spark, sf):
+    table = scratch_path(spark, "flights")
+    jobs.ingest(spark, "adsb_endpoints", landed.land_adsb(spark, sf, "adsb_endpoints"), table,
+                dead_letter_path=scratch_path(spark, "dead_letter"),
+                metrics_path=scratch_path(spark, "ingest_metrics"))
+    return _flights_out(sinks.read_table(spark, table, "flights"))

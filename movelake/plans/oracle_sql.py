@@ -656,3 +656,5 @@ WHERE (latitude BETWEEN 35.0 AND 60.0 AND longitude BETWEEN -10.0 AND 30.0)
 
 
 ORACLE["latency_percentiles_stored"] = ORACLE["latency_percentiles"]
+
+ORACLE["ingest_job"] = ORACLE["norm_adsb_endpoints"]
