@@ -3,8 +3,9 @@
 The Spark counterpart of fetching a source once: read the landed batch
 (persisted so it is read once), normalise it, append the rows (chunk
 layout, rows-written metric), and route rejected documents to the dead
-letter. Runs as ``spark-submit movelake/jobs.py --feed ... --landed ...
---table ...`` or from Python via :func:`ingest`.
+letter. Runs as ``python -m movelake.jobs --feed ... --landed ... --table ...``
+(``spark-submit --py-files movelake.zip movelake/jobs.py ...`` on a cluster)
+or from Python via :func:`ingest`.
 """
 
 from __future__ import annotations
