@@ -234,3 +234,19 @@ def fleet_totals(tables: dict, source_col: dict, key_col: dict,
 
 def counts_by_endpoint(df: DataFrame, keys=("source", "endpoint")) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def fleet_rollup(tables: dict, source_col: dict, key_col: dict) -> DataFrame:
+    """AGG-13 with subtotals: rows and distinct movers per (table, source),
+    per table, and overall (ROLLUP). Movers are counted as (table, id), so
+    ids of different tables never collide in the totals."""
+    parts = []
+    for n, df in tables.items():
+        s = source_col.get(n)
+        parts.append(df.select(F.lit(n).alias("table"),
+                               (F.col(s) if s else F.lit(None).cast("string")).alias("source"),
+                               F.concat_ws(":", F.lit(n), F.col(key_col[n]).cast("string")).alias("mover")))
+    u = union_all(parts)
+    return (u.rollup("table", "source")
+             .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("mover").alias("movers"),
+                  F.grouping_id().alias("level")))

@@ -829,3 +829,13 @@ def q_ingest_job(spark, sf):
                 dead_letter_path=scratch_path(spark, "dead_letter"),
                 metrics_path=scratch_path(spark, "ingest_metrics"))
     return _flights_out(sinks.read_table(spark, table, "flights"))
+
+
+# --- AGG-13 with ROLLUP subtotals -------------------------------------------------
+@register("fleet_rollup")
+def q_fleet_rollup(spark, sf):
+    r = agg.fleet_rollup(
+        _t(spark, sf, *GEO3),
+        source_col={"flights": "source", "ships": "message_type", "vehicle_positions": "route_id"},
+        key_col={"flights": "icao24", "ships": "mmsi", "vehicle_positions": "vehicle_id"})
+    return r.withColumn("level", F.col("level").cast("long"))

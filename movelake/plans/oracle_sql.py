@@ -658,3 +658,12 @@ WHERE (latitude BETWEEN 35.0 AND 60.0 AND longitude BETWEEN -10.0 AND 30.0)
 ORACLE["latency_percentiles_stored"] = ORACLE["latency_percentiles"]
 
 ORACLE["ingest_job"] = ORACLE["norm_adsb_endpoints"]
+
+
+ORACLE["fleet_rollup"] = ctes(*GEO3) + """
+SELECT "table", source, count(*) AS "rows", count(DISTINCT mover) AS movers,
+       CAST(grouping("table", source) AS BIGINT) AS level
+FROM (SELECT 'flights' AS "table", source, 'flights:' || icao24 AS mover FROM flights
+      UNION ALL SELECT 'ships', message_type, 'ships:' || mmsi FROM ships
+      UNION ALL SELECT 'vehicle_positions', route_id, 'vehicle_positions:' || vehicle_id FROM vehicle_positions)
+GROUP BY ROLLUP ("table", source)"""
