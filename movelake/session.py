@@ -59,7 +59,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="movelake-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: tables, dead letters and "
+                               "stream checkpoints must outlive any one machine")
+        d = tempfile.mkdtemp(prefix="movelake-ckpt-")  # local runs only (tests)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core conf may be read-only at runtime; the context dir below suffices
