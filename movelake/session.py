@@ -89,3 +89,34 @@ def local_fs_path(path: str) -> str:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``movelake`` importable in Python workers (what ``--py-files``
+    does on a cluster): zip the package once per application and add it
+    with ``addPyFile``. Called before any Python step (mapInPandas)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import movelake
+    pkg = os.path.dirname(os.path.abspath(movelake.__file__))
+    base = shared_dir(spark)
+    target_dir = (local_fs_path(base) if is_local_path(base) else tempfile.mkdtemp(prefix="movelake-pkg-"))
+    os.makedirs(f"{target_dir}/movelake-pkg", exist_ok=True)
+    zpath = f"{target_dir}/movelake-pkg/movelake-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from movelake.functions import rules as R
+from movelake.session import ship_package
 from movelake.sources.dims import ALERT_CAUSE, ALERT_EFFECT
 
 _CLASSES = None
@@ -137,6 +138,7 @@ def _decode_entities(batches):
 def entities(landed_bin: DataFrame) -> DataFrame:
     """landed(source, endpoint, cycle_ts, seq, status, body binary), 2xx
     only -> entity rows."""
+    ship_package(landed_bin.sparkSession)
     ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "seq", "body")
     return ok.mapInPandas(_decode_entities, ENTITY_SCHEMA)
 
@@ -205,6 +207,7 @@ def norm_service_alerts(landed_bin: DataFrame) -> DataFrame:
     """EXT-1 (our rule; the reference never writes alerts): id, first
     translation of header and description, cause/effect enum names (proto2
     defaults UNKNOWN_CAUSE / UNKNOWN_EFFECT when absent)."""
+    ship_package(landed_bin.sparkSession)
     ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "body")
     a = ok.mapInPandas(_decode_alerts, ALERT_SCHEMA)
     return a.select(F.col("cycle_ts").alias("timestamp"), "alert_id", "header_text", "description_text",
@@ -246,5 +249,6 @@ def _decode_trip_updates(batches):
 
 def norm_trip_updates(landed_bin: DataFrame) -> DataFrame:
     """EXT-2: one row per stop-time update (no target table in the reference)."""
+    ship_package(landed_bin.sparkSession)
     ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "body")
     return ok.mapInPandas(_decode_trip_updates, STU_SCHEMA).withColumnRenamed("cycle_ts", "timestamp")

@@ -355,6 +355,8 @@ def land_gtfs(spark: SparkSession, sf: str) -> DataFrame:
     # Rows of one payload are contiguous after the hash repartition + sort;
     # each Arrow batch is split into payloads in one Python call (a payload
     # cut by a batch boundary is carried into the next batch).
+    from movelake.session import ship_package
+    ship_package(spark)
     parts = rows.repartition("cycle_no", "page").sortWithinPartitions("cycle_no", "page", "event_id")
     return parts.mapInPandas(_encode_partition, GTFS_LANDED)
 
