@@ -15,7 +15,13 @@ NUMERIC_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 RFC3339 = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}"
            r"([.][0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$")
 INT_TEXT = r"^[+-]?[0-9]+$"
-WHITESPACE = " \t\n\r\x0b\x0c"
+# The Unicode White_Space characters a text trim removes
+# (ASCII tab, LF, VT, FF, CR, space; NEL; NBSP; ogham space; U+2000..U+200A;
+# line and paragraph separators; narrow NBSP; medium math space; ideographic
+# space). The ASCII separators U+001C..U+001F are not whitespace here.
+WHITESPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
+              + "".join(chr(c) for c in range(0x2000, 0x200B))
+              + "\u2028\u2029\u202f\u205f\u3000")
 SRID_WGS84 = 4326
 # Unix seconds accepted by the timestamp rules: year 1 .. 9999.
 MIN_UNIX_SECONDS = -62135596800
@@ -83,8 +89,8 @@ def on_ground_private(altitude) -> Column:
 # -- text rules ---------------------------------------------------------------
 
 def trim_all(s) -> Column:
-    """Trim every ASCII whitespace kind (Spark ``trim`` strips spaces only).
-    A blank string stays '' (not NULL)."""
+    """Trim every Unicode whitespace character (Spark ``trim`` strips spaces
+    only). A blank string stays '' (not NULL)."""
     return F.btrim(_c(s), F.lit(WHITESPACE))
 
 
@@ -115,7 +121,8 @@ def rfc3339_to_ts(s, lenient: bool = False) -> Column:
     """Strict RFC 3339 text -> UTC timestamp, else NULL. ``lenient`` also
     accepts what Spark's parser accepts (no offset, ``+0200``)."""
     s = _c(s)
-    parsed = F.try_to_timestamp(s)
+    # RFC 3339 allows lower-case 't' and 'z'; Spark's parser wants upper case
+    parsed = F.try_to_timestamp(F.upper(s))
     if lenient:
         return parsed
     return F.when(s.rlike(RFC3339), parsed)

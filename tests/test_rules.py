@@ -40,11 +40,14 @@ def test_trim_all_whitespace_blank_is_empty(spark):
     assert _one(spark, R.trim_all(F.col("x")), value=" \tDLH12\r\n") == "DLH12"
     assert _one(spark, R.trim_all(F.col("x")), value=" \t ") == ""
     assert _one(spark, R.trim_all(F.col("x")), value=None) is None
+    assert _one(spark, R.trim_all(F.col("x")), value="\u00a0\u3000AB1\u2009") == "AB1"
+    assert _one(spark, R.trim_all(F.col("x")), value="\x1fAB1") == "\x1fAB1"
 
 
 def test_rfc3339_strict_and_lenient(spark):
     exp = dt.datetime(2026, 4, 19, 10, 0)
     strict = {"2026-04-19T12:00:00+02:00": exp, "2026-04-19T10:00:00Z": exp,
+              "2026-04-19t10:00:00z": exp, "2026-04-19 10:00:00Z": exp,
               "2026-04-19T12:00:00+0200": None, "2026-04-19T10:00:00": None, "garbage": None}
     for text, want in strict.items():
         got = _one(spark, R.ntz(R.rfc3339_to_ts(F.col("x"))), value=text)
