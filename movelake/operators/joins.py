@@ -49,10 +49,25 @@ def within_regions(points: DataFrame, regions: DataFrame, radius_km: float,
              .drop("cell_lat", "cell_lon"))
 
 
-def first_region(points: DataFrame, regions: DataFrame, radius_km: float, point_key) -> DataFrame:
-    """Each covered point with the first region (grid order) that covers it."""
-    m = within_regions(points, regions, radius_km)
-    return m.groupBy(*point_key).agg(F.min("region_idx").alias("region_idx"))
+def first_region(points: DataFrame, regions: DataFrame, radius_km: float, keep=None) -> DataFrame:
+    """Each covered point with the first region (grid order) within
+    ``radius_km``. Map-side only: every 1-degree cell carries the sorted
+    array of its candidate regions (a broadcast table bounded by the region
+    grid); each point joins its one cell row, the exact haversine test runs
+    as an array ``filter``, and the first survivor wins. Points are never
+    shuffled."""
+    cells = (region_cells(regions, radius_km)
+             .groupBy("cell_lat", "cell_lon")
+             .agg(F.array_sort(F.collect_list(F.struct("region_idx", "r_lat", "r_lon"))).alias("cands")))
+    p = (points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+               .withColumn("cell_lat", F.floor(F.col("latitude")).cast("int"))
+               .withColumn("cell_lon", (F.pmod(F.floor(F.col("longitude")) + 180, F.lit(360)) - 180).cast("int")))
+    j = p.join(F.broadcast(cells), ["cell_lat", "cell_lon"])
+    hit = F.filter("cands", lambda c: haversine_km(F.col("latitude"), F.col("longitude"),
+                                                   c["r_lat"], c["r_lon"]) <= radius_km)
+    out = j.withColumn("_hit", hit).where(F.size("_hit") > 0)
+    cols = [c for c in (keep or points.columns)]
+    return out.select(*cols, F.get("_hit", 0)["region_idx"].alias("region_idx"))
 
 
 def region_coverage(spark, positions: DataFrame, point_key, mover_col: str) -> DataFrame:
@@ -60,7 +75,7 @@ def region_coverage(spark, positions: DataFrame, point_key, mover_col: str) -> D
     covers when the first covering region wins."""
     regions = dims.region_grid(spark)
     radius = dims.REGION_RADIUS_NM * dims.NM_KM
-    fr = first_region(positions, regions, radius, point_key)
+    fr = first_region(positions, regions, radius, keep=list(point_key))
     return (fr.groupBy("region_idx")
               .agg(F.count(F.lit(1)).alias("positions"), F.countDistinct(mover_col).alias("movers"))
               .join(F.broadcast(regions.select("region_idx", "region")), "region_idx")
