@@ -839,3 +839,15 @@ def q_fleet_rollup(spark, sf):
         source_col={"flights": "source", "ships": "message_type", "vehicle_positions": "route_id"},
         key_col={"flights": "icao24", "ships": "mmsi", "vehicle_positions": "vehicle_id"})
     return r.withColumn("level", F.col("level").cast("long"))
+
+
+# --- WIN-1 on a stream: stateful stall watchdog (gap rows vs the batch oracle) --
+@register("stream_stall_gaps")
+def q_stream_stall_gaps(spark, sf):
+    inserts = agg.union_all([standin.table(spark, sf, n).select(F.lit(n).alias("table"), "ingested_at")
+                             for n in GEO3])
+    land = _land_files(inserts, "landing_inserts", 4, "ingested_at", fmt="parquet")
+    src = spark.readStream.schema("table string, ingested_at timestamp").parquet(land)
+    r = _run(spark, streams.stall_watch(src, gap_s=120), "stall_watch")
+    return r.where(F.col("kind") == "gap").select(
+        "table", ntz("gap_start").alias("gap_start"), ntz("gap_end").alias("gap_end"), "gap_seconds")

@@ -667,3 +667,5 @@ FROM (SELECT 'flights' AS "table", source, 'flights:' || icao24 AS mover FROM fl
       UNION ALL SELECT 'ships', message_type, 'ships:' || mmsi FROM ships
       UNION ALL SELECT 'vehicle_positions', route_id, 'vehicle_positions:' || vehicle_id FROM vehicle_positions)
 GROUP BY ROLLUP ("table", source)"""
+
+ORACLE["stream_stall_gaps"] = ORACLE["stall_gaps"]

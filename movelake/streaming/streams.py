@@ -139,3 +139,67 @@ def dedup_stream(spark: SparkSession, landing_dir: str, watermark: str = "10 min
     """DED-5: ship pings de-duplicated across micro-batches; state is kept
     only within the watermark."""
     return dedup_pings_stream(norm_ship_messages(landed_stream(spark, landing_dir, max_files)), watermark)
+
+
+# --- stall watchdog (custom stateful operator) ------------------------------------
+STALL_OUT = "table string, gap_start timestamp, gap_end timestamp, gap_seconds long, kind string"
+STALL_STATE = "last long"
+
+
+def _stall_fn(gap_s: int):
+    import pandas as pd
+
+    def silence(table, last):
+        return pd.DataFrame({"table": [table], "gap_start": [pd.Timestamp(last, unit="s", tz="UTC")],
+                             "gap_end": [pd.NaT], "gap_seconds": pd.array([None], dtype="Int64"),
+                             "kind": ["silence"]})
+
+    def fn(key, pdfs, state):
+        table = key[0]
+        if state.hasTimedOut:
+            # the watermark passed last + gap with no newer insert: raise the
+            # silence alarm once and keep `last` (no new timeout), so the
+            # next insert still reports its gap
+            (last,) = state.get
+            state.update((last,))
+            yield silence(table, last)
+            return
+        secs = sorted({int(s) for pdf in pdfs for s in pdf["sec"]})
+        prev = state.get[0] if state.exists else None
+        rows = []
+        for s in secs:
+            if prev is not None and s <= prev:
+                continue  # late row behind what this key already saw
+            if prev is not None and s - prev > gap_s:
+                rows.append((table, prev, s))
+            prev = s
+        out = pd.DataFrame(rows, columns=["table", "a", "b"])
+        yield pd.DataFrame({"table": out["table"],
+                            "gap_start": pd.to_datetime(out["a"], unit="s", utc=True),
+                            "gap_end": pd.to_datetime(out["b"], unit="s", utc=True),
+                            "gap_seconds": pd.array(out["b"] - out["a"], dtype="Int64"),
+                            "kind": ["gap"] * len(out)})
+        if prev is not None:
+            state.update((prev,))
+            due_ms = (prev + gap_s) * 1000
+            if due_ms > state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(due_ms)
+            elif secs:
+                yield silence(table, prev)  # already behind the watermark
+    return fn
+
+
+def stall_watch(inserts: DataFrame, gap_s: int = 120, watermark: str = "2 minutes",
+                table_col: str = "table", ts: str = "ingested_at") -> DataFrame:
+    """WIN-1 on a stream (STR): per table, every gap longer than ``gap_s``
+    between consecutive inserts, across micro-batches (state = last insert
+    second), plus one 'silence' row when the watermark passes the last
+    insert + ``gap_s`` without a newer insert -- the case windows cannot
+    report. A key's rows per micro-batch are bounded by the trigger limits."""
+    from movelake.session import ship_package
+    ship_package(inserts.sparkSession)
+    rows = (inserts.select(F.col(table_col).alias("table"), F.col(ts).alias("ts"))
+                   .withWatermark("ts", watermark)
+                   .withColumn("sec", F.unix_seconds("ts")))
+    return rows.groupBy("table").applyInPandasWithState(
+        _stall_fn(gap_s), STALL_OUT, STALL_STATE, "append", "EventTimeTimeout")

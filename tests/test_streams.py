@@ -31,3 +31,29 @@ def test_continuous_ship_stream_picks_up_new_files(spark):
             + dedup_pings(ships.norm_ship_messages(second), "seq").count())
     assert got.count() == want
     assert got.select("batch_id").distinct().count() >= 2
+
+
+def test_stall_watch_gaps_across_batches_and_silence(spark):
+    import datetime as dt
+    base = dt.datetime(2026, 4, 19, 12, 0, tzinfo=dt.timezone.utc)
+
+    def rows(pairs):
+        return spark.createDataFrame([(t, base + dt.timedelta(seconds=s)) for t, s in pairs],
+                                     "table string, ingested_at timestamp")
+
+    land = scratch_path(spark, "w_landing")
+    rows([("A", 0), ("A", 10), ("A", 20), ("B", 0), ("B", 50)]).write.parquet(f"{land}/1")
+    src = spark.readStream.schema("table string, ingested_at timestamp").parquet(f"{land}/*")
+    out, ck = scratch_path(spark, "w_out"), scratch_path(spark, "w_ck")
+    q = streams.run_to_parquet(streams.stall_watch(src, gap_s=120), out, ck, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        rows([("A", 400), ("B", 2000)]).write.parquet(f"{land}/2")
+        q.processAllAvailable()
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {(r.table, r.kind, r.gap_seconds) for r in spark.read.parquet(out).collect()}
+    assert ("A", "gap", 380) in got and ("B", "gap", 1950) in got
+    assert ("A", "silence", None) in got
+    assert not any(t == "B" and k == "silence" for t, k, _ in got)
