@@ -851,3 +851,14 @@ def q_stream_stall_gaps(spark, sf):
     r = _run(spark, streams.stall_watch(src, gap_s=120), "stall_watch")
     return r.where(F.col("kind") == "gap").select(
         "table", ntz("gap_start").alias("gap_start"), ntz("gap_end").alias("gap_end"), "gap_seconds")
+
+
+# --- STR-3 for a first-wins feed: the three-endpoint aircraft feed as a stream --
+@register("stream_adsb_endpoints")
+def q_stream_adsb_endpoints(spark, sf):
+    # a cycle's documents land in one file, as one fetch of all endpoints would
+    land = _land_files(landed.land_adsb(spark, sf, "adsb_endpoints"), "landing_adsb", 6, "cycle_ts")
+    out, ck = scratch_path(spark, "flights"), scratch_path(spark, "ck_adsb")
+    streams.stream_feed(spark, land, "adsb_endpoints", out, ck, trigger="availableNow",
+                        max_files=2).awaitTermination()
+    return _flights_out(spark.read.parquet(out))

@@ -669,3 +669,5 @@ FROM (SELECT 'flights' AS "table", source, 'flights:' || icao24 AS mover FROM fl
 GROUP BY ROLLUP ("table", source)"""
 
 ORACLE["stream_stall_gaps"] = ORACLE["stall_gaps"]
+
+ORACLE["stream_adsb_endpoints"] = ORACLE["norm_adsb_endpoints"]

@@ -57,3 +57,26 @@ def test_stall_watch_gaps_across_batches_and_silence(spark):
     assert ("A", "gap", 380) in got and ("B", "gap", 1950) in got
     assert ("A", "silence", None) in got
     assert not any(t == "B" and k == "silence" for t, k, _ in got)
+
+
+def test_stream_feed_first_wins_across_batches(spark):
+    import datetime as dt
+    from movelake.schemas import LANDED
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=dt.timezone.utc)
+    land = scratch_path(spark, "f_landing")
+    opts = {"timestampFormat": streams.TS_FORMAT}
+    spark.createDataFrame([("adsb_endpoints", "ladd", cyc, 0, 200, '{"ac":[{"hex":"a1","gs":1.0}]}')],
+                          LANDED).write.options(**opts).json(f"{land}/1")
+    out, ck = scratch_path(spark, "f_out"), scratch_path(spark, "f_ck")
+    q = streams.stream_feed(spark, f"{land}/*", "adsb_endpoints", out, ck, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame(
+            [("adsb_endpoints", "mil", cyc, 1_000_000_000, 200,
+              '{"ac":[{"hex":"a1","gs":2.0},{"hex":"a2","gs":3.0}]}')],
+            LANDED).write.options(**opts).json(f"{land}/2")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.icao24: r.velocity for r in spark.read.parquet(out).collect()}
+    assert got == {"a1": 1.0, "a2": 3.0}
