@@ -14,6 +14,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# A landed payload can be tens of MB (one GTFS-realtime feed is ~30 MB), so
+# Arrow batches to Python workers are cut by bytes as well as by rows.
+ARROW_MAX_BYTES = 128 * 1024 * 1024
+
+
 def build_session(master: str | None = None, app: str = "movelake",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -31,6 +36,7 @@ def build_session(master: str | None = None, app: str = "movelake",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(ARROW_MAX_BYTES),
         "spark.driver.memory": "16g",
     }
     if shuffle_partitions:
@@ -104,6 +110,7 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    bound_arrow_batches(spark)
     import movelake
     pkg = os.path.dirname(os.path.abspath(movelake.__file__))
     base = shared_dir(spark)
@@ -120,3 +127,17 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def bound_arrow_batches(spark: SparkSession, max_bytes: int = ARROW_MAX_BYTES) -> None:
+    """Cut Arrow batches to Python workers at ``max_bytes`` unless the
+    session already sets a byte bound (default is unbounded), so a batch
+    of large payloads cannot exhaust a worker's memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    cur = spark.conf.get(key, None)
+    try:
+        unbounded = cur is None or int(str(cur)) >= 2**31 - 1 - 1024
+    except ValueError:
+        unbounded = False  # a user-set size with a unit: keep it
+    if unbounded:
+        spark.conf.set(key, str(max_bytes))
