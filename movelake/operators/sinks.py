@@ -59,10 +59,13 @@ def append(df: DataFrame, path: str, table: str, as_of=None, metrics_path: str |
     # Range-partition on (chunk, timestamp): each task writes a contiguous
     # run of chunks (few files per chunk), and one very large chunk is split
     # across tasks by time instead of landing in a single task.
-    # An explicit count (the session's shuffle partitions, the knob sized to
-    # the data) keeps the write parallel even when AQE would coalesce small
-    # inputs into one task; files stay about max(chunks, tasks).
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # An explicit count keeps the write parallel even when AQE would
+    # coalesce small inputs into one task; files stay about max(chunks,
+    # tasks). It is the session's sizing knob: AQE's initial partition
+    # number when set (what a large job raises), else shuffle partitions.
+    conf = df.sparkSession.conf
+    n = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or conf.get("spark.sql.shuffle.partitions", "200"))
     rows = rows.repartitionByRange(n, "chunk", "timestamp")
     if table in CELL_CLUSTERED:
         rows = rows.sortWithinPartitions("chunk", F.floor("latitude"), F.floor("longitude"), "timestamp")
