@@ -19,19 +19,23 @@ from movelake.operators import sinks
 from movelake.schemas import LANDED
 from movelake.sources import aircraft, gtfs, orbits, payloads, rail, ships
 
-# feed -> (table, normaliser(landed, stations) -> rows, document schema for rejects or None)
+def _rejects(doc):
+    return lambda L: payloads.rejected(L, doc)
+
+
+# feed -> (table, normaliser(landed, stations) -> rows, rejected(landed) -> rows or None)
 FEEDS = {
-    "state_vectors": ("flights", lambda L, st: aircraft.norm_state_vectors(L), aircraft.STATE_DOC),
-    "adsb_endpoints": ("flights", lambda L, st: aircraft.norm_adsb_endpoints(L), aircraft.ADSB_DOC),
-    "adsb_regions": ("flights", lambda L, st: aircraft.norm_adsb_regions(L), aircraft.ADSB_DOC),
-    "adsb_types": ("flights", lambda L, st: aircraft.norm_adsb_types(L), aircraft.ADSB_DOC),
-    "adsb_snapshot": ("flights", lambda L, st: aircraft.norm_adsb_snapshot(L), aircraft.ADSB_DOC),
-    "private_feeder": ("flights", lambda L, st: aircraft.norm_private_feeder(L), aircraft.PRIVATE_DOC),
-    "ship_frames": ("ships", lambda L, st: ships.norm_ship_messages(L, keep_seq=False), ships.SHIP_DOC),
-    "board_ch": ("departures", lambda L, st: rail.norm_departures_ch(L, st), rail.CH_DOC),
-    "board_be": ("departures", lambda L, st: rail.norm_departures_be(L, st), rail.BE_DOC),
-    "board_at": ("departures", lambda L, st: rail.norm_departures_at(L, st), rail.AT_DOC),
-    "orbits": ("satellites", lambda L, st: orbits.norm_orbital_elements(L), None),
+    "state_vectors": ("flights", lambda L, st: aircraft.norm_state_vectors(L), _rejects(aircraft.STATE_DOC)),
+    "adsb_endpoints": ("flights", lambda L, st: aircraft.norm_adsb_endpoints(L), aircraft.rejected_adsb),
+    "adsb_regions": ("flights", lambda L, st: aircraft.norm_adsb_regions(L), aircraft.rejected_adsb),
+    "adsb_types": ("flights", lambda L, st: aircraft.norm_adsb_types(L), aircraft.rejected_adsb),
+    "adsb_snapshot": ("flights", lambda L, st: aircraft.norm_adsb_snapshot(L), aircraft.rejected_adsb),
+    "private_feeder": ("flights", lambda L, st: aircraft.norm_private_feeder(L), _rejects(aircraft.PRIVATE_DOC)),
+    "ship_frames": ("ships", lambda L, st: ships.norm_ship_messages(L, keep_seq=False), _rejects(ships.SHIP_DOC)),
+    "board_ch": ("departures", lambda L, st: rail.norm_departures_ch(L, st), _rejects(rail.CH_DOC)),
+    "board_be": ("departures", lambda L, st: rail.norm_departures_be(L, st), _rejects(rail.BE_DOC)),
+    "board_at": ("departures", lambda L, st: rail.norm_departures_at(L, st), _rejects(rail.AT_DOC)),
+    "orbits": ("satellites", lambda L, st: orbits.norm_orbital_elements(L), orbits.rejected_orbits),
     "gtfs_rt": ("vehicle_positions", lambda L, st: gtfs.norm_vehicle_positions(L), None),
 }
 
@@ -40,17 +44,14 @@ def ingest(spark: SparkSession, feed: str, landed: DataFrame, table_path: str,
            stations: DataFrame | None = None, dead_letter_path: str | None = None,
            metrics_path: str | None = None, as_of=None) -> dict:
     """Normalise and append one landed batch; returns {'rows': n, 'rejected': m}."""
-    table, normalise, doc = FEEDS[feed]
+    table, normalise, reject = FEEDS[feed]
     batch = landed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = sinks.append(normalise(batch, stations), table_path, table, as_of=as_of,
                             metrics_path=metrics_path)
         rejected = 0
-        if dead_letter_path is not None:
-            rej = (orbits.rejected_orbits(batch) if feed == "orbits"
-                   else payloads.rejected(batch, doc) if doc is not None else None)
-            if rej is not None:
-                rejected = payloads.dead_letter(rej, dead_letter_path)
+        if dead_letter_path is not None and reject is not None:
+            rejected = payloads.dead_letter(reject(batch), dead_letter_path)
         return {"rows": rows, "rejected": rejected}
     finally:
         batch.unpersist()

@@ -426,7 +426,7 @@ def q_counts_by_endpoint(spark, sf):
 
 
 def _rejects(spark, sf):
-    a = payloads.rejected(landed.land_adsb(spark, sf, "adsb_endpoints"), aircraft.ADSB_DOC)
+    a = aircraft.rejected_adsb(landed.land_adsb(spark, sf, "adsb_endpoints"))
     p = payloads.rejected(landed.land_private(spark, sf), aircraft.PRIVATE_DOC)
     return a.unionByName(p)
 

@@ -28,10 +28,21 @@ PRIVATE_DOC = ("aircraft array<struct<hex string, flight string, lat double, lon
 STATE_DOC = "states array<array<variant>>"
 
 
+def both_keys():
+    """A document carrying both the key and its alias is a duplicate field
+    for a strict deserialiser: the whole document is rejected."""
+    return F.col("doc.ac").isNotNull() & F.col("doc.aircraft").isNotNull()
+
+
+def rejected_adsb(landed: DataFrame) -> DataFrame:
+    """Rejected shared-envelope documents (non-2xx, corrupt, key + alias)."""
+    return payloads.rejected(landed, ADSB_DOC, (both_keys(), "corrupt"))
+
+
 def adsb_records(landed: DataFrame, source: str) -> DataFrame:
     """SRC-2: shared aircraft record -> flight row, per (document, position).
     Keeps ``endpoint``, ``seq`` and ``pos`` for first-wins ordering."""
-    p = payloads.accepted(payloads.parse(landed, ADSB_DOC))
+    p = payloads.accepted(payloads.parse(landed, ADSB_DOC)).where(~both_keys())
     arr = F.coalesce(F.col("doc.ac"), F.col("doc.aircraft"))
     x = p.select("endpoint", "cycle_ts", "seq", F.posexplode(arr).alias("pos", "a"))
     a = lambda f: F.col(f"a.{f}")

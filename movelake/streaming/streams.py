@@ -220,7 +220,7 @@ def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: st
     chunks and excluding the batch's own earlier attempt."""
     from movelake.jobs import FEEDS
     from movelake.operators.layout import list_chunks
-    table, normalise, _doc = FEEDS[feed]
+    table, normalise, _reject = FEEDS[feed]
     key = DEDUP_KEYS.get(table) if first_wins else None
     landed = landed_stream(spark, landing_dir, max_files)
 

@@ -35,7 +35,7 @@ def test_adsb_key_alias_and_failed_siblings(spark):
         _landed(spark, [ok_ac.replace("a1", "a5")], status=500))
     got = {r.icao24: (r.on_ground, r.baro_altitude) for r in aircraft.norm_adsb_snapshot(landed).collect()}
     assert got == {"a1": (True, None), "a2": (None, 30000.0)}
-    rej = payloads.rejected(landed, aircraft.ADSB_DOC).groupBy("reason").count().collect()
+    rej = aircraft.rejected_adsb(landed).groupBy("reason").count().collect()
     assert {r.reason: r["count"] for r in rej} == {"corrupt": 2, "http_status": 1}
 
 
@@ -123,3 +123,10 @@ def test_gtfs_decode_roundtrip(spark):
         out[0].timestamp.astimezone(UTC) == dt.datetime(2025, 4, 19, 12, 0, tzinfo=UTC)
     counters = gtfs.feed_counters(landed).collect()
     assert [(c.total_entities, c.vehicle_positions) for c in counters] == [(2, 1)]
+
+
+def test_key_and_alias_together_rejects_document(spark):
+    both = '{"ac":[{"hex":"b1","lat":1.0,"lon":2.0}],"aircraft":[{"hex":"b2","lat":1.0,"lon":2.0}]}'
+    landed = _landed(spark, [both])
+    assert aircraft.norm_adsb_snapshot(landed).count() == 0
+    assert [r.reason for r in aircraft.rejected_adsb(landed).collect()] == ["corrupt"]
