@@ -130,3 +130,17 @@ def test_key_and_alias_together_rejects_document(spark):
     landed = _landed(spark, [both])
     assert aircraft.norm_adsb_snapshot(landed).count() == 0
     assert [r.reason for r in aircraft.rejected_adsb(landed).collect()] == ["corrupt"]
+
+
+def test_integer_fields_are_strict(spark):
+    """Fractional, exponent or out-of-range numbers for integer fields reject
+    the document, as a strict deserialiser does."""
+    bad = ['{"MessageType":"P","MetaData":{"MMSI":123.5,"latitude":1.0,"longitude":2.0}}',
+           '{"MessageType":"P","MetaData":{"MMSI":123.0,"latitude":1.0,"longitude":2.0}}',
+           '{"MessageType":"P","MetaData":{"MMSI":1e3,"latitude":1.0,"longitude":2.0}}',
+           '{"MessageType":"P","MetaData":{"MMSI":99999999999999999999}}']
+    good = '{"MessageType":"P","MetaData":{"MMSI":123,"latitude":1.0,"longitude":2.0}}'
+    rows = ships.norm_ship_messages(_landed(spark, bad + [good])).collect()
+    assert [r.mmsi for r in rows] == ["123"]
+    overflow = '{"stationboard":[{"stop":{"departureTimestamp":1,"delay":3000000000}}]}'
+    assert rail.norm_departures_ch(_landed(spark, [overflow]), _stations(spark)).count() == 0
