@@ -160,16 +160,28 @@ def delay_histogram(dep: DataFrame, bucket_minutes: int = 1) -> DataFrame:
 
 def delay_trend(dep: DataFrame, as_of=None, days: int | None = 90, approx: bool = False,
                 digits: int = 6) -> DataFrame:
-    """Daily mean, p50 and p95 delay over the trailing ``days``."""
+    """Daily mean, p50 and p95 delay over the trailing ``days``. One pass
+    over the departures: rows are first counted per (day, delay, cancelled)
+    -- a small table -- and counts, mean, cancelled share and exact
+    percentiles (weighted by those counts) all come from it."""
+    from movelake.operators.quantiles import exact_percentiles
     d = dep.select("planned_time", "delay_seconds", "cancelled")
     if days is not None:
         d = d.where(F.col("planned_time") > as_column(as_of) - interval(f"{days} days"))
-    d = d.withColumn("day", F.to_date("planned_time"))
-    base = d.groupBy("day").agg(F.count(F.lit(1)).alias("departures"),
-                                F.avg("delay_seconds").alias("avg"),
-                                F.count_if(F.col("cancelled")).alias("cancelled"))
-    q = percentiles_of(d, ["day"], F.col("delay_seconds").cast("double"), [0.5, 0.95], approx)
-    return (base.join(q, "day", "left")
+    t = (d.groupBy(F.to_date("planned_time").alias("day"), "delay_seconds", "cancelled")
+          .agg(F.count(F.lit(1)).alias("w")))
+    base = t.groupBy("day").agg(
+        F.sum("w").cast("long").alias("departures"),
+        (F.sum(F.col("delay_seconds").cast("long") * F.col("w")) / F.sum(F.when(F.col("delay_seconds").isNotNull(),
+                                                                              F.col("w")))).alias("avg"),
+        F.sum(F.when(F.col("cancelled"), F.col("w")).otherwise(0)).cast("long").alias("cancelled"))
+    v = t.select("day", F.col("delay_seconds").cast("double").alias("v"), "w")
+    if approx:
+        q = percentiles_of(d.withColumn("day", F.to_date("planned_time")), ["day"],
+                           F.col("delay_seconds").cast("double"), [0.5, 0.95], approx=True)
+    else:
+        q = exact_percentiles(v, ["day"], "v", [0.5, 0.95], weight_col="w")
+    return (base.join(q.drop("n"), "day", "left")
                 .select("day", "departures", F.round("avg", digits).alias("avg_delay_s"),
                         F.round("p0", digits).alias("p50_delay_s"),
                         F.round("p1", digits).alias("p95_delay_s"), "cancelled"))

@@ -25,29 +25,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def value_counts(df: DataFrame, group_cols, value_col: str, partitions: int | None = None) -> DataFrame:
-    """Rows per distinct (group, value) as ``_c``, range-partitioned on
-    (group, value) and tagged with the partition id ``_pid``: a hot group's
-    values spread over many partitions."""
+def value_counts(df: DataFrame, group_cols, value_col: str, partitions: int | None = None,
+                 weight_col: str | None = None) -> DataFrame:
+    """Rows per distinct (group, value) as ``_c`` (or the sum of
+    ``weight_col`` for pre-aggregated input), range-partitioned on (group,
+    value) and tagged with the partition id ``_pid``: a hot group's values
+    spread over many partitions."""
     g, x = list(group_cols), value_col
-    vc = df.where(F.col(x).isNotNull()).groupBy(*g, x).agg(F.count(F.lit(1)).alias("_c"))
+    c = F.sum(weight_col).cast("long") if weight_col else F.count(F.lit(1))
+    vc = df.where(F.col(x).isNotNull()).groupBy(*g, x).agg(c.alias("_c"))
     vc = vc.repartitionByRange(partitions, *g, x) if partitions else vc.repartitionByRange(*g, x)
     return vc.withColumn("_pid", F.spark_partition_id())
 
 
 def exact_percentiles(df: DataFrame, group_cols, value_col: str, ps, partitions: int | None = None,
-                      prefix: str = "p") -> DataFrame:
+                      prefix: str = "p", weight_col: str | None = None) -> DataFrame:
     """One row per group: ``<prefix>0 .. <prefix>{k-1}`` = percentile_cont of
-    ``value_col`` at each of ``ps`` (NULL values ignored), and ``n``."""
+    ``value_col`` at each of ``ps`` (NULL values ignored), and ``n``. With
+    ``weight_col`` each input row stands for that many rows (input already
+    aggregated to value counts)."""
     g = list(group_cols)
     if not g:
         # a global percentile: one constant group; the global aggregate over
         # the (at most one-row) result yields exactly one row, also when empty
-        out = exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, ps, partitions, prefix)
+        out = exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, ps, partitions, prefix,
+                                weight_col)
         return out.agg(*[F.max(f"{prefix}{i}").alias(f"{prefix}{i}") for i in range(len(ps))],
                        F.coalesce(F.max("n"), F.lit(0)).alias("n"))
     x = value_col
-    vc = value_counts(df, g, x, partitions)
+    vc = value_counts(df, g, x, partitions, weight_col)
 
     # rank offset of each (partition, group) inside its group
     tot = vc.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))

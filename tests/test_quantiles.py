@@ -56,3 +56,12 @@ def test_global_percentile_of_nothing_is_one_null_row(spark):
     df = spark.createDataFrame([], "x double")
     rows = exact_percentiles(df, [], "x", [0.99]).collect()
     assert len(rows) == 1 and rows[0].p0 is None and rows[0].n == 0
+
+
+def test_weighted_input_equals_expanded_rows(spark):
+    rows = [("a", 1.0, 3), ("a", 5.0, 1), ("a", 2.0, 6), ("b", 7.0, 2), ("b", 9.0, 1)]
+    w = spark.createDataFrame(rows, "g string, x double, w long")
+    flat = spark.createDataFrame([(g, x) for g, x, n in rows for _ in range(n)], "g string, x double")
+    got = {r.g: (r.n, r.p0, r.p1) for r in exact_percentiles(w, ["g"], "x", [0.5, 0.9], weight_col="w").collect()}
+    want = {r.g: (r.n, r.p0, r.p1) for r in exact_percentiles(flat, ["g"], "x", [0.5, 0.9]).collect()}
+    assert got == want
