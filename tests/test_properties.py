@@ -80,3 +80,38 @@ def test_adsb_snapshot_roundtrip(spark, recs):
         key=repr)
     want = sorted((_expected(r) for r in recs if r["lat"] is not None and r["lon"] is not None), key=repr)
     assert got == want
+
+
+# --- state vectors: positional cells of any JSON type ------------------------------
+cell = st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6),
+                 st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False),
+                 st.sampled_from(["abc123", " DLH12 ", "", "12.5", "Germany"]))
+
+
+def _num(v):
+    return float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else None
+
+
+def _str(v):
+    return v if isinstance(v, str) else None
+
+
+def _sv_expected(s):
+    cs = _str(s[1])
+    return (_str(s[0]), cs.strip(" \t\n\r\x0b\x0c") if cs is not None else None, _str(s[2]),
+            _num(s[5]), _num(s[6]), _num(s[7]), s[8] if isinstance(s[8], bool) else None,
+            _num(s[9]), _num(s[10]), _num(s[11]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(cell, min_size=15, max_size=18), min_size=1, max_size=6))
+def test_state_vectors_roundtrip(spark, states):
+    import datetime as dt
+    body = json.dumps({"time": 1, "states": states})
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    landed = spark.createDataFrame([("sv", "all", cyc, 0, 200, body)], LANDED)
+    got = sorted((tuple(r) for r in aircraft.norm_state_vectors(landed).select(
+        "icao24", "callsign", "origin_country", "longitude", "latitude", "baro_altitude", "on_ground",
+        "velocity", "true_track", "vertical_rate").collect()), key=repr)
+    want = sorted((_sv_expected(s) for s in states if len(s) >= 17), key=repr)
+    assert got == want
