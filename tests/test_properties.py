@@ -115,3 +115,54 @@ def test_state_vectors_roundtrip(spark, states):
         "velocity", "true_track", "vertical_rate").collect()), key=repr)
     want = sorted((_sv_expected(s) for s in states if len(s) >= 17), key=repr)
     assert got == want
+
+
+# --- Belgian boards: every value is text ---------------------------------------------
+import re  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from movelake.sources import rail  # noqa: E402
+
+int_text = st.one_of(st.none(), st.integers(-3000, 3000).map(str), st.integers(0, 3000).map(lambda i: f"+{i}"),
+                     st.integers(0, 99).map(lambda i: f" {i} "), st.just("99999999999"), st.just("12a"),
+                     st.just(""), st.just("-"))
+time_text = st.one_of(st.none(), st.integers(0, 2_000_000_000).map(str), st.just("x"),
+                      st.just("999999999999999999"))
+dep = st.fixed_dictionaries({"time": time_text, "delay": int_text,
+                             "canceled": st.sampled_from([None, "0", "1", "yes"]),
+                             "platform": st.sampled_from([None, "3", "4A"]),
+                             "platforminfo": st.one_of(st.none(), st.fixed_dictionaries(
+                                 {"normal": st.sampled_from([None, "1", "0", "x"])}))})
+
+
+def _int(t, lo, hi):
+    if t is None or not re.fullmatch(r"[+-]?[0-9]+", t):
+        return None
+    v = int(t)
+    return v if lo <= v <= hi else None
+
+
+def _be_expected(d):
+    import datetime as dt
+    secs = _int(d["time"], -62135596800, 253402300799)
+    planned = (dt.datetime(1970, 1, 1) + dt.timedelta(seconds=secs)) if secs is not None else None
+    normal = (d["platforminfo"] or {}).get("normal")
+    changed = normal is not None and normal != "1"
+    return (planned, _int(d["delay"], -2**31, 2**31 - 1), d["canceled"] == "1", d["platform"],
+            d["platform"] if changed else None, changed)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(dep, min_size=1, max_size=8))
+def test_belgian_board_roundtrip(spark, deps):
+    import datetime as dt
+    body = json.dumps({"departures": {"departure": [{k: v for k, v in d.items() if v is not None}
+                                                    for d in deps]}})
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    landed = spark.createDataFrame([("board_be", "ep0", cyc, 0, 200, body)], LANDED)
+    stations = spark.createDataFrame([("ep0", "Gent")], "endpoint string, station_name string")
+    out = rail.norm_departures_be(landed, stations).select(
+        F.col("planned_time").cast("timestamp_ntz"), "delay_seconds", "cancelled", "platform_planned",
+        "platform_actual", "platform_changed")
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(map(_be_expected, deps), key=repr)
