@@ -166,3 +166,57 @@ def test_belgian_board_roundtrip(spark, deps):
         F.col("planned_time").cast("timestamp_ntz"), "delay_seconds", "cancelled", "platform_planned",
         "platform_actual", "platform_changed")
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(map(_be_expected, deps), key=repr)
+
+
+# --- Swiss boards: line name ladder, delay minutes, strict RFC 3339 -----------------
+rfc_text = st.one_of(st.none(), st.sampled_from([
+    "2026-04-19T10:00:00Z", "2026-04-19T12:00:00+02:00", "2026-04-19t10:00:00.5z",
+    "2026-04-19T12:00:00+0200", "2026-04-19T10:00:00", "nonsense"]))
+RFC_UTC = {"2026-04-19T10:00:00Z": (10, 0, 0, 0), "2026-04-19T12:00:00+02:00": (10, 0, 0, 0),
+           "2026-04-19t10:00:00.5z": (10, 0, 0, 500000)}
+entry = st.fixed_dictionaries({
+    "stop": st.one_of(st.none(), st.fixed_dictionaries({
+        "departureTimestamp": st.one_of(st.none(), st.integers(0, 2_000_000_000)),
+        "delay": st.one_of(st.none(), st.integers(-100, 100), st.just(40_000_000)),
+        "platform": st.sampled_from([None, "7", "8"]),
+        "prognosis": st.one_of(st.none(), st.fixed_dictionaries({
+            "platform": st.sampled_from([None, "7", "8"]), "departure": rfc_text}))})),
+    "name": st.sampled_from([None, "S3"]), "category": st.sampled_from([None, "IC"]),
+    "number": st.sampled_from([None, "5"]), "to": st.sampled_from([None, "Bern"])})
+
+
+def _ch_expected(e):
+    import datetime as dt
+    s = e["stop"]
+    prog = s["prognosis"] or {}
+    ts = s["departureTimestamp"]
+    planned = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=ts) if ts is not None else None
+    actual = None
+    if prog.get("departure") in RFC_UTC:
+        h, m, sec, us = RFC_UTC[prog["departure"]]
+        actual = dt.datetime(2026, 4, 19, h, m, sec, us)
+    d = s["delay"]
+    delay = d * 60 if d is not None and -2**31 <= d * 60 < 2**31 else None
+    cat, num = e["category"], e["number"]
+    line = f"{cat} {num}" if cat and num else cat if cat else e["name"]
+    pp, pa = s["platform"], prog.get("platform")
+    return (line, e["to"], planned, actual, delay, pp, pa, pa is not None and pp != pa)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(entry, min_size=1, max_size=8))
+def test_swiss_board_roundtrip(spark, entries):
+    import datetime as dt
+
+    def clean(x):
+        return {k: clean(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else x
+    body = json.dumps({"stationboard": [clean(e) for e in entries]})
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    landed = spark.createDataFrame([("board_ch", "ep0", cyc, 0, 200, body)], LANDED)
+    stations = spark.createDataFrame([("ep0", "Bern")], "endpoint string, station_name string")
+    out = rail.norm_departures_ch(landed, stations).select(
+        "line_name", "direction", F.col("planned_time").cast("timestamp_ntz"),
+        F.col("actual_time").cast("timestamp_ntz"), "delay_seconds", "platform_planned",
+        "platform_actual", "platform_changed")
+    want = [_ch_expected(e) for e in entries if e["stop"] is not None]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(want, key=repr)
