@@ -220,3 +220,43 @@ def test_swiss_board_roundtrip(spark, entries):
         "platform_actual", "platform_changed")
     want = [_ch_expected(e) for e in entries if e["stop"] is not None]
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+# --- Austrian boards: camelCase, RFC 3339 times, both-present platform rule ---------
+at_dep = st.fixed_dictionaries({
+    "tripId": st.sampled_from([None, "t1", "t2"]), "direction": st.sampled_from([None, "Wien"]),
+    "line": st.one_of(st.none(), st.fixed_dictionaries({"name": st.sampled_from([None, "RJX 62"])})),
+    "when": rfc_text, "plannedWhen": rfc_text,
+    "delay": st.one_of(st.none(), st.integers(-600, 3600)),
+    "platform": st.sampled_from([None, "1", "2"]), "plannedPlatform": st.sampled_from([None, "1", "2"])})
+
+
+def _at_expected(d):
+    import datetime as dt
+
+    def ts(t):
+        if t in RFC_UTC:
+            h, m, s, us = RFC_UTC[t]
+            return dt.datetime(2026, 4, 19, h, m, s, us)
+        return None
+    pp, pa = d["plannedPlatform"], d["platform"]
+    return (d["tripId"], (d["line"] or {}).get("name"), d["direction"], ts(d["plannedWhen"]), ts(d["when"]),
+            d["delay"], False, pp, pa, pp is not None and pa is not None and pp != pa)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(at_dep, min_size=1, max_size=8))
+def test_austrian_board_roundtrip(spark, deps):
+    import datetime as dt
+
+    def clean(x):
+        return {k: clean(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else x
+    body = json.dumps({"departures": [clean(d) for d in deps]})
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    landed = spark.createDataFrame([("board_at", "ep0", cyc, 0, 200, body)], LANDED)
+    stations = spark.createDataFrame([("ep0", "Wien Hbf")], "endpoint string, station_name string")
+    out = rail.norm_departures_at(landed, stations).select(
+        "trip_id", "line_name", "direction", F.col("planned_time").cast("timestamp_ntz"),
+        F.col("actual_time").cast("timestamp_ntz"), "delay_seconds", "cancelled", "platform_planned",
+        "platform_actual", "platform_changed")
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(map(_at_expected, deps), key=repr)
