@@ -260,3 +260,36 @@ def test_austrian_board_roundtrip(spark, deps):
         F.col("actual_time").cast("timestamp_ntz"), "delay_seconds", "cancelled", "platform_planned",
         "platform_actual", "platform_changed")
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(map(_at_expected, deps), key=repr)
+
+
+# --- orbital elements: one missing id or name rejects the whole category ----------------
+from movelake.sources import orbits  # noqa: E402
+
+element = st.fixed_dictionaries({
+    "NORAD_CAT_ID": st.one_of(st.none(), st.integers(1, 99999)),
+    "OBJECT_NAME": st.one_of(st.none(), st.sampled_from(["ISS (ZARYA)", "STARLINK-1007"])),
+    "EPOCH": st.sampled_from([None, "2026-04-19T10:00:00Z", "2026-04-19T10:00:00.000000"]),
+    "MEAN_MOTION": st.one_of(st.none(), st.floats(0, 20, allow_nan=False))})
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(element, min_size=0, max_size=5), min_size=1, max_size=4))
+def test_orbit_documents_roundtrip(spark, docs):
+    import datetime as dt
+    cyc = dt.datetime(2026, 4, 19, 12, 0, tzinfo=UTC)
+    rows = [("orbits", f"cat{i}", cyc, i, 200, json.dumps([{k: v for k, v in e.items() if v is not None}
+                                                          for e in doc]))
+            for i, doc in enumerate(docs)]
+    landed = spark.createDataFrame(rows, LANDED)
+    got = sorted((tuple(r) for r in orbits.norm_orbital_elements(landed).select(
+        "norad_id", "name", F.col("epoch").cast("timestamp_ntz"), "mean_motion").collect()), key=repr)
+    want = []
+    for doc in docs:
+        if any(e["NORAD_CAT_ID"] is None or e["OBJECT_NAME"] is None for e in doc):
+            continue
+        for e in doc:
+            ep = dt.datetime(2026, 4, 19, 10, 0) if e["EPOCH"] == "2026-04-19T10:00:00Z" else None
+            want.append((e["NORAD_CAT_ID"], e["OBJECT_NAME"], ep, e["MEAN_MOTION"]))
+    assert got == sorted(want, key=repr)
+    rejected = orbits.rejected_orbits(landed).count()
+    assert rejected == sum(any(e["NORAD_CAT_ID"] is None or e["OBJECT_NAME"] is None for e in d) for d in docs)
