@@ -65,3 +65,19 @@ def test_weighted_input_equals_expanded_rows(spark):
     got = {r.g: (r.n, r.p0, r.p1) for r in exact_percentiles(w, ["g"], "x", [0.5, 0.9], weight_col="w").collect()}
     want = {r.g: (r.n, r.p0, r.p1) for r in exact_percentiles(flat, ["g"], "x", [0.5, 0.9]).collect()}
     assert got == want
+
+
+def test_approx_path_close_to_exact(spark):
+    from movelake.operators.aggregates import delay_trend, latency_percentiles
+    from movelake.sources import standin
+    sf = "/root/testdata/sf0.001"
+    t = {"flights": standin.flights(spark, sf)}
+    ex = latency_percentiles(t, window=None).first()
+    ap = latency_percentiles(t, window=None, approx=True).first()
+    assert ap.samples == ex.samples
+    for c in ("p50_ms", "p95_ms", "p99_ms"):
+        assert abs(ap[c] - ex[c]) <= 0.02 * abs(ex[c]) + 1.0, c
+    d = standin.departures(spark, sf)
+    a = delay_trend(d, days=None, approx=True)
+    e = delay_trend(d, days=None)
+    assert a.columns == e.columns and a.count() == e.count()
