@@ -80,3 +80,30 @@ def test_stream_feed_first_wins_across_batches(spark):
         q.stop()
     got = {r.icao24: r.velocity for r in spark.read.parquet(out).collect()}
     assert got == {"a1": 1.0, "a2": 3.0}
+
+
+def test_watermark_dedup_across_batches(spark):
+    import datetime as dt
+    from movelake.schemas import LANDED
+    t0 = dt.datetime(2026, 4, 19, 12, 0, tzinfo=dt.timezone.utc)
+
+    def frame(seq, lat, ts):
+        body = ('{"MessageType":"PositionReport","MetaData":{"MMSI":111,"ShipName":"X",'
+                f'"latitude":{lat},"longitude":10.0}}}}')
+        return ("ship_stream", "stream", ts, seq, 200, body)
+
+    land = scratch_path(spark, "d_landing")
+    opts = {"timestampFormat": streams.TS_FORMAT}
+    spark.createDataFrame([frame(0, 50.0, t0)], LANDED).write.options(**opts).json(f"{land}/1")
+    out, ck = scratch_path(spark, "d_out"), scratch_path(spark, "d_ck")
+    q = streams.run_to_parquet(streams.dedup_stream(spark, f"{land}/*"), out, ck, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        # same ping 4e-7 deg away (same 1e-5 cell, same second) in a later batch, and a new ping
+        spark.createDataFrame([frame(1, 50.0000004, t0), frame(2, 50.001, t0 + dt.timedelta(seconds=30))],
+                              LANDED).write.options(**opts).json(f"{land}/2")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    lats = sorted(r.latitude for r in spark.read.parquet(out).collect())
+    assert lats == [50.0, 50.001]
