@@ -58,3 +58,23 @@ def test_replayed_micro_batch_does_not_duplicate(spark):
     back = spark.read.parquet(path)
     assert back.where(F.col("batch_id") == 7).count() == 50
     assert back.count() == 100
+
+
+def test_seven_day_chunks_align_to_epoch(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 0),), (dt.datetime(2024, 1, 3, 23, 0),),
+                                (dt.datetime(2024, 1, 4, 0, 0),)], "ts timestamp")
+    got = [r.c for r in df.select(layout.chunk_of("ts", 7).alias("c")).collect()]
+    assert got == [dt.date(2023, 12, 28), dt.date(2023, 12, 28), dt.date(2024, 1, 4)]
+
+
+def test_drop_chunks_uses_seven_day_chunk_end(spark):
+    s = standin.satellites(spark, SF)
+    path = scratch_path(spark, "m_sat")
+    sinks.append(s, path, "satellites")
+    chunks = layout.list_chunks(spark, path)
+    first = dt.datetime.fromisoformat(chunks[0])
+    # cutoff exactly at the first chunk's end drops it; one second earlier keeps it
+    kept = layout.drop_chunks(spark, path, "satellites", first + dt.timedelta(days=7, seconds=-1), days=0)
+    assert kept == []
+    dropped = layout.drop_chunks(spark, path, "satellites", first + dt.timedelta(days=7), days=0)
+    assert dropped == [chunks[0]]
