@@ -94,3 +94,9 @@ def test_departure_defaults_false(spark):
                                "cancelled boolean, platform_changed boolean")
     r = sinks.prepare(df, "departures").first()
     assert r.cancelled is False and r.platform_changed is False
+
+
+def test_unnest_pads_shorter_arrays_with_null(spark):
+    df = spark.createDataFrame([("c1", [1.0, 2.0, 3.0], ["a", "b"])], "cycle string, lat array<double>, hex array<string>")
+    rows = sinks.unnest_columns(df, ["lat", "hex"], ["latitude", "icao24"]).collect()
+    assert [(r.cycle, r.latitude, r.icao24) for r in rows] == [("c1", 1.0, "a"), ("c1", 2.0, "b"), ("c1", 3.0, None)]
