@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from movelake.session import scratch_path, ship_package
+from movelake.session import bound_arrow_batches, scratch_path, ship_package
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,7 +47,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Ships the package to Python workers and bounds Arrow batches by bytes."""
+    """Ships the package to Python workers and bounds Arrow batches by bytes
+    (unless the session already does), so that long texts fit a worker."""
+    bound_arrow_batches(spark, 32 << 20)
     ship_package(spark)
 
 

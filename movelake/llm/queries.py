@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from movelake.llm import quality
+from movelake.llm import bpe, quality
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
+from movelake.llm.token_counts import count_tokens
 
 QUERIES: dict = {}
 
@@ -16,6 +17,12 @@ def register(fn):
     return fn
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @register
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = exact_dedup(table(spark, sf, "documents"), digest_all=True)
@@ -31,3 +38,18 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"), "rejected_by")
+
+
+@register
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    out = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    out = count_tokens(table(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
