@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from movelake.llm import bpe, quality
+from movelake.llm import bpe, packing, quality
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.token_counts import count_tokens
@@ -29,6 +29,16 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+@register
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = packing.tokenize(table(spark, sf, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+    return packing_digest(packing.pack(tokens, window=2048))
+
+
+def packing_digest(out: DataFrame) -> DataFrame:
+    return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @register
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
