@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from movelake.llm import bpe, packing, quality
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
+from movelake.llm.simhash import near_duplicates
 from movelake.llm.token_counts import count_tokens
 
 QUERIES: dict = {}
@@ -63,3 +64,10 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = count_tokens(table(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@register
+def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf, "documents"), shingle=3, distance=2)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
