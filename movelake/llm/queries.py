@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from movelake.llm import bpe, packing, quality
+from movelake.llm import bpe, packing, quality, url_filter, warc
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.simhash import near_duplicates
 from movelake.llm.token_counts import count_tokens
+from movelake.session import scratch_path
 
 QUERIES: dict = {}
 
@@ -24,6 +25,15 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register
+def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf, "pages"), path)
+    return warc.read_warc(spark, path).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @register
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = exact_dedup(table(spark, sf, "documents"), digest_all=True)
@@ -40,6 +50,16 @@ def packing_digest(out: DataFrame) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@register
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return (url_filter.filter_urls(table(spark, sf, "pages"), rules)
+            .select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict"))
+
+
 @register
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
