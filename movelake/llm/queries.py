@@ -8,6 +8,7 @@ from movelake.llm import bpe, packing, quality, url_filter, warc
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.simhash import near_duplicates
+from movelake.llm.substring_dedup import substring_dedup
 from movelake.llm.token_counts import count_tokens
 from movelake.session import scratch_path
 
@@ -25,6 +26,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf, "documents"), window=20)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
