@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from movelake.llm import bpe, packing, quality, url_filter, warc
+from movelake.llm import bpe, packing, quality, toxicity, url_filter, warc
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.simhash import near_duplicates
@@ -67,6 +67,17 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
             .select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict"))
 
 
+def held_out(doc_id) -> "F.Column":
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    out = toxicity.score(table(spark, sf, "documents"), labels)
+    return out.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
