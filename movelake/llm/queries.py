@@ -86,7 +86,7 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.cascade(quality.with_counts(docs), ordered)
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"), "rejected_by")
+                         base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
 @register
@@ -109,3 +109,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     out = near_duplicates(table(spark, sf, "documents"), shingle=3, distance=2)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@register
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)

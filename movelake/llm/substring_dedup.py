@@ -179,29 +179,30 @@ def _factors(runs: list[dict], window: int) -> list[dict]:
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, k: int = 6, id_col: str = "doc_id", text_col: str = "text",
-                    batch_bytes: int = 4 << 20) -> DataFrame:
+                    batch_bytes: int = 4 << 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """id, n_words, n_removed, kept (the words that stay, joined by one space) and
-    factors (start, length in words, source_id, source_start) per row of docs."""
+    factors (start, length in words, source_id, source_start) per row of docs;
+    ``carry``: columns of docs that come along, as one struct ``carried``."""
     python_ready(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     kind = rows.schema["id"].dataType.simpleString()
-    runs = copied(rows.where("id is not null"), window, k, batch_bytes)
+    runs = copied(rows.select("id", "text").where("id is not null"), window, k, batch_bytes)
     by_doc = written(runs.groupBy("id").agg(F.collect_list(F.struct("start", "n", "source_id", "source_start")).alias("runs")), "rlz-runs")
 
     key = F.xxhash64("id")
     marked = with_hit(rows, key, bitmap(by_doc.select(key.alias("key")), "key", ID_BITS), ID_BITS, "hit")
-    plain = marked.where("not hit").select("id", "text", F.lit(None).cast(by_doc.schema["runs"].dataType).alias("runs"))
-    both = plain.unionByName(marked.where("hit").join(by_doc, "id", "left").select("id", "text", "runs"))
+    plain = marked.where("not hit").select("id", "text", "carried", F.lit(None).cast(by_doc.schema["runs"].dataType).alias("runs"))
+    both = plain.unionByName(marked.where("hit").join(by_doc, "id", "left").select("id", "text", "carried", "runs"))
 
     factor = f"array<struct<start:int,length:int,source_id:{kind},source_start:int>>"
-    out_kind = f"id {kind}, n_words long, n_removed long, kept string, factors {factor}"
+    out_kind = f"id {kind}, n_words long, n_removed long, kept string, factors {factor}, carried {rows.schema['carried'].dataType.simpleString()}"
     schema = to_arrow_schema(StructType.fromDDL(out_kind))
 
     def run(batches):
         for whole_batch in batches:
             for batch, texts in pieces.by_bytes([whole_batch], "text", batch_bytes):
                 n, removed, kept, factors = [], [], [], []
-                for text, found in zip(texts, batch.column(2).to_pylist()):
+                for text, found in zip(texts, batch.column(3).to_pylist()):
                     words = text.encode().split()
                     n.append(len(words))
                     if found:
@@ -217,6 +218,6 @@ def substring_dedup(docs: DataFrame, window: int = 20, k: int = 6, id_col: str =
                     kept.append(b" ".join(words).decode())
                     factors.append(_factors(found or [], window))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                                                  pa.array(factors, schema.field("factors").type)], schema=schema)
+                                                  pa.array(factors, schema.field("factors").type), batch.column(2)], schema=schema)
 
     return both.mapInArrow(run, out_kind)

@@ -83,7 +83,7 @@ def decode(word: str, model: np.ndarray, looks: float = 0.7, skip: float = 1.0,
         nxt: dict = {}
         arcs = [(ch, 0.0)]
         if ch in LOOKS:
-            arcs = [(x, looks) for x in LOOKS[ch]] + [(ch, sign), ("", 4 * skip)]
+            arcs = [(x, looks) for x in LOOKS[ch]] + [(ch, sign), ("", skip if ch in (word[i - 1:i], word[i + 1:i + 2]) else 12 * skip)]
         elif not ch.isalpha():
             arcs = [(ch, sign), ("", skip)]
         elif i and ch == word[i - 1]:
