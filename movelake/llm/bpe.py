@@ -20,6 +20,7 @@ default; rows may repeat; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import json
 
 import numpy as np
@@ -33,6 +34,7 @@ from movelake.llm.common import python_ready, whole
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LAST = np.int64(1 << 40)
 BREAK = "Ā"  # no byte
+SHORT = 64  # longest word, in bytes, that is merged with many others at once
 
 
 def byte_letters() -> dict[str, int]:
@@ -42,60 +44,107 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def token_bytes(path: str) -> tuple[dict, dict[bytes, int], np.ndarray]:
+    """The file, ids of the vocabulary's byte strings, and every id's bytes (special tokens included)."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = byte_letters()
+    ids = {bytes(map(letters.__getitem__, t)): i for t, i in spec["model"]["vocab"].items()}
+    special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+    table = np.array([b""] * (1 + max([*ids.values(), *special.values()])), dtype=object)
+    for b, i in (ids | special).items():
+        table[i] = b
+    return spec, ids, table
+
+
 class Vocabulary:
     def __init__(self, path: str):
         import ahocorasick
         import regex
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
-        raw = {t: bytes(map(letters.__getitem__, t)) for t in spec["model"]["vocab"]}
-        ids = {raw[t]: i for t, i in spec["model"]["vocab"].items()}
+        spec, ids, table = token_bytes(path)
+        letters, n = byte_letters(), len(table)
+        raw = lambda t: bytes(map(letters.__getitem__, t))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        n = 1 + max([*ids.values(), *self.special.values()])
-        self.bytes = np.array([b""] * n, dtype=object)
-        for b, i in ids.items():
-            self.bytes[i] = b
-        for s, i in self.special.items():
-            self.bytes[i] = s.encode()
         self.byte_id = [ids[bytes([b])] for b in range(256)]
         self.rank, self.left, self.right = np.full(n, -1, "i8"), np.zeros(n, "i8"), np.zeros(n, "i8")
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            x, y = ids[raw[a]], ids[raw[b]]
-            z = ids[raw[a] + raw[b]]
+            x, y, z = ids[raw(a)], ids[raw(b)], ids[raw(a + b)]
             self.merges.setdefault((x, y), (r, z))
-            if self.rank[z] < 0 and len(self.bytes[z]) > 1:
+            if self.rank[z] < 0:
                 self.rank[z], self.left[z], self.right[z] = r, x, y
         keys = np.array([x << 32 | y for x, y in self.merges], "i8")
         order = np.argsort(keys)
-        self.keys, self.key_rank = keys[order], np.array([r for r, _ in self.merges.values()], "i8")[order]
-        self.lens = np.array([len(b) for b in self.bytes], "i8")
+        self.keys = keys[order]
+        self.key_rank, self.key_result = (np.array([m[k] for m in self.merges.values()], "i8")[order] for k in (0, 1))
+        self.lens = np.array([len(b) for b in table], "i8")
         self.words = regex.compile(PATTERN)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.auto = ahocorasick.Automaton()
-        for b, i in ids.items():
-            if self.exact(b) == [i]:
+        for (b, i), own in zip(ids.items(), self.exact_many(list(ids))):
+            if own == np.array([i], "<u4").tobytes():  # else never a result
                 self.auto.add_word(b.decode("latin-1"), i)
         self.auto.make_automaton()
 
     def exact(self, word: bytes) -> list[int]:
-        """Merges by rank until none applies."""
-        out = [self.byte_id[b] for b in word]
-        while len(out) > 1:
-            r, z, at = min(((*self.merges.get(p, (LAST, 0)), i) for i, p in enumerate(zip(out, out[1:]))),
-                           key=lambda m: (m[0], m[2]))
-            if r == LAST:
-                break
-            out[at:at + 2] = [z]
-        return out
-
-    def pair_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Merges by rank, leftmost first, until none applies: a heap of pairs over a linked list."""
+        out: list = [self.byte_id[b] for b in word]
+        n = len(out)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(*self.merges[p], i, p) for i, p in enumerate(zip(out, out[1:])) if p in self.merges]
+        heap = [(r, i, z, p) for r, z, i, p in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, i, z, (x, y) = heapq.heappop(heap)
+            j = after[i]
+            if out[i] != x or j >= n or out[j] != y:
+                continue  # one of the two has been merged meanwhile
+            out[i], out[j] = z, None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (p := (out[k], out[after[k]])) in self.merges:
+                    r, z = self.merges[p]
+                    heapq.heappush(heap, (r, k, z, p))
+        return [t for t in out if t is not None]
+
+    def exact_many(self, words: list[bytes]) -> list[bytes]:
+        """The same for many short words at once: each round merges every word's lowest pair."""
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words])
+        of = np.repeat(np.arange(len(words)), sizes)
+        t = np.array(self.byte_id, "i8")[np.frombuffer(b"".join(words), "u1")]
+        done_of, done = [], []
+        while len(t):
+            r, z = self.pairs(t[:-1], t[1:])
+            r[of[:-1] != of[1:]] = LAST
+            r, z = np.append(r, LAST), np.append(z, 0)
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            low = np.repeat(np.minimum.reduceat(r, first), np.diff(first, append=len(of)))
+            over = low == LAST
+            done_of.append(of[over])
+            done.append(t[over])
+            at = ~over & (r == low)
+            at[1:] &= ~at[:-1] | (of[1:] != of[:-1])  # of overlapping equal pairs, the first of each run
+            t = np.where(at, z, t)
+            keep = ~over
+            keep[1:] &= ~at[:-1]
+            t, of = t[keep], of[keep]
+        of, t = np.concatenate(done_of), np.concatenate(done)
+        order = np.argsort(of, kind="stable")
+        raw, ends = t[order].astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(of, minlength=len(words)))
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and result of each pair's merge (LAST and 0 where there is none)."""
         key = x << 32 | y
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.key_rank[at], LAST)
+        is_pair = self.keys[at] == key
+        return np.where(is_pair, self.key_rank[at], LAST), np.where(is_pair, self.key_result[at], 0)
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each adjacent pair, whether it stays as it is."""
@@ -103,7 +152,7 @@ class Vocabulary:
         x, y = a.astype("i8"), b.astype("i8")
         taken_x, taken_y = np.full(len(a), LAST), np.full(len(a), LAST)  # rank of the merge that takes the node
         while len(at):
-            r = self.pair_rank(x, y)
+            r, _ = self.pairs(x, y)
             merges = (r < taken_x) & (r <= taken_y) & (r < LAST)
             ok[at[merges]] = False
             go = ~merges & ((self.rank[x] >= 0) | (self.rank[y] >= 0))
@@ -114,7 +163,7 @@ class Vocabulary:
             x, y = np.where(back_x, self.right[x], x), np.where(back_x, y, self.left[y])
         return ok
 
-    def speculate(self, words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    def speculate(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         """Greedy longest matches of each word, and which words they are right for."""
         ends = np.cumsum([len(w) + 1 for w in words])  # with the break
         found = list(self.auto.iter_long(BREAK.join(w.decode("latin-1") for w in words)))
@@ -126,23 +175,30 @@ class Vocabulary:
         good[covered != np.diff(ends, prepend=0) - 1] = False
         bad = np.flatnonzero(near)[~self.compatible(ids[:-1][near], ids[1:][near])]
         good[of[bad]] = False
-        return np.split(ids.astype("<u4"), np.searchsorted(of, np.arange(1, len(words)))), good
+        raw, cuts = ids.astype("<u4").tobytes(), (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])], good
 
     def encode_pieces(self, new: list[str]) -> list[bytes]:
         """Token ids of each piece as little-endian 32-bit integers."""
-        plan = []
-        for p in new:
-            parts = self.marks.split(p) if self.marks and "<" in p else [p]
-            plan.append([q if q in self.special else w.encode() for q in parts for w in ([q] if q in self.special else self.words.findall(q))])
-        words = list({w for p in plan for w in p if isinstance(w, bytes)})
-        known: dict = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
+        find = self.words.findall
+        plan = [find(p) if "<" not in p or not self.marks else
+                [w for q in self.marks.split(p) for w in ([q] if q in self.special else find(q))] for p in new]
+        names = list(set().union(*plan) - self.special.keys())
+        words = [w.encode() for w in names]
+        known = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
         if words:
             tokens, good = self.speculate(words)
-            known |= {w: (t.tobytes() if g else np.array(self.exact(w), "<u4").tobytes()) for w, t, g in zip(words, tokens, good)}
-        return [b"".join([known[w] for w in p]) for p in plan]
+            known.update(zip(names, tokens))
+            failed = [i for i in range(len(words)) if not good[i]]
+            short = [i for i in failed if len(words[i]) <= SHORT]
+            known.update(zip([names[i] for i in short], self.exact_many([words[i] for i in short])))
+            known.update((names[i], np.array(self.exact(words[i]), "<u4").tobytes()) for i in failed if len(words[i]) > SHORT)
+        get = known.__getitem__
+        return [b"".join(map(get, p)) for p in plan]
 
 
 _VOCABULARY: dict[str, tuple[Vocabulary, pieces.Known]] = {}
+_BYTES: dict[str, np.ndarray] = {}
 
 
 def vocabulary(path: str) -> tuple[Vocabulary, pieces.Known]:
@@ -177,7 +233,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     python_ready(encoded.sparkSession)
 
     def run(batches):
-        table = vocabulary(path)[0].bytes
+        if path not in _BYTES:
+            _BYTES[path] = token_bytes(path)[2]
+        table = _BYTES[path]
         for batch in batches:
             ids = batch.column(1)
             ends = ids.offsets.to_numpy()

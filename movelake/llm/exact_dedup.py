@@ -34,9 +34,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.xxhash64(ascii_lower(F.substring("text", 1, prefix))).alias("pre"))
 
     narrow = written(texts.select(*pair), "dedup-narrow")
-    lengths = narrow.groupBy("len").count().where("count > 1").select("len")
-    pairs = (narrow.join(lengths, "len", "left_semi").groupBy("len", "pre").count().where("count > 1")
-             .select(F.xxhash64("len", "pre").alias("key")))
+    lengths = narrow.groupBy("len").count().where("count > 1")
+    pairs = (with_hit(narrow, F.col("len"), bitmap(lengths, "len", bits), bits, "again").where("again")
+             .groupBy("len", "pre").count().where("count > 1").select(F.xxhash64("len", "pre").alias("key")))
 
     scan = with_hit(texts.select("id", "text", *pair), F.xxhash64("len", "pre"), bitmap(pairs, "key", bits), bits, "open")
     full = F.sha2(ascii_lower(F.col("text")), 256)

@@ -40,7 +40,7 @@ def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterato
 class Known:
     """Results by piece, at most ``limit`` of them (then it starts anew)."""
 
-    def __init__(self, solve: Callable[[list[str]], Iterable], limit: int = 400_000):
+    def __init__(self, solve: Callable[[list[str]], Iterable], limit: int = 250_000):
         self.solve, self.limit, self.found = solve, limit, {}
 
     def get(self, texts: list[list[str]]) -> dict:
