@@ -81,6 +81,7 @@ class Vocabulary:
         self.key_rank, self.key_result = (np.array([m[k] for m in self.merges.values()], "i8")[order] for k in (0, 1))
         self.lens = np.array([len(b) for b in table], "i8")
         self.words = regex.compile(PATTERN)
+        self.known = pieces.Known(self.encode_words, 300_000)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.auto = ahocorasick.Automaton()
         for (b, i), own in zip(ids.items(), self.exact_many(list(ids))):
@@ -183,18 +184,26 @@ class Vocabulary:
         find = self.words.findall
         plan = [find(p) if "<" not in p or not self.marks else
                 [w for q in self.marks.split(p) for w in ([q] if q in self.special else find(q))] for p in new]
-        names = list(set().union(*plan) - self.special.keys())
+        get = self.known.get(plan).__getitem__
+        return [b"".join(map(get, p)) if len(p) > 1 else get(p[0]) for p in plan]
+
+    def encode_words(self, names: list[str]) -> list[bytes]:
+        """The same for words of the pattern, and special strings."""
+        if not names:
+            return []
         words = [w.encode() for w in names]
-        known = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
-        if words:
-            tokens, good = self.speculate(words)
-            known.update(zip(names, tokens))
-            failed = [i for i in range(len(words)) if not good[i]]
-            short = [i for i in failed if len(words[i]) <= SHORT]
-            known.update(zip([names[i] for i in short], self.exact_many([words[i] for i in short])))
-            known.update((names[i], np.array(self.exact(words[i]), "<u4").tobytes()) for i in failed if len(words[i]) > SHORT)
-        get = known.__getitem__
-        return [b"".join(map(get, p)) for p in plan]
+        out, good = self.speculate(words)
+        failed = np.flatnonzero(~good).tolist()
+        short = [i for i in failed if len(words[i]) <= SHORT]
+        for i, t in zip(short, self.exact_many([words[i] for i in short])):
+            out[i] = t
+        for i in failed:
+            if len(words[i]) > SHORT:
+                out[i] = np.array(self.exact(words[i]), "<u4").tobytes()
+        for i, w in enumerate(names):
+            if w in self.special:
+                out[i] = np.array([self.special[w]], "<u4").tobytes()
+        return out
 
 
 _VOCABULARY: dict[str, tuple[Vocabulary, pieces.Known]] = {}
@@ -205,26 +214,42 @@ def vocabulary(path: str) -> tuple[Vocabulary, pieces.Known]:
     """One per worker process and file."""
     if path not in _VOCABULARY:
         v = Vocabulary(path)
-        _VOCABULARY[path] = v, pieces.Known(v.encode_pieces)
+        _VOCABULARY[path] = v, pieces.Known(v.encode_pieces, 300_000)
     return _VOCABULARY[path]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
-    """id, ids (array of token ids) per row of docs."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20,
+           round_trip: bool = False) -> DataFrame:
+    """id, ids (array of token ids) per row of docs; ``round_trip`` adds what
+    ``decode`` makes of the ids, by the same task's worker."""
     python_ready(docs.sparkSession)
 
     def run(batches):
         _, known = vocabulary(path)
+        table = _token_table(path)
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
             parts = [pieces.cut(t) for t in texts]
             found = known.get(parts)
             rows = [b"".join(map(found.__getitem__, p)) for p in parts]
             offsets = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype("i4")
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
+            columns = [batch.column(0), ids, *([_decoded(ids, table)] if round_trip else [])]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][:len(columns)])
 
     given = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
-    return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, ids array<int>")
+    return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, ids array<int>" + ", decoded string" * round_trip)
+
+
+def _token_table(path: str) -> np.ndarray:
+    if path not in _BYTES:
+        _BYTES[path] = token_bytes(path)[2]
+    return _BYTES[path]
+
+
+def _decoded(ids: pa.ListArray, table: np.ndarray) -> pa.Array:
+    ends = ids.offsets.to_numpy()
+    values = table[ids.values.to_numpy()]
+    return pa.array([b"".join(values[a:b]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -233,15 +258,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     python_ready(encoded.sparkSession)
 
     def run(batches):
-        if path not in _BYTES:
-            _BYTES[path] = token_bytes(path)[2]
-        table = _BYTES[path]
+        table = _token_table(path)
         for batch in batches:
-            ids = batch.column(1)
-            ends = ids.offsets.to_numpy()
-            values = table[ids.values.to_numpy()]
-            texts = [b"".join(values[a:b]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _decoded(batch.column(1), table)], ["id", "ids", "decoded"])
 
     given = encoded.select("id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, ids array<int>, decoded string")

@@ -39,7 +39,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: cuts lineage, and any
     executor can be lost afterwards. Unlike ``checkpoint()`` it computes df
-    once and keeps columns."""
+    once and keeps columns. An aggregate that is joined back to the rows it
+    came from is written first as well: AQE splits a hot key only where both
+    sides of the join are plain exchanges."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

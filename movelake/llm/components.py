@@ -19,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges (a, b), a > b."""
     turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     near = edges.unionByName(turned) if large else edges
-    low = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    low = written(near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "components-low")
     near = (near.where("b > a") if large else near).join(low, "a")
     out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
     if not large:

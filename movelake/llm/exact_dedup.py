@@ -45,8 +45,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # a settled row joins nothing; its own key keeps nulls from meeting in one task
     keyed = hashed.withColumn("key", F.coalesce("sha256", F.concat(F.lit("-"), F.col("rid"))))
-    groups = (hashed.where("open").groupBy(F.col("sha256").alias("key"), "len")
-              .agg(F.max(F.struct("id", "rid")).alias("top"), F.count("*").alias("n")).where("n > 1"))
+    groups = written(hashed.where("open").groupBy(F.col("sha256").alias("key"), "len")
+                     .agg(F.max(F.struct("id", "rid")).alias("top"), F.count("*").alias("n")).where("n > 1"), "dedup-groups")
     joined = keyed.join(groups, ["key", "len"], "left")
     alone = F.col("top").isNull()
     return joined.select(

@@ -92,7 +92,7 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
-    out = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    out = bpe.encode(table(spark, sf, "documents"), path, round_trip=True)
     return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -158,5 +158,5 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str =
     roots = components(links(nodes, distance))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component"))
-    of = named.join(lows, "root").select("fp", "component")
+    of = written(named.join(lows, "root").select("fp", "component"), "simhash-components")
     return rows.join(of, "fp").select("id", "fp", "component")

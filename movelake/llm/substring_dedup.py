@@ -152,10 +152,10 @@ def copied(given: DataFrame, window: int, k: int, batch_bytes: int) -> DataFrame
     index = written(open_.groupBy("gram", "phrase").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("c"),
                                                         F.first("windows").alias("windows")), "rlz-index")
 
-    several = index.groupBy("gram").count().where("count > 1").select("gram")
+    several = written(index.groupBy("gram").count().where("count > 1").select("gram"), "rlz-several")
     edges = index.join(several, "gram", "left_semi").select("gram", "first", F.posexplode("windows").alias("i", "w"))
     edges = edges.select("gram", "w", F.struct(F.col("first.id").alias("id"), (F.col("first.start") + F.col("i")).alias("start")).alias("place"))
-    earliest = edges.groupBy("gram", "w").agg(F.min("place").alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
+    earliest = written(edges.groupBy("gram", "w").agg(F.min("place").alias("source"), F.count("*").alias("c")).where("c > 1").drop("c"), "rlz-edges")
     single = (edges.join(earliest, ["gram", "w"]).where("place != source")
               .select("place.id", "place.start", F.lit(1).alias("n"), F.col("source.id").alias("source_id"), F.col("source.start").alias("source_start")))
 

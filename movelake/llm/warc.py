@@ -145,8 +145,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         again = payloads(spark, path, split).where(F.octet_length("payload") > 0).select("file", "off", F.sha2("payload", 256).alias("joined"))
         records = records.join(again, ["file", "off"], "left").withColumn("digest", F.coalesce("digest", "joined")).drop("joined")
     own = records.select("file", "off", "id", "type", "refers_to", "uri", "length", "digest")
-    sources = own.where("type = 'response' and id is not null").groupBy(F.col("id").alias("refers_to")).agg(
-        F.first(F.struct("length", "digest")).alias("source"))
+    revisited = own.where("type = 'revisit'").select(F.col("refers_to").alias("id")).distinct()
+    sources = written(own.where("type = 'response'").join(revisited, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(
+        F.first(F.struct("length", "digest")).alias("source")), "warc-sources")
     plain = own.where("type != 'revisit'").withColumn("source", F.lit(None).cast(sources.schema["source"].dataType))
     both = plain.unionByName(own.where("type = 'revisit'").join(sources, "refers_to", "left"))
     return both.select("file", "off", "id", "type", "refers_to", "uri",
