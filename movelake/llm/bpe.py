@@ -81,7 +81,7 @@ class Vocabulary:
         self.key_rank, self.key_result = (np.array([m[k] for m in self.merges.values()], "i8")[order] for k in (0, 1))
         self.lens = np.array([len(b) for b in table], "i8")
         self.words = regex.compile(PATTERN)
-        self.known = pieces.Known(self.encode_words, 300_000)
+        self.known = pieces.Known(self.encode_words, 500_000)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.auto = ahocorasick.Automaton()
         for (b, i), own in zip(ids.items(), self.exact_many(list(ids))):
@@ -214,7 +214,7 @@ def vocabulary(path: str) -> tuple[Vocabulary, pieces.Known]:
     """One per worker process and file."""
     if path not in _VOCABULARY:
         v = Vocabulary(path)
-        _VOCABULARY[path] = v, pieces.Known(v.encode_pieces, 300_000)
+        _VOCABULARY[path] = v, pieces.Known(v.encode_pieces, 600_000)
     return _VOCABULARY[path]
 
 
