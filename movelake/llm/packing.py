@@ -33,16 +33,57 @@ from movelake.llm import pieces
 from movelake.llm.common import python_ready, whole, written
 
 _KNOWN: dict[str, pieces.Known] = {}
+MARKS = ".,;:!?"
+
+
+def _parts(word: str) -> tuple[str, ...]:
+    """A run of letters and the marks after it tokenize alone, and so may share
+    their memory with other words; any other word stays whole. A-Z are
+    lower-cased as the tokenizer does."""
+    core = word.rstrip(MARKS)
+    if not (core.isalpha() and core.lower().isalpha()):  # lower-casing U+0130 adds a mark
+        return (word,)
+    low = core.lower() if core.isascii() else core
+    return (low, word[len(core):]) if len(core) < len(word) else (low,)
 
 
 def _ids(path: str) -> pieces.Known:
+    """Ids of words, as little-endian 32-bit integers; one per worker process and tokenizer."""
     if path not in _KNOWN:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.no_truncation(), t.no_padding()
-        _KNOWN[path] = pieces.Known(lambda new: [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)])
+        special = sorted((i, a.content) for i, a in t.get_added_tokens_decoder().items())
+        mark_id, mark = special[0] if special else (None, None)
+
+        def one(new: list[str]) -> list[bytes]:
+            return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)]
+
+        def many(new: list[str], group: int = 500) -> list[bytes]:
+            """Words with a special token between them, which splits the text before all else, are one call's work."""
+            if mark is None:
+                return one(new)
+            out: dict[str, bytes] = {}
+            plain = [w for w in new if "<" not in w and "|" not in w]
+            groups = [plain[i:i + group] for i in range(0, len(plain), group)]
+            for words, e in zip(groups, t.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                raw, at = ids.tobytes(), [-1, *np.flatnonzero(ids == mark_id).tolist(), len(ids)]
+                out.update((w, raw[4 * (a + 1):4 * b]) for w, a, b in zip(words, at, at[1:]))
+            rest = [w for w in new if w not in out]
+            out.update(zip(rest, one(rest)))
+            return [out[w] for w in new]
+
+        known = pieces.Known(many, 400_000)
+
+        def words(new: list[str]) -> list[bytes]:
+            parts = [_parts(w) for w in new]
+            found = known.get(parts)
+            return [b"".join([found[x] for x in p]) for p in parts]
+
+        _KNOWN[path] = pieces.Known(words, 400_000)
     return _KNOWN[path]
 
 
