@@ -24,6 +24,7 @@ repeat (pieces carry the row's own number ``rid``); an empty table gives none.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +34,20 @@ from movelake.llm import pieces
 from movelake.llm.common import python_ready, whole, written
 
 _KNOWN: dict[str, pieces.Known] = {}
-MARKS = ".,;:!?"
+#: Marks that end a run of letters; the tokenizer always splits there.
+_MARKS = re.compile(r"[.,;:!?](?<=[^\W\d_].)[.,;:!?]*(?=\s|$)", re.DOTALL)
+#: White space of Python alone, and the letter whose lower case holds a sign.
+_WHOLE = re.compile("[\x1c-\x1f\u0130]")
 
 
-def _parts(word: str) -> tuple[str, ...]:
-    """A run of letters and the marks after it tokenize alone, and so may share
-    their memory with other words; any other word stays whole. A-Z are
-    lower-cased as the tokenizer does."""
-    core = word.rstrip(MARKS)
-    if not (core.isalpha() and core.lower().isalpha()):  # lower-casing U+0130 adds a mark
-        return (word,)
-    low = core.lower() if core.isascii() else core
-    return (low, word[len(core):]) if len(core) < len(word) else (low,)
+def words(text: str) -> list[str]:
+    """Parts that tokenize alone: the tokenizer drops white space, lower-cases,
+    and splits letters from marks, so parts without these differ less often."""
+    if _WHOLE.search(text):
+        return [text]
+    if "<|" not in text and text.isascii():
+        text = text.lower()
+    return _MARKS.sub(r" \g<0>", text).split()
 
 
 def _ids(path: str) -> pieces.Known:
@@ -76,14 +79,7 @@ def _ids(path: str) -> pieces.Known:
             out.update(zip(rest, one(rest)))
             return [out[w] for w in new]
 
-        known = pieces.Known(many, 400_000)
-
-        def words(new: list[str]) -> list[bytes]:
-            parts = [_parts(w) for w in new]
-            found = known.get(parts)
-            return [b"".join([found[x] for x in p]) for p in parts]
-
-        _KNOWN[path] = pieces.Known(words, 400_000)
+        _KNOWN[path] = pieces.Known(many, 800_000)
     return _KNOWN[path]
 
 
@@ -97,9 +93,9 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
     def run(batches):
         known = _ids(path)
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
-            words = [[t] if pieces._UNSAFE.search(t) else t.split() for t in texts]
-            found = known.get(words)
-            rows = [b"".join(map(found.__getitem__, w)) + end for w in words]
+            parts = [words(t) for t in texts]
+            found = known.get(parts)
+            rows = [b"".join(map(found.__getitem__, p)) + end for p in parts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "ids"])
 
     given = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
