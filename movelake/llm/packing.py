@@ -84,7 +84,7 @@ def _ids(path: str) -> pieces.Known:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-             batch_bytes: int = 4 << 20) -> DataFrame:
+             batch_bytes: int = 8 << 20) -> DataFrame:
     """id, ids: little-endian unsigned 32-bit ids with end_id last. The
     tokenizer drops white space, so the words of a text tokenize alone."""
     python_ready(docs.sparkSession)
