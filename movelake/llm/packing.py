@@ -79,12 +79,12 @@ def _ids(path: str) -> pieces.Known:
             out.update(zip(rest, one(rest)))
             return [out[w] for w in new]
 
-        _KNOWN[path] = pieces.Known(many, 800_000)
+        _KNOWN[path] = pieces.Known(many, 300_000)
     return _KNOWN[path]
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-             batch_bytes: int = 8 << 20) -> DataFrame:
+             batch_bytes: int = 4 << 20) -> DataFrame:
     """id, ids: little-endian unsigned 32-bit ids with end_id last. The
     tokenizer drops white space, so the words of a text tokenize alone."""
     python_ready(docs.sparkSession)

@@ -35,6 +35,7 @@ def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterato
             to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(at, to - at), [x or "" for x in texts.slice(at, to - at).to_pylist()]
             at = to
+        pa.default_memory_pool().release_unused()  # a worker lives on beside the next stage's
 
 
 class Known:
