@@ -157,7 +157,7 @@ def plan(histogram: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
     while gap > spare and chosen:
         m, c = chosen[-1]
         gives = sum(shortest(i) for i in c) + len(c) * (width - 1)
-        k = min(m, -(-(gap - spare) // gives))
+        k = int(min(m, -(-(gap - spare) // gives)))
         gap, spare = gap - k * len(c) * (width - 1), spare + k * int(sum(shortest(i) for i in c))
         chosen[-1][0] -= k
         if not chosen[-1][0]:
@@ -166,7 +166,7 @@ def plan(histogram: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
     slots, first = [], 0
     for m, c in chosen:
         for slot, i in enumerate(c):
-            slots.append((int(i), slot, int(taken[i]), m, first))
+            slots.append((int(i), slot, int(taken[i]), int(m), int(first)))
             taken[i] += m
         first += m
     return slots
