@@ -44,25 +44,17 @@ def filter_required_keys(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def filter_trailing(df: DataFrame, as_of, window: str = "5 minutes",
-                    col: str = "ingested_at", chunk_col: str | None = None,
-                    slack_days: int = 1) -> DataFrame:
-    """``col > as_of - window`` (strict, like ``> NOW() - INTERVAL``)."""
-    a = as_column(as_of)
-    out = df.where(F.col(col) > a - interval(window))
-    if chunk_col:
-        out = out.where(F.col(chunk_col) >= F.date_sub(F.to_date(a - interval(window)), slack_days))
-    return out
-
-
-def filter_time_range(df: DataFrame, start, end, col: str = "ingested_at",
-                      chunk_col: str | None = None, slack_days: int = 1) -> DataFrame:
+                    col: str = "ingested_at") -> DataFrame:
+    """``col > as_of - window`` (strict, like ``> NOW() - INTERVAL``). Chunks
+    follow the event time, which can lie any time before ingestion, so they
+    cannot prune a range of ``ingested_at`` without losing late rows; Parquet
+    statistics of ``col`` do that."""
+    return df.where(F.col(col) > as_column(as_of) - interval(window))
+
+
+def filter_time_range(df: DataFrame, start, end, col: str = "ingested_at") -> DataFrame:
     """Dashboard range: ``start <= col <= end`` (inclusive both ends)."""
-    s, e = as_column(start), as_column(end)
-    out = df.where(F.col(col).between(s, e))
-    if chunk_col:
-        out = out.where(F.col(chunk_col).between(F.date_sub(F.to_date(s), slack_days),
-                                                 F.date_add(F.to_date(e), slack_days)))
-    return out
+    return df.where(F.col(col).between(as_column(start), as_column(end)))
 
 
 def filter_bbox(df: DataFrame, boxes, lat="latitude", lon="longitude") -> DataFrame:

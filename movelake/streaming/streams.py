@@ -8,12 +8,14 @@ restarted driver resumes from the last committed batch.
 Exactly-once output:
 * stateless jobs use the Parquet file sink (its commit log is idempotent);
 * ``foreachBatch`` jobs write each micro-batch with a dynamic overwrite of
-  that batch's own ``batch_id`` partitions, so a replayed batch replaces
+  that batch's own ``(writer, batch_id)`` partitions, so a replayed batch replaces
   its earlier attempt instead of appending twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,12 +59,20 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def write_batch(df: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Idempotent micro-batch write: partitions (chunk, batch_id) of this
-    batch are overwritten, nothing else is touched."""
-    rows = with_chunk(prepare(df, table), table).withColumn("batch_id", F.lit(batch_id).cast("long"))
+def writer_of(checkpoint: str) -> str:
+    """Identity of the stream that owns a checkpoint folder: batch ids count
+    from 0 in each, so two streams (or one restarted on a new checkpoint) must
+    not share partitions."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_batch(df: DataFrame, path: str, table: str, batch_id: int, writer: str = "none") -> None:
+    """Idempotent micro-batch write: partitions (chunk, writer, batch_id) of
+    this batch are overwritten, nothing else is touched."""
+    rows = (with_chunk(prepare(df, table), table).withColumn("writer", F.lit(f"w{writer}"))
+            .withColumn("batch_id", F.lit(batch_id).cast("long")))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd").partitionBy("chunk", "batch_id").parquet(path))
+         .option("compression", "zstd").partitionBy("chunk", "writer", "batch_id").parquet(path))
 
 
 def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
@@ -76,7 +86,7 @@ def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = dedup_pings(batch, order="seq") if (dedup or trigger is None) else batch
-        write_batch(b.drop("seq"), table_path, "ships", batch_id)
+        write_batch(b.drop("seq"), table_path, "ships", batch_id, writer_of(checkpoint))
 
     w = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -206,7 +216,8 @@ def stall_watch(inserts: DataFrame, gap_s: int = 120, watermark: str = "2 minute
 
 
 # --- any feed as a stream (STR-3 with first-wins across micro-batches) ------------
-DEDUP_KEYS = {"flights": ["timestamp", "icao24"]}  # (cycle, aircraft) for the fan-out feeds
+# (cycle, aircraft) of one source, for the feeds that poll several endpoints per cycle; the others keep every row
+DEDUP_KEYS = {feed: ["source", "timestamp", "icao24"] for feed in ("adsb_endpoints", "adsb_regions", "adsb_types")}
 
 
 def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: str, checkpoint: str,
@@ -221,8 +232,9 @@ def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: st
     from movelake.jobs import FEEDS
     from movelake.operators.layout import list_chunks
     table, normalise, _reject = FEEDS[feed]
-    key = DEDUP_KEYS.get(table) if first_wins else None
+    key = DEDUP_KEYS.get(feed) if first_wins else None
     landed = landed_stream(spark, landing_dir, max_files)
+    writer = writer_of(checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         from pyspark import StorageLevel
@@ -231,10 +243,10 @@ def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: st
         if key and list_chunks(spark, table_path):
             lo, hi = rows.agg(F.min("chunk")).scalar(), rows.agg(F.max("chunk")).scalar()
             seen = (spark.read.parquet(table_path)
-                         .where(F.col("chunk").between(lo, hi) & (F.col("batch_id") != batch_id))
+                         .where(F.col("chunk").between(lo, hi) & ~((F.col("writer") == f"w{writer}") & (F.col("batch_id") == batch_id)))
                          .select(*key, "chunk"))
             rows = rows.join(seen, key + ["chunk"], "left_anti")
-        write_batch(rows.drop("chunk"), table_path, table, batch_id)
+        write_batch(rows.drop("chunk"), table_path, table, batch_id, writer)
         batch.unpersist()
 
     w = landed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

@@ -107,3 +107,18 @@ def test_watermark_dedup_across_batches(spark):
         q.stop()
     lats = sorted(r.latitude for r in spark.read.parquet(out).collect())
     assert lats == [50.0, 50.001]
+
+
+def test_writers_of_one_table_keep_each_others_rows(spark, tmp_path):
+    from movelake.sources import landed
+    from movelake.streaming.streams import stream_feed
+
+    table, n = str(tmp_path / "flights"), 0
+    for run, feed in enumerate(("adsb_endpoints", "adsb_endpoints", "state_vectors")):
+        make = landed.land_state_vectors(spark, "/root/testdata/sf0.001") if feed == "state_vectors" else landed.land_adsb(spark, "/root/testdata/sf0.001", feed)
+        make.coalesce(1).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(str(tmp_path / f"in{run}"))
+        stream_feed(spark, str(tmp_path / f"in{run}"), feed, table, str(tmp_path / f"ck{run}"), trigger=None).awaitTermination()
+        rows = spark.read.parquet(table).count()
+        # the second run holds the first one's rows again, which first-wins drops; the other feed's are all new
+        assert rows == n if run == 1 else rows > n
+        n = rows
