@@ -51,7 +51,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def python_ready(spark: SparkSession) -> None:
     """Ships the package to Python workers and bounds Arrow batches by bytes
     (unless the session already does), so that long texts fit a worker."""
-    bound_arrow_batches(spark, 32 << 20)
+    bound_arrow_batches(spark, 8 << 20)
     ship_package(spark)
 
 

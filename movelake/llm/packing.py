@@ -79,7 +79,7 @@ def _ids(path: str) -> pieces.Known:
             out.update(zip(rest, one(rest)))
             return [out[w] for w in new]
 
-        _KNOWN[path] = pieces.Known(many, 300_000)
+        _KNOWN[path] = pieces.Known(many, 200_000)
     return _KNOWN[path]
 
 

@@ -9,7 +9,9 @@ symbols; texts that hold one stay whole.
 
 from __future__ import annotations
 
+import ctypes
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -35,7 +37,14 @@ def by_bytes(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterato
             to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(at, to - at), [x or "" for x in texts.slice(at, to - at).to_pylist()]
             at = to
-        pa.default_memory_pool().release_unused()  # a worker lives on beside the next stage's
+        _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory to the system: a worker lives on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Known:

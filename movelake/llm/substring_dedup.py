@@ -179,7 +179,7 @@ def _factors(runs: list[dict], window: int) -> list[dict]:
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, k: int = 6, id_col: str = "doc_id", text_col: str = "text",
-                    batch_bytes: int = 4 << 20, carry: tuple[str, ...] = ()) -> DataFrame:
+                    batch_bytes: int = 2 << 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """id, n_words, n_removed, kept (the words that stay, joined by one space) and
     factors (start, length in words, source_id, source_start) per row of docs;
     ``carry``: columns of docs that come along, as one struct ``carried``."""
