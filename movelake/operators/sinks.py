@@ -10,6 +10,7 @@ whole directories.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -97,16 +98,24 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def append_idempotent(batch: DataFrame, target: DataFrame, key=("source", "icao24", "timestamp"),
-                      chunk_col: str = "chunk") -> DataFrame:
+                      chunk_col: str = "chunk", clock_col: str = "ingested_at") -> DataFrame:
     """SNK-10 / JOIN-3: rows of ``batch`` whose key is not in the batch
     already (dropDuplicates) nor in ``target``. The target is pruned to the
-    batch's chunk range first, so only the touched partitions are read."""
+    batch's chunk range first, so only the touched partitions are read.
+
+    A key with a NULL names no row: such rows are the same only if all
+    columns but ``clock_col`` are, NULLs being equal, in the batch and against
+    the target alike. So none is lost, and a retry adds none again."""
     key = list(key)
-    b = batch.dropDuplicates(key)
-    lo = b.agg(F.min(chunk_col)).scalar()
-    hi = b.agg(F.max(chunk_col)).scalar()
-    t = target.where(F.col(chunk_col).between(lo, hi)).select(*key, chunk_col)
-    return b.join(t, key + [chunk_col], "left_anti")
+    lo, hi = batch.agg(F.min(chunk_col), F.max(chunk_col)).first()
+    t = target.where(F.col(chunk_col).between(lo, hi))
+    unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    named = (batch.where(~unnamed).dropDuplicates(key)
+             .join(t.where(~unnamed).select(*key, chunk_col), key + [chunk_col], "left_anti"))
+    rest = [c for c in batch.columns if c != clock_col]
+    seen = t.where(unnamed).select(*[F.col(c).alias(f"_t_{c}") for c in rest if c in t.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in rest if c in t.columns])
+    return named.select(*batch.columns).unionByName(batch.where(unnamed).dropDuplicates(rest).join(seen, same, "left_anti"))
 
 
 def unnest_columns(df: DataFrame, array_cols, names=None) -> DataFrame:

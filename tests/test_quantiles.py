@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from movelake.operators.quantiles import exact_percentiles
+from movelake.operators.quantiles import exact_percentiles, interval
 
 PS = [0.0, 0.5, 0.95, 0.99, 1.0]
 
@@ -23,7 +25,7 @@ def test_matches_brute_force_with_hot_group_and_ties(spark):
     rows += [("one", 5.0)]
     rows += [("hot", None)]
     df = spark.createDataFrame(rows, "g string, x double")
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "x", PS, partitions=7).collect()}
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "x", PS, steps=7).collect()}
     for g in ("hot", "cold", "one"):
         vals = [x for k, x in rows if k == g and x is not None]
         assert got[g].n == len(vals)
@@ -81,3 +83,32 @@ def test_approx_path_close_to_exact(spark):
     a = delay_trend(d, days=None, approx=True)
     e = delay_trend(d, days=None)
     assert a.columns == e.columns and a.count() == e.count()
+
+
+@pytest.mark.parametrize("setting", ["spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"])
+def test_same_result_whatever_the_planner_reuses(spark, setting):
+    x = (F.hash("id") / 7).alias("x")  # negative values, no repeats to speak of
+    df = spark.range(0, 60_000, 1, 16).select((F.col("id") % 3).alias("g"), x)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        got = {r.g: [r[f"p{i}"] for i in range(len(PS))] for r in exact_percentiles(df, ["g"], "x", PS).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.array(*map(F.lit, PS))).alias("q")).collect()}
+    for g, q in want.items():
+        assert got[g] == pytest.approx(q, rel=1e-12)
+
+
+def test_intervals_never_fall(spark):
+    rnd = random.Random(11)
+    values = sorted([0.0, -0.0, float("inf"), float("-inf"), 1e300, -1e300, 5e-324]
+                    + [rnd.choice((1, -1)) * rnd.random() * 10 ** rnd.randint(-9, 18) for _ in range(2000)]) + [float("nan")]
+    df = spark.createDataFrame(list(enumerate(values)), "n long, x double").select("n", interval(F.col("x")).alias("i"))
+    got = [r.i for r in df.orderBy("n").collect()]
+    assert got == sorted(got)
+
+
+def test_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("b", None)], "g string, x double")
+    assert {(r.g, r.p0, r.n) for r in exact_percentiles(df, ["g"], "x", [0.5]).collect()} == {(None, 2.0, 2), ("a", 5.0, 1)}
