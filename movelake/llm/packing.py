@@ -34,8 +34,13 @@ from movelake.llm import pieces
 from movelake.llm.common import python_ready, whole, written
 
 _KNOWN: dict[str, pieces.Known] = {}
-#: Marks that end a run of letters; the tokenizer always splits there.
-_MARKS = re.compile(r"[.,;:!?](?<=[^\W\d_].)[.,;:!?]*(?=\s|$)", re.DOTALL)
+#: Marks that end a run of letters; the tokenizer always splits there. An
+#: apostrophe can start a contraction, "<" and "|" a special token.
+_MARK = r"""[!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]"""
+_MARKS = re.compile(rf"{_MARK}(?<=[^\W\d_].){_MARK}*(?=\s|$)", re.DOTALL)
+#: Letters that normalise one by one (no combining signs among them).
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
 #: White space of Python alone, and the letter whose lower case holds a sign.
 _WHOLE = re.compile("[\x1c-\x1f\u0130]")
 
@@ -50,6 +55,19 @@ def words(text: str) -> list[str]:
     return _MARKS.sub(r" \g<0>", text).split()
 
 
+def _shapes(t) -> dict[int, str]:
+    """What the tokenizer's normaliser and pre-tokenizer make of each letter;
+    empty if a run of letters is not simply the run of their shapes."""
+    def cut(text: str) -> list[str]:
+        text = t.normalizer.normalize_str(text) if t.normalizer else text
+        return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
+
+    letters = [c for c in map(chr, range(0x250)) if _PLAIN(c)]
+    shapes = {ord(c): "".join(cut(c)) for c in letters}
+    together = ["".join(shapes.values())]
+    return shapes if cut("".join(letters)) == together and cut("".join(letters[::-1])) == ["".join([*shapes.values()][::-1])] else {}
+
+
 def _ids(path: str) -> pieces.Known:
     """Ids of words, as little-endian 32-bit integers; one per worker process and tokenizer."""
     if path not in _KNOWN:
@@ -58,6 +76,7 @@ def _ids(path: str) -> pieces.Known:
 
         t = Tokenizer.from_file(path)
         t.no_truncation(), t.no_padding()
+        shapes, merge = _shapes(t), t.model.tokenize
         special = sorted((i, a.content) for i, a in t.get_added_tokens_decoder().items())
         mark_id, mark = special[0] if special else (None, None)
 
@@ -65,11 +84,13 @@ def _ids(path: str) -> pieces.Known:
             return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)]
 
         def many(new: list[str], group: int = 500) -> list[bytes]:
-            """Words with a special token between them, which splits the text before all else, are one call's work."""
+            """Words of plain letters go to the model at once; others, with a special token between
+            them, which splits the text before all else, are one call's work."""
             if mark is None:
                 return one(new)
-            out: dict[str, bytes] = {}
-            plain = [w for w in new if "<" not in w and "|" not in w]
+            out: dict[str, bytes] = {w: np.array([x.id for x in merge(w.translate(shapes))], "<u4").tobytes()
+                                     for w in new if shapes and _PLAIN(w)}
+            plain = [w for w in new if w not in out and "<" not in w and "|" not in w]
             groups = [plain[i:i + group] for i in range(0, len(plain), group)]
             for words, e in zip(groups, t.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)):
                 ids = np.array(e.ids, "<u4")
@@ -84,7 +105,7 @@ def _ids(path: str) -> pieces.Known:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-             batch_bytes: int = 4 << 20) -> DataFrame:
+             batch_bytes: int = 1 << 20) -> DataFrame:
     """id, ids: little-endian unsigned 32-bit ids with end_id last. The
     tokenizer drops white space, so the words of a text tokenize alone."""
     python_ready(docs.sparkSession)

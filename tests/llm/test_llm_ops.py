@@ -157,6 +157,20 @@ def test_packing(docs, rows):
         assert n <= 64 and n & (n - 1) == 0  # nothing is padded
 
 
+def test_words_tokenize_alone():
+    from tokenizers import Tokenizer
+
+    r = random.Random(3)
+    letters = "abczABZ" * 3 + "éÉñÑßẞİıſǅœŒΣςσя你" + "0123²Ⅷ½" + "\u0338\u0301\u0307\u200b\u00a0\u3000" + ".,;:!?$#&*%()[]<>|'\"_-=~`^\\/st \t\n\x1c"
+    given = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(4000)]
+    given += ["<|endoftext|>a", "x<|startoftext|>", "a=\u0338 b", "don't We'll 's 'S 'Tis IT'S", "a_b_ c__", "A'.S", "Queé$$$ ,***"]
+    known, whole = packing._ids(WORD), Tokenizer.from_file(WORD)
+    parts = [packing.words(x) for x in given]
+    found = known.get(parts)
+    for p, e in zip(parts, whole.encode_batch(given, add_special_tokens=False)):
+        assert b"".join(found[w] for w in p) == np.array(e.ids, "<u4").tobytes()
+
+
 def test_packing_plan_stays_within_the_histogram():
     r = np.random.default_rng(1)
     for _ in range(5):
