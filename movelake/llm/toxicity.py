@@ -2,11 +2,13 @@
 
 * Language model: character trigrams of all documents' plain words, counted in
   Arrow batches and summed by Spark (one row per trigram of a small alphabet).
-* Channel: a word that may be disguised (figures or signs among its letters,
-  letters repeated three times or more, single letters spaced out) becomes a
-  lattice: each sign may be itself, a letter it looks like, or nothing, a run
-  of one letter may be one or two. Viterbi decoding under the language model
-  picks the restored word; other words have a single path and are not decoded.
+* Channel: a word of any length that holds a letter and any figure or sign, or
+  a letter three times or more in a row, or single letters spaced out by any
+  white space, becomes a lattice: each sign may be itself, a letter it looks
+  like, or nothing, a run of one letter may be one or two. A star between
+  letters is tried as a letter of its own as well. Viterbi decoding under the
+  language model picks the restored word; words of plain letters have a single
+  path and are not decoded. Distinct words are decoded once.
 * Classifier: on a sample of labelled rows (at most about ``most_rows``, taken
   by hash of the id) document frequencies of words and word beginnings give
   log-odds; those with enough support form the lexicon (at most ``most_words``
@@ -24,6 +26,7 @@ toxic ones (0 if there are none); repeated rows are scored alike.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from movelake.llm.common import bitmap, python_ready, whole, with_hit, written
 
 #: Letters that figures and signs look like.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
-GAPS = " .-_*"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Character classes of the model: 0 word edge, 1-26 a-z, 27 other letters; 28 marks figures and signs, which it does not count.
 CLASSES, OTHER, NONE = 29, 27, 28
 BITS = 1 << 24
@@ -71,82 +74,112 @@ def language_model(given: DataFrame, batch_bytes: int) -> np.ndarray:
     return np.log(n / n.sum(2, keepdims=True)).astype("f4")
 
 
+@lru_cache(1 << 14)
 def _class(c: str) -> int:
     return int(classes(c)[0])
 
 
-def decode(word: str, model: np.ndarray, looks: float = 0.7, skip: float = 1.0, sign: float = 9.0) -> str:
+def decode(word: str, model: np.ndarray, looks: float = 0.7, skip: float = 1.0, sign: float = 9.0, star: float | None = None) -> str:
     """The likeliest plain word behind a disguised one: Viterbi over a lattice
-    whose states are the last two classes."""
-    paths = {(0, 0): (0.0, "")}
+    whose states are the last two classes. With ``star``, each ``*`` is one
+    letter of a-z at that cost, else a sign like others."""
+    score_of = model.item
+    paths = {(0, 0): (0.0, None)}  # score and chain of letters, last first
     for i, ch in enumerate(word):
-        nxt: dict = {}
-        arcs = [(ch, 0.0)]
         if ch in LOOKS:
             arcs = [(x, looks) for x in LOOKS[ch]] + [(ch, sign), ("", skip if ch in (word[i - 1:i], word[i + 1:i + 2]) else 12 * skip)]
+        elif ch == "*" and star is not None:
+            arcs = [(x, star) for x in LETTERS]
         elif not ch.isalpha():
             arcs = [(ch, sign), ("", skip)]
+        elif i > 1 and word[i - 2:i + 1] == 3 * ch:  # a run is one or two
+            continue
         elif i and ch == word[i - 1]:
-            arcs.append(("", 0.3 if word[i - 2:i + 1] == 3 * ch or word[i - 1:i + 2] == 3 * ch else 3 * skip))
+            arcs = [(ch, 0.0), ("", 0.3 if word[i - 1:i + 2] == 3 * ch else 3 * skip)]
+        elif len(paths) == 1:  # no choice: what all paths pay decides nothing
+            ((_, b), (score, out)), = paths.items()
+            paths = {(b, _class(ch)): (score, (out, ch))}
+            continue
+        else:
+            arcs = [(ch, 0.0)]
+        nxt: dict = {}
         for (a, b), (score, out) in paths.items():
             for x, cost in arcs:
                 if not x:
-                    to, s = (a, b), score - cost
+                    to, s, chain = (a, b), score - cost, out
                 else:
                     c = _class(x)
-                    to, s = (b, c), score - cost + float(model[a, b, c])
+                    to, s, chain = (b, c), score - cost + score_of(a, b, c), (out, x)
                 if to not in nxt or s > nxt[to][0]:
-                    nxt[to] = s, out + x
+                    nxt[to] = s, chain
         paths = nxt
-    return max((score + float(model[a, b, 0]), out) for (a, b), (score, out) in paths.items())[1]
+    out = max(((score + score_of(a, b, 0), chain) for (a, b), (score, chain) in paths.items()), key=lambda x: x[0])[1]
+    letters = []
+    while out:
+        out, x = out
+        letters.append(x)
+    return "".join(reversed(letters))
 
 
 _LOOK = "".join(map(re.escape, LOOKS))
 _LETTER = r"[^\W\d_]"
-_DISGUISED = re.compile(rf"{_LETTER}[{_LOOK}]{{1,2}}{_LETTER}|(?:^|(?<=\s))[{_LOOK}]{_LETTER}|({_LETTER})\1\1|{_LETTER}[.\-_*]{_LETTER}[.\-_*]{_LETTER}")
-_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[{_LOOK}])(?: (?:[^\W_]|[{_LOOK}])){{2,}}(?!\S)")
-
-
-def suspicious(texts: list[str]) -> np.ndarray:
-    """Which lower-cased texts may hold a disguised word: one test over all characters."""
-    sizes = np.array([len(t) + 1 for t in texts])
-    c = classes("\n".join([*texts, ""]))
-    code = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), "<u4")
-    letter, look = (c > 0) & (c < NONE), np.isin(code, [ord(x) for x in LOOKS])
-    gap = np.isin(code, [ord(x) for x in GAPS])
-
-    def at(x: np.ndarray, k: int) -> np.ndarray:
-        return np.concatenate([x[k:], np.zeros(k, bool)])
-
-    one = letter | look
-    hit = letter & at(look, 1) & (at(letter, 2) | at(look, 2) & at(letter, 3))
-    hit |= (c == 0) & at(look, 1) & at(letter, 2)
-    hit |= letter & (code == np.roll(code, -1)) & (code == np.roll(code, -2))
-    alone = one & ~np.concatenate([[False], one[:-1]]) & ~at(one, 1)
-    hit |= alone & at(gap, 1) & at(alone, 2) & at(gap, 3) & at(alone, 4)
-    hit[:2] = True  # edges are settled by the patterns
-    found = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(sizes)[:-1]])) if len(texts) else np.zeros(0)
-    return found > 0
-
-
-def restored(text: str, model: np.ndarray, memory: dict) -> list[str]:
-    """Words behind the disguised ones of a lower-cased text."""
-    out = [m.group().replace(" ", "") for m in _SPACED.finditer(text)]
-    out += [w for w in text.split() if len(w) <= 64 and _DISGUISED.search(w)]
+_HAS_LETTER, _RUN = re.compile(_LETTER), re.compile(rf"({_LETTER})\1\1")
+_STAR = re.compile(r"\w\*+\w")
+_EDGE = ".,;:?\"'()[]{}«»¿¡…"
+_ONE = rf"[{re.escape(_EDGE)}]*(?:[^\W_]|[{_LOOK}])[{re.escape(_EDGE)}]*"
+_SPACED = re.compile(rf"(?<!\S){_ONE}(?:\s+{_ONE}){{2,}}(?!\S)")
+_BLANKS = re.compile(r"(\s+)")
+#: 0 white space, 1 signs that may stand around a single letter, 2 others; the last for all above it.
+_KIND = np.full(1 << 16, 2, "u1")
+_KIND[[c for c in range(1 << 16) if chr(c).isspace()]] = 0
+_KIND[[*map(ord, _EDGE)]] = 1
+
+
+def spaced(texts: list[str]) -> list[list[str]]:
+    """Per lower-cased text, the words behind runs of three single letters or
+    more: of the whole run, and of its stretches between equal blanks."""
+    out: list[list[str]] = [[] for _ in texts]
+    kind = _KIND[np.minimum(np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), "<u4"), (1 << 16) - 1)]
+    starts = np.flatnonzero((kind > 0) & (np.concatenate([[0], kind[:-1]]) == 0))
+    if len(starts) < 3:
+        return out
+    one = np.add.reduceat(kind == 2, starts, dtype="i4") == 1
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    for i in np.unique(np.searchsorted(ends, starts[:-2][one[:-2] & one[1:-1] & one[2:]], "right")).tolist():
+        for m in _SPACED.finditer(texts[i]):
+            parts = _BLANKS.split(m.group())
+            letters, blanks = [x.strip(_EDGE) for x in parts[::2]], parts[1::2]
+            cuts = [k for k in range(1, len(blanks)) if blanks[k] != blanks[k - 1]]
+            for a, b in {(0, len(blanks)), *zip([0, *cuts], [*cuts, len(blanks)])}:
+                word = "".join(letters[a:b + 1])
+                if b - a > 1 and _HAS_LETTER.search(word):
+                    out[i].append(word)
+    return out
+
+
+def restored(word: str, model: np.ndarray) -> tuple[str, ...]:
+    """What may stand behind a lower-cased word: with and without the signs at
+    its ends decoded, if it holds a letter and any sign, figure or run."""
     found = []
-    for w in set(out):
-        w = w.strip(".,;:?\"'()")
-        if w not in memory:
-            if len(memory) > 200_000:
-                memory.clear()
-            memory[w] = decode(w, model) if w else ""
-        found.append(memory[w])
-    return found
+    for w in {word.strip(_EDGE), word.strip(_TRIM)}:
+        if w.isalpha() and not _RUN.search(w) or not _HAS_LETTER.search(w):
+            continue
+        found.append(decode(w, model))
+        if _STAR.search(w):
+            found.append(decode(w, model, star=3.3))
+    return tuple(found)
+
+
+def restorer(model: np.ndarray) -> pieces.Known:
+    """Distinct words are decoded once."""
+    return pieces.Known(lambda new: [restored(w, model) for w in new])
 
 
-def word_lists(texts: list[str], model: np.ndarray, memory: dict) -> list[set[str]]:
+def word_lists(texts: list[str], known: pieces.Known) -> list[set[str]]:
     low = [t.lower() for t in texts]
-    return [set(t.split()).union(restored(t, model, memory)) if s else set(t.split()) for t, s in zip(low, suspicious(low))]
+    words = [set(t.split()).union(run) for t, run in zip(low, spaced(low))]
+    found = known.get(words)
+    return [ws.union(*(found[w] for w in ws if found[w])) for ws in words]
 
 
 def features(word: str) -> set[str]:
@@ -157,10 +190,10 @@ def features(word: str) -> set[str]:
 
 def lexicon(labelled: DataFrame, model, most_words: int, batch_bytes: int, support: float, odds: float) -> dict[str, float]:
     def run(batches):
-        lm, memory = np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3), {}
+        back = restorer(np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3))
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
             n: dict[str, list[int]] = {}
-            for words, y in zip(word_lists(texts, lm, memory), batch.column(1).to_pylist()):
+            for words, y in zip(word_lists(texts, back), batch.column(1).to_pylist()):
                 for f in set().union(*map(features, words)) if words else ():
                     n.setdefault(f, [0, 0])[y] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[0] for x in n.values()], pa.int64()),
@@ -181,10 +214,10 @@ def evidence(texts_df: DataFrame, model, lex, best: int, batch_bytes: int) -> Da
     rest = [c for c in texts_df.columns if c != "text"]
 
     def run(batches):
-        lm, memory, weights = np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3), {}, lex.value
+        back, weights = restorer(np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3)), lex.value
         known = pieces.Known(lambda new: [max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in new])
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
-            words = word_lists(texts, lm, memory)
+            words = word_lists(texts, back)
             found = known.get(words)
             x = [sum(sorted((found[w] for w in ws if found[w]), reverse=True)[:best]) for ws in words]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in rest] + [pa.array(x, pa.float64())], [*rest, "x"])

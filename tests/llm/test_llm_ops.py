@@ -308,6 +308,23 @@ def test_toxicity_restores_disguises(spark):
     assert {x.score for x in toxicity.score(docs, labels.where("doc_id < 0")).collect()} == {0.0}
 
 
+def test_toxicity_restores_every_spelling(spark):
+    r = random.Random(2)
+    plain = ["this", "that", "house", "river", "stone", "green", "little", "water"]
+    bad = ["stupid", "idiot", "loser", "bastard", "slut", "ass"]
+    rows = [(i, " ".join(r.choices(plain, k=30) + ([bad[i // 5 % 6]] if i % 5 == 0 else [])), int(i % 5 == 0)) for i in range(600)]
+    spelt = ["l053r", "b4$74rd", "idi07", "$1u7", "a$$", "a$$!", "idiot5", "s*upid", "1.d.1.0.t", "s..t..u..p..i..d", "s  t  u  p  i  d", "s\tt\tu\tp\ti\td",
+             "i d\n1 0 t", "s, t, u, p, i, d!", "the river  s  t  u  p  i  d  as", '"1diot', "(5tupid)", "1d" + 70 * "i" + "ot", "id-" + 5000 * "i" + "ot", "stup1d"]
+    rows += [(1000 + i, f"green river {x} little house", None) for i, x in enumerate(spelt)]
+    clean = ["it's 10km", "well-known", "u.s.", "wow!", "a b c d", "i   a   1", "1 2 3 4", "-- ** --", "x" * 5000 + "-1"]
+    rows += [(2000 + i, f"green river {x} little house", None) for i, x in enumerate(clean)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if y is not None], "doc_id long, toxic int")
+    out = {x.id: x.score for x in toxicity.score(docs, labels).collect()}
+    assert [x for i, x in enumerate(spelt) if out[1000 + i] <= 0.7] == []
+    assert [x for i, x in enumerate(clean) if out[2000 + i] >= 0.3] == []
+
+
 def test_empty_tables(spark, none, tmp_path):
     assert exact_dedup(none).count() == 0
     assert quality.cascade(none, quality.plan_cascade(none, quality.rules())).count() == 0
