@@ -11,8 +11,10 @@
   path and are not decoded. Distinct words are decoded once.
 * Classifier: on a sample of labelled rows (at most about ``most_rows``, taken
   by hash of the id) document frequencies of words and word beginnings give
-  log-odds; those with enough support form the lexicon (at most ``most_words``
-  entries). A text's evidence is the sum of its ``best`` strongest different
+  smoothed log-odds; what at least ``support`` toxic rows hold, however many
+  there are, and reaches ``odds`` forms the lexicon (the ``most_words`` heaviest
+  entries at most). It weighs its log-odds less their standard error, so that
+  few rows weigh little. A text's evidence is the sum of its ``best`` strongest different
   words, mapped to a probability by a logistic curve fitted to the sample.
 
 Rows learned from are the caller's choice; scores use texts alone.
@@ -160,6 +162,8 @@ def spaced(texts: list[str]) -> list[list[str]]:
 def restored(word: str, model: np.ndarray) -> tuple[str, ...]:
     """What may stand behind a lower-cased word: with and without the signs at
     its ends decoded, if it holds a letter and any sign, figure or run."""
+    if word.isalpha() and not _RUN.search(word):
+        return ()
     found = []
     for w in {word.strip(_EDGE), word.strip(_TRIM)}:
         if w.isalpha() and not _RUN.search(w) or not _HAS_LETTER.search(w):
@@ -188,7 +192,7 @@ def features(word: str) -> set[str]:
     return {w, *(w[:k] + "*" for k in (4, 5, 6) if len(w) >= k)} if len(w) > 2 else set()
 
 
-def lexicon(labelled: DataFrame, model, most_words: int, batch_bytes: int, support: float, odds: float) -> dict[str, float]:
+def lexicon(labelled: DataFrame, model, most_words: int, batch_bytes: int, support: int, odds: float) -> dict[str, float]:
     def run(batches):
         back = restorer(np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3))
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
@@ -205,7 +209,8 @@ def lexicon(labelled: DataFrame, model, most_words: int, batch_bytes: int, suppo
         return {}
     sums = labelled.select("text", "y").mapInArrow(run, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     weight = F.log((F.col("t") + 0.5) / (t + 1.0)) - F.log((F.col("c") + 0.5) / (c + 1.0))
-    kept = sums.where(F.col("t") >= max(6, support * t)).withColumn("w", weight).where(F.col("w") >= odds)
+    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))  # of the log-odds; the fewer rows, the larger
+    kept = sums.where(F.col("t") >= support).where(weight >= odds).withColumn("w", weight - error).where("w > 0")
     return {r["f"]: float(r["w"]) for r in kept.orderBy(F.desc("w"), "f").limit(most_words).collect()}
 
 
@@ -243,7 +248,7 @@ def curve(bins: list[tuple[float, int, int]], ridge: float = 1e-2, rounds: int =
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          most_rows: int = 30_000, most_words: int = 20_000, best: int = 3, support: float = 0.01, odds: float = 2.5,
+          most_rows: int = 30_000, most_words: int = 20_000, best: int = 3, support: int = 3, odds: float = 2.5,
           batch_bytes: int = 4 << 20) -> DataFrame:
     """id, score (0 to 1) per row of docs. ``labels``: only rows to learn from."""
     spark = docs.sparkSession

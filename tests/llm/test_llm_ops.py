@@ -325,6 +325,16 @@ def test_toxicity_restores_every_spelling(spark):
     assert [x for i, x in enumerate(clean) if out[2000 + i] >= 0.3] == []
 
 
+def test_toxicity_learns_rare_insults(spark):
+    r = random.Random(6)
+    plain = ["this", "that", "house", "river", "stone", "green", "little", "water"]
+    rows = [(i, " ".join(r.choices(plain, k=20) + ([("zounderkite" if i < 20 else "stupid")] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(9000, "green zounderkite river"), (9001, "green water river")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    out = {x.id: x.score for x in toxicity.score(docs, labels).collect()}  # 5 of 750 toxic rows hold it
+    assert out[9000] > 0.7 and out[9001] < 0.3
+
+
 def test_empty_tables(spark, none, tmp_path):
     assert exact_dedup(none).count() == 0
     assert quality.cascade(none, quality.plan_cascade(none, quality.rules())).count() == 0
