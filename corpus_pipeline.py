@@ -1,9 +1,9 @@
 """A training corpus from ``documents``: quality rules, exact and near
 de-duplication, removal of repeated passages, packing into sequences.
 
-Each stage works on all that the one before kept. A document is named by its
-doc_id: rows that repeat one stay or go together, but for whole repeated rows,
-of which exact de-duplication leaves one. Null ids are one more id.
+Each stage works on all that the one before kept. Exact and near
+de-duplication leave one row of each group, also where rows repeat a doc_id or
+have none.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from movelake.llm import packing, quality
 from movelake.llm.common import ascii_lower, bitmap, table, whole, with_hit, written
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.queries import packing_digest, tokenizer
-from movelake.llm.simhash import near_duplicates
+from movelake.llm.simhash import fingerprints, near_duplicates
 from movelake.llm.substring_dedup import substring_dedup
 
 BITS = 1 << 24
@@ -53,9 +53,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = near_duplicates(docs, shingle=3, distance=2)
-    state = rows.groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component"))).alias("stays"))
-    return _without(docs, written(state.where("not stays").select("id"), "pipeline-near-ids"))
+    rows = written(near_duplicates(docs, shingle=3, distance=2).select("id", "fp", "root"), "pipeline-near")
+    # one row of each component stays: of the smallest id, null last, and of its rows there one of the smallest fingerprint
+    best = written(rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("top")).select("top.id", "top.fp"), "pipeline-near-best")
+    counts = rows.select("id", F.lit(1).alias("n"), F.lit(0).alias("k")).unionByName(best.select("id", F.lit(0).alias("n"), F.lit(1).alias("k")))
+    state = written(counts.groupBy("id").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).where("k < n"), "pipeline-near-ids")
+    out = _without(docs, state.where("k = 0").select("id"))
+    split = state.where("k > 0").select("id")  # ids of which some rows stay and some go
+    if split.isEmpty():
+        return out
+    near, rest = _touched(out, split)
+    near = written(near.withColumn("_rid", F.monotonically_increasing_id()), "pipeline-near-rows")
+    pairs = near.select("doc_id", "_rid").join(fingerprints(near, 3, id_col="_rid").withColumnRenamed("id", "_rid"), "_rid")
+    stay = (pairs.join(best, pairs["doc_id"].eqNullSafe(best["id"]) & (pairs["fp"] == best["fp"]), "left_semi")
+            .groupBy("doc_id", "fp").agg(F.min("_rid").alias("_rid")))
+    return rest.unionByName(near.join(stay.select("_rid"), "_rid", "left_semi").drop("_rid"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

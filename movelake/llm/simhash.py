@@ -152,11 +152,12 @@ def links(nodes: DataFrame, t: int = 2, crowd: int = 64) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fp, component (smallest id of all reachable rows) per row."""
+    """id, fp, component (smallest id of all reachable rows) and root (its
+    component's smallest fingerprint, also where ids are null or repeat) per row."""
     rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
     nodes = written(rows.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
     roots = components(links(nodes, distance))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component"))
-    of = written(named.join(lows, "root").select("fp", "component"), "simhash-components")
-    return rows.join(of, "fp").select("id", "fp", "component")
+    of = written(named.join(lows, "root").select("fp", "component", "root"), "simhash-components")
+    return rows.join(of, "fp").select("id", "fp", "component", "root")

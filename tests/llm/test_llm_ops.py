@@ -365,3 +365,16 @@ def test_pipeline_stages(spark, docs, tmp_path):
             assert sorted(low(r.text) for r in d.collect()) == sorted(set(keys))
     crc = {(r.doc_id, r.start): r.ids_crc32 for r in d.collect()}
     assert crc and all(0 <= x < 2**32 for x in crc.values()) and zlib.crc32(b"") == 0
+
+
+def test_pipeline_near_copies_by_row(spark):
+    import corpus_pipeline as c
+
+    r = random.Random(8)
+    base = [" ".join(r.choice("abcdefghij") * r.randint(1, 4) for _ in range(300)) for _ in range(5)]
+    rows = [(None, base[0]), (None, base[1]), (1, base[1]), (2, base[2]), (2, base[2]), (2, base[3]), (3, base[3]), (None, base[0].upper()), (4, base[4])]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, n int").repartition(3)
+    out = c.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    out = collections.Counter((x.doc_id, low(x.text)) for x in out.collect())
+    assert out == collections.Counter([(None, low(base[0])), (1, low(base[1])), (2, low(base[2])), (2, low(base[3])), (4, low(base[4]))])
