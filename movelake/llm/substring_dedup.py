@@ -1,4 +1,7 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against an index of all text.
+"""Duplicate passages by an index of all text: the windows that start earlier elsewhere.
+
+Not a greedy Lempel-Ziv parse: what goes is decided window by window; the
+``factors`` given are those windows joined, not longest matches.
 
 A window is ``window`` consecutive words of one document; a word goes if it is
 in a window whose words also start earlier (smaller id, or same id and earlier).
