@@ -1,4 +1,4 @@
-"""Exact continuous percentiles without holding a whole group in one task.
+"""Exact continuous percentiles, narrowed down to parts of a group.
 
 Spark's ``percentile`` merges a value->count map of every distinct value of
 a group in one task, which does not hold for a billion-row group with
@@ -17,8 +17,9 @@ Intervals depend on values alone, never on partition ids or a sketch, so the
 result is the same however Spark plans, reuses or re-runs an exchange. Values
 are counted before they are shuffled: one value that a third of all rows hold
 is one row per mapper. A task holds the distinct values of one (group,
-interval): if all of a group's values lie within 1/``steps`` of each other,
-raise ``steps``.
+interval): all of them, if a group's values lie within 1/``steps`` of each
+other (epoch seconds, large offsets). The result is right then too; ``steps``
+is a parameter for such columns that no registered query changes.
 """
 
 from __future__ import annotations
