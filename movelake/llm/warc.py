@@ -144,11 +144,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     if not split.isEmpty():
         again = payloads(spark, path, split).where(F.octet_length("payload") > 0).select("file", "off", F.sha2("payload", 256).alias("joined"))
         records = records.join(again, ["file", "off"], "left").withColumn("digest", F.coalesce("digest", "joined")).drop("joined")
-    own = records.select("file", "off", "id", "type", "refers_to", "uri", "length", "digest")
-    revisited = own.where("type = 'revisit'").select(F.col("refers_to").alias("id")).distinct()
-    sources = written(own.where("type = 'response'").join(revisited, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(
-        F.first(F.struct("length", "digest")).alias("source")), "warc-sources")
+    own = records.select("file", "off", "id", "type", "refers_to", "uri", "length", "digest", "stated")
+    revisits = own.where("type = 'revisit'")
+    # by id and stated digest, as rows may repeat an id; by id alone where a revisit states none
+    sources = written(own.where("type = 'response'").join(revisits.select(F.col("refers_to").alias("id")).distinct(), "id", "left_semi")
+                      .groupBy(F.col("id").alias("refers_to"), F.coalesce("stated", F.concat(F.lit("sha256:"), F.col("digest"))).alias("stated"))
+                      .agg(F.min(F.struct("length", "digest")).alias("source")), "warc-sources")
+    by_id = sources.groupBy("refers_to").agg(F.min("source").alias("source"))
     plain = own.where("type != 'revisit'").withColumn("source", F.lit(None).cast(sources.schema["source"].dataType))
-    both = plain.unionByName(own.where("type = 'revisit'").join(sources, "refers_to", "left"))
+    both = (plain.unionByName(revisits.where("stated is not null").join(sources, ["refers_to", "stated"], "left"))
+            .unionByName(revisits.where("stated is null").join(by_id, "refers_to", "left")))
     return both.select("file", "off", "id", "type", "refers_to", "uri",
                        F.coalesce("source.length", "length").alias("payload_bytes"), F.coalesce("source.digest", "digest").alias("payload_digest"))

@@ -274,6 +274,14 @@ def test_warc_round_trip_with_records_inside_payloads(spark, tmp_path):
     assert not out
 
 
+def test_warc_revisits_of_a_repeated_id(spark, tmp_path):
+    a, b, c = "a" * 150, "b" * 260, "c" * 370
+    rows = [(1, "u", a), (1, "u", b), (1, "u", c), (5, "u", b), (6, "u", a), (7, "u", c)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), str(tmp_path / "w"))
+    out = collections.Counter((int(r.id), r.type, r.payload_bytes, r.payload_digest) for r in warc.read_warc(spark, str(tmp_path / "w")).collect())
+    assert out == collections.Counter((i, "response" if i == 1 else "revisit", len(h), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows)
+
+
 def test_url_filter(spark):
     link = '<link rel="canonical" href="{}">'
     rows = [(1, "http://A.net/x", ""), (2, "http://b.com/1", link.format("http://a.net/x")), (3, "http://c.com/", '<meta http-equiv="refresh" content="0; url=http://b.com/1">'),
