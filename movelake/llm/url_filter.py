@@ -12,20 +12,25 @@ whatever number of pages share them; rules are broadcast only up to
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no
 rule and no aliases. Targets may be absolute, ``//host``, ``/path`` or relative
-to the page's directory; other schemes and empty targets link nothing. Of rules
+to the page's directory, with character references; aliases meet whatever the
+case of scheme and host and the fragment; other schemes and empty targets link nothing. Of rules
 of equal length, allow precedes block, then the smaller text. Repeated rows are
 each returned; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from movelake.llm.common import ascii_lower, written
 from movelake.llm.components import components
 
 _PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)"
-_CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+_REL = "|".join(rf"{q}(?:[^{q}>]*\s)?canonical(?:\s[^{q}>]*)?{q}" for q in "\"'") + r"|canonical(?=[\s/>])"
+_CANONICAL = rf"(?is)<link\b(?=[^>]*\brel\s*=\s*(?:{_REL}))[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
@@ -48,10 +53,31 @@ def resolve(base: Column, target: Column) -> Column:
             .when(target.startswith("/"), F.concat(site, target)).otherwise(F.concat(site, folder, target)))
 
 
+def unescaped(text: Column) -> Column:
+    """text with html's character references decoded."""
+    names = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+
+    def decoded(x: Column) -> Column:
+        figures, hexed = F.regexp_extract(x, "^&#([0-9]{1,7});$", 1), F.regexp_extract(x, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
+        code = F.when(figures != "", figures.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        code = F.when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF), code)
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.coalesce(sign, F.element_at(names, F.regexp_extract(x, "^&([A-Za-z][A-Za-z0-9]*);$", 1)), x)
+
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)(&#?[A-Za-z0-9]+;|&|[^&]+)"), F.lit(1))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, decoded), "")).otherwise(text)
+
+
+def node(url: Column) -> Column:
+    """The URL as aliases meet: scheme and host lower-cased, fragment cut; others unchanged."""
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    return F.when(url.contains("://"), F.concat(ascii_lower(F.regexp_extract(url, _PARTS, 1)), F.lit("://"), host(url), rest)).otherwise(url)
+
+
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(a, b): a page's URL and each redirect or canonical target in its html."""
     found = F.concat(F.regexp_extract_all(html_col, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(html_col, F.lit(_REFRESH), F.lit(1)))
-    targets = pages.where(F.col(html_col).rlike("(?i)canonical|refresh")).select(F.col(url_col).alias("a"), F.explode(found).alias("t"))
+    targets = pages.where(F.col(html_col).rlike("(?i)canonical|refresh")).select(F.col(url_col).alias("a"), F.explode(F.transform(found, unescaped)).alias("t"))
     return targets.select("a", resolve(F.col("a"), F.col("t")).alias("b")).where("b is not null")
 
 
@@ -76,8 +102,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     edges = alias_links(pages, url_col, html_col)
     if links is not None:
         edges = edges.unionByName(links.select("a", "b"))
-    roots = components(edges)
-    given = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
+    edges = edges.select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b"))
+    roots = components(written(edges, "url-links"))  # else each use of a and b repeats the whole expression
+    given = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("given"), node(F.col(url_col)).alias("url"))  # rules see no case of hosts and no fragment
     own = written(judge(given.select("url").where("url is not null").unionByName(roots.select(F.col("node").alias("url")))
                         .unionByName(roots.select(F.col("root").alias("url"))), rules), "url-rules")
     members = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
@@ -86,4 +113,4 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     passed = members.join(groups, "root").select(F.col("node").alias("url"), "any_allow")
     out = given.join(own, "url", "left").join(passed, "url", "left")
     verdict = F.coalesce("own", F.when(~F.col("any_allow"), "block").otherwise("allow"))
-    return out.select("id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "rule", verdict.alias("verdict"))
+    return out.select("id", F.col("given").alias("url"), host(F.col("given")).alias("host"), path(F.col("given")).alias("path"), "rule", verdict.alias("verdict"))

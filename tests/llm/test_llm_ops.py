@@ -302,6 +302,20 @@ def test_url_filter(spark):
     assert (out[8], out[2], out[4]) == ("block", "block", "allow")
 
 
+def test_url_filter_meets_ordinary_html(spark):
+    rows = [(1, "http://b.com/1", '<link rel="alternate canonical" href="http://x.net/a?b=1&amp;c=2">'), (2, "http://b.com/2", '<LINK href="http://b.com/1#top" REL=canonical>'),
+            (3, "http://c.com/", '<link rel="canonical" href="HTTP://B.Com/1">'), (4, "http://D.com/#x", '<meta http-equiv="refresh" content="0; url=http:&#x2F;&#47;b.com&sol;2">'),
+            (5, "http://d.com/", ""), (6, "http://e.com/", '<link rel="canonical-not" href="http://x.net/">'), (7, "http://x.net/a?b=1&c=2", ""), (8, "http://f.com/?a=%C3&b", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = spark.createDataFrame([("net/", "block")], "rule string, verdict string")
+    out = {r.id: (r.url, r.verdict) for r in url_filter.filter_urls(pages, rules).collect()}
+    assert out == {i: (u, "allow" if i in (6, 8) else "block") for i, u, _ in rows}
+    assert {r.b for r in url_filter.alias_links(pages).collect()} == {"http://x.net/a?b=1&c=2", "http://b.com/1#top", "HTTP://B.Com/1", "http://b.com/2"}
+    given = ["a&amp;b", "&lt;&eacute;&#128512;&#0;&bogus;&", "&#xD800;x&amp", "plain"]
+    got = spark.createDataFrame([(x,) for x in given], "x string").select(url_filter.unescaped(F.col("x"))).collect()
+    assert [r[0] for r in got] == ["a&b", "<é😀&#0;&bogus;&", "&#xD800;x&amp", "plain"]
+
+
 def test_toxicity_restores_disguises(spark):
     r = random.Random(2)
     plain = ["this", "that", "house", "river", "stone", "green", "little", "water"]
