@@ -58,4 +58,37 @@ c AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND 100 * n_symbols <= 25 * n_words AND 100 * n_dup_lines <= 10 * n_words AND 100 * n_shouts <= 50 * n_words
   AND word_chars >= 2 * n_words AND word_chars <= 30 * n_words AS kept FROM c""",
+    "op11_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x != 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id != b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM v LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op12_ranked_search": r"""
+WITH word AS (SELECT 'd' AS kind, doc_id AS id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents
+  UNION ALL SELECT 'q', item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM benchmark),
+term AS (SELECT kind, id, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, count(*) AS tf FROM word GROUP BY ALL),
+doc AS (SELECT id, sum(tf)::BIGINT AS n FROM term WHERE kind = 'd' GROUP BY id),
+whole AS (SELECT count(*) AS c, sum(n)::BIGINT AS l FROM doc),
+weight AS (SELECT t, floor(1000 * ln((2 * c + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM term WHERE kind = 'd' GROUP BY t), whole),
+impact AS (SELECT term.id, t, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * c) // l)) AS i FROM term JOIN doc ON term.id = doc.id, whole WHERE kind = 'd'),
+found AS (SELECT q.id AS item_id, i.id AS doc_id, sum(w * i.i)::BIGINT AS score FROM term q JOIN weight USING (t) JOIN impact i USING (t) WHERE q.kind = 'q' GROUP BY ALL HAVING sum(w * i.i) > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM found) WHERE rank <= 10""",
+    "op13_filter_audit": rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x, {WORDS} AS w FROM documents),
+m AS (SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_extract_all(x, '[A-Z]')) > 3 * length(x),
+    regexp_matches(x, '[#$%&*|]'), doc_id > min(doc_id) OVER (PARTITION BY x)] AS f, quality, toxic FROM d LEFT JOIN labels USING (doc_id)),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (quality = 1) AS g, count(*) FILTER (toxic = 1) AS t FROM m GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+perm AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+ord AS (SELECT filter_order, list_transform(range(1, 6), lambda i: strpos('ABCDE', substr(filter_order, i, 1))) AS o FROM perm),
+z AS (SELECT part, filter_order, o, f, n, g, t, list_position(list_transform(o, lambda k: f[k]), true) AS first FROM c, ord),
+s AS (SELECT part, filter_order, i::INTEGER AS step, substr(filter_order, i::INTEGER, 1) AS l, f[o[i]] AS bad, len(list_filter(f, lambda x: x)) AS k, n, g, t, first FROM z, unnest(range(1, 6)) AS u(i)),
+r AS (SELECT part, filter_order, step, l, coalesce(sum(n) FILTER (first IS NULL OR first > step), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (first = step), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (bad AND first < step), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (bad AND k = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(g) FILTER (first = step), 0)::BIGINT AS good_lost, coalesce(sum(t) FILTER (first = step), 0)::BIGINT AS toxic_lost FROM s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM r""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from movelake.llm import bpe, packing, quality, toxicity, url_filter, warc
+from movelake.llm import bpe, embedding_dedup, filter_audit, packing, quality, ranked_search, toxicity, url_filter, warc
 from movelake.llm.common import table
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.simhash import near_duplicates
@@ -116,3 +116,20 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf)
+
+
+@register
+def op11_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = embedding_dedup.near_duplicates(table(spark, sf, "embeddings"), threshold=0.95)
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@register
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    out = ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@register
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.mask_counts(table(spark, sf, "documents"), table(spark, sf, "labels")))
