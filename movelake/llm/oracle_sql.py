@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+#: Queries that SQL cannot express, or not on whole tables; tests/llm compares them with brute force or the library.
+WITHOUT_SQL = {"op4_packing", "op6_toxicity", "op8_bpe", "op9_token_counts", "op10_simhash", "pipeline"}
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
