@@ -4,6 +4,12 @@ de-duplication, removal of repeated passages, packing into sequences.
 Each stage works on all that the one before kept. Exact and near
 de-duplication leave one row of each group, also where rows repeat a doc_id or
 have none.
+
+Defined cases, for every stage: a null text is an empty one (quality drops it);
+texts of any length are read whole; of equal or near texts the row of the
+largest (exact) or smallest (near) doc_id stays, null last; rows that repeat
+doc_id and text leave one; an empty table leaves an empty one; extra columns
+come along under any name up to the packing, which returns pieces.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from movelake.llm import packing, quality
-from movelake.llm.common import ascii_lower, bitmap, table, whole, with_hit, written
+from movelake.llm.common import ascii_lower, bitmap, fresh, table, whole, with_hit, written
 from movelake.llm.exact_dedup import exact_dedup
 from movelake.llm.queries import packing_digest, tokenizer
 from movelake.llm.simhash import fingerprints, near_duplicates
@@ -23,8 +29,9 @@ BITS = 1 << 24
 def _touched(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose doc_id may be among ids, and the others, which no shuffle moves."""
     key = F.xxhash64("doc_id")
-    marked = with_hit(docs, key, bitmap(ids.select(F.xxhash64("id").alias("key")), "key", BITS), BITS, "_hit")
-    return marked.where("_hit").drop("_hit"), marked.where("not _hit").drop("_hit")
+    hit = fresh(docs, "hit")
+    marked = with_hit(docs, key, bitmap(ids.select(F.xxhash64("id").alias("key")), "key", BITS), BITS, hit)
+    return marked.where(F.col(hit)).drop(hit), marked.where(~F.col(hit)).drop(hit)
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -34,7 +41,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ordered = quality.plan_cascade(docs, quality.rules())
-    return quality.cascade(docs, ordered, "_rejected").where("_rejected is null").select(*docs.columns)
+    by = fresh(docs, "rejected_by")
+    return quality.cascade(docs, ordered, by).where(F.col(by).isNull()).drop(by)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +54,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return out
     near, rest = _touched(out, split)
     stay = rows.where("kept").select("id", "sha256")
-    near = near.withColumn("_sha", F.sha2(ascii_lower(whole("text")), 256))
-    near = (near.join(stay, near["doc_id"].eqNullSafe(stay["id"]) & (F.col("_sha") == F.col("sha256")), "left_semi")
-            .dropDuplicates(["doc_id", "_sha"]).drop("_sha"))
+    sha = fresh(near, "sha")
+    near = near.withColumn(sha, F.sha2(ascii_lower(whole("text")), 256))
+    near = (near.join(stay, near["doc_id"].eqNullSafe(stay["id"]) & (near[sha] == stay["sha256"]), "left_semi")
+            .dropDuplicates(["doc_id", sha]).drop(sha))
     return rest.unionByName(near)
 
 
@@ -63,17 +72,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if split.isEmpty():
         return out
     near, rest = _touched(out, split)
-    near = written(near.withColumn("_rid", F.monotonically_increasing_id()), "pipeline-near-rows")
-    pairs = near.select("doc_id", "_rid").join(fingerprints(near, 3, id_col="_rid").withColumnRenamed("id", "_rid"), "_rid")
+    rid = fresh(near, "rid")
+    near = written(near.withColumn(rid, F.monotonically_increasing_id()), "pipeline-near-rows")
+    pairs = near.select("doc_id", rid).join(fingerprints(near, 3, id_col=rid).withColumnRenamed("id", rid), rid)
     stay = (pairs.join(best, pairs["doc_id"].eqNullSafe(best["id"]) & (pairs["fp"] == best["fp"]), "left_semi")
-            .groupBy("doc_id", "fp").agg(F.min("_rid").alias("_rid")))
-    return rest.unionByName(near.join(stay.select("_rid"), "_rid", "left_semi").drop("_rid"))
+            .groupBy("doc_id", "fp").agg(F.min(rid).alias(rid)))
+    return rest.unionByName(near.join(stay.select(rid), rid, "left_semi").drop(rid).select(*rest.columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = substring_dedup(docs, window=20, carry=tuple(docs.columns))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("carried.text"))
-    columns = {c: F.col(f"carried.{c}") for c in docs.columns} | {"text": text}
+    columns = {c: F.col("carried")[c] for c in docs.columns} | {"text": text}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("carried.n_chars"))
     return out.select(*[c.alias(n) for n, c in columns.items()])

@@ -30,6 +30,14 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with value computed once per row: inside nested
     lambdas an inlined expression would be computed for each element."""
@@ -65,11 +73,13 @@ def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
 
 
 def with_hit(df: DataFrame, key: Column, bm: DataFrame, bits: int, hit: str) -> DataFrame:
-    """df with boolean ``hit``: key's bit is set. No shuffle of df: the bitmap
+    """df with boolean ``hit`` (a name that df has not): key's bit is set. No shuffle of df: the bitmap
     is broadcast, which its fixed size allows."""
-    keyed = df.withColumn("bm_at", F.pmod(key, F.lit(bits)) + 1)
-    out = keyed.join(F.broadcast(bm), F.bitmap_bucket_number("bm_at") == F.col("bm_block"), "left")
-    pos = F.bitmap_bit_position("bm_at")
-    byte = F.conv(F.hex(F.substring("bm_bits", (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.shiftright(byte, 0).bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(bm_at) % 8 as int))")) != 0
-    return out.withColumn(hit, F.coalesce(bit, F.lit(False))).drop("bm_at", "bm_block", "bm_bits")
+    at, block, held, at_hit = (fresh(df, n) for n in ("bm_at", "bm_block", "bm_bits", "bm_hit"))
+    keyed = df.withColumn(at, F.pmod(key, F.lit(bits)) + 1)
+    blocks = F.broadcast(bm.select(F.col("bm_block").alias(block), F.col("bm_bits").alias(held)))
+    out = keyed.join(blocks, F.bitmap_bucket_number(at) == F.col(block), "left")
+    pos = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(held, (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (pos % 8).cast("int"))) != 0
+    return out.withColumn(at_hit, F.coalesce(bit, F.lit(False))).drop(at, block, held).withColumnRenamed(at_hit, hit)

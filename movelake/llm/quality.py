@@ -7,8 +7,9 @@ expression, which stops at the first rule that rejects. The order decides only
 which rule is named and what is computed, never whether a text is kept.
 
 Defined cases: a null or empty text has no words and is rejected for it. Ties
-in the order keep the order given. Repeated rows are judged alike. Extra
-columns pass through.
+in the order keep the order given. Repeated rows are judged alike. Texts of any
+length are read whole. Extra columns pass through, but for those called like a
+result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from movelake.llm.common import WORD, let, whole
+from movelake.llm.common import WORD, fresh, let, whole
 
 SYMBOLS = r"[#*$%&|<>]"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -79,12 +80,13 @@ def n_repeat_words(word_list: Column, k: int = 8) -> Column:
 
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    t = whole(text_col)
-    return docs.select("*", words(t).alias("q_words")).select(
-        *docs.columns, F.size("q_words").cast("long").alias("n_words"), word_chars(F.col("q_words")).alias("word_chars"),
-        n_of(t, SYMBOLS).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"),
-        n_repeat_words(F.col("q_words")).alias("n_repeat_words"))
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, in
+    place of columns of docs that are called so."""
+    t, q = whole(text_col), fresh(docs, "q_words")
+    w = F.col(q)
+    counts = {"n_words": F.size(w).cast("long"), "word_chars": word_chars(w), "n_symbols": n_of(t, SYMBOLS), "n_dup_lines": n_dup_lines(t),
+              "n_repeat_words": n_repeat_words(w)}
+    return docs.withColumn(q, words(t)).select(*[c for c in docs.columns if c not in counts], *[c.alias(n) for n, c in counts.items()])
 
 
 @dataclass(frozen=True)

@@ -28,9 +28,12 @@ have a factor (again by bitmap). Keys are two 64-bit hashes (gram and window,
 or gram and phrase).
 
 Defined cases: a null or empty text has no words; rows without an id have no
-place in the order and stay whole; rows that repeat an id count as one document
-laid over itself, so neither removes the other; texts shorter than a window
-stay whole; an empty table gives an empty result.
+place in the order and stay whole. Rows that repeat an id with another text are
+documents of their own, in the order of their texts' hashes; rows that repeat id
+and text are one document laid over itself, so neither removes the other. Texts
+shorter than a window stay whole; texts of any length are read whole, one at a
+time. Extra columns are not read unless carried, under whatever name. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -126,16 +129,17 @@ def _open_phrases(given: DataFrame, window: int, k: int, batch_bytes: int, bits,
             of, start, count, gram, phrase, windows = phrases(texts, window, k)
             bit = gram & np.uint64(8 * len(seen) - 1)
             hit = (seen[(bit >> np.uint64(3)).astype("i8")] >> (bit & np.uint64(7)).astype("u1") & 1).astype(bool)
-            columns = [pa.array(gram[hit].view("i8")), pa.array(phrase[hit].view("i8")), batch.column(0).take(pa.array(of[hit])),
+            row = pa.array(of[hit])
+            columns = [pa.array(gram[hit].view("i8")), pa.array(phrase[hit].view("i8")), batch.column(0).take(row), batch.column(1).take(row),
                        pa.array(start[hit].astype("i4")), pa.array(count[hit].astype("i4"))]
             if with_windows:
                 ends = np.cumsum(count[hit])
                 columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("i4")),
                                                         pa.array(windows[np.repeat(hit, count)].view("i8"))))
-            yield pa.RecordBatch.from_arrays(columns, ["gram", "phrase", "id", "start", "n", "windows"][:len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "phrase", "id", "h", "start", "n", "windows"][:len(columns)])
 
     kind = given.schema["id"].dataType.simpleString()
-    return given.mapInArrow(run, f"gram long, phrase long, id {kind}, start int, n int" + ", windows array<long>" * with_windows)
+    return given.mapInArrow(run, f"gram long, phrase long, id {kind}, h long, start int, n int" + ", windows array<long>" * with_windows)
 
 
 def _repeated_bits(given: DataFrame, window: int, k: int, batch_bytes: int, n_bits: int):
@@ -149,23 +153,24 @@ def _repeated_bits(given: DataFrame, window: int, k: int, batch_bytes: int, n_bi
 
 
 def copied(given: DataFrame, window: int, k: int, batch_bytes: int) -> DataFrame:
-    """id, start, n, source_id, source_start: runs of windows that start earlier elsewhere."""
+    """id, h, start, n, source_id, source_start: runs of windows that start
+    earlier elsewhere. given: id, h (hash of the text), text."""
     bits = _repeated_bits(given, window, k, batch_bytes, GRAM_BITS)
     open_ = _open_phrases(given, window, k, batch_bytes, bits, with_windows=True)
-    index = written(open_.groupBy("gram", "phrase").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("c"),
+    index = written(open_.groupBy("gram", "phrase").agg(F.min(F.struct("id", "h", "start")).alias("first"), F.count("*").alias("c"),
                                                         F.first("windows").alias("windows")), "rlz-index")
 
     several = written(index.groupBy("gram").count().where("count > 1").select("gram"), "rlz-several")
     edges = index.join(several, "gram", "left_semi").select("gram", "first", F.posexplode("windows").alias("i", "w"))
-    edges = edges.select("gram", "w", F.struct(F.col("first.id").alias("id"), (F.col("first.start") + F.col("i")).alias("start")).alias("place"))
+    edges = edges.select("gram", "w", F.struct("first.id", "first.h", (F.col("first.start") + F.col("i")).alias("start")).alias("place"))
     earliest = written(edges.groupBy("gram", "w").agg(F.min("place").alias("source"), F.count("*").alias("c")).where("c > 1").drop("c"), "rlz-edges")
     single = (edges.join(earliest, ["gram", "w"]).where("place != source")
-              .select("place.id", "place.start", F.lit(1).alias("n"), F.col("source.id").alias("source_id"), F.col("source.start").alias("source_start")))
+              .select("place.id", "place.h", "place.start", F.lit(1).alias("n"), F.col("source.id").alias("source_id"), F.col("source.start").alias("source_start")))
 
     reference = index.where("c > 1").select("gram", "phrase", "first")
     again = (_open_phrases(given, window, k, batch_bytes, bits, with_windows=False).join(reference, ["gram", "phrase"])
-             .where(F.struct("id", "start") != F.col("first"))
-             .select("id", "start", "n", F.col("first.id").alias("source_id"), F.col("first.start").alias("source_start")))
+             .where(F.struct("id", "h", "start") != F.col("first"))
+             .select("id", "h", "start", "n", F.col("first.id").alias("source_id"), F.col("first.start").alias("source_start")))
     return again.unionByName(single)
 
 
@@ -187,15 +192,17 @@ def substring_dedup(docs: DataFrame, window: int = 20, k: int = 6, id_col: str =
     factors (start, length in words, source_id, source_start) per row of docs;
     ``carry``: columns of docs that come along, as one struct ``carried``."""
     python_ready(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
+    carried = F.struct(*carry) if carry else F.lit(None).cast("struct<none:int>")
+    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"), carried.alias("carried")).withColumn("h", F.xxhash64("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    runs = copied(rows.select("id", "text").where("id is not null"), window, k, batch_bytes)
-    by_doc = written(runs.groupBy("id").agg(F.collect_list(F.struct("start", "n", "source_id", "source_start")).alias("runs")), "rlz-runs")
+    runs = copied(rows.select("id", "h", "text").where("id is not null"), window, k, batch_bytes)
+    # a set, so that rows which repeat id and text add nothing to their document's runs
+    by_doc = written(runs.groupBy("id", "h").agg(F.collect_set(F.struct("start", "n", "source_id", "source_start")).alias("runs")), "rlz-runs")
 
-    key = F.xxhash64("id")
+    key = F.xxhash64("id", "h")
     marked = with_hit(rows, key, bitmap(by_doc.select(key.alias("key")), "key", ID_BITS), ID_BITS, "hit")
     plain = marked.where("not hit").select("id", "text", "carried", F.lit(None).cast(by_doc.schema["runs"].dataType).alias("runs"))
-    both = plain.unionByName(marked.where("hit").join(by_doc, "id", "left").select("id", "text", "carried", "runs"))
+    both = plain.unionByName(marked.where("hit").join(by_doc, ["id", "h"], "left").select("id", "text", "carried", "runs"))
 
     factor = f"array<struct<start:int,length:int,source_id:{kind},source_start:int>>"
     out_kind = f"id {kind}, n_words long, n_removed long, kept string, factors {factor}, carried {rows.schema['carried'].dataType.simpleString()}"
