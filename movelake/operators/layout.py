@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from movelake.operators.aggregates import union_all
 from movelake.operators.filters import as_column, interval
+from movelake.operators.ledger import among, catalogue, filesystem, finish_swaps, swap
 from movelake.schemas import CHUNK_DAYS, COMPACT_AFTER_DAYS, SEGMENT_BY
 
 
@@ -90,16 +91,10 @@ def compact(df: DataFrame, table: str, partitions: int | None = None) -> DataFra
 
 # --- maintenance jobs on a stored table ------------------------------------------
 
-def _fs(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def list_chunks(spark, path: str) -> list[str]:
     """Chunk partition values present under ``path`` (one directory listing;
     the number of chunks is the number of days, not of rows)."""
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     if not fs.exists(p):
         return []
     out = []
@@ -120,7 +115,7 @@ def drop_chunks(spark, path: str, table: str, as_of, days: int | None) -> list[s
     a = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     cutoff = a.replace(tzinfo=None) - dt.timedelta(days=days)
     width = CHUNK_DAYS[table]
-    fs, base = _fs(spark, path)
+    fs, base = filesystem(spark, path)
     dropped = []
     for c in list_chunks(spark, path):
         end = dt.datetime.fromisoformat(c) + dt.timedelta(days=width)
@@ -130,24 +125,29 @@ def drop_chunks(spark, path: str, table: str, as_of, days: int | None) -> list[s
     return dropped
 
 
-def compact_chunks(spark, path: str, table: str, as_of, partitions: int | None = None) -> list[str]:
+def compact_chunks(spark, path: str, table: str, as_of, partitions: int | None = None, at_once: int = 31) -> list[str]:
     """LAY-2 + LAY-3: rewrite the chunks due for compaction (ended at least
     the table's compaction age before ``as_of``) clustered by segment and
-    sorted newest first. Lineage is cut with a reliable checkpoint in the
-    shared folder so the same partitions can be overwritten in place (dynamic
-    partition overwrite touches only the rewritten chunks)."""
+    sorted newest first. Only chunks that are raw or dirty, by the chunk
+    catalogue: a second run rewrites nothing, a late row makes its chunk due
+    again. A run that stops halfway is finished by the next (or by any
+    ``compact_chunks``), and readers see every row once at any time; a query
+    that began before a swap ends may find a file gone and has to be run again.
+    ``at_once`` chunks are rewritten by one Spark job."""
     import datetime as dt
+    import uuid
     from movelake.operators.sinks import read_table
-    from movelake.session import shared_dir
     a = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     cutoff = a.replace(tzinfo=None) - dt.timedelta(days=COMPACT_AFTER_DAYS[table])
-    due = [c for c in list_chunks(spark, path)
-           if dt.datetime.fromisoformat(c) + dt.timedelta(days=CHUNK_DAYS[table]) <= cutoff]
-    if not due:
-        return []
-    shared_dir(spark)  # make sure the checkpoint folder is set
-    rows = read_table(spark, path, table).where(F.col("chunk").isin(due)).drop("chunk")
-    c = compact(rows, table, partitions).checkpoint(eager=True)
-    (c.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-      .option("compression", "zstd").partitionBy("chunk").parquet(path))
+    finish_swaps(spark, path)
+    last = (cutoff - dt.timedelta(days=CHUNK_DAYS[table])).date()
+    due = sorted(str(r.chunk) for r in catalogue(spark, path).where(F.col("chunk") <= F.lit(last)).where("state != 'compacted'").collect())
+    for i in range(0, len(due), at_once):
+        chunks = due[i:i + at_once]
+
+        def rewritten(files: list[str]) -> DataFrame:
+            rows = read_table(spark, path, table).where(F.col("chunk").isin(chunks) & among(files))  # files that come meanwhile stay as they are
+            return compact(rows.drop("chunk"), table, partitions)
+
+        swap(spark, path, rewritten, chunks, uuid.uuid4().hex[:12])
     return due

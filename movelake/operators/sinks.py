@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from movelake.functions.rules import make_point
+from movelake.operators import ledger
 from movelake.operators.filters import as_column
 from movelake.operators.layout import with_chunk
 from movelake.schemas import TABLES
@@ -49,36 +50,34 @@ def prepare(df: DataFrame, table: str, as_of=None) -> DataFrame:
     return df.select(*cols)
 
 
+def _within(table: str) -> tuple:
+    """Order of the rows inside a chunk's files."""
+    return (F.floor("latitude"), F.floor("longitude"), "timestamp") if table in CELL_CLUSTERED else ("timestamp",)
+
+
 def append(df: DataFrame, path: str, table: str, as_of=None, metrics_path: str | None = None,
-           max_records_per_file: int = 5_000_000) -> int:
+           max_records_per_file: int = 5_000_000, writer: str | None = None, batch: int | str | None = None) -> int:
     """Append a batch; returns rows written (0 for an empty batch, no files
     touched). The count comes from an Observation on the write itself, not
-    a second pass over the data."""
-    obs = Observation(f"write_{table}")
+    a second pass over the data.
+
+    With ``writer`` and ``batch`` the rows are written once under that name,
+    however often the job is run again (0 rows then)."""
     t0 = time.time()
     rows = with_chunk(prepare(df, table, as_of), table)
-    # Range-partition on (chunk, timestamp): each task writes a contiguous
-    # run of chunks (few files per chunk), and one very large chunk is split
-    # across tasks by time instead of landing in a single task.
-    # An explicit count keeps the write parallel even when AQE would
-    # coalesce small inputs into one task; files stay about max(chunks,
-    # tasks). It is the session's sizing knob: AQE's initial partition
-    # number when set (what a large job raises), else shuffle partitions.
-    conf = df.sparkSession.conf
-    n = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = rows.repartitionByRange(n, "chunk", "timestamp")
-    if table in CELL_CLUSTERED:
-        rows = rows.sortWithinPartitions("chunk", F.floor("latitude"), F.floor("longitude"), "timestamp")
+    if writer is not None:
+        entry = ledger.publish(rows, path, writer, batch, _within(table), table, max_records_per_file)
+        n = entry["rows"] if entry["new"] else 0
     else:
-        rows = rows.sortWithinPartitions("chunk", "timestamp")
-    # Observe after the exchange so the range sampler's job is not counted.
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
-    (rows.write.mode("append").partitionBy("chunk")
-         .option("compression", "zstd").option("maxRecordsPerFile", max_records_per_file)
-         .parquet(path))
-    n = int(obs.get.get("n", 0) or 0)
-    if metrics_path is not None:
+        # Each task holds whole chunks or, of a very large one, a part: few
+        # files per chunk, and the input is computed once.
+        obs = Observation(f"write_{table}")
+        rows = ledger.arranged(rows, *_within(table)).observe(obs, F.count(F.lit(1)).alias("n"))
+        (rows.write.mode("append").partitionBy("chunk")
+             .option("compression", "zstd").option("maxRecordsPerFile", max_records_per_file)
+             .parquet(path))
+        n = int(obs.get.get("n", 0) or 0)
+    if metrics_path is not None and (writer is None or n):
         record_metrics(df.sparkSession, metrics_path, table, n, time.time() - t0)
     return n
 
@@ -91,23 +90,27 @@ def record_metrics(spark: SparkSession, path: str, table: str, rows: int, elapse
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """SRC-16: read a stored table with its fixed schema (plus ``chunk``)."""
+    """SRC-16: read a stored table with its fixed schema (plus ``chunk``),
+    without the files that an unfinished compaction is replacing."""
     from pyspark.sql import types as T
     schema = T.StructType(TABLES[table].fields + [T.StructField("chunk", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema).parquet(path)
+    gone = ledger.hidden(spark, path)
+    return df.where(~ledger.among(gone)) if gone else df
 
 
 def append_idempotent(batch: DataFrame, target: DataFrame, key=("source", "icao24", "timestamp"),
                       chunk_col: str = "chunk", clock_col: str = "ingested_at") -> DataFrame:
     """SNK-10 / JOIN-3: rows of ``batch`` whose key is not in the batch
     already (dropDuplicates) nor in ``target``. The target is pruned to the
-    batch's chunk range first, so only the touched partitions are read.
+    batch's chunk range by scalar subqueries, so only the touched partitions are
+    read and nothing runs before the result is asked for.
 
     A key with a NULL names no row: such rows are the same only if all
     columns but ``clock_col`` are, NULLs being equal, in the batch and against
     the target alike. So none is lost, and a retry adds none again."""
     key = list(key)
-    lo, hi = batch.agg(F.min(chunk_col), F.max(chunk_col)).first()
+    lo, hi = batch.agg(F.min(chunk_col)).scalar(), batch.agg(F.max(chunk_col)).scalar()
     t = target.where(F.col(chunk_col).between(lo, hi))
     unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     named = (batch.where(~unnamed).dropDuplicates(key)

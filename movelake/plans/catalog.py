@@ -208,7 +208,7 @@ def q_geom_consistency(spark, sf):
 
 
 # --- DED-1 / SRT-2: ship ping de-dup (one-shot: the whole input is one batch)
-from movelake.operators import dedup, joins, layout, sinks, windows  # noqa: E402
+from movelake.operators import dedup, joins, layout, ledger, sinks, windows  # noqa: E402
 from movelake.sources.dims import ORBIT_CATEGORIES  # noqa: E402
 
 
@@ -677,7 +677,7 @@ def q_stream_ships(spark, sf):
     land = _ship_landing(spark, sf)
     out, ck = scratch_path(spark, "ships"), scratch_path(spark, "ck_ships")
     streams.stream_ships(spark, land, out, ck, trigger="availableNow", max_files=1).awaitTermination()
-    return _ships_out(spark.read.parquet(out))
+    return _ships_out(sinks.read_table(spark, out, "ships"))
 
 
 @register("stream_ships_once")
@@ -685,7 +685,7 @@ def q_stream_ships_once(spark, sf):
     land = _ship_landing(spark, sf)
     out, ck = scratch_path(spark, "ships"), scratch_path(spark, "ck_ships")
     streams.stream_ships(spark, land, out, ck, trigger=None, max_files=None).awaitTermination()
-    return _ships_out(spark.read.parquet(out))
+    return _ships_out(sinks.read_table(spark, out, "ships"))
 
 
 @register("stream_snapshots")
@@ -694,7 +694,7 @@ def q_stream_snapshots(spark, sf):
     out, ck = scratch_path(spark, "flights"), scratch_path(spark, "ck_snap")
     streams.stream_snapshots(spark, land, aircraft.norm_adsb_snapshot, "flights", out, ck,
                              trigger="availableNow", max_files=2).awaitTermination()
-    return _flights_out(spark.read.parquet(out))
+    return _flights_out(sinks.read_table(spark, out, "flights"))
 
 
 def _table_stream(spark, sf, name, n_files=4):
@@ -861,4 +861,63 @@ def q_stream_adsb_endpoints(spark, sf):
     out, ck = scratch_path(spark, "flights"), scratch_path(spark, "ck_adsb")
     streams.stream_feed(spark, land, "adsb_endpoints", out, ck, trigger="availableNow",
                         max_files=2).awaitTermination()
-    return _flights_out(spark.read.parquet(out))
+    return _flights_out(sinks.read_table(spark, out, "flights"))
+
+
+# --- STR-1/2/3 with SNK-1, LAY-2/3: one table for streams, a batch job and compaction
+def _iso(ts) -> str:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+@register("shared_flights_table")
+def q_shared_flights_table(spark, sf):
+    """Three feeds' streams, a batch job that is run twice, a compaction, and a
+    stream that is restarted after it, all on one table."""
+    table, f = scratch_path(spark, "flights"), standin.flights(spark, sf)
+
+    def stream(feed, land, checkpoint):
+        streams.stream_feed(spark, land, feed, table, checkpoint, trigger="availableNow", max_files=2).awaitTermination()
+
+    stream("adsb_endpoints", _land_files(landed.land_adsb(spark, sf, "adsb_endpoints"), "landing_adsb", 6, "cycle_ts"), scratch_path(spark, "ck_a"))
+    land, checkpoint = scratch_path(spark, "landing_sv"), scratch_path(spark, "ck_sv")
+    documents = landed.land_state_vectors(spark, sf)
+    for part in (0, 1):
+        documents.where(F.pmod(F.xxhash64("cycle_ts"), F.lit(2)) == part).write.option("timestampFormat", streams.TS_FORMAT).json(f"{land}/{part}")
+        stream("state_vectors", f"{land}/*", checkpoint)
+        if part == 0:
+            for _ in range(2):  # the second run finds the batch in the ledger
+                sinks.append(f, table, "flights", writer="backfill", batch="2024")
+            layout.compact_chunks(spark, table, "flights", f.agg(_iso(F.max("ingested_at"))).first()[0])
+    stream("adsb_snapshot", _land_files(landed.land_adsb(spark, sf, "adsb_snapshot"), "landing_snap", 6, "cycle_ts"), scratch_path(spark, "ck_snap"))
+    return _flights_out(sinks.read_table(spark, table, "flights"))
+
+
+@register("compaction_life_cycle")
+def q_compaction_life_cycle(spark, sf):
+    """LAY-2/3: state and rows of every chunk, and rows of compacted files that
+    are not in file order, after a compaction, after a late feed, and after
+    compacting again."""
+    table, f = scratch_path(spark, "flights"), standin.flights(spark, sf)
+    as_of = f.agg(_iso(F.max("ingested_at"))).first()[0]
+    phases = []
+
+    def note(phase):
+        from pyspark.sql import Window
+        rows = sinks.read_table(spark, table, "flights").select("chunk", "source", "timestamp", "_metadata.file_name", "_metadata.row_index")
+        before = Window.partitionBy("chunk", "file_name").orderBy("row_index")
+        wrong = ((F.lag("source").over(before) > F.col("source"))
+                 | ((F.lag("source").over(before) == F.col("source")) & (F.lag("timestamp").over(before) < F.col("timestamp"))))
+        rows = rows.select("chunk", (F.coalesce(wrong, F.lit(False)) & F.col("file_name").startswith(ledger.COMPACTED)).alias("wrong"))
+        rows = rows.groupBy("chunk").agg(F.count("*").alias("rows"), F.count_if("wrong").alias("misordered"))
+        out = scratch_path(spark, f"phase_{phase}")
+        (layout.catalogue(spark, table).join(rows, "chunk").select(F.lit(phase).alias("phase"), "chunk", "state", "rows", "misordered").write.parquet(out))
+        phases.append(spark.read.parquet(out))
+
+    sinks.append(f.where("source != 'adsbone'"), table, "flights")
+    layout.compact_chunks(spark, table, "flights", as_of)
+    note("compacted")
+    sinks.append(f.where("source = 'adsbone'"), table, "flights")
+    note("late feed")
+    layout.compact_chunks(spark, table, "flights", as_of)
+    note("again")
+    return agg.union_all(phases)

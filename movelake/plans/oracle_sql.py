@@ -671,3 +671,15 @@ GROUP BY ROLLUP ("table", source)"""
 ORACLE["stream_stall_gaps"] = ORACLE["stall_gaps"]
 
 ORACLE["stream_adsb_endpoints"] = ORACLE["norm_adsb_endpoints"]
+
+# --- one table for streams, a batch job and compaction ----------------------------
+ORACLE["shared_flights_table"] = " UNION ALL ".join(
+    f"SELECT {_FCOLS} FROM ({ORACLE[k]})" for k in ("norm_adsb_endpoints", "norm_state_vectors", "append_flights", "norm_adsb_snapshot"))
+
+ORACLE["compaction_life_cycle"] = ctes("flights") + """, c AS (
+  SELECT CAST("timestamp" AS DATE) AS chunk, count(*) FILTER (source IS NOT NULL AND source <> 'adsbone') AS early, count(*) FILTER (source = 'adsbone') AS late
+  FROM flights GROUP BY 1),
+due AS (SELECT *, CAST(chunk AS TIMESTAMP) + INTERVAL '1 day' <= (SELECT max(ingested_at) FROM flights) - INTERVAL '7 days' AS due FROM c)
+SELECT 'compacted' AS phase, chunk, CASE WHEN due THEN 'compacted' ELSE 'raw' END AS state, early AS "rows", 0::BIGINT AS misordered FROM due WHERE early > 0
+UNION ALL SELECT 'late feed', chunk, CASE WHEN NOT due OR early = 0 THEN 'raw' WHEN late > 0 THEN 'dirty' ELSE 'compacted' END, early + late, 0 FROM due WHERE early + late > 0
+UNION ALL SELECT 'again', chunk, CASE WHEN due THEN 'compacted' ELSE 'raw' END, early + late, 0 FROM due WHERE early + late > 0"""

@@ -5,11 +5,11 @@ folder); a Kafka topic with the same columns plugs in the same way. Every
 query has a checkpoint under the shared folder, so a lost executor or a
 restarted driver resumes from the last committed batch.
 
-Exactly-once output:
-* stateless jobs use the Parquet file sink (its commit log is idempotent);
-* ``foreachBatch`` jobs write each micro-batch with a dynamic overwrite of
-  that batch's own ``(writer, batch_id)`` partitions, so a replayed batch replaces
-  its earlier attempt instead of appending twice.
+Exactly-once output: jobs that fill a table publish each micro-batch under
+(writer, batch id) by the table's ledger, so a replayed batch adds nothing, and
+any number of streams, batch appends and compactions share one table. Jobs that
+write results of their own use the Parquet file sink, whose commit log is
+idempotent.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from movelake.functions.rules import latency_ms
 from movelake.operators.dedup import dedup_pings, dedup_pings_stream
 from movelake.operators.layout import with_chunk
-from movelake.operators.sinks import prepare
+from movelake.operators.sinks import append, read_table
 from movelake.schemas import LANDED
 from movelake.sources.ships import norm_ship_messages
 
@@ -62,22 +62,21 @@ def _trigger(writer, trigger: str | None):
 def writer_of(checkpoint: str) -> str:
     """Identity of the stream that owns a checkpoint folder: batch ids count
     from 0 in each, so two streams (or one restarted on a new checkpoint) must
-    not share partitions."""
+    not share names in the ledger."""
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def write_batch(df: DataFrame, path: str, table: str, batch_id: int, writer: str = "none") -> None:
-    """Idempotent micro-batch write: partitions (chunk, writer, batch_id) of
-    this batch are overwritten, nothing else is touched."""
-    rows = (with_chunk(prepare(df, table), table).withColumn("writer", F.lit(f"w{writer}"))
-            .withColumn("batch_id", F.lit(batch_id).cast("long")))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd").partitionBy("chunk", "writer", "batch_id").parquet(path))
+def write_batch(df: DataFrame, path: str, table: str, batch_id: int, writer: str = "none", metrics_path: str | None = None) -> int:
+    """Idempotent micro-batch write: published once per (writer, batch_id); gives
+    the rows written, 0 for a replay. SNK-9: the ledger's entry has the rows and
+    seconds of the batch (``ledger.entries``); ``metrics_path`` adds them to
+    ``ingest_metrics`` as a batch job does."""
+    return append(df, path, table, metrics_path=metrics_path, writer=f"w{writer}", batch=batch_id)
 
 
 def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
                  trigger: str | None = FLUSH_INTERVAL, max_files: int | None = 1,
-                 dedup: bool = True) -> StreamingQuery:
+                 dedup: bool = True, metrics_path: str | None = None) -> StreamingQuery:
     """STR-1 / STR-2: parse ship frames, de-dup within each micro-batch
     (DED-1), append to ``ships``. ``trigger=None`` runs once over what is
     landed (the bounded one-shot collection, always de-duped)."""
@@ -86,7 +85,7 @@ def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = dedup_pings(batch, order="seq") if (dedup or trigger is None) else batch
-        write_batch(b.drop("seq"), table_path, "ships", batch_id, writer_of(checkpoint))
+        write_batch(b.drop("seq"), table_path, "ships", batch_id, writer_of(checkpoint), metrics_path)
 
     w = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -94,12 +93,15 @@ def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpo
 
 def stream_snapshots(spark: SparkSession, landing_dir: str, normalise, table: str, table_path: str,
                      checkpoint: str, trigger: str | None = "300 seconds",
-                     max_files: int | None = None) -> StreamingQuery:
+                     max_files: int | None = None, metrics_path: str | None = None) -> StreamingQuery:
     """STR-3: periodic snapshot ingest; ``normalise`` is a landed ->
-    table-rows job (stateless), written by the exactly-once file sink."""
-    rows = with_chunk(prepare(normalise(landed_stream(spark, landing_dir, max_files)), table), table)
-    w = (rows.writeStream.format("parquet").option("path", table_path)
-             .option("checkpointLocation", checkpoint).partitionBy("chunk").outputMode("append"))
+    table-rows job (stateless)."""
+    rows, writer = normalise(landed_stream(spark, landing_dir, max_files)), writer_of(checkpoint)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, table_path, table, batch_id, writer, metrics_path)
+
+    w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
@@ -222,13 +224,14 @@ DEDUP_KEYS = {feed: ["source", "timestamp", "icao24"] for feed in ("adsb_endpoin
 
 def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: str, checkpoint: str,
                 trigger: str | None = "300 seconds", max_files: int | None = None,
-                stations: DataFrame | None = None, first_wins: bool = True) -> StreamingQuery:
+                stations: DataFrame | None = None, first_wins: bool = True, metrics_path: str | None = None) -> StreamingQuery:
     """STR-3 for every feed: each micro-batch is normalised (first-wins
-    within the batch, as the batch job does) and written with the batch's
-    idempotent partition overwrite. With ``first_wins`` a row whose
-    (cycle, key) is already stored -- a cycle split across micro-batches --
-    is dropped by an anti join against the table, pruned to the batch's
-    chunks and excluding the batch's own earlier attempt."""
+    within the batch, as the batch job does) and published to the table. With
+    ``first_wins`` a row whose (cycle, key) is already stored -- a cycle split
+    across micro-batches -- is dropped by an anti join against the table, pruned
+    to the batch's chunks. A replayed batch finds none of its own rows there:
+    either it is in the ledger, and nothing is done, or all it wrote is still
+    staged, and is published as it is."""
     from movelake.jobs import FEEDS
     from movelake.operators.layout import list_chunks
     table, normalise, _reject = FEEDS[feed]
@@ -242,11 +245,9 @@ def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: st
         rows = with_chunk(normalise(batch, stations), table)
         if key and list_chunks(spark, table_path):
             lo, hi = rows.agg(F.min("chunk")).scalar(), rows.agg(F.max("chunk")).scalar()
-            seen = (spark.read.parquet(table_path)
-                         .where(F.col("chunk").between(lo, hi) & ~((F.col("writer") == f"w{writer}") & (F.col("batch_id") == batch_id)))
-                         .select(*key, "chunk"))
+            seen = read_table(spark, table_path, table).where(F.col("chunk").between(lo, hi)).select(*key, "chunk")
             rows = rows.join(seen, key + ["chunk"], "left_anti")
-        write_batch(rows.drop("chunk"), table_path, table, batch_id, writer)
+        write_batch(rows.drop("chunk"), table_path, table, batch_id, writer, metrics_path)
         batch.unpersist()
 
     w = landed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
