@@ -2,10 +2,10 @@
 (AGG-14), ``service_alerts`` (EXT-1) and stop-time updates (EXT-2).
 
 Spark ships no protobuf reader here, so decoding is the one Python step:
-``mapInPandas`` decodes one landed payload per input row (Arrow batches)
-and emits entity rows only -- the nested feed never leaves the task. Every
-rule after decoding (timestamp ladder, float widening, enum names) is a
-Column expression.
+``decode`` (``mapInArrow``) reads each landed payload once and emits tagged
+rows: positions, alerts, stop-time updates, counters, and a reject where the
+payload does not parse. Every rule after decoding (timestamp ladder, float
+widening, enum names) is a Column expression.
 
 The message classes are built at runtime from a descriptor that lists the
 fields by their numbers in the public GTFS-realtime schema (proto2), so no
@@ -14,15 +14,19 @@ code generation step is needed.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from movelake.functions import rules as R
 from movelake.session import ship_package
+from movelake.sources import wire
 from movelake.sources.dims import ALERT_CAUSE, ALERT_EFFECT
 
 _CLASSES = None
 
+# Field numbers of the public GTFS-realtime schema.
 # (message, [(field name, number, label, type, type_name)]); label 1 = optional,
 # 2 = required, 3 = repeated. Enums are read as their numbers (varint).
 _O, _R, _REP = 1, 2, 3
@@ -87,115 +91,209 @@ def message_classes() -> dict:
     return _CLASSES
 
 
-def _opt(msg, field):
-    return getattr(msg, field) if msg.HasField(field) else None
-
-
-ENTITY_SCHEMA = ("cycle_ts timestamp, seq long, entity_id string, feed_ts long, has_vehicle boolean, "
-                 "has_position boolean, entity_ts long, vehicle_id string, trip_id string, route_id string, "
-                 "latitude float, longitude float, bearing float, speed float")
-
-
-def _decode_entities(batches):
-    """Arrow batch of landed payloads -> one row per feed entity. A payload
-    that fails to decode yields no rows (strict, like the reference)."""
+#: What one payload decodes to, by ``kind``: ``payload`` (one row, its counters), ``vehicle`` (entities with a vehicle and
+#: a position), ``alert``, ``stop`` (stop-time updates) and ``reject`` (one row with a reason, nothing else).
+DECODED = ("source string, endpoint string, cycle_ts timestamp, seq long, kind string, feed_ts long, entity_id string, "
+           "vehicle struct<ts:bigint,vehicle_id:string,trip_id:string,route_id:string,latitude:float,longitude:float,bearing:float,speed:float>, "
+           "alert struct<cause:int,effect:int,header_text:string,description_text:string>, "
+           "stop struct<trip_id:string,route_id:string,stop_sequence:bigint,stop_id:string,arrival_delay:int,departure_delay:int>, "
+           "payload struct<bytes:bigint,total_entities:bigint,vehicle_positions:bigint>, reason string")
+PARTS = ("vehicle", "alert", "stop")
+KEYS = ("source", "endpoint", "cycle_ts", "seq")
+
+
+def _number(message: str, field: str) -> int:
+    return next(num for name, fields in _SCHEMA if name == message for f, num, *_ in fields if f == field)
+
+
+class _Reader:
+    """Entities of some payloads, read by columns straight from their bytes."""
+
+    def __init__(self, bodies: list[bytes]):
+        self.data = np.frombuffer(b"".join(bodies), "u1")
+        found = [wire.one_by_one(b, _number("FeedMessage", "entity")) for b in bodies]
+        begin = np.cumsum([0, *map(len, bodies)])
+        self.count = np.array([len(x) for x, _ in found], "i8")
+        self.payload = np.repeat(np.arange(len(bodies)), self.count)  # of each entity
+        start, end = (np.concatenate([x[k] + at for x, at in zip(found, begin)]) for k in (0, 1))
+        self.entity = self.within("FeedEntity", start, end, ("id",), ("vehicle", "alert", "trip_update"))
+
+    def within(self, message: str, start, end, single=(), messages=(), repeated=()) -> dict:
+        number = {f: _number(message, f) for f in (*single, *messages, *repeated)}
+        found = wire.fields(self.data, start.astype("i8"), end, {number[f] for f in single}, {number[f] for f in messages}, {number[f] for f in repeated})
+        return {f: found[n] for f, n in number.items()}
+
+    def sub(self, parent: tuple, message: str, single=(), messages=(), repeated=()) -> dict:
+        """Fields of a sub-message; where it is not set, none is."""
+        has, start, end = parent
+        return self.within(message, start, end * has, single, messages, repeated)
+
+    def text(self, field: tuple):
+        return wire.texts(self.data, *field)
+
+    def number(self, field: tuple, dtype: str):
+        return wire.numbers(self.data, field[0], field[1], dtype)
+
+    def vehicles(self):
+        v = self.sub(self.entity["vehicle"], "VehiclePosition", ("timestamp",), ("trip", "vehicle", "position"))
+        keep = v["position"][0].nonzero()[0]
+        v = {k: tuple(x[keep] for x in f) for k, f in v.items()}
+        trip = self.sub(v["trip"], "TripDescriptor", ("trip_id", "route_id"))
+        named = self.sub(v["vehicle"], "VehicleDescriptor", ("id",))
+        p = self.sub(v["position"], "Position", ("latitude", "longitude", "bearing", "speed"))
+        return keep, {"ts": self.number(v["timestamp"], "i8"), "vehicle_id": self.text(named["id"]), "trip_id": self.text(trip["trip_id"]),
+                      "route_id": self.text(trip["route_id"]), **{k: self.number(f, "f4") for k, f in p.items()}}
+
+    def alerts(self):
+        keep = self.entity["alert"][0].nonzero()[0]
+        a = self.sub(tuple(x[keep] for x in self.entity["alert"]), "Alert", ("cause", "effect"), ("header_text", "description_text"))
+
+        def first(field):
+            owner, start, end = self.sub(field, "TranslatedString", repeated=("translation",))["translation"]
+            at = np.flatnonzero(np.diff(owner, prepend=-1))
+            has, s, e = (np.zeros(len(keep), t) for t in ("?", "i8", "i8"))
+            has[owner[at]], s[owner[at]], e[owner[at]] = True, start[at], end[at]
+            return self.text(self.sub((has, s, e), "Translation", ("text",))["text"])
+
+        return keep, {"cause": self.number(a["cause"], "i4"), "effect": self.number(a["effect"], "i4"),
+                      "header_text": first(a["header_text"]), "description_text": first(a["description_text"])}
+
+    def stops(self):
+        u = self.sub(self.entity["trip_update"], "TripUpdate", (), ("trip",), ("stop_time_update",))
+        owner, start, end = u["stop_time_update"]
+        trip = self.sub(u["trip"], "TripDescriptor", ("trip_id", "route_id"))
+        trip = {k: tuple(x[owner] for x in f) for k, f in trip.items()}
+        s = self.within("StopTimeUpdate", start, end, ("stop_sequence", "stop_id"), ("arrival", "departure"))
+        delay = {k: self.number(self.sub(s[k], "StopTimeEvent", ("delay",))["delay"], "i4") for k in ("arrival", "departure")}
+        return owner, {"trip_id": self.text(trip["trip_id"]), "route_id": self.text(trip["route_id"]), "stop_sequence": self.number(s["stop_sequence"], "i8"),
+                       "stop_id": self.text(s["stop_id"]), "arrival_delay": delay["arrival"], "departure_delay": delay["departure"]}
+
+
+_READ = {"vehicle": _Reader.vehicles, "alert": _Reader.alerts, "stop": _Reader.stops}
+
+
+def _read(feeds: list[tuple], parts: tuple[str, ...]):
+    """(kind, payload of each row, feed times of the payloads, entity ids,
+    columns) of payloads (place, body, parsed feed)."""
+    try:
+        reader = _Reader([body for _, body, _ in feeds])
+        positions = reader.vehicles()
+        out = {k: positions if k == "vehicle" else _READ[k](reader) for k in parts}
+        names = {k: reader.text(tuple(x[entities] for x in reader.entity["id"])) for k, (entities, _) in out.items()}
+    except (wire.Unusual, UnicodeDecodeError) as e:
+        if len(feeds) > 1:  # each by itself
+            for f in feeds:
+                yield from _read([f], parts)
+        elif isinstance(e, wire.Unusual):  # written again by the parser, sub-messages merged and unknown groups left out
+            at, _, feed = feeds[0]
+            feed.DiscardUnknownFields()
+            yield from _read([(at, feed.SerializeToString(), feed)], parts)
+        else:
+            yield "reject", np.array([feeds[0][0]]), None, None, {}
+        return
+    place = np.array([at for at, _, _ in feeds], "i8")
+    times = np.array([feed.header.timestamp for _, _, feed in feeds], "u8").view("i8")  # the signed numbers of the same bits
+    counts = {"bytes": np.array([len(b) for _, b, _ in feeds], "i8"), "total_entities": reader.count,
+              "vehicle_positions": np.bincount(reader.payload[positions[0]], minlength=len(feeds))}
+    yield "payload", place, times, None, {k: pa.array(n) for k, n in counts.items()}
+    for k, (entities, columns) in out.items():
+        owner = reader.payload[entities]
+        yield k, place[owner], times[owner], names[k], columns
+
+
+def _decoded(bodies: list[bytes | None], parts: tuple[str, ...]):
+    """The parser says which payloads are any, as strictly as it does; the values
+    are then read by columns. One that does not parse is a ``reject``."""
     from google.protobuf.message import DecodeError
-    feed_cls = message_classes()["FeedMessage"]
-    cols = [c.split()[0] for c in ENTITY_SCHEMA.split(", ")]
-    for pdf in batches:
-        out = []
-        for cyc, seq, body in zip(pdf["cycle_ts"], pdf["seq"], pdf["body"]):
-            try:
-                feed = feed_cls.FromString(bytes(body))
-            except (DecodeError, ValueError, TypeError):
-                continue
-            fts = int(feed.header.timestamp) if feed.header.HasField("timestamp") else 0
-            for e in feed.entity:
-                if not e.HasField("vehicle"):
-                    out.append((cyc, seq, e.id, fts, False, False, None, None, None, None,
-                                None, None, None, None))
-                    continue
-                v = e.vehicle
-                trip = v.trip if v.HasField("trip") else None
-                veh = v.vehicle if v.HasField("vehicle") else None
-                pos = v.position if v.HasField("position") else None
-                out.append((cyc, seq, e.id, fts, True, pos is not None, _opt(v, "timestamp"),
-                            _opt(veh, "id") if veh is not None else None,
-                            _opt(trip, "trip_id") if trip is not None else None,
-                            _opt(trip, "route_id") if trip is not None else None,
-                            pos.latitude if pos is not None else None,
-                            pos.longitude if pos is not None else None,
-                            _opt(pos, "bearing") if pos is not None else None,
-                            _opt(pos, "speed") if pos is not None else None))
-        df = pd.DataFrame(out, columns=cols)
-        for c in ("entity_ts", "feed_ts"):
-            df[c] = pd.array(df[c], dtype="Int64")
-        for c in ("latitude", "longitude", "bearing", "speed"):
-            df[c] = df[c].astype("float32")
-        yield df
-
-
-def entities(landed_bin: DataFrame) -> DataFrame:
-    """landed(source, endpoint, cycle_ts, seq, status, body binary), 2xx
-    only -> entity rows."""
+    cls, feeds, bad = message_classes()["FeedMessage"], [], []
+    for i, body in enumerate(bodies):
+        try:
+            feeds.append((i, body or b"", cls.FromString(body or b"")))
+        except DecodeError:
+            bad.append(i)
+    if bad:
+        yield "reject", np.array(bad), None, None, {}
+    if feeds:
+        yield from _read(feeds, parts)
+
+
+def decode(landed_bin: DataFrame, parts: tuple[str, ...] = PARTS, rows: int = 65_536, together: int = 32 << 20) -> DataFrame:
+    """landed(source, endpoint, cycle_ts, seq, status, body binary), 2xx only ->
+    tagged rows (``DECODED``), each payload decoded once for all that is wanted
+    of it. Entities go straight into Arrow columns; small payloads are read
+    ``together`` (bytes), and records are cut at ``rows``. The nested feed never
+    leaves the task."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
     ship_package(landed_bin.sparkSession)
-    ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "seq", "body")
-    return ok.mapInPandas(_decode_entities, ENTITY_SCHEMA)
+    ok = landed_bin.where(F.col("status").between(200, 299)).select(*KEYS, F.col("body").cast("binary"))
+    schema = to_arrow_schema(StructType.fromDDL(DECODED))
+
+    def record(batch, kind, of, times, ids, columns):
+        n, at = len(of), pa.array(of)
+        own = {c: batch.column(j).take(at) for j, c in enumerate(KEYS)} | {"kind": pa.array([kind] * n)}
+        if kind == "reject":
+            own["reason"] = pa.array(["corrupt"] * n)
+        else:
+            fields = schema.field(kind).type
+            own["feed_ts"] = pa.array(times)
+            own[kind] = pa.StructArray.from_arrays([columns[f.name].cast(f.type) for f in fields], fields=list(fields))
+        if ids is not None:
+            own["entity_id"] = ids
+        return pa.RecordBatch.from_arrays([own[f.name].cast(f.type) if f.name in own else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def run(batches):
+        for whole in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column(len(KEYS))), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < whole.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + together, "right")))
+                batch = whole.slice(at, to - at)
+                for found in _decoded(batch.column(len(KEYS)).to_pylist(), parts):
+                    if len(found[1]):
+                        r = record(batch, *found)
+                        yield from (r.slice(k, rows) for k in range(0, r.num_rows, rows))
+                at = to
+
+    return ok.mapInArrow(run, DECODED)
 
 
 VP_COLS = ["timestamp", "feed_timestamp", "vehicle_id", "trip_id", "route_id", "latitude", "longitude",
            "bearing", "speed"]
 
 
-def norm_vehicle_positions(landed_bin: DataFrame) -> DataFrame:
+def vehicle_positions(decoded: DataFrame) -> DataFrame:
     """SRC-13: entities with a vehicle and a position; timestamp ladder
     (entity time, 0 kept; else feed time if > 0; else the collector's
     clock); float coordinates widened to double. ``is_deleted`` is not
     consulted."""
-    e = entities(landed_bin).where(F.col("has_vehicle") & F.col("has_position"))
-    return e.select(
-        R.entity_time(F.col("entity_ts"), F.col("feed_ts"), F.col("cycle_ts")).alias("timestamp"),
-        F.col("feed_ts").alias("feed_timestamp"), "vehicle_id", "trip_id", "route_id",
-        R.widen_float(F.col("latitude")).alias("latitude"),
-        R.widen_float(F.col("longitude")).alias("longitude"), "bearing", "speed")
+    v = lambda c: F.col("vehicle")[c]
+    return decoded.where("kind = 'vehicle'").select(
+        R.entity_time(v("ts"), F.col("feed_ts"), F.col("cycle_ts")).alias("timestamp"),
+        F.col("feed_ts").alias("feed_timestamp"), *[v(c).alias(c) for c in ("vehicle_id", "trip_id", "route_id")],
+        R.widen_float(v("latitude")).alias("latitude"), R.widen_float(v("longitude")).alias("longitude"),
+        v("bearing").alias("bearing"), v("speed").alias("speed"))
 
 
-def feed_counters(landed_bin: DataFrame) -> DataFrame:
-    """AGG-14: per payload, total entities and vehicle positions found."""
-    e = entities(landed_bin)
-    return e.groupBy("cycle_ts", "seq").agg(
-        F.count(F.lit(1)).alias("total_entities"),
-        F.count_if(F.col("has_vehicle") & F.col("has_position")).alias("vehicle_positions"))
-
-
-ALERT_SCHEMA = ("cycle_ts timestamp, alert_id string, cause int, effect int, header_text string, "
-                "description_text string")
+def norm_vehicle_positions(landed_bin: DataFrame) -> DataFrame:
+    return vehicle_positions(decode(landed_bin, ("vehicle",)))
 
 
-def _first_text(ts):
-    return ts.translation[0].text if len(ts.translation) else None
+def rejected_payloads(decoded: DataFrame, landed_bin: DataFrame) -> DataFrame:
+    """DQ-1: payloads that failed (``http_status``) or did not decode
+    (``corrupt``), with their bodies (base64) for replay. Decoding told which;
+    their bodies are looked up by the payload's key."""
+    body = F.base64(F.col("body").cast("binary")).alias("body")
+    bad_status = landed_bin.where(~F.col("status").between(200, 299)).select(*KEYS, "status", body, F.lit("http_status").alias("reason"))
+    bad = decoded.where("kind = 'reject'").select(*KEYS, "reason").distinct()
+    ok = landed_bin.where(F.col("status").between(200, 299)).select(*KEYS, "status", body)
+    return bad_status.unionByName(ok.join(bad, list(KEYS)).select(*KEYS, "status", "body", "reason"))
 
 
-def _decode_alerts(batches):
-    from google.protobuf.message import DecodeError
-    feed_cls = message_classes()["FeedMessage"]
-    for pdf in batches:
-        out = []
-        for cyc, body in zip(pdf["cycle_ts"], pdf["body"]):
-            try:
-                feed = feed_cls.FromString(bytes(body))
-            except (DecodeError, ValueError, TypeError):
-                continue
-            for e in feed.entity:
-                if e.HasField("alert"):
-                    a = e.alert
-                    out.append((cyc, e.id, _opt(a, "cause"), _opt(a, "effect"),
-                                _first_text(a.header_text) if a.HasField("header_text") else None,
-                                _first_text(a.description_text) if a.HasField("description_text") else None))
-        df = pd.DataFrame(out, columns=[c.split()[0] for c in ALERT_SCHEMA.split(", ")])
-        for c in ("cause", "effect"):
-            df[c] = pd.array(df[c], dtype="Int32")
-        yield df
+def feed_counters(landed_bin: DataFrame) -> DataFrame:
+    """AGG-14: per payload, total entities and vehicle positions found (rows
+    stored are counted by the write: ``jobs.ingest``)."""
+    return decode(landed_bin, ()).where("kind = 'payload'").select("cycle_ts", "seq", "payload.total_entities", "payload.vehicle_positions")
 
 
 def _enum_name(code, names: dict, default: int):
@@ -203,52 +301,23 @@ def _enum_name(code, names: dict, default: int):
     return m[F.coalesce(code, F.lit(default))]
 
 
-def norm_service_alerts(landed_bin: DataFrame) -> DataFrame:
+def service_alerts(decoded: DataFrame) -> DataFrame:
     """EXT-1 (our rule; the reference never writes alerts): id, first
     translation of header and description, cause/effect enum names (proto2
     defaults UNKNOWN_CAUSE / UNKNOWN_EFFECT when absent)."""
-    ship_package(landed_bin.sparkSession)
-    ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "body")
-    a = ok.mapInPandas(_decode_alerts, ALERT_SCHEMA)
-    return a.select(F.col("cycle_ts").alias("timestamp"), "alert_id", "header_text", "description_text",
-                    _enum_name(F.col("cause"), ALERT_CAUSE, 1).alias("cause"),
-                    _enum_name(F.col("effect"), ALERT_EFFECT, 8).alias("effect"))
+    return decoded.where("kind = 'alert'").select(
+        F.col("cycle_ts").alias("timestamp"), F.col("entity_id").alias("alert_id"), "alert.header_text", "alert.description_text",
+        _enum_name(F.col("alert.cause"), ALERT_CAUSE, 1).alias("cause"), _enum_name(F.col("alert.effect"), ALERT_EFFECT, 8).alias("effect"))
 
 
-STU_SCHEMA = ("cycle_ts timestamp, entity_id string, trip_id string, route_id string, stop_sequence long, "
-              "stop_id string, arrival_delay int, departure_delay int")
+def norm_service_alerts(landed_bin: DataFrame) -> DataFrame:
+    return service_alerts(decode(landed_bin, ("alert",)))
 
 
-def _decode_trip_updates(batches):
-    from google.protobuf.message import DecodeError
-    feed_cls = message_classes()["FeedMessage"]
-    for pdf in batches:
-        out = []
-        for cyc, body in zip(pdf["cycle_ts"], pdf["body"]):
-            try:
-                feed = feed_cls.FromString(bytes(body))
-            except (DecodeError, ValueError, TypeError):
-                continue
-            for e in feed.entity:
-                if not e.HasField("trip_update"):
-                    continue
-                tu = e.trip_update
-                trip = tu.trip if tu.HasField("trip") else None
-                for s in tu.stop_time_update:
-                    out.append((cyc, e.id, _opt(trip, "trip_id") if trip is not None else None,
-                                _opt(trip, "route_id") if trip is not None else None,
-                                _opt(s, "stop_sequence"), _opt(s, "stop_id"),
-                                _opt(s.arrival, "delay") if s.HasField("arrival") else None,
-                                _opt(s.departure, "delay") if s.HasField("departure") else None))
-        df = pd.DataFrame(out, columns=[c.split()[0] for c in STU_SCHEMA.split(", ")])
-        df["stop_sequence"] = pd.array(df["stop_sequence"], dtype="Int64")
-        for c in ("arrival_delay", "departure_delay"):
-            df[c] = pd.array(df[c], dtype="Int32")
-        yield df
+def trip_updates(decoded: DataFrame) -> DataFrame:
+    """EXT-2: one row per stop-time update (no target table in the reference)."""
+    return decoded.where("kind = 'stop'").select(F.col("cycle_ts").alias("timestamp"), "entity_id", "stop.*")
 
 
 def norm_trip_updates(landed_bin: DataFrame) -> DataFrame:
-    """EXT-2: one row per stop-time update (no target table in the reference)."""
-    ship_package(landed_bin.sparkSession)
-    ok = landed_bin.where(F.col("status").between(200, 299)).select("cycle_ts", "body")
-    return ok.mapInPandas(_decode_trip_updates, STU_SCHEMA).withColumnRenamed("cycle_ts", "timestamp")
+    return trip_updates(decode(landed_bin, ("stop",)))
