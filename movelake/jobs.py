@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from movelake.operators import sinks
 from movelake.schemas import LANDED
@@ -23,7 +23,7 @@ def _rejects(doc):
     return lambda L: payloads.rejected(L, doc)
 
 
-# feed -> (table, normaliser(landed, stations) -> rows, rejected(landed) -> rows or None)
+# feed -> (table, normaliser(landed, stations) -> rows, rejected(landed) -> rows)
 FEEDS = {
     "state_vectors": ("flights", lambda L, st: aircraft.norm_state_vectors(L), _rejects(aircraft.STATE_DOC)),
     "adsb_endpoints": ("flights", lambda L, st: aircraft.norm_adsb_endpoints(L), aircraft.rejected_adsb),
@@ -36,24 +36,66 @@ FEEDS = {
     "board_be": ("departures", lambda L, st: rail.norm_departures_be(L, st), _rejects(rail.BE_DOC)),
     "board_at": ("departures", lambda L, st: rail.norm_departures_at(L, st), _rejects(rail.AT_DOC)),
     "orbits": ("satellites", lambda L, st: orbits.norm_orbital_elements(L), orbits.rejected_orbits),
-    "gtfs_rt": ("vehicle_positions", lambda L, st: gtfs.norm_vehicle_positions(L), None),
+    "gtfs_rt": ("vehicle_positions", lambda L, st: gtfs.norm_vehicle_positions(L), lambda L: gtfs.rejected_payloads(gtfs.decode(L, ()), L)),
 }
+BINARY_FEEDS = {"gtfs_rt"}
+_ADSB = {f: aircraft.ADSB_DOC for f in ("adsb_endpoints", "adsb_regions", "adsb_types", "adsb_snapshot")}
+_DOCS = _ADSB | {"state_vectors": aircraft.STATE_DOC, "private_feeder": aircraft.PRIVATE_DOC, "ship_frames": ships.SHIP_DOC,
+                 "board_ch": rail.CH_DOC, "board_be": rail.BE_DOC, "board_at": rail.AT_DOC}
+
+
+def parsed_once(feed: str, landed: DataFrame) -> DataFrame:
+    """What rows, rejects and counts of a JSON feed all come from."""
+    return orbits.parse_orbits(landed) if feed == "orbits" else payloads.parse_all(landed, _DOCS[feed])
+
+
+def _n(array, leaves_out):
+    return F.size(F.filter(array, leaves_out))
+
+
+def left_out(feed: str) -> dict:
+    """DQ-2: the rules by which a feed leaves out records of accepted documents,
+    as counts in ``doc`` (a record counts under the first rule that it meets)."""
+    ac = F.coalesce(F.col("doc.ac"), F.col("doc.aircraft"), F.array())
+    nowhere = lambda a: a["lat"].isNull() | a["lon"].isNull()
+    one_key = ~aircraft.both_keys()
+    rules = {
+        "state_vectors": {"short_record": _n(F.coalesce("doc.states", F.array()), lambda s: F.coalesce(F.size(s), F.lit(0)) < 17)},
+        "adsb_endpoints": {"no_id": F.when(one_key, _n(ac, lambda a: a["hex"].isNull()))},
+        "adsb_snapshot": {"no_position": F.when(one_key, _n(ac, nowhere))},
+        "private_feeder": {"missing_required": _n(F.coalesce("doc.aircraft", F.array()), lambda a: a["hex"].isNull() | nowhere(a))},
+        "ship_frames": {"no_metadata": F.col("doc.MetaData").isNull().cast("int")},
+        "board_ch": {"no_stop": _n(F.coalesce("doc.stationboard", F.array()), lambda e: e["stop"].isNull())},
+    }
+    both = {"no_position": F.when(one_key, _n(ac, nowhere)), "no_id": F.when(one_key, _n(ac, lambda a: a["hex"].isNull() & ~nowhere(a)))}
+    return (rules | {"adsb_regions": both, "adsb_types": both}).get(feed, {})
 
 
 def ingest(spark: SparkSession, feed: str, landed: DataFrame, table_path: str,
            stations: DataFrame | None = None, dead_letter_path: str | None = None,
-           metrics_path: str | None = None, as_of=None) -> dict:
-    """Normalise and append one landed batch; returns {'rows': n, 'rejected': m}."""
+           metrics_path: str | None = None, as_of=None, run: str | None = None) -> dict:
+    """Normalise and append one landed batch, each document parsed once:
+    {'rows': n, 'rejected': m, 'dropped': {reason: records}}, and for a protobuf
+    feed its 'counters'. With ``run`` (a name of this batch) the rows are
+    appended once, however often the job is run again under it."""
     table, normalise, reject = FEEDS[feed]
     batch = landed.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = (gtfs.decode(batch, ("vehicle",)) if feed in BINARY_FEEDS else parsed_once(feed, batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = sinks.append(normalise(batch, stations), table_path, table, as_of=as_of,
-                            metrics_path=metrics_path)
-        rejected = 0
-        if dead_letter_path is not None and reject is not None:
-            rejected = payloads.dead_letter(reject(batch), dead_letter_path)
-        return {"rows": rows, "rejected": rejected}
+        rows = gtfs.vehicle_positions(parsed) if feed in BINARY_FEEDS else normalise(parsed, stations)
+        n = sinks.append(rows, table_path, table, as_of=as_of, metrics_path=metrics_path, writer=f"run-{feed}" if run else None, batch=run)
+        out = {"rows": n, "rejected": 0}
+        if dead_letter_path is not None:
+            out["rejected"] = payloads.dead_letter(gtfs.rejected_payloads(parsed, batch) if feed in BINARY_FEEDS else reject(parsed), dead_letter_path)
+        if feed in BINARY_FEEDS:
+            c = parsed.where("kind = 'payload'").agg(F.count("*").alias("payloads"), *[F.coalesce(F.sum(f"payload.{k}"), F.lit(0)).alias(k)
+                                                     for k in ("bytes", "total_entities", "vehicle_positions")]).first().asDict()
+            out |= {"counters": c | {"inserted": n}, "dropped": {"no_position": c["total_entities"] - c["vehicle_positions"]}}
+        else:
+            out["dropped"] = {r.reason: r.rows for r in payloads.dropped_records(parsed, left_out(feed)).collect()}  # a row per source and rule
+        return out
     finally:
+        parsed.unpersist()
         batch.unpersist()
 
 

@@ -921,3 +921,72 @@ def q_compaction_life_cycle(spark, sf):
     layout.compact_chunks(spark, table, "flights", as_of)
     note("again")
     return agg.union_all(phases)
+
+
+# --- STR-4 ... STR-6, WIN-1: rollups of streams whose rows come in no order -----
+from movelake.streaming import rollups  # noqa: E402
+
+
+def _rolled(spark, df, name, keys, window="1 minute", ts="timestamp"):
+    """df as four micro-batches, each with rows of the whole time, into a rollup."""
+    land, out = scratch_path(spark, f"landing_{name}"), scratch_path(spark, name)
+    df.repartition(4, F.xxhash64(*df.columns)).write.parquet(land)
+    src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    names = [k.split()[0] for k in keys.split(", ")]
+    rollups.stream_rollup(src, out, scratch_path(spark, f"ck_{name}"), names, window, ts, "availableNow").awaitTermination()
+    return out
+
+
+@register("stream_rollup_late")
+def q_stream_rollup_late(spark, sf):
+    out = _rolled(spark, standin.flights(spark, sf).select("timestamp", "source"), "rollup", "source string")
+    rollups.compact_rollup(spark, out, "source string")
+    return rollups.read_rollup(spark, out, "source string").select(ntz("window_start").alias("window_start"), "source", "rows")
+
+
+@register("stream_collapse_late")
+def q_stream_collapse_late(spark, sf):
+    rows = standin.vehicle_positions(spark, sf).select("ingested_at", F.lit("vehicle_positions").alias("table"))
+    out = _rolled(spark, rows, "collapse", "table string", ts="ingested_at")
+    c = rollups.collapsed(rollups.read_rollup(spark, out, "table string"), min_rows=3)
+    return c.select(ntz("window_start").alias("window_start"), ntz("window_end").alias("window_end"), "rows")
+
+
+@register("stream_stall_late")
+def q_stream_stall_late(spark, sf):
+    inserts = agg.union_all([standin.table(spark, sf, n).select("ingested_at", F.lit(n).alias("table")) for n in GEO3])
+    out = _rolled(spark, inserts, "seconds", "table string", "1 second", "ingested_at")
+    g = rollups.gaps(rollups.read_rollup(spark, out, "table string"), 120)
+    return g.select("table", ntz("gap_start").alias("gap_start"), ntz("gap_end").alias("gap_end"), "gap_seconds")
+
+
+@register("stream_latency_buckets")
+def q_stream_latency_buckets(spark, sf):
+    """p99 per minute from bucket counts, beside the exact one: the stated error holds."""
+    f = standin.flights(spark, sf).select("ingested_at", "timestamp")
+    rows = f.select("ingested_at", rollups.latency_bucket().alias("bucket"))
+    p = rollups.latency_percentile(rollups.read_rollup(spark, _rolled(spark, rows, "latency", "bucket int", ts="ingested_at"), "bucket int"))
+    exact = f.groupBy(F.date_trunc("minute", "ingested_at").alias("window_start")).agg(F.percentile(R.latency_ms("ingested_at", "timestamp"), F.lit(0.99)).alias("exact"))
+    near = F.abs(F.col("p_ms") - F.col("exact")) <= F.abs("exact") * (2.718281828 ** (0.5 / rollups.STEPS) - 1) + 1e-9
+    return p.join(exact, "window_start", "full").select(ntz("window_start").alias("window_start"), "samples", near.alias("within_error"))
+
+
+# --- STR-3 for the protobuf feed -------------------------------------------------
+@register("stream_vehicle_positions")
+def q_stream_vehicle_positions(spark, sf):
+    land = _land_files(landed.land_gtfs(spark, sf), "landing_gtfs", 6, "cycle_ts", fmt="parquet")
+    out, ck = scratch_path(spark, "vehicle_positions"), scratch_path(spark, "ck_gtfs")
+    streams.stream_feed(spark, land, "gtfs_rt", out, ck, trigger="availableNow", max_files=2).awaitTermination()
+    return sinks.read_table(spark, out, "vehicle_positions").select(ntz("timestamp").alias("timestamp"), *gtfs.VP_COLS[1:])
+
+
+@register("gtfs_ingest")
+def q_gtfs_ingest(spark, sf):
+    """AGG-14 and DQ-1 of one run: payloads decoded once for table, counters and dead letter."""
+    table, dead = scratch_path(spark, "vehicle_positions"), scratch_path(spark, "dead_letter")
+    got = jobs.ingest(spark, "gtfs_rt", landed.land_gtfs(spark, sf), table, dead_letter_path=dead)
+    stored = sinks.read_table(spark, table, "vehicle_positions").agg(F.count("*").alias("stored"))
+    letters = payloads.read_dead_letter(spark, dead).agg(F.count_if(F.col("reason") == "corrupt").alias("corrupt"), F.count_if(F.col("reason") == "http_status").alias("http_status"))
+    c = got["counters"]
+    return letters.select(*[F.lit(c[k]).cast("long").alias(k) for k in ("payloads", "total_entities", "vehicle_positions", "inserted")],
+                          stored.scalar().alias("stored"), "corrupt", "http_status")

@@ -683,3 +683,20 @@ due AS (SELECT *, CAST(chunk AS TIMESTAMP) + INTERVAL '1 day' <= (SELECT max(ing
 SELECT 'compacted' AS phase, chunk, CASE WHEN due THEN 'compacted' ELSE 'raw' END AS state, early AS "rows", 0::BIGINT AS misordered FROM due WHERE early > 0
 UNION ALL SELECT 'late feed', chunk, CASE WHEN NOT due OR early = 0 THEN 'raw' WHEN late > 0 THEN 'dirty' ELSE 'compacted' END, early + late, 0 FROM due WHERE early + late > 0
 UNION ALL SELECT 'again', chunk, CASE WHEN due THEN 'compacted' ELSE 'raw' END, early + late, 0 FROM due WHERE early + late > 0"""
+
+# --- rollups of streams: as the batch would count, the last windows and late rows included
+ORACLE["stream_rollup_late"] = ctes("flights") + """
+SELECT make_timestamp((epoch_us("timestamp") // 60000000) * 60000000) AS window_start, source, count(*) AS "rows" FROM flights GROUP BY 1, 2"""
+ORACLE["stream_collapse_late"] = ctes("vehicle_positions") + """
+SELECT make_timestamp(s) AS window_start, make_timestamp(s + 300000000) AS window_end, count(*) AS "rows"
+FROM (SELECT (epoch_us(ingested_at) // 60000000) * 60000000 - j * 60000000 AS s FROM vehicle_positions, (VALUES (0), (1), (2), (3), (4)) w(j))
+GROUP BY s HAVING count(*) < 3"""
+ORACLE["stream_stall_late"] = ORACLE["stall_gaps"]
+ORACLE["stream_latency_buckets"] = ctes("flights") + """
+SELECT make_timestamp((epoch_us(ingested_at) // 60000000) * 60000000) AS window_start, count(*) AS samples, TRUE AS within_error FROM flights GROUP BY 1"""
+ORACLE["stream_vehicle_positions"] = ORACLE["norm_vehicle_positions"]
+ORACLE["gtfs_ingest"] = _GT + """, p AS (SELECT cycle_no, page, h, count(*) AS n, count(*) FILTER (WHERE event_id % 8 = 0) + count(*) FILTER (WHERE event_id % 6 IN (0, 3)) AS more FROM g GROUP BY ALL)
+SELECT count(*) FILTER (h % 23 <> 0 AND h % 29 <> 7) AS payloads, (coalesce(sum(n + more) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS total_entities,
+  (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS vehicle_positions, (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS inserted,
+  (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS stored,
+  count(*) FILTER (h % 23 <> 0 AND h % 29 = 7) AS corrupt, count(*) FILTER (h % 23 = 0) AS http_status FROM p"""

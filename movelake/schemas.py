@@ -80,6 +80,9 @@ LANDED = T.StructType([
     _f("status", T.IntegerType()), _f("body", T.StringType()),
 ])
 
+# The same with the bytes of a protobuf feed.
+LANDED_BINARY = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "body" else f for f in LANDED.fields])
+
 TABLES = {
     "flights": FLIGHTS,
     "ships": SHIPS,

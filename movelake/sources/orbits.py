@@ -16,6 +16,8 @@ SAT_COLS = ["timestamp", "norad_id", "name", "epoch", "mean_motion", "inclinatio
 
 def _wrapped(landed: DataFrame) -> DataFrame:
     # The API serves a bare array; wrap it so the corrupt-record column works.
+    if payloads.CORRUPT in landed.columns:
+        return landed  # parsed already
     return landed.withColumn("body", F.concat(F.lit('{"elements":'), F.col("body"), F.lit("}")))
 
 
@@ -42,5 +44,9 @@ def norm_orbital_elements(landed: DataFrame, lenient_time: bool = False, keep_ca
     return x.select(*cols)
 
 
+def parse_orbits(landed: DataFrame) -> DataFrame:
+    return payloads.parse_all(_wrapped(landed), ORBIT_DOC)
+
+
 def rejected_orbits(landed: DataFrame) -> DataFrame:
     return payloads.rejected(_wrapped(landed), ORBIT_DOC, (_missing_required(), "missing_required"))

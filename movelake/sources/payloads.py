@@ -9,7 +9,7 @@ letter (DQ-1) with its reason (DQ-2).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CORRUPT = "_corrupt"
 LANDED_KEYS = ["source", "endpoint", "cycle_ts", "seq"]
@@ -21,14 +21,23 @@ def landed_ok(landed: DataFrame) -> DataFrame:
     return landed.where(F.col("status").between(200, 299))
 
 
-def parse(landed: DataFrame, schema_ddl: str, body: str = "body") -> DataFrame:
-    """Parse every landed 2xx body against ``schema_ddl``; adds ``doc``
-    (the parsed struct) and ``_corrupt`` (the raw text when the document
-    failed to parse or had a wrong-typed field)."""
+def parse_all(landed: DataFrame, schema_ddl: str, body: str = "body") -> DataFrame:
+    """Every landed row, 2xx bodies parsed against ``schema_ddl``; adds ``doc``
+    (the parsed struct, NULL for a failed response) and ``_corrupt`` (the raw
+    text when the document failed to parse or had a wrong-typed field)."""
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     ddl = f"{schema_ddl}, {CORRUPT} string"
-    p = landed_ok(landed).withColumn("doc", F.from_json(F.col(body), ddl, opts))
-    return p.withColumn(CORRUPT, F.col(f"doc.{CORRUPT}"))
+    ok = F.when(F.col("status").between(200, 299), F.col(body))
+    return landed.withColumn("doc", F.from_json(ok, ddl, opts)).withColumn(CORRUPT, F.col(f"doc.{CORRUPT}"))
+
+
+def parse(landed: DataFrame, schema_ddl: str, body: str = "body") -> DataFrame:
+    """The 2xx part of ``parse_all``. Rows that are parsed already (by
+    ``parse_all``, kept by a job that needs both the rows and the rejects) are
+    taken as they are."""
+    if CORRUPT in landed.columns:
+        return landed_ok(landed)
+    return parse_all(landed_ok(landed), schema_ddl, body)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -60,3 +69,17 @@ def dead_letter(rejects: DataFrame, path: str) -> int:
             .write.mode("append").option("compression", "gzip")
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path))
     return int(obs.get.get("n", 0) or 0)
+
+
+def read_dead_letter(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.schema("source string, endpoint string, cycle_ts timestamp, seq long, status int, body string, reason string")
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path))
+
+
+def dropped_records(parsed: DataFrame, reasons: dict) -> DataFrame:
+    """DQ-2: records of accepted documents that a feed's rules leave out, as
+    (source, reason, rows); ``reasons`` counts them in a parsed document."""
+    sums = [F.struct(F.lit(k).alias("reason"), F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("rows")) for k, c in reasons.items()]
+    if not sums:
+        return parsed.sparkSession.createDataFrame([], "source string, reason string, rows long")
+    return accepted(landed_ok(parsed)).groupBy("source").agg(F.array(*sums).alias("s")).select("source", F.inline("s")).where("rows > 0")

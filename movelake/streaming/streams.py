@@ -23,7 +23,7 @@ from movelake.functions.rules import latency_ms
 from movelake.operators.dedup import dedup_pings, dedup_pings_stream
 from movelake.operators.layout import with_chunk
 from movelake.operators.sinks import append, read_table
-from movelake.schemas import LANDED
+from movelake.schemas import LANDED, LANDED_BINARY
 from movelake.sources.ships import norm_ship_messages
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # landed JSON keeps microseconds
@@ -32,13 +32,27 @@ FLUSH_INTERVAL = "3 seconds"  # ... or after 3 s, whichever first
 
 
 def landed_stream(spark: SparkSession, landing_dir: str, max_files: int | None = None,
-                  fmt: str = "json") -> DataFrame:
-    r = spark.readStream.schema(LANDED).format(fmt).option("timestampFormat", TS_FORMAT)
+                  fmt: str = "json", binary: bool = False) -> DataFrame:
+    """Landed payloads as they come; ``binary`` ones (protobuf) are Parquet."""
+    r = spark.readStream.schema(LANDED_BINARY if binary else LANDED).format("parquet" if binary else fmt).option("timestampFormat", TS_FORMAT)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(landing_dir)
 
 
+def payload_files(spark: SparkSession, landing_dir: str, source: str, max_files: int | None = None, glob: str = "*.pb") -> DataFrame:
+    """Binary payloads as plain files, one response each, as a stream of landed
+    rows: the folder is the endpoint, the file's time the cycle. A file that is
+    there was a success."""
+    r = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+         .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.load(landing_dir).select(F.lit(source).alias("source"), F.element_at(F.split("path", "/"), -2).alias("endpoint"),
+                                      F.col("modificationTime").alias("cycle_ts"), F.xxhash64("path").alias("seq"),
+                                      F.lit(200).alias("status"), F.col("content").alias("body"))
+
+
 def kafka_frames(spark: SparkSession, servers: str, topic: str, max_offsets: int = FLUSH_ROWS,
                  starting: str = "latest") -> DataFrame:
     """Ship frames from a Kafka topic in the ``landed`` shape. With
@@ -224,19 +238,20 @@ DEDUP_KEYS = {feed: ["source", "timestamp", "icao24"] for feed in ("adsb_endpoin
 
 def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: str, checkpoint: str,
                 trigger: str | None = "300 seconds", max_files: int | None = None,
-                stations: DataFrame | None = None, first_wins: bool = True, metrics_path: str | None = None) -> StreamingQuery:
-    """STR-3 for every feed: each micro-batch is normalised (first-wins
+                stations: DataFrame | None = None, first_wins: bool = True, metrics_path: str | None = None,
+                landed: DataFrame | None = None) -> StreamingQuery:
+    """STR-3 for every feed, read from ``landing_dir`` or given as ``landed``: each micro-batch is normalised (first-wins
     within the batch, as the batch job does) and published to the table. With
     ``first_wins`` a row whose (cycle, key) is already stored -- a cycle split
     across micro-batches -- is dropped by an anti join against the table, pruned
     to the batch's chunks. A replayed batch finds none of its own rows there:
     either it is in the ledger, and nothing is done, or all it wrote is still
     staged, and is published as it is."""
-    from movelake.jobs import FEEDS
+    from movelake.jobs import BINARY_FEEDS, FEEDS
     from movelake.operators.layout import list_chunks
     table, normalise, _reject = FEEDS[feed]
     key = DEDUP_KEYS.get(feed) if first_wins else None
-    landed = landed_stream(spark, landing_dir, max_files)
+    landed = landed_stream(spark, landing_dir, max_files, binary=feed in BINARY_FEEDS) if landed is None else landed
     writer = writer_of(checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
