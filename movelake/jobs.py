@@ -49,11 +49,15 @@ def parsed_once(feed: str, landed: DataFrame) -> DataFrame:
     return orbits.parse_orbits(landed) if feed == "orbits" else payloads.parse_all(landed, _DOCS[feed])
 
 
+# documents that a feed's own rule rejects
+REJECT_RULES = {f: (aircraft.both_keys, "corrupt") for f in _ADSB} | {"orbits": (orbits.missing_required, "missing_required")}
+
+
 def _n(array, leaves_out):
     return F.size(F.filter(array, leaves_out))
 
 
-def left_out(feed: str) -> dict:
+def record_rules(feed: str) -> dict:
     """DQ-2: the rules by which a feed leaves out records of accepted documents,
     as counts in ``doc`` (a record counts under the first rule that it meets)."""
     ac = F.coalesce(F.col("doc.ac"), F.col("doc.aircraft"), F.array())
@@ -71,6 +75,21 @@ def left_out(feed: str) -> dict:
     return (rules | {"adsb_regions": both, "adsb_types": both}).get(feed, {})
 
 
+def left_out(feed: str, landed: DataFrame) -> DataFrame:
+    """DQ-2 for any feed, landed or parsed: (source, level, reason, rows)."""
+    if feed in BINARY_FEEDS:
+        decoded = gtfs.decode(landed, ())
+        lost = F.sum(F.col("payload.total_entities") - F.col("payload.vehicle_positions"))
+        records = decoded.where("kind = 'payload'").groupBy("source").agg(lost.alias("rows")).select("source", F.lit("record").alias("level"), F.lit("no_position").alias("reason"), "rows")
+        bad = decoded.where("kind = 'reject'").select("source", "reason").unionByName(
+            landed.where(~F.col("status").between(200, 299)).select("source", F.lit("http_status").alias("reason")))
+        bad = bad.groupBy("source", "reason").agg(F.count("*").alias("rows")).select("source", F.lit("document").alias("level"), "reason", "rows")
+        return bad.unionByName(records).where("rows > 0")
+    rule = REJECT_RULES.get(feed)
+    parsed = landed if payloads.CORRUPT in landed.columns else parsed_once(feed, landed)
+    return payloads.left_out(parsed, record_rules(feed), (rule[0](), rule[1]) if rule else None)
+
+
 def ingest(spark: SparkSession, feed: str, landed: DataFrame, table_path: str,
            stations: DataFrame | None = None, dead_letter_path: str | None = None,
            metrics_path: str | None = None, as_of=None, run: str | None = None) -> dict:
@@ -92,7 +111,7 @@ def ingest(spark: SparkSession, feed: str, landed: DataFrame, table_path: str,
                                                      for k in ("bytes", "total_entities", "vehicle_positions")]).first().asDict()
             out |= {"counters": c | {"inserted": n}, "dropped": {"no_position": c["total_entities"] - c["vehicle_positions"]}}
         else:
-            out["dropped"] = {r.reason: r.rows for r in payloads.dropped_records(parsed, left_out(feed)).collect()}  # a row per source and rule
+            out["dropped"] = {r.reason: r.rows for r in left_out(feed, parsed).where("level = 'record'").collect()}  # a row per source and rule
         return out
     finally:
         parsed.unpersist()

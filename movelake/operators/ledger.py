@@ -84,16 +84,20 @@ class _Files:
         return [(c, f) for c in self.names(stage) if c.startswith("chunk=") for f in self.names(f"{stage}/{c}") if f.endswith(".parquet")]
 
 
-def arranged(rows: DataFrame, *within) -> DataFrame:
-    """Rows gathered by chunk and ordered. The rebalance hint makes partitions
-    of Spark's advisory size: a chunk with most of the rows is split, small ones
-    share a task, and the input is computed once (range partitioning would first
-    sample it)."""
-    return rows.hint("rebalance", "chunk").sortWithinPartitions("chunk", *within)
+def arranged(rows: DataFrame, *within, tasks: int | None = None) -> DataFrame:
+    """Rows gathered by chunk and ordered.
+
+    The rebalance hint makes partitions of Spark's advisory size: a chunk with
+    most of the rows is split, small ones share a task, and the input is
+    computed once. ``tasks``: that many range partitions by (chunk, timestamp)
+    instead. They write many small chunks side by side, but Spark computes the
+    input a second time for a sample of it."""
+    rows = rows.repartitionByRange(tasks, "chunk", "timestamp") if tasks else rows.hint("rebalance", "chunk")
+    return rows.sortWithinPartitions("chunk", *within)
 
 
 def publish(rows: DataFrame, path: str, writer: str, batch: int | str, within=("timestamp",), table: str = "",
-            max_records_per_file: int = 5_000_000) -> dict:
+            max_records_per_file: int = 5_000_000, tasks: int | None = None) -> dict:
     """Add rows (with ``chunk``) to the table once per (writer, batch); gives the
     ledger's entry, and ``new`` = whether this call wrote it."""
     spark = rows.sparkSession
@@ -103,7 +107,7 @@ def publish(rows: DataFrame, path: str, writer: str, batch: int | str, within=("
         return files.get(entry) | {"new": False}
     if not files.exists(f"{stage}/_rows.json"):  # nothing is published before all is staged
         began, seen = time.time(), Observation()
-        (arranged(rows, *within).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**_CODEC)
+        (arranged(rows, *within, tasks=tasks).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**_CODEC)
          .option("maxRecordsPerFile", max_records_per_file).partitionBy("chunk").parquet(f"{path}/{stage}"))
         files.put(f"{stage}/_rows.json", {"rows": int(seen.get.get("n") or 0), "elapsed_s": time.time() - began})
     done = files.get(f"{stage}/_rows.json")

@@ -56,23 +56,32 @@ def _within(table: str) -> tuple:
 
 
 def append(df: DataFrame, path: str, table: str, as_of=None, metrics_path: str | None = None,
-           max_records_per_file: int = 5_000_000, writer: str | None = None, batch: int | str | None = None) -> int:
+           max_records_per_file: int = 5_000_000, writer: str | None = None, batch: int | str | None = None,
+           many_chunks: bool = True) -> int:
     """Append a batch; returns rows written (0 for an empty batch, no files
     touched). The count comes from an Observation on the write itself, not
     a second pass over the data.
 
     With ``writer`` and ``batch`` the rows are written once under that name,
-    however often the job is run again (0 rows then)."""
+    however often the job is run again (0 rows then).
+
+    ``many_chunks`` (a backfill, a table of many days) writes range partitions,
+    as many as the session's shuffle has; the input is then computed twice, so
+    keep it (``persist``) if it is dear. Without it (a day's load, a
+    micro-batch) the input is computed once and Spark sizes the tasks."""
     t0 = time.time()
+    conf = df.sparkSession.conf
+    tasks = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                or conf.get("spark.sql.shuffle.partitions", "200")) if many_chunks else None
     rows = with_chunk(prepare(df, table, as_of), table)
     if writer is not None:
-        entry = ledger.publish(rows, path, writer, batch, _within(table), table, max_records_per_file)
+        entry = ledger.publish(rows, path, writer, batch, _within(table), table, max_records_per_file, tasks)
         n = entry["rows"] if entry["new"] else 0
     else:
-        # Each task holds whole chunks or, of a very large one, a part: few
-        # files per chunk, and the input is computed once.
+        # Each task holds whole chunks or, of a very large one, a part. Observed
+        # after the exchange, so that a sampler's rows are not counted.
         obs = Observation(f"write_{table}")
-        rows = ledger.arranged(rows, *_within(table)).observe(obs, F.count(F.lit(1)).alias("n"))
+        rows = ledger.arranged(rows, *_within(table), tasks=tasks).observe(obs, F.count(F.lit(1)).alias("n"))
         (rows.write.mode("append").partitionBy("chunk")
              .option("compression", "zstd").option("maxRecordsPerFile", max_records_per_file)
              .parquet(path))

@@ -990,3 +990,25 @@ def q_gtfs_ingest(spark, sf):
     c = got["counters"]
     return letters.select(*[F.lit(c[k]).cast("long").alias(k) for k in ("payloads", "total_entities", "vehicle_positions", "inserted")],
                           stored.scalar().alias("stored"), "corrupt", "http_status")
+
+
+# --- DQ-1 / DQ-2 over all twelve feeds -------------------------------------------
+LANDINGS = {
+    "state_vectors": landed.land_state_vectors, "private_feeder": landed.land_private, "ship_frames": landed.land_ship_frames,
+    "board_ch": landed.land_board_ch, "board_be": landed.land_board_be, "board_at": landed.land_board_at,
+    "orbits": landed.land_orbits, "gtfs_rt": landed.land_gtfs,
+    **{f: (lambda spark, sf, f=f: landed.land_adsb(spark, sf, f)) for f in landed.FEEDS},
+}
+
+
+@register("dead_letter_all")
+def q_dead_letter_all(spark, sf):
+    path = scratch_path(spark, "dead_letter")
+    for feed, land in LANDINGS.items():  # the fixed list of feeds
+        payloads.dead_letter(jobs.FEEDS[feed][2](land(spark, sf)), path)
+    return payloads.read_dead_letter(spark, path).select("source", "endpoint", ntz("cycle_ts").alias("cycle_ts"), "seq", "status", "reason")
+
+
+@register("left_out_counts")
+def q_left_out_counts(spark, sf):
+    return agg.union_all([jobs.left_out(feed, land(spark, sf)) for feed, land in LANDINGS.items()])

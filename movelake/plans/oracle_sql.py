@@ -700,3 +700,46 @@ SELECT count(*) FILTER (h % 23 <> 0 AND h % 29 <> 7) AS payloads, (coalesce(sum(
   (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS vehicle_positions, (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS inserted,
   (coalesce(sum(n) FILTER (h % 23 <> 0 AND h % 29 <> 7), 0))::BIGINT AS stored,
   count(*) FILTER (h % 23 <> 0 AND h % 29 = 7) AS corrupt, count(*) FILTER (h % 23 = 0) AS http_status FROM p"""
+
+# --- rejects and dropped records of all twelve feeds --------------------------------
+_TS5 = "make_timestamp(cycle_no * 300000000)"
+_SEQ = "CAST(endpoint_idx AS BIGINT) * 1000000000 + page"
+_LISTS = {"adsb_endpoints": ADSB_ENDPOINTS, "adsb_regions": [r[0] for r in REGION_GRID], "adsb_types": AIRCRAFT_TYPES, "adsb_snapshot": ["global"]}
+_PV = "pv AS (SELECT *, cycle_no + page AS h, bool_or(event_id % 37 = 0) OVER (PARTITION BY cycle_no, page) AS bad_doc FROM ax)"
+_SD = """so AS (SELECT *, epoch_us("timestamp") // 300000000 AS cycle_no, norad_id // 64 AS page FROM sat_elements),
+sd AS (SELECT *, cycle_no + cat_idx + page AS h, bool_or(norad_id % 53 = 0) OVER (PARTITION BY category, cycle_no, page) AS bad_doc FROM so)"""
+_NOWHERE = "(latitude IS NULL OR longitude IS NULL)"
+
+# feed -> documents (source, endpoint, cycle_ts, seq, h, bad: reason of a rule or NULL)
+_DOCUMENTS = {f: ctes("flights_x", extra=[_AX, _acopies(len(names), f != "adsb_snapshot")]) + f"""
+  SELECT DISTINCT '{f}' AS source, e.endpoint, {_TS5} AS cycle_ts, {_SEQ} AS seq, h, NULL AS bad FROM acp JOIN {_endpoint_names(names)} e USING (endpoint_idx)"""
+    for f, names in _LISTS.items()}
+_DOCUMENTS |= {
+    "state_vectors": ctes("flights_x", extra=[_AX]) + f"SELECT DISTINCT 'state_vectors', 'all', {_TS5}, page, cycle_no + page, NULL FROM ax",
+    "private_feeder": ctes("flights_x", extra=[_AX, _PV]) + f"SELECT DISTINCT 'private_feeder', 'feeder', {_TS5}, page, h, CASE WHEN bad_doc THEN 'corrupt' END FROM pv",
+    "ship_frames": ctes("ship_pings") + """SELECT 'ship_stream', 'stream', "timestamp", seq, 1, CASE WHEN seq % 13 = 0 THEN 'corrupt' END FROM ship_pings""",
+    "orbits": ctes("sat_elements", extra=[_SD]) + """SELECT DISTINCT 'orbits', category, "timestamp", CAST(cat_idx AS BIGINT) * 1000000000 + page, h,
+      CASE WHEN bad_doc THEN 'missing_required' END FROM sd""",
+    "gtfs_rt": _GT + "SELECT DISTINCT 'gtfs_rt', 'vehicle_positions', make_timestamp(cycle_no * 300000000), page, h, NULL FROM g"}
+for _f in ("board_ch", "board_be", "board_at"):
+    _DOCUMENTS[_f] = ctes("departures", extra=[_BOARD]) + f"""SELECT DISTINCT '{_f}', endpoint, "timestamp", {_SEQ}, cycle_no + endpoint_idx + page, NULL FROM b"""
+
+# feed -> (source, reason) of every record that a rule leaves out of an accepted document
+_BOTH = f"CASE WHEN {_NOWHERE} THEN 'no_position' WHEN event_id % 23 = 0 THEN 'no_id' END"
+_RECORDS = {f: ctes("flights_x", extra=[_AX, _acopies(len(_LISTS[f]), f != "adsb_snapshot")]) + f"SELECT '{f}' AS source, {rule} AS reason FROM acp WHERE {_OK}"
+            for f, rule in (("adsb_endpoints", "CASE WHEN event_id % 23 = 0 THEN 'no_id' END"), ("adsb_regions", _BOTH), ("adsb_types", _BOTH),
+                            ("adsb_snapshot", f"CASE WHEN {_NOWHERE} THEN 'no_position' END"))}
+_RECORDS |= {
+    "state_vectors": ctes("flights_x", extra=[_AX]) + "SELECT 'state_vectors', CASE WHEN event_id % 11 = 0 THEN 'short_record' END FROM ax "
+                     "WHERE (cycle_no + page) % 23 <> 0 AND (cycle_no + page) % 29 <> 7",
+    "private_feeder": ctes("flights_x", extra=[_AX, _PV]) + f"SELECT 'private_feeder', CASE WHEN event_id % 23 = 0 OR {_NOWHERE} THEN 'missing_required' END FROM pv WHERE {_OK} AND NOT bad_doc",
+    "ship_frames": ctes("ship_pings") + "SELECT 'ship_stream', CASE WHEN seq % 11 = 0 THEN 'no_metadata' END FROM ship_pings WHERE seq % 13 <> 0",
+    "board_ch": ctes("departures", extra=[_BOARD]) + "SELECT 'board_ch', CASE WHEN cancelled THEN 'no_stop' END FROM bo",
+    "gtfs_rt": _GT + "SELECT 'gtfs_rt', 'no_position' FROM gok, (VALUES (0), (1)) x(k) WHERE (k = 0 AND event_id % 8 = 0) OR (k = 1 AND event_id % 6 IN (0, 3))"}
+
+_DOCS12 = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in _DOCUMENTS.values())
+_BAD12 = f"""(SELECT *, CASE WHEN h % 23 = 0 THEN 500 ELSE 200 END AS status,
+  CASE WHEN h % 23 = 0 THEN 'http_status' WHEN h % 29 = 7 THEN 'corrupt' ELSE bad END AS reason FROM ({_DOCS12}))"""
+ORACLE["dead_letter_all"] = f"SELECT source, endpoint, cycle_ts, seq, status, reason FROM {_BAD12} WHERE reason IS NOT NULL"
+ORACLE["left_out_counts"] = f"""SELECT source, 'document' AS level, reason, count(*) AS "rows" FROM {_BAD12} WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT source, 'record', reason, count(*) FROM ({" UNION ALL ".join(f"SELECT * FROM ({q})" for q in _RECORDS.values())}) WHERE reason IS NOT NULL GROUP BY ALL"""

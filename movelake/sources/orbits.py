@@ -21,7 +21,7 @@ def _wrapped(landed: DataFrame) -> DataFrame:
     return landed.withColumn("body", F.concat(F.lit('{"elements":'), F.col("body"), F.lit("}")))
 
 
-def _missing_required():
+def missing_required():
     return F.exists("doc.elements", lambda x: x["NORAD_CAT_ID"].isNull() | x["OBJECT_NAME"].isNull())
 
 
@@ -31,7 +31,7 @@ def norm_orbital_elements(landed: DataFrame, lenient_time: bool = False, keep_ca
     rejected whole; epoch from strict RFC 3339 else NULL; no de-dup across
     categories."""
     p = payloads.accepted(payloads.parse(_wrapped(landed), ORBIT_DOC))
-    p = p.where(~_missing_required())
+    p = p.where(~missing_required())
     x = p.select("endpoint", "cycle_ts", F.explode("doc.elements").alias("s"))
     cols = [F.col("cycle_ts").alias("timestamp"),
             F.col("s.NORAD_CAT_ID").alias("norad_id"), F.col("s.OBJECT_NAME").alias("name"),
@@ -49,4 +49,4 @@ def parse_orbits(landed: DataFrame) -> DataFrame:
 
 
 def rejected_orbits(landed: DataFrame) -> DataFrame:
-    return payloads.rejected(_wrapped(landed), ORBIT_DOC, (_missing_required(), "missing_required"))
+    return payloads.rejected(_wrapped(landed), ORBIT_DOC, (missing_required(), "missing_required"))

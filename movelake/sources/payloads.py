@@ -44,20 +44,21 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNull() & F.col("doc").isNotNull())
 
 
+def reject_reason(extra_reject=None):
+    """Why a document (of ``parse_all``) yields no rows, NULL if it does:
+    ``http_status`` (non-2xx), ``corrupt`` (parse/type failure), or a feed rule
+    ``extra_reject`` = (Column over doc, reason)."""
+    reason = (F.when(~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.lit("http_status"))
+              .when(F.col(CORRUPT).isNotNull() | F.col("doc").isNull(), F.lit("corrupt")))
+    return reason if extra_reject is None else reason.when(extra_reject[0], F.lit(extra_reject[1]))
+
+
 def rejected(landed: DataFrame, schema_ddl: str, extra_reject=None) -> DataFrame:
-    """Every landed document that yields no rows, with its reason:
-    ``http_status`` (non-2xx) or ``corrupt`` (parse/type failure), or a
-    feed rule passed as ``extra_reject`` = (Column over doc, reason)."""
-    bad_status = (landed.where(~F.col("status").between(200, 299))
-                        .select(*LANDED_KEYS, "status", "body", F.lit("http_status").alias("reason")))
-    p = parse(landed, schema_ddl)
-    reason = F.when(F.col(CORRUPT).isNotNull() | F.col("doc").isNull(), F.lit("corrupt"))
-    if extra_reject is not None:
-        cond, why = extra_reject
-        reason = reason.when(cond, F.lit(why))
-    bad_doc = (p.withColumn("reason", reason).where(F.col("reason").isNotNull())
-                .select(*LANDED_KEYS, "status", "body", "reason"))
-    return bad_status.unionByName(bad_doc)
+    """Every landed document that yields no rows, with its reason, in one pass
+    (over documents that are parsed already, if ``landed`` holds such)."""
+    p = landed if CORRUPT in landed.columns else parse_all(landed, schema_ddl)
+    return (p.withColumn("reason", reject_reason(extra_reject)).where(F.col("reason").isNotNull())
+             .select(*LANDED_KEYS, "status", "body", "reason"))
 
 
 def dead_letter(rejects: DataFrame, path: str) -> int:
@@ -76,10 +77,14 @@ def read_dead_letter(spark: SparkSession, path: str) -> DataFrame:
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path))
 
 
-def dropped_records(parsed: DataFrame, reasons: dict) -> DataFrame:
-    """DQ-2: records of accepted documents that a feed's rules leave out, as
-    (source, reason, rows); ``reasons`` counts them in a parsed document."""
-    sums = [F.struct(F.lit(k).alias("reason"), F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("rows")) for k, c in reasons.items()]
-    if not sums:
-        return parsed.sparkSession.createDataFrame([], "source string, reason string, rows long")
-    return accepted(landed_ok(parsed)).groupBy("source").agg(F.array(*sums).alias("s")).select("source", F.inline("s")).where("rows > 0")
+def left_out(parsed: DataFrame, records: dict, extra_reject=None) -> DataFrame:
+    """DQ-2: (source, level, reason, rows) of all that yields no rows, in one
+    pass: documents by reject reason, and the records of accepted documents that
+    a feed's rules leave out (``records`` counts them in a parsed document)."""
+    reason = reject_reason(extra_reject)
+    names = ["http_status", "corrupt", *([extra_reject[1]] if extra_reject and extra_reject[1] != "corrupt" else [])]
+    counts = [F.struct(F.lit("document").alias("level"), F.lit(k).alias("reason"), F.count_if(F.col("reject") == k).alias("rows")) for k in names]
+    counts += [F.struct(F.lit("record").alias("level"), F.lit(k).alias("reason"),
+                        F.coalesce(F.sum(F.when(F.col("reject").isNull(), c)), F.lit(0)).cast("long").alias("rows")) for k, c in records.items()]
+    return (parsed.withColumn("reject", reason).groupBy("source").agg(F.array(*counts).alias("counts"))
+            .select("source", F.inline("counts")).where("rows > 0"))

@@ -85,7 +85,7 @@ def write_batch(df: DataFrame, path: str, table: str, batch_id: int, writer: str
     the rows written, 0 for a replay. SNK-9: the ledger's entry has the rows and
     seconds of the batch (``ledger.entries``); ``metrics_path`` adds them to
     ``ingest_metrics`` as a batch job does."""
-    return append(df, path, table, metrics_path=metrics_path, writer=f"w{writer}", batch=batch_id)
+    return append(df, path, table, metrics_path=metrics_path, writer=f"w{writer}", batch=batch_id, many_chunks=False)
 
 
 def stream_ships(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
