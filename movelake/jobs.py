@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from movelake.operators import sinks
 from movelake.schemas import LANDED
-from movelake.sources import aircraft, gtfs, orbits, payloads, rail, ships
+from movelake.sources import aircraft, dims, gtfs, orbits, payloads, rail, ships
 
 def _rejects(doc):
     return lambda L: payloads.rejected(L, doc)
@@ -90,20 +90,32 @@ def left_out(feed: str, landed: DataFrame) -> DataFrame:
     return payloads.left_out(parsed, record_rules(feed), (rule[0](), rule[1]) if rule else None)
 
 
+def station_list(spark: SparkSession, feed: str) -> DataFrame | None:
+    """The fixed list of a departure-board feed; None for other feeds."""
+    return dims.stations(spark, feed.removeprefix("board_")) if feed.startswith("board_") else None
+
+
 def ingest(spark: SparkSession, feed: str, landed: DataFrame, table_path: str,
            stations: DataFrame | None = None, dead_letter_path: str | None = None,
-           metrics_path: str | None = None, as_of=None, run: str | None = None) -> dict:
+           metrics_path: str | None = None, as_of=None, run: str | None = None, alerts_path: str | None = None) -> dict:
     """Normalise and append one landed batch, each document parsed once:
     {'rows': n, 'rejected': m, 'dropped': {reason: records}}, and for a protobuf
     feed its 'counters'. With ``run`` (a name of this batch) the rows are
-    appended once, however often the job is run again under it."""
+    appended once, however often the job is run again under it. Boards take the
+    feed's own station list unless ``stations`` is given; ``alerts_path`` also
+    stores a protobuf feed's alerts ('alerts' rows), from the same decoding."""
     table, normalise, reject = FEEDS[feed]
+    stations = station_list(spark, feed) if stations is None else stations
     batch = landed.persist(StorageLevel.MEMORY_AND_DISK)
-    parsed = (gtfs.decode(batch, ("vehicle",)) if feed in BINARY_FEEDS else parsed_once(feed, batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    kinds = ("vehicle",) if alerts_path is None else ("vehicle", "alert")
+    parsed = (gtfs.decode(batch, kinds) if feed in BINARY_FEEDS else parsed_once(feed, batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = gtfs.vehicle_positions(parsed) if feed in BINARY_FEEDS else normalise(parsed, stations)
         n = sinks.append(rows, table_path, table, as_of=as_of, metrics_path=metrics_path, writer=f"run-{feed}" if run else None, batch=run)
         out = {"rows": n, "rejected": 0}
+        if feed in BINARY_FEEDS and alerts_path is not None:
+            out["alerts"] = sinks.append(gtfs.service_alerts(parsed), alerts_path, "service_alerts", as_of=as_of, metrics_path=metrics_path,
+                                         writer=f"run-{feed}" if run else None, batch=run)
         if dead_letter_path is not None:
             out["rejected"] = payloads.dead_letter(gtfs.rejected_payloads(parsed, batch) if feed in BINARY_FEEDS else reject(parsed), dead_letter_path)
         if feed in BINARY_FEEDS:
@@ -124,7 +136,8 @@ def main(argv=None) -> None:
     ap.add_argument("--landed", required=True, help="landed payloads (parquet or json)")
     ap.add_argument("--format", default="parquet", choices=["parquet", "json"])
     ap.add_argument("--table", required=True, help="table path (chunk-partitioned parquet)")
-    ap.add_argument("--stations", help="station list (parquet: endpoint, station_name) for board feeds")
+    ap.add_argument("--stations", help="station list (parquet: endpoint, station_name) in place of a board feed's own")
+    ap.add_argument("--alerts", help="service_alerts table path (protobuf feed)")
     ap.add_argument("--dead-letter")
     ap.add_argument("--metrics")
     a = ap.parse_args(argv)
@@ -133,7 +146,7 @@ def main(argv=None) -> None:
     reader = spark.read if a.format == "parquet" else spark.read.schema(LANDED)
     landed = reader.format(a.format).load(a.landed)
     st = spark.read.parquet(a.stations) if a.stations else None
-    print(ingest(spark, a.feed, landed, a.table, st, a.dead_letter, a.metrics))
+    print(ingest(spark, a.feed, landed, a.table, st, a.dead_letter, a.metrics, alerts_path=a.alerts))
 
 
 if __name__ == "__main__":

@@ -84,6 +84,6 @@ def region_coverage(spark, positions: DataFrame, point_key, mover_col: str) -> D
 
 def attach_station_names(df: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
     """JOIN-2: endpoint id -> station name. The station list is feed
-    configuration (tens of rows), so it is broadcast."""
-    return df.join(F.broadcast(stations), key, "left")
+    configuration (tens of rows), which Spark broadcasts by its size."""
+    return df.join(stations, key, "left")
 

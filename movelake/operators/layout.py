@@ -89,6 +89,17 @@ def compact(df: DataFrame, table: str, partitions: int | None = None) -> DataFra
     return d.sortWithinPartitions(*order)
 
 
+def recent_rows(rows: DataFrame, table: str, key: str, as_of, within: str, n: int) -> DataFrame:
+    """LAY-5: the newest ``n`` rows of each ``key`` in the ``within`` before
+    ``as_of``, newest first (``rank``). The chunk filter prunes directories, the
+    time filter row groups of sorted files; each task keeps at most ``n`` rows of
+    a key before the exchange."""
+    from movelake.operators.windows import top_n_per_group
+    start = as_column(as_of) - interval(within)
+    new = rows.where((F.col("chunk") >= chunk_of(start, CHUNK_DAYS[table])) & (F.col("timestamp") > start))
+    return top_n_per_group(new, [key], [F.col("timestamp").desc(), F.col("ingested_at").desc()], n)
+
+
 # --- maintenance jobs on a stored table ------------------------------------------
 
 def list_chunks(spark, path: str) -> list[str]:

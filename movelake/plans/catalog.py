@@ -313,7 +313,7 @@ def q_chunks_to_compact(spark, sf):
     return layout.chunks_to_compact(t, {n: latest(d) for n, d in t.items()})
 
 
-RETENTION_DAYS = {"flights": 7, "ships": 7, "vehicle_positions": 3, "departures": 30}
+RETENTION_DAYS = {"flights": 7, "ships": 7, "service_alerts": 7, "vehicle_positions": 3, "departures": 30}
 
 
 @register("retention_keep")
@@ -335,7 +335,7 @@ def q_append_idempotent(spark, sf):
 
 # --- SRC-1 ... SRC-12, SRC-15, AGG-15, DQ-1, DQ-2: payload normalisation -----
 from movelake.session import scratch_path  # noqa: E402
-from movelake.sources import aircraft, landed, orbits, payloads, rail, ships  # noqa: E402
+from movelake.sources import aircraft, dims, landed, orbits, payloads, rail, ships  # noqa: E402
 
 
 def _flights_out(df):
@@ -1012,3 +1012,124 @@ def q_dead_letter_all(spark, sf):
 @register("left_out_counts")
 def q_left_out_counts(spark, sf):
     return agg.union_all([jobs.left_out(feed, land(spark, sf)) for feed, land in LANDINGS.items()])
+
+
+# --- JOIN-2 with the feeds' own station lists --------------------------------------
+@register("board_station_lists")
+def q_board_station_lists(spark, sf):
+    """Every board document served under a station of the feed's list."""
+    boards = {"ch": (landed.land_board_ch, rail.norm_departures_ch), "be": (landed.land_board_be, rail.norm_departures_be),
+              "at": (landed.land_board_at, rail.norm_departures_at)}
+    out = []
+    for feed, (land, normalise) in boards.items():
+        ids = [e for e, _ in dims.STATIONS[feed]]
+        listed = F.get(F.array(*map(F.lit, ids)), F.col("endpoint").cast("int") % len(ids))
+        rows = normalise(land(spark, sf).withColumn("endpoint", listed), dims.stations(spark, feed))
+        out.append(rows.groupBy("station_id", "station_name").agg(F.count("*").alias("departures")).select(F.lit(feed).alias("feed"), "station_id", "station_name", "departures"))
+    return agg.union_all(out)
+
+
+# --- SRT-4, WIN-2, AGG-1, AGG-3 with limits that bind ------------------------------
+@register("top_departures_by_station")
+def q_top_departures_by_station(spark, sf):
+    t = windows.top_n_per_group(standin.departures(spark, sf), ["station_id"], ["planned_time", "trip_id"], 30)
+    return t.select("station_id", "trip_id", ntz("planned_time").alias("planned_time"), F.col("rank").cast("long").alias("rank"))
+
+
+@register("throughput_collapse_low")
+def q_throughput_collapse_low(spark, sf):
+    return windows.throughput_collapse(_t(spark, sf, *GEO3), window_s=300, min_rows=3)
+
+
+@register("latency_percentiles_week")
+def q_latency_percentiles_week(spark, sf):
+    t = _t(spark, sf, *FIVE)
+    return agg.latency_percentiles(t, as_of=_as_of(t["flights"]), window="7 days")
+
+
+@register("latency_alarm_by_source")
+def q_latency_alarm_by_source(spark, sf):
+    """The alarm of every feed over its trailing week, and of one that is quiet."""
+    f = standin.flights(spark, sf)
+    out = []
+    for source, threshold in ALARM_SECONDS.items():
+        d = f.where(F.col("source") == source)
+        out.append(agg.latency_alarm(d, latest(d), "7 days", threshold).select(F.lit(source).alias("source"), "p99_seconds", "alarm"))
+    return agg.union_all(out)
+
+
+# thresholds in seconds, on both sides of the stand-in's p99 of some 2.2 s
+ALARM_SECONDS = {"opensky": 0.5, "adsblol": 2.0, "airplaneslive": 2.0, "adsbfi": 2.0, "adsbone": 10.0}
+
+
+# --- WIN-4: a range of the track, in the order in which it is stored ----------------
+@register("mover_track_range")
+def q_mover_track_range(spark, sf):
+    """Rows of each mover's track in the middle of the time, and those that do
+    not follow their predecessor in the files."""
+    from pyspark.sql import Window
+    f = standin.flights(spark, sf)
+    lo, hi = f.agg(F.min("timestamp")).scalar(), f.agg(F.max("timestamp")).scalar()
+    path = scratch_path(spark, "track")
+    windows.mover_track(f, "icao24", start=lo + flt.interval("3 days"), end=hi - flt.interval("5 days")).write.parquet(path)
+    rows = spark.read.parquet(path).select("*", "_metadata.file_name", "_metadata.row_index")
+    before = F.lag(F.struct("icao24", "timestamp")).over(Window.partitionBy("file_name").orderBy("row_index"))
+    return (rows.withColumn("wrong", F.coalesce(before > F.struct("icao24", "timestamp"), F.lit(False)))
+            .groupBy("icao24").agg(F.count("*").alias("points"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count_if("wrong").alias("misordered")))
+
+
+# --- SNK-6 / SNK-7: defaults of the writers -----------------------------------------
+@register("default_ingested_at")
+def q_default_ingested_at(spark, sf):
+    """Rows of one feed come without ``ingested_at``: they have the append's time,
+    one for all; those of the others keep theirs."""
+    f, path = standin.flights(spark, sf), scratch_path(spark, "flights")
+    late = F.col("source") == "adsbone"
+    sinks.append(f.where(~late), path, "flights")
+    sinks.append(f.where(late).drop("ingested_at"), path, "flights")
+    r = sinks.read_table(spark, path, "flights")
+    now = F.col("ingested_at").between(F.current_timestamp() - flt.interval("1 day"), F.current_timestamp())
+    return r.groupBy("source").agg(F.count("*").alias("rows"), F.count_if(now).alias("at_write"),
+                                   F.when(F.col("source") == "adsbone", F.count_distinct("ingested_at")).alias("write_times"))
+
+
+@register("default_flags")
+def q_default_flags(spark, sf):
+    """Departures without ``platform_changed`` and with some ``cancelled`` unknown."""
+    d, path = standin.departures(spark, sf), scratch_path(spark, "departures")
+    known = F.when(F.col("platform_actual").isNotNull(), F.col("cancelled"))
+    sinks.append(d.withColumn("cancelled", known).drop("platform_changed"), path, "departures")
+    r = sinks.read_table(spark, path, "departures")
+    return r.groupBy("station_id", "cancelled", "platform_changed").agg(F.count("*").alias("rows"))
+
+
+# --- LAY-5: newest rows by key, from pruned chunks of a compacted table -------------
+@register("recent_by_mover")
+def q_recent_by_mover(spark, sf):
+    f, path = standin.flights(spark, sf), scratch_path(spark, "flights")
+    sinks.append(f, path, "flights")
+    layout.compact_chunks(spark, path, "flights", f.agg(_iso(F.max("ingested_at"))).first()[0])
+    r = layout.recent_rows(sinks.read_table(spark, path, "flights"), "flights", "icao24", latest(f), "10 days", 5)
+    return r.select("icao24", ntz("timestamp").alias("timestamp"), ntz("ingested_at").alias("ingested_at"), F.col("rank").cast("long").alias("rank"))
+
+
+# --- LAY-4 for service alerts: stored from the feed, then retained ------------------
+@register("retention_alerts")
+def q_retention_alerts(spark, sf):
+    """Positions and alerts stored by one job; alerts past their days are dropped."""
+    vehicles, alerts = scratch_path(spark, "vehicle_positions"), scratch_path(spark, "service_alerts")
+    jobs.ingest(spark, "gtfs_rt", landed.land_gtfs(spark, sf), vehicles, alerts_path=alerts)
+    as_of = sinks.read_table(spark, alerts, "service_alerts").agg(_iso(F.max("timestamp"))).first()[0]
+    layout.drop_chunks(spark, alerts, "service_alerts", as_of, RETENTION_DAYS["service_alerts"])
+    kept = [(n, sinks.read_table(spark, p, n)) for n, p in (("service_alerts", alerts), ("vehicle_positions", vehicles))]
+    return agg.union_all([r.groupBy("chunk").agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "chunk", "rows") for n, r in kept])
+
+
+# --- DED-5 over several micro-batches ------------------------------------------------
+@register("dedup_pings_batches")
+def q_dedup_pings_batches(spark, sf):
+    """Copies of a ping come in other micro-batches, the watermark reaches back over all of them."""
+    land = _land_files(landed.land_ship_frames(spark, sf), "landing_copies", 6, F.xxhash64("seq"))
+    r = _run(spark, streams.dedup_stream(spark, land, watermark="400 days", max_files=1), "dedup_batches")
+    return r.select("mmsi", ntz("timestamp").alias("timestamp"),
+                    R.coord_cell(F.col("latitude")).alias("lat_cell"), R.coord_cell(F.col("longitude")).alias("lon_cell"))

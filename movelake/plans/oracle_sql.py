@@ -743,3 +743,63 @@ _BAD12 = f"""(SELECT *, CASE WHEN h % 23 = 0 THEN 500 ELSE 200 END AS status,
 ORACLE["dead_letter_all"] = f"SELECT source, endpoint, cycle_ts, seq, status, reason FROM {_BAD12} WHERE reason IS NOT NULL"
 ORACLE["left_out_counts"] = f"""SELECT source, 'document' AS level, reason, count(*) AS "rows" FROM {_BAD12} WHERE reason IS NOT NULL GROUP BY ALL
 UNION ALL SELECT source, 'record', reason, count(*) FROM ({" UNION ALL ".join(f"SELECT * FROM ({q})" for q in _RECORDS.values())}) WHERE reason IS NOT NULL GROUP BY ALL"""
+
+
+# --- station lists, binding limits, defaults, stored order ---------------------------
+from movelake.sources.dims import STATIONS, STATION_PREFIX  # noqa: E402
+
+
+def _listed(feed: str) -> str:
+    values = ", ".join(f"({i}, '{e}', '{n}')" for i, (e, n) in enumerate(STATIONS[feed]))
+    return f"""SELECT '{feed}' AS feed, '{STATION_PREFIX[feed]}' || l.e AS station_id, l.n AS station_name, count(*) AS departures
+FROM ({ORACLE["norm_departures_" + feed]}) d
+JOIN (VALUES {values}) l(i, e, n) ON l.i = CAST(split_part(d.station_id, ':', 2) AS INTEGER) % {len(STATIONS[feed])} GROUP BY ALL"""
+
+
+ORACLE["board_station_lists"] = " UNION ALL ".join(f"SELECT * FROM ({_listed(f)})" for f in STATIONS)
+
+ORACLE["top_departures_by_station"] = ctes("departures") + """
+SELECT station_id, trip_id, planned_time, "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY planned_time, trip_id) AS "rank" FROM departures)
+WHERE "rank" <= 30"""
+
+ORACLE["throughput_collapse_low"] = ORACLE["throughput_collapse"].replace("w < 1000", "w < 3")
+
+ORACLE["latency_percentiles_week"] = ctes(*FIVE) + "\nUNION ALL\n".join(
+    _lat_block(t, "7 days", "(SELECT max(ingested_at) FROM flights)") for t in FIVE)
+
+_ALARM = {"opensky": 0.5, "adsblol": 2.0, "airplaneslive": 2.0, "adsbfi": 2.0, "adsbone": 10.0}
+ORACLE["latency_alarm_by_source"] = ctes("flights") + "\nUNION ALL\n".join(f"""
+SELECT '{s}' AS source, p99_seconds, p99_seconds > {t} AS alarm FROM (
+  SELECT round(quantile_cont((epoch_us(ingested_at) - epoch_us("timestamp")) / 1000000.0, 0.99), 6) AS p99_seconds FROM flights
+  WHERE source = '{s}' AND ingested_at > (SELECT max(ingested_at) FROM flights WHERE source = '{s}') - INTERVAL '7 days')"""
+                                                                          for s, t in _ALARM.items())
+
+ORACLE["mover_track_range"] = ctes("flights") + """
+SELECT icao24, count(*) AS points, min("timestamp") AS "first", max("timestamp") AS "last", CAST(0 AS BIGINT) AS misordered FROM flights
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+  AND "timestamp" BETWEEN (SELECT min("timestamp") FROM flights) + INTERVAL '3 days' AND (SELECT max("timestamp") FROM flights) - INTERVAL '5 days'
+GROUP BY icao24"""
+
+ORACLE["default_ingested_at"] = ctes("flights") + """
+SELECT source, count(*) AS "rows", count(*) FILTER (source = 'adsbone') AS at_write,
+       CASE WHEN source = 'adsbone' THEN CAST(1 AS BIGINT) END AS write_times
+FROM flights GROUP BY source"""
+
+ORACLE["default_flags"] = ctes("departures") + """
+SELECT station_id, coalesce(CASE WHEN platform_actual IS NOT NULL THEN cancelled END, FALSE) AS cancelled,
+       FALSE AS platform_changed, count(*) AS "rows"
+FROM departures GROUP BY ALL"""
+
+ORACLE["recent_by_mover"] = ctes("flights") + """
+SELECT icao24, "timestamp", ingested_at, "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY "timestamp" DESC, ingested_at DESC) AS "rank" FROM flights
+  WHERE "timestamp" > (SELECT max(ingested_at) FROM flights) - INTERVAL '10 days') WHERE "rank" <= 5"""
+
+ORACLE["retention_alerts"] = f"""
+WITH a AS ({ORACLE["norm_service_alerts"]}), v AS ({ORACLE["norm_vehicle_positions"]})
+SELECT 'service_alerts' AS "table", CAST("timestamp" AS DATE) AS chunk, count(*) AS "rows" FROM a
+WHERE CAST(CAST("timestamp" AS DATE) + 1 AS TIMESTAMP) > (SELECT max("timestamp") FROM a) - INTERVAL '7 days' GROUP BY ALL
+UNION ALL SELECT 'vehicle_positions', CAST("timestamp" AS DATE), count(*) FROM v GROUP BY ALL"""
+
+ORACLE["dedup_pings_batches"] = ORACLE["dedup_pings_stream"]

@@ -6,7 +6,7 @@ always safe.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Radial-query grid of the regional aircraft feed, in poll
 # order (name, latitude, longitude); every query uses a 250 nm radius.
@@ -62,6 +62,44 @@ FLIGHT_SOURCES = {
 # Station-id prefixes of the three departure-board feeds.
 STATION_PREFIX = {"ch": "sbb:", "be": "be:", "at": "at:"}
 
+# Stations polled by the three departure-board feeds, in poll
+# order (endpoint id, name).
+STATIONS = {
+    "ch": [
+        ("8503000", "Zürich HB"), ("8507000", "Bern"), ("8500010", "Basel SBB"), ("8501120", "Genève"),
+        ("8501008", "Lausanne"), ("8505000", "Luzern"), ("8506302", "Winterthur"), ("8506000", "St. Gallen"),
+        ("8503006", "Zürich Flughafen"), ("8503504", "Olten"), ("8502113", "Aarau"), ("8504300", "Biel/Bienne"),
+        ("8504100", "Fribourg/Freiburg"), ("8502204", "Zug"), ("8505400", "Locarno"), ("8505300", "Lugano"),
+        ("8508100", "Bellinzona"), ("8509000", "Chur"), ("8507483", "Interlaken Ost"), ("8501300", "Montreux"),
+        ("8507493", "Interlaken West"), ("8501400", "Aigle"), ("8500090", "Basel Bad Bf"), ("8506112", "Rapperswil SG"),
+        ("8505004", "Arth-Goldau"), ("8502202", "Zug Oberwil"), ("8509404", "Zermatt"), ("8503503", "Baden"),
+        ("8506121", "Wil SG"), ("8502007", "Zürich Oerlikon"), ("8503003", "Zürich Stadelhofen"),
+        ("8503016", "Zürich Hardbrücke"), ("8503010", "Zürich Enge"), ("8507002", "Bern Wankdorf"),
+        ("8504421", "Biel Mett"), ("8506349", "Schaffhausen"), ("8509073", "Davos Platz"), ("8509072", "Davos Dorf"),
+        ("8500309", "Brugg AG"), ("8500218", "Liestal"), ("8501026", "Genève-Aéroport"), ("8501007", "Lausanne-Flon"),
+        ("8508419", "Sion"), ("8500501", "Neuchâtel"), ("8506300", "Kreuzlingen"), ("8507785", "Thun"),
+        ("8506009", "Gossau SG"),
+    ],
+    "be": [
+        ("BE.NMBS.008814001", "Brussel-Zuid"), ("BE.NMBS.008813003", "Brussel-Noord"),
+        ("BE.NMBS.008812005", "Brussel-Centraal"), ("BE.NMBS.008821006", "Antwerpen-Centraal"),
+        ("BE.NMBS.008892007", "Gent-Sint-Pieters"), ("BE.NMBS.008841004", "Liège-Guillemins"),
+        ("BE.NMBS.008891009", "Brugge"), ("BE.NMBS.008872009", "Charleroi-Central"), ("BE.NMBS.008844008", "Namur"),
+        ("BE.NMBS.008831005", "Leuven"), ("BE.NMBS.008821121", "Antwerpen-Berchem"), ("BE.NMBS.008891702", "Oostende"),
+        ("BE.NMBS.008893120", "Kortrijk"), ("BE.NMBS.008833001", "Mechelen"), ("BE.NMBS.008861002", "Hasselt"),
+        ("BE.NMBS.008843000", "Mons"), ("BE.NMBS.008819406", "Brussels Airport"),
+        ("BE.NMBS.008892601", "Gent-Dampoort"), ("BE.NMBS.008811916", "Schaarbeek"), ("BE.NMBS.008815040", "Midi"),
+    ],
+    "at": [
+        ("8100002", "Wien Hbf"), ("8100003", "Wien Meidling"), ("8100008", "Wien Praterstern"),
+        ("8100353", "Wien Floridsdorf"), ("8100173", "Salzburg Hbf"), ("8100013", "Linz Hbf"), ("8100101", "Graz Hbf"),
+        ("8100108", "Innsbruck Hbf"), ("8100020", "Klagenfurt Hbf"), ("8100085", "St. Pölten Hbf"),
+        ("8100050", "Villach Hbf"), ("8100041", "Bregenz"), ("8100017", "Wels Hbf"), ("8100079", "Leoben Hbf"),
+        ("8100061", "Wiener Neustadt Hbf"), ("8100037", "Krems an der Donau"), ("8100113", "Feldkirch"),
+        ("8100024", "Attnang-Puchheim"), ("8100063", "Bruck an der Mur"), ("8100128", "Dornbirn"),
+    ],
+}
+
 # GTFS-RT enum names (alert cause / effect) by number.
 ALERT_CAUSE = {
     1: "UNKNOWN_CAUSE", 2: "OTHER_CAUSE", 3: "TECHNICAL_PROBLEM", 4: "STRIKE",
@@ -92,3 +130,9 @@ def indexed_list(spark: SparkSession, values, name: str) -> DataFrame:
         T.StructField(name, T.StringType(), False),
     ])
     return spark.createDataFrame(list(enumerate(values)), schema)
+
+
+def stations(spark: SparkSession, feed: str) -> DataFrame:
+    """The feed's station list (JOIN-2): endpoint, station_name."""
+    listed = F.array(*[F.struct(F.lit(e).alias("endpoint"), F.lit(n).alias("station_name")) for e, n in STATIONS[feed]])
+    return spark.range(1).select(F.inline(listed))

@@ -2,8 +2,8 @@
 
 Three feeds, three sets of rules (kept separate on purpose): delay units,
 time formats, platform-change and cancelled rules all differ. The station
-name comes from the feed's station list by a broadcast join on the
-endpoint id (JOIN-2).
+name comes from the feed's station list by a join on the endpoint id (JOIN-2),
+a broadcast one while Spark finds the list small.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ AT_DOC = ("departures array<struct<tripId string, direction string, line struct<
 
 
 def _with_station(rows: DataFrame, stations: DataFrame, prefix: str) -> DataFrame:
-    j = rows.join(F.broadcast(stations), "endpoint", "left")
+    j = rows.join(stations, "endpoint", "left")
     return j.withColumn("station_id", R.station_key(prefix, F.col("endpoint")))
 
 

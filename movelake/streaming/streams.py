@@ -247,9 +247,10 @@ def stream_feed(spark: SparkSession, landing_dir: str, feed: str, table_path: st
     to the batch's chunks. A replayed batch finds none of its own rows there:
     either it is in the ledger, and nothing is done, or all it wrote is still
     staged, and is published as it is."""
-    from movelake.jobs import BINARY_FEEDS, FEEDS
+    from movelake.jobs import BINARY_FEEDS, FEEDS, station_list
     from movelake.operators.layout import list_chunks
     table, normalise, _reject = FEEDS[feed]
+    stations = station_list(spark, feed) if stations is None else stations
     key = DEDUP_KEYS.get(feed) if first_wins else None
     landed = landed_stream(spark, landing_dir, max_files, binary=feed in BINARY_FEEDS) if landed is None else landed
     writer = writer_of(checkpoint)
