@@ -62,8 +62,7 @@ _CTE["ship_pings"] = f"""ship_pings AS (
          e.event_id * 3 + c.k AS seq
   FROM ev e
   JOIN (VALUES (0, CAST(0.0 AS DOUBLE)), (1, CAST(4e-7 AS DOUBLE)), (2, CAST(2e-5 AS DOUBLE))) c(k, dlat)
-    ON c.k = 0 OR (c.k = 1 AND e.event_id % 5 = 0) OR (c.k = 2 AND e.event_id % 7 = 0)
-  WHERE e.event_type IN ('view', 'click'))"""
+    ON c.k = 0 OR (c.k = 1 AND e.event_id % 5 = 0) OR (c.k = 2 AND e.event_id % 7 = 0))"""
 _DEPS["ship_pings"] = ["ev"]
 
 _CTE["ships"] = """ships AS (

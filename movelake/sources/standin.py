@@ -85,10 +85,10 @@ def flights(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> Da
 
 
 def ship_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw ship pings in arrival order (``seq``), with near-duplicates:
+    """Raw ship pings of all events in arrival order (``seq``), with near-duplicates:
     each 5th event is repeated 4e-7 deg away (same 1e-5 cell), each 7th is
     repeated 2e-5 deg away (a different cell)."""
-    e = (_events(spark, sf_dir).where(F.col("event_type").isin("view", "click")))
+    e = _events(spark, sf_dir)
     eid = F.col("event_id")
     copies = F.array(
         F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("dlat")),
