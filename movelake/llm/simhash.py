@@ -10,10 +10,11 @@ replicated to all those anchors (61 on average for t = 2) and compared, per
 anchor, with the fingerprints at home there.
 
 Anchors where more than ``crowd`` distinct fingerprints are at home (one large
-group of near copies) are compared another exact way for t = 2, linear in their
-number: two fingerprints differ in at most 2 bits exactly if some value is
-within 1 bit of both. Each is listed under its 65 such values; a value has at
-most 65 fingerprints by construction.
+group of near copies) are split by a second pair of codewords, over bits 18 to
+63, in the same way: of two fingerprints within t bits each lies in reach of the
+other's second home too, so they meet under (anchor, second anchor). That is
+exact for any t; what is still together there agrees in all 64 bits but for a
+few, and is joined as rows, never gathered.
 
 Equal fingerprints are one node from the start, so copies add no pairs. The
 links' components are found by alternating stars.
@@ -21,16 +22,19 @@ links' components are found by alternating stars.
 Defined cases: null, empty and blank texts have fingerprint 0, linked like any
 other; fewer words than a shingle count as one shingle; null ids are passed
 over when the smallest id is sought (null if there is no other); repeated rows
-are each returned; an empty table gives an empty result.
+are each returned; an empty table gives an empty result. Texts of any length
+are read whole, in chunks of shingles; columns other than id and text are not
+read and may have any name.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from movelake.llm import pieces
 from movelake.llm.common import bitmap, python_ready, whole, with_hit, written
@@ -39,6 +43,8 @@ from movelake.llm.components import components
 #: Fixed value: generator polynomial of the binary Golay code of length 23.
 GOLAY = 0b110001110101
 N, RADIUS = 23, 3
+#: First bit of the second pair of blocks: the last two blocks of a fingerprint.
+SECOND = 64 - 2 * N
 HIT_BITS = 1 << 24
 
 
@@ -96,10 +102,11 @@ def _errors(t: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return out
 
 
-def anchors(fp: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index into fp, anchor) for all anchors in reach; the first len(fp) are homes."""
+def anchors(fp: np.ndarray, t: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(index into fp, anchor) for all anchors in reach, of the two blocks from
+    bit ``first``; the first len(fp) are homes."""
     mask = (1 << N) - 1
-    a, b = fp & mask, fp >> N & mask
+    a, b = fp >> first & mask, fp >> first + N & mask
     sa, sb = _remainder(a), _remainder(b)
     levels, at, found = _errors(t), [], []
     for i in range(t + 1):
@@ -115,40 +122,51 @@ def anchors(fp: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(found)
 
 
-def _replicated(nodes: DataFrame, t: int, home_only: bool, rows: int = 20_000) -> DataFrame:
+def _replicated(rows_df: DataFrame, t: int, name: str = "anchor", first: int = 0, rows: int = 20_000) -> DataFrame:
+    """Each row (fp and other longs) once per anchor of fp in reach (t = 0: its home)."""
+    kept = rows_df.columns
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                fp = batch.column(0).slice(at, rows).to_numpy(zero_copy_only=False)
-                row, anchor = anchors(fp, 0 if home_only else t)
+                part = batch.slice(at, rows)
+                row, anchor = anchors(part.column("fp").to_numpy(zero_copy_only=False), t, first)
                 for k in range(0, len(row), 500_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(fp[row[k:k + 500_000]]), pa.array(anchor[k:k + 500_000])], ["fp", "anchor"])
+                    some = pa.array(row[k:k + 500_000])
+                    yield pa.RecordBatch.from_arrays([c.take(some) for c in part.columns] + [pa.array(anchor[k:k + 500_000])], [*kept, name])
 
-    return nodes.select("fp").mapInArrow(run, "fp long, anchor long")
+    return rows_df.mapInArrow(run, ", ".join(f"{c} long" for c in [*kept, name]))
 
 
-def links(nodes: DataFrame, t: int = 2, crowd: int = 64) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that have the same components
-    as all pairs that differ in at most t bits."""
-    homes = written(_replicated(nodes, t, home_only=True), "simhash-homes")
-    counts = homes.groupBy("anchor").count()
-    crowded = written(counts.where(F.col("count") > crowd).select("anchor"), "simhash-crowded")
-    hot = t == 2 and not crowded.isEmpty()
-    calm = homes.join(crowded, "anchor", "left_anti") if hot else homes
-
-    # anchors without a home compare nothing: most replicas go before any shuffle
-    reach = _replicated(nodes, t, home_only=False)
-    hit = with_hit(reach, F.col("anchor"), bitmap(homes, "anchor", HIT_BITS), HIT_BITS, "hit").where("hit").drop("hit")
+def _meeting(homes: DataFrame, reach: DataFrame, at: list[str], t: int) -> DataFrame:
+    """Links (a, b), a < b, of fingerprints that meet at home and in reach."""
     far = F.bit_count(F.col("h.fp").bitwiseXOR(F.col("r.fp")))
-    found = (hit.alias("r").join(calm.alias("h"), (F.col("h.anchor") == F.col("r.anchor")) & (far <= t) & (F.col("h.fp") < F.col("r.fp")))
-             .select(F.col("h.fp").alias("a"), F.col("r.fp").alias("b")))
-    if hot:
-        close = hit.join(crowded, "anchor", "left_semi").select("fp").distinct()
-        flips = F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
-        near = close.select("fp", F.explode(flips).alias("value"))
-        low = near.groupBy("value").agg(F.sort_array(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
-        found = found.unionByName(low.select(F.get("fps", F.lit(0)).alias("a"), F.explode(F.slice("fps", 2, 65)).alias("b")))
-    return found
+    same = [F.col(f"h.{c}") == F.col(f"r.{c}") for c in at]
+    return (reach.alias("r").join(homes.alias("h"), reduce(and_, same, far <= t) & (F.col("h.fp") < F.col("r.fp")))
+            .select(F.col("h.fp").alias("a"), F.col("r.fp").alias("b")))
+
+
+def _in_reach(rows_df: DataFrame, key: Column, homes: DataFrame, home_key: Column) -> DataFrame:
+    """rows_df less (most of) what meets no home: before any shuffle."""
+    return with_hit(rows_df, key, bitmap(homes.select(home_key.alias("key")), "key", HIT_BITS), HIT_BITS, "hit").where("hit").drop("hit")
+
+
+def links(nodes: DataFrame, t: int = 2, crowd: int = 64) -> DataFrame:
+    """Links (a, b) between all pairs of distinct fingerprints that differ in
+    at most t bits."""
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = nodes.select("fp").repartition(tasks)  # one row becomes many: few small files must not mean few tasks
+    homes = written(_replicated(fps, 0), "simhash-homes")
+    crowded = written(homes.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "simhash-crowded")
+    reach = _in_reach(_replicated(fps, t), F.col("anchor"), homes, F.col("anchor"))
+    if crowded.isEmpty():
+        return _meeting(homes, reach, ["anchor"], t)
+
+    found = _meeting(homes.join(crowded, "anchor", "left_anti"), reach, ["anchor"], t)
+    both = F.xxhash64("anchor", "second")
+    split = written(_replicated(homes.join(crowded, "anchor").select("fp", "anchor"), 0, "second", SECOND), "simhash-second-homes")
+    again = _replicated(reach.join(crowded, "anchor").select("fp", "anchor"), t, "second", SECOND)
+    return found.unionByName(_meeting(split, _in_reach(again, both, split, both), ["anchor", "second"], t))
 
 
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -196,19 +196,36 @@ def test_simhash_rows(docs, rows):
     assert len(out) == len(rows)
     want = collections.Counter((i, brute_fingerprint(t, 3)) for i, t in rows)
     assert collections.Counter((r.id, r.fp % 2**64) for r in out) == want
-
-
-@pytest.mark.parametrize("crowd", [1, 64])
-def test_simhash_links(spark, crowd):
+    # component: the smallest id of all that a breadth-first search reaches by 2 bits
+    fps, of = {f for _, f in want}, {}
+    for f in sorted(fps):
+        if f not in of:
+            seen, new = {f}, [f]
+            while new:
+                x = new.pop()
+                near = {y for y in fps - seen if bin(x ^ y).count("1") <= 2}
+                seen |= near
+                new += near
+            low = min((i for i, y in want if y in seen and i is not None), default=None)
+            of |= {y: low for y in seen}
+    assert all(r.component == of[r.fp % 2**64] for r in out)
+
+
+@pytest.mark.parametrize("crowd,t", [(1, 2), (64, 2), (1, 1), (1, 3), (64, 3)])
+def test_simhash_links(spark, crowd, t):
     r = random.Random(4)
     fps = {r.getrandbits(64) for _ in range(60)}
     for x in list(fps)[:25]:
         for _ in range(8):
             x ^= sum(1 << b for b in r.sample(range(64), r.randint(1, 3)))
             fps.add(x)
+    fps |= {0, *(1 << b for b in range(64)), *(sum(1 << b for b in r.sample(range(64), 2)) for _ in range(200))}  # a crowd around a codeword
     fps = sorted(x - (x >> 63 << 64) for x in fps)
     nodes = spark.createDataFrame([(x,) for x in fps], "fp long")
-    got = {x: x for x in fps} | {r.node: r.root for r in components(simhash.links(nodes, 2, crowd)).collect()}
+    found = simhash.links(nodes, t, crowd)
+    pairs = {(r.a, r.b) for r in found.collect()}
+    got = {x: x for x in fps} | {r.node: r.root for r in components(found).collect()}
+    want = set()
     root = {x: x for x in fps}
 
     def find(x):
@@ -218,9 +235,11 @@ def test_simhash_links(spark, crowd):
 
     for i, x in enumerate(fps):
         for y in fps[:i]:
-            if bin((x ^ y) % 2**64).count("1") <= 2:
+            if bin((x ^ y) % 2**64).count("1") <= t:
+                want.add((y, x))
                 a, b = sorted((find(x), find(y)))
                 root[b] = a
+    assert pairs == want
     assert got == {x: find(x) for x in fps}
 
 
