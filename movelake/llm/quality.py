@@ -15,6 +15,7 @@ result.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -121,21 +122,23 @@ def rules(text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
 
 
 def plan_cascade(docs: DataFrame, to_order: list[Rule], text_col: str = "text", sample_rows: int = 300,
-                 max_chars: int = 20_000, repeat: int = 8) -> list[Rule]:
+                 max_chars: int = 20_000, repeat: int = 8, prepared: Callable[[DataFrame], DataFrame] | None = None) -> list[Rule]:
     """The rules by rejections per second, most first. The sample (at most
     ``sample_rows`` texts of at most ``max_chars`` characters, from the first
     partitions) is bounded whatever the table's size and is repeated so that a
-    rule's time stands out from a job's; it steers the order alone."""
+    rule's time stands out from a job's; it steers the order alone. ``prepared``
+    is what the table goes through before its rules run (as ``with_counts``): the
+    sample goes through it untimed, so that the rules that will run are timed."""
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).alias("text")).where(F.length(text_col) <= max_chars).take(sample_rows)
     if not rows:
         return to_order
-    sample = spark.createDataFrame([(r.text,) for r in rows], "text string").repartition(2).persist()
-    sample = sample.withColumnRenamed("text", text_col)
+    sample = spark.createDataFrame([(r.text,) for r in rows], "text string").repartition(2).withColumnRenamed("text", text_col)
+    sample = (prepared(sample) if prepared else sample).persist()
 
     def seconds(condition: Column) -> tuple[float, float]:
         began = time.perf_counter()
-        n = (sample.select(text_col, F.explode(F.sequence(F.lit(1), F.lit(repeat))))
+        n = (sample.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeat))).alias(fresh(sample, "again")))
              .agg(F.avg(condition.cast("double"))).first()[0])
         return time.perf_counter() - began, n or 0.0
 

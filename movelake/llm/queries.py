@@ -81,8 +81,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    order = [r.name for r in quality.plan_cascade(docs, quality.rules())]
-    ordered = sorted(quality.rules(counted=True), key=lambda r: order.index(r.name))
+    ordered = quality.plan_cascade(docs, quality.rules(counted=True), prepared=quality.with_counts)
     judged = quality.cascade(quality.with_counts(docs), ordered)
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
