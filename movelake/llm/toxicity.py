@@ -3,9 +3,10 @@
 * Language model: character trigrams of all documents' plain words, counted in
   Arrow batches and summed by Spark (one row per trigram of a small alphabet).
 * Channel: a word of any length that holds a letter and any figure or sign, or
-  a letter three times or more in a row, or single letters spaced out by any
-  white space, becomes a lattice: each sign may be itself, a letter it looks
-  like, or nothing, a run of one letter may be one or two. A star between
+  a letter twice or more in a row, or Latin letters among look-alike letters of
+  other alphabets, or single letters spaced out by any white space, becomes a
+  lattice: each sign may be itself, a letter it looks like, or nothing, a run of
+  one letter may be one or two, a look-alike may be the Latin letter. A star between
   letters is tried as a letter of its own as well. Viterbi decoding under the
   language model picks the restored word; words of plain letters have a single
   path and are not decoded. Distinct words are decoded once.
@@ -22,7 +23,9 @@ Rows learned from are the caller's choice; scores use texts alone.
 Defined cases: null and empty texts have no evidence and get the curve's value
 for none; labels that are null or of unknown ids are ignored, of repeated ones
 the largest counts; without labels of both kinds every score is the share of
-toxic ones (0 if there are none); repeated rows are scored alike.
+toxic ones (0 if there are none); repeated rows are scored alike. Columns other
+than the id, text and label are not read and may have any name; texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ from movelake.llm.common import bitmap, python_ready, whole, with_hit, written
 
 #: Letters that figures and signs look like.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
+#: Cyrillic and Greek letters that look like Latin ones.
+ALIKE = {"а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o",
+         "р": "p", "ѕ": "s", "т": "t", "у": "y", "ѵ": "v", "х": "x", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x"}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Character classes of the model: 0 word edge, 1-26 a-z, 27 other letters; 28 marks figures and signs, which it does not count.
 CLASSES, OTHER, NONE = 29, 27, 28
@@ -81,32 +87,45 @@ def _class(c: str) -> int:
     return int(classes(c)[0])
 
 
-def decode(word: str, model: np.ndarray, looks: float = 0.7, skip: float = 1.0, sign: float = 9.0, star: float | None = None) -> str:
+def is_mixed(word: str) -> bool:
+    """Holds Latin letters and letters of other alphabets that look like Latin ones."""
+    return not word.isascii() and any(c in LETTERS for c in word) and any(c in ALIKE for c in word)
+
+
+def arcs(word: str, i: int, mixed: bool, looks: float = 0.7, skip: float = 1.0, sign: float = 9.0, star: float | None = None) -> list[tuple[str, float]]:
+    """(letter or nothing, cost) for character i: what may stand behind it."""
+    ch = word[i]
+    if ch in LOOKS:
+        return [(x, looks) for x in LOOKS[ch]] + [(ch, sign), ("", skip if ch in (word[i - 1:i], word[i + 1:i + 2]) else 12 * skip)]
+    if ch == "*" and star is not None:
+        return [(x, star) for x in LETTERS]
+    if not ch.isalpha():
+        return [(ch, sign), ("", skip)]
+    if i > 1 and word[i - 2:i + 1] == 3 * ch:  # a run is one or two
+        return [("", 0.0)]
+    same = [(ALIKE[ch], looks), (ch, 0.0)] if mixed and ch in ALIKE else [(ch, 0.0)]
+    if i and ch == word[i - 1]:
+        return same + [("", 0.3 if word[i - 1:i + 2] == 3 * ch else 3 * skip)]
+    return same
+
+
+def decode(word: str, model: np.ndarray, star: float | None = None) -> str:
     """The likeliest plain word behind a disguised one: Viterbi over a lattice
     whose states are the last two classes. With ``star``, each ``*`` is one
     letter of a-z at that cost, else a sign like others."""
-    score_of = model.item
+    score_of, mixed = model.item, is_mixed(word)
     paths = {(0, 0): (0.0, None)}  # score and chain of letters, last first
-    for i, ch in enumerate(word):
-        if ch in LOOKS:
-            arcs = [(x, looks) for x in LOOKS[ch]] + [(ch, sign), ("", skip if ch in (word[i - 1:i], word[i + 1:i + 2]) else 12 * skip)]
-        elif ch == "*" and star is not None:
-            arcs = [(x, star) for x in LETTERS]
-        elif not ch.isalpha():
-            arcs = [(ch, sign), ("", skip)]
-        elif i > 1 and word[i - 2:i + 1] == 3 * ch:  # a run is one or two
+    for i in range(len(word)):
+        choice = arcs(word, i, mixed, star=star)
+        if len(choice) == 1 and not choice[0][0]:
             continue
-        elif i and ch == word[i - 1]:
-            arcs = [(ch, 0.0), ("", 0.3 if word[i - 1:i + 2] == 3 * ch else 3 * skip)]
-        elif len(paths) == 1:  # no choice: what all paths pay decides nothing
+        if len(choice) == 1 and len(paths) == 1:  # what all paths pay decides nothing
             ((_, b), (score, out)), = paths.items()
-            paths = {(b, _class(ch)): (score, (out, ch))}
+            paths = {(b, _class(choice[0][0])): (score, (out, choice[0][0]))}
             continue
-        else:
-            arcs = [(ch, 0.0)]
         nxt: dict = {}
         for (a, b), (score, out) in paths.items():
-            for x, cost in arcs:
+            for x, cost in choice:
                 if not x:
                     to, s, chain = (a, b), score - cost, out
                 else:
@@ -125,7 +144,7 @@ def decode(word: str, model: np.ndarray, looks: float = 0.7, skip: float = 1.0,
 
 _LOOK = "".join(map(re.escape, LOOKS))
 _LETTER = r"[^\W\d_]"
-_HAS_LETTER, _RUN = re.compile(_LETTER), re.compile(rf"({_LETTER})\1\1")
+_HAS_LETTER, _RUN = re.compile(_LETTER), re.compile(rf"({_LETTER})\1")
 _STAR = re.compile(r"\w\*+\w")
 _EDGE = ".,;:?\"'()[]{}«»¿¡…"
 _ONE = rf"[{re.escape(_EDGE)}]*(?:[^\W_]|[{_LOOK}])[{re.escape(_EDGE)}]*"
@@ -159,14 +178,20 @@ def spaced(texts: list[str]) -> list[list[str]]:
     return out
 
 
+def _is_plain(word: str) -> bool:
+    """A single path: nothing to decode."""
+    return word.isalpha() and not _RUN.search(word) and not is_mixed(word)
+
+
 def restored(word: str, model: np.ndarray) -> tuple[str, ...]:
     """What may stand behind a lower-cased word: with and without the signs at
-    its ends decoded, if it holds a letter and any sign, figure or run."""
-    if word.isalpha() and not _RUN.search(word):
+    its ends decoded, if it holds a letter and any sign, figure, run or
+    look-alike letter of another alphabet."""
+    if _is_plain(word):
         return ()
     found = []
     for w in {word.strip(_EDGE), word.strip(_TRIM)}:
-        if w.isalpha() and not _RUN.search(w) or not _HAS_LETTER.search(w):
+        if _is_plain(w) or not _HAS_LETTER.search(w):
             continue
         found.append(decode(w, model))
         if _STAR.search(w):

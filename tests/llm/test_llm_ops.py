@@ -3,6 +3,7 @@ nulls, empty and long texts, repeated rows and clashing column names."""
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -349,13 +350,32 @@ def test_toxicity_restores_disguises(spark):
     assert {x.score for x in toxicity.score(docs, labels.where("doc_id < 0")).collect()} == {0.0}
 
 
+def test_toxicity_viterbi_is_the_best_of_all_paths():
+    rng = np.random.default_rng(3)
+    model = np.log(rng.dirichlet(np.ones(toxicity.CLASSES), (toxicity.CLASSES,) * 2)).astype("f4")
+    r = random.Random(3)
+    for _ in range(300):
+        word = "".join(r.choice(["a", "t", "t", "o", "1", "0", "|", "-", "*", "\u043e", "\u0456"]) for _ in range(r.randint(1, 7)))
+        for star in (None, 3.3) if word.count("*") < 2 else (None,):
+            mixed = toxicity.is_mixed(word)
+            best = {}
+            for path in itertools.product(*(toxicity.arcs(word, i, mixed, star=star) for i in range(len(word)))):
+                out = "".join(x for x, _ in path)
+                c = [0, 0, *toxicity.classes(out).tolist(), 0]
+                score = sum(float(model[c[i - 2], c[i - 1], c[i]]) for i in range(2, len(c))) - sum(k for _, k in path)
+                best[out] = max(score, best.get(out, -1e9))
+            got = toxicity.decode(word, model, star=star)
+            assert best[got] > max(best.values()) - 1e-4, (word, got)
+
+
 def test_toxicity_restores_every_spelling(spark):
     r = random.Random(2)
     plain = ["this", "that", "house", "river", "stone", "green", "little", "water"]
     bad = ["stupid", "idiot", "loser", "bastard", "slut", "ass"]
     rows = [(i, " ".join(r.choices(plain, k=30) + ([bad[i // 5 % 6]] if i % 5 == 0 else [])), int(i % 5 == 0)) for i in range(600)]
     spelt = ["l053r", "b4$74rd", "idi07", "$1u7", "a$$", "a$$!", "idiot5", "s*upid", "1.d.1.0.t", "s..t..u..p..i..d", "s  t  u  p  i  d", "s\tt\tu\tp\ti\td",
-             "i d\n1 0 t", "s, t, u, p, i, d!", "the river  s  t  u  p  i  d  as", '"1diot', "(5tupid)", "1d" + 70 * "i" + "ot", "id-" + 5000 * "i" + "ot", "stup1d"]
+             "i d\n1 0 t", "s, t, u, p, i, d!", "the river  s  t  u  p  i  d  as", '"1diot', "(5tupid)", "1d" + 70 * "i" + "ot", "id-" + 5000 * "i" + "ot", "stup1d",
+             "sttupid", "iidiot", "stuupid", "stup\u0456d", "\u0456d\u0456\u043et", "l\u043es\u0435r"]
     rows += [(1000 + i, f"green river {x} little house", None) for i, x in enumerate(spelt)]
     clean = ["it's 10km", "well-known", "u.s.", "wow!", "a b c d", "i   a   1", "1 2 3 4", "-- ** --", "x" * 5000 + "-1"]
     rows += [(2000 + i, f"green river {x} little house", None) for i, x in enumerate(clean)]
