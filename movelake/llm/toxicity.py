@@ -207,8 +207,10 @@ def restorer(model: np.ndarray) -> pieces.Known:
 def word_lists(texts: list[str], known: pieces.Known) -> list[set[str]]:
     low = [t.lower() for t in texts]
     words = [set(t.split()).union(run) for t, run in zip(low, spaced(low))]
-    found = known.get(words)
-    return [ws.union(*(found[w] for w in ws if found[w])) for ws in words]
+    odd = {w for w in set().union(*words) if not _is_plain(w)}  # plain words would push the decoded ones out of what is known
+    found = known.get([odd])
+    hits = {w for w in odd if found[w]}
+    return [ws.union(*(found[w] for w in ws & hits)) for ws in words]
 
 
 def features(word: str) -> set[str]:
