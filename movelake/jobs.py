@@ -36,7 +36,7 @@ FEEDS = {
     "board_be": ("departures", lambda L, st: rail.norm_departures_be(L, st), _rejects(rail.BE_DOC)),
     "board_at": ("departures", lambda L, st: rail.norm_departures_at(L, st), _rejects(rail.AT_DOC)),
     "orbits": ("satellites", lambda L, st: orbits.norm_orbital_elements(L), orbits.rejected_orbits),
-    "gtfs_rt": ("vehicle_positions", lambda L, st: gtfs.norm_vehicle_positions(L), lambda L: gtfs.rejected_payloads(gtfs.decode(L, ()), L)),
+    "gtfs_rt": ("vehicle_positions", lambda L, st: gtfs.norm_vehicle_positions(L), lambda L: gtfs.rejected_payloads(gtfs.decode(L, (), rejects=True))),
 }
 BINARY_FEEDS = {"gtfs_rt"}
 _ADSB = {f: aircraft.ADSB_DOC for f in ("adsb_endpoints", "adsb_regions", "adsb_types", "adsb_snapshot")}
@@ -78,13 +78,11 @@ def record_rules(feed: str) -> dict:
 def left_out(feed: str, landed: DataFrame) -> DataFrame:
     """DQ-2 for any feed, landed or parsed: (source, level, reason, rows)."""
     if feed in BINARY_FEEDS:
-        decoded = gtfs.decode(landed, ())
-        lost = F.sum(F.col("payload.total_entities") - F.col("payload.vehicle_positions"))
-        records = decoded.where("kind = 'payload'").groupBy("source").agg(lost.alias("rows")).select("source", F.lit("record").alias("level"), F.lit("no_position").alias("reason"), "rows")
-        bad = decoded.where("kind = 'reject'").select("source", "reason").unionByName(
-            landed.where(~F.col("status").between(200, 299)).select("source", F.lit("http_status").alias("reason")))
-        bad = bad.groupBy("source", "reason").agg(F.count("*").alias("rows")).select("source", F.lit("document").alias("level"), "reason", "rows")
-        return bad.unionByName(records).where("rows > 0")
+        counts = [F.struct(F.lit("document").alias("level"), F.lit(k).alias("reason"), F.count_if(F.col("reason") == k).alias("rows")) for k in ("http_status", "corrupt")]
+        lost = F.sum(F.col("payload.total_entities") - F.col("payload.vehicle_positions"))  # NULL for rejects
+        counts.append(F.struct(F.lit("record").alias("level"), F.lit("no_position").alias("reason"), F.coalesce(lost, F.lit(0)).alias("rows")))
+        # one decoding for all three
+        return gtfs.decode(landed, (), rejects=True).groupBy("source").agg(F.array(*counts).alias("counts")).select("source", F.inline("counts")).where("rows > 0")
     rule = REJECT_RULES.get(feed)
     parsed = landed if payloads.CORRUPT in landed.columns else parsed_once(feed, landed)
     return payloads.left_out(parsed, record_rules(feed), (rule[0](), rule[1]) if rule else None)

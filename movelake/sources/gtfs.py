@@ -98,6 +98,8 @@ DECODED = ("source string, endpoint string, cycle_ts timestamp, seq long, kind s
            "alert struct<cause:int,effect:int,header_text:string,description_text:string>, "
            "stop struct<trip_id:string,route_id:string,stop_sequence:bigint,stop_id:string,arrival_delay:int,departure_delay:int>, "
            "payload struct<bytes:bigint,total_entities:bigint,vehicle_positions:bigint>, reason string")
+#: What the rejects carry besides where they are wanted whole.
+REJECTED = "status int, body binary"
 PARTS = ("vehicle", "alert", "stop")
 KEYS = ("source", "endpoint", "cycle_ts", "seq")
 
@@ -111,8 +113,15 @@ class _Reader:
 
     def __init__(self, bodies: list[bytes]):
         self.data = np.frombuffer(b"".join(bodies), "u1")
-        found = [wire.one_by_one(b, _number("FeedMessage", "entity")) for b in bodies]
         begin = np.cumsum([0, *map(len, bodies)])
+        number, found, odd = _number("FeedMessage", "entity"), [], []
+        for i, b in enumerate(bodies):
+            try:
+                found.append(wire.one_by_one(b, number))
+            except wire.Unusual:
+                odd.append(i)
+        if odd:
+            raise wire.Unusual("group", begin[odd])
         self.count = np.array([len(x) for x, _ in found], "i8")
         self.payload = np.repeat(np.arange(len(bodies)), self.count)  # of each entity
         start, end = (np.concatenate([x[k] + at for x, at in zip(found, begin)]) for k in (0, 1))
@@ -174,22 +183,30 @@ _READ = {"vehicle": _Reader.vehicles, "alert": _Reader.alerts, "stop": _Reader.s
 
 def _read(feeds: list[tuple], parts: tuple[str, ...]):
     """(kind, payload of each row, feed times of the payloads, entity ids,
-    columns) of payloads (place, body, parsed feed)."""
+    columns) of payloads (place, body, parsed feed). Payloads that cannot be
+    read as they are are taken out, all that a column finds at once, and the
+    others read again: as often as there are columns, not payloads."""
     try:
         reader = _Reader([body for _, body, _ in feeds])
         positions = reader.vehicles()
         out = {k: positions if k == "vehicle" else _READ[k](reader) for k in parts}
         names = {k: reader.text(tuple(x[entities] for x in reader.entity["id"])) for k, (entities, _) in out.items()}
     except (wire.Unusual, UnicodeDecodeError) as e:
-        if len(feeds) > 1:  # each by itself
-            for f in feeds:
-                yield from _read([f], parts)
-        elif isinstance(e, wire.Unusual):  # written again by the parser, sub-messages merged and unknown groups left out
-            at, _, feed = feeds[0]
-            feed.DiscardUnknownFields()
-            yield from _read([(at, feed.SerializeToString(), feed)], parts)
+        begin = np.cumsum([0, *(len(body) for _, body, _ in feeds)])
+        # the last payload that begins there is the one that is not empty
+        odd = set((np.searchsorted(begin, e.places, "right") - 1).tolist())
+        rest = [f for i, f in enumerate(feeds) if i not in odd]
+        if rest:
+            yield from _read(rest, parts)
+        if isinstance(e, wire.Unusual):  # written again by the parser, sub-messages merged and unknown groups left out
+            again = []
+            for i in sorted(odd):
+                at, _, feed = feeds[i]
+                feed.DiscardUnknownFields()
+                again.append((at, feed.SerializeToString(), feed))
+            yield from _read(again, parts)
         else:
-            yield "reject", np.array([feeds[0][0]]), None, None, {}
+            yield "reject", np.array([feeds[i][0] for i in sorted(odd)]), None, None, {}
         return
     place = np.array([at for at, _, _ in feeds], "i8")
     times = np.array([feed.header.timestamp for _, _, feed in feeds], "u8").view("i8")  # the signed numbers of the same bits
@@ -217,23 +234,27 @@ def _decoded(bodies: list[bytes | None], parts: tuple[str, ...]):
         yield from _read(feeds, parts)
 
 
-def decode(landed_bin: DataFrame, parts: tuple[str, ...] = PARTS, rows: int = 65_536, together: int = 32 << 20) -> DataFrame:
+def decode(landed_bin: DataFrame, parts: tuple[str, ...] = PARTS, rows: int = 65_536, together: int = 32 << 20, rejects: bool = False) -> DataFrame:
     """landed(source, endpoint, cycle_ts, seq, status, body binary), 2xx only ->
     tagged rows (``DECODED``), each payload decoded once for all that is wanted
     of it. Entities go straight into Arrow columns; small payloads are read
     ``together`` (bytes), and records are cut at ``rows``. The nested feed never
-    leaves the task."""
+    leaves the task. With ``rejects`` the failed responses are rejects too
+    (``http_status``), and each reject carries its status and body, so that the
+    landed payloads need not be read again for them."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     ship_package(landed_bin.sparkSession)
-    ok = landed_bin.where(F.col("status").between(200, 299)).select(*KEYS, F.col("body").cast("binary"))
-    schema = to_arrow_schema(StructType.fromDDL(DECODED))
+    taken = landed_bin.where(F.col("status").isNotNull() if rejects else F.col("status").between(200, 299)).select(*KEYS, F.col("body").cast("binary"), F.col("status").cast("int"))
+    ddl = f"{DECODED}, {REJECTED}" if rejects else DECODED
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    n_keys = len(KEYS)
 
-    def record(batch, kind, of, times, ids, columns):
+    def record(batch, kind, of, times, ids, columns, reason="corrupt"):
         n, at = len(of), pa.array(of)
         own = {c: batch.column(j).take(at) for j, c in enumerate(KEYS)} | {"kind": pa.array([kind] * n)}
         if kind == "reject":
-            own["reason"] = pa.array(["corrupt"] * n)
+            own |= {"reason": pa.array([reason] * n), "body": batch.column(n_keys).take(at), "status": batch.column(n_keys + 1).take(at)}
         else:
             fields = schema.field(kind).type
             own["feed_ts"] = pa.array(times)
@@ -244,18 +265,25 @@ def decode(landed_bin: DataFrame, parts: tuple[str, ...] = PARTS, rows: int = 65
 
     def run(batches):
         for whole in batches:
-            ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column(len(KEYS))), 0).to_numpy(zero_copy_only=False))
+            if rejects:
+                status = whole.column(n_keys + 1)
+                ok = pc.and_(pc.greater_equal(status, 200), pc.less_equal(status, 299))
+                failed = np.flatnonzero(~ok.to_numpy(zero_copy_only=False))
+                if len(failed):
+                    yield record(whole, "reject", failed, None, None, {}, "http_status")
+                    whole = whole.filter(ok)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column(n_keys)), 0).to_numpy(zero_copy_only=False))
             at = 0
             while at < whole.num_rows:
                 to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + together, "right")))
                 batch = whole.slice(at, to - at)
-                for found in _decoded(batch.column(len(KEYS)).to_pylist(), parts):
+                for found in _decoded(batch.column(n_keys).to_pylist(), parts):
                     if len(found[1]):
                         r = record(batch, *found)
                         yield from (r.slice(k, rows) for k in range(0, r.num_rows, rows))
                 at = to
 
-    return ok.mapInArrow(run, DECODED)
+    return taken.mapInArrow(run, ddl)
 
 
 VP_COLS = ["timestamp", "feed_timestamp", "vehicle_id", "trip_id", "route_id", "latitude", "longitude",
@@ -279,11 +307,14 @@ def norm_vehicle_positions(landed_bin: DataFrame) -> DataFrame:
     return vehicle_positions(decode(landed_bin, ("vehicle",)))
 
 
-def rejected_payloads(decoded: DataFrame, landed_bin: DataFrame) -> DataFrame:
+def rejected_payloads(decoded: DataFrame, landed_bin: DataFrame | None = None) -> DataFrame:
     """DQ-1: payloads that failed (``http_status``) or did not decode
     (``corrupt``), with their bodies (base64) for replay. Decoding told which;
-    their bodies are looked up by the payload's key."""
+    it gives them whole (``decode(rejects=True)``), or their bodies are looked
+    up in ``landed_bin`` by the payload's key."""
     body = F.base64(F.col("body").cast("binary")).alias("body")
+    if landed_bin is None:
+        return decoded.where("kind = 'reject'").select(*KEYS, "status", body, "reason")
     bad_status = landed_bin.where(~F.col("status").between(200, 299)).select(*KEYS, "status", body, F.lit("http_status").alias("reason"))
     bad = decoded.where("kind = 'reject'").select(*KEYS, "reason").distinct()
     ok = landed_bin.where(F.col("status").between(200, 299)).select(*KEYS, "status", body)
