@@ -28,7 +28,11 @@ def parse_all(landed: DataFrame, schema_ddl: str, body: str = "body") -> DataFra
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     ddl = f"{schema_ddl}, {CORRUPT} string"
     ok = F.when(F.col("status").between(200, 299), F.col(body))
-    return landed.withColumn("doc", F.from_json(ok, ddl, opts)).withColumn(CORRUPT, F.col(f"doc.{CORRUPT}"))
+    # Spark takes a filter below a projection by repeating its expressions, so
+    # that each condition on ``doc`` would parse the body again. It takes none
+    # below a generator: an array of one document is parsed once.
+    doc = F.inline(F.array(F.struct(F.from_json(ok, ddl, opts).alias("doc"))))
+    return landed.select("*", doc).withColumn(CORRUPT, F.col(f"doc.{CORRUPT}"))
 
 
 def parse(landed: DataFrame, schema_ddl: str, body: str = "body") -> DataFrame:
