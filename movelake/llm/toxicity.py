@@ -9,7 +9,8 @@
   one letter may be one or two, a look-alike may be the Latin letter. A star between
   letters is tried as a letter of its own as well. Viterbi decoding under the
   language model picks the restored word; words of plain letters have a single
-  path and are not decoded. Distinct words are decoded once.
+  path and are not decoded. Distinct words are decoded once, and so are stretches
+  of choices, which meet no other where two kept letters lie between.
 * Classifier: on a sample of labelled rows (at most about ``most_rows``, taken
   by hash of the id) document frequencies of words and word beginnings give
   smoothed log-odds; what at least ``support`` toxic rows hold, however many
@@ -31,6 +32,7 @@ length are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -109,11 +111,45 @@ def arcs(word: str, i: int, mixed: bool, looks: float = 0.7, skip: float = 1.0,
     return same
 
 
-def decode(word: str, model: np.ndarray, star: float | None = None) -> str:
+#: Figures that are word characters to a pattern, yet neither digits to it nor letters.
+_FIGURES = "".join(c for c in map(chr, range(1 << 16)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+#: Letters of which every path holds one, unless they repeat; those beyond the first plane count as choices.
+_KEPT = rf"[^\W\d_{_FIGURES}\U00010000-\U0010ffff]"
+_SIGN = rf"(?!{_KEPT})."
+_STRETCH = re.compile(rf"(?:{_SIGN}|(?<=(.))\1)(?:.?(?:{_SIGN}|(?<=(.))\2))*", re.S)
+
+#: Stretches that are remembered: their length and number at most.
+_SHORT, _MOST = 16, 100_000
+
+
+def decode(word: str, model: np.ndarray, star: float | None = None, seen: dict | None = None) -> str:
     """The likeliest plain word behind a disguised one: Viterbi over a lattice
     whose states are the last two classes. With ``star``, each ``*`` is one
-    letter of a-z at that cost, else a sign like others."""
-    score_of, mixed = model.item, is_mixed(word)
+    letter of a-z at that cost, else a sign like others. Two kept letters leave
+    one state, so stretches with two or more between are decoded apart, each
+    with the two letters before and after it; ``seen`` holds those decoded."""
+    if is_mixed(word):
+        return likeliest(word, model, True, star)
+    seen, parts, at = {} if seen is None else seen, [], 0
+    for m in _STRETCH.finditer(word):
+        start, end = m.span()
+        before, after = min(start, 2), min(len(word) - end, 2)
+        part = word[start - before:end + after]
+        found = seen.get((part, star))
+        if found is None:
+            found = likeliest(part, model, False, star)
+            if len(part) <= _SHORT:
+                if len(seen) >= _MOST:
+                    seen.clear()
+                seen[part, star] = found
+        parts += word[at:start], found[before:len(found) - after]
+        at = end
+    return "".join(parts) + word[at:]
+
+
+def likeliest(word: str, model: np.ndarray, mixed: bool, star: float | None = None) -> str:
+    """Viterbi over a whole word."""
+    score_of = model.item
     paths = {(0, 0): (0.0, None)}  # score and chain of letters, last first
     for i in range(len(word)):
         choice = arcs(word, i, mixed, star=star)
@@ -183,7 +219,7 @@ def _is_plain(word: str) -> bool:
     return word.isalpha() and not _RUN.search(word) and not is_mixed(word)
 
 
-def restored(word: str, model: np.ndarray) -> tuple[str, ...]:
+def restored(word: str, model: np.ndarray, seen: dict | None = None) -> tuple[str, ...]:
     """What may stand behind a lower-cased word: with and without the signs at
     its ends decoded, if it holds a letter and any sign, figure, run or
     look-alike letter of another alphabet."""
@@ -193,42 +229,76 @@ def restored(word: str, model: np.ndarray) -> tuple[str, ...]:
     for w in {word.strip(_EDGE), word.strip(_TRIM)}:
         if _is_plain(w) or not _HAS_LETTER.search(w):
             continue
-        found.append(decode(w, model))
+        found.append(decode(w, model, seen=seen))
         if _STAR.search(w):
-            found.append(decode(w, model, star=3.3))
+            found.append(decode(w, model, star=3.3, seen=seen))
     return tuple(found)
 
 
 def restorer(model: np.ndarray) -> pieces.Known:
     """Distinct words are decoded once."""
-    return pieces.Known(lambda new: [restored(w, model) for w in new])
-
-
-def word_lists(texts: list[str], known: pieces.Known) -> list[set[str]]:
+    seen: dict = {}
+    return pieces.Known(lambda new: [restored(w, model, seen) for w in new])
+
+
+#: Per character, of which sort it is: 0 line end, 1 letters, 2 Latin ones, 3 letters that look like those, 4 signs of
+#: ``_EDGE``, 5 others; the last for all above it.
+_SORT = np.full(1 << 16, 5, "u1")
+_SORT[[c for c in range(1 << 16) if chr(c).isalpha()]] = 1
+_SORT[[*map(ord, LETTERS)]], _SORT[[*map(ord, ALIKE)]], _SORT[[*map(ord, _EDGE)]], _SORT[10] = 2, 3, 4, 0
+
+
+def doubtful(words: list[str]) -> list[str]:
+    """Words without white space that are more than plain letters between signs
+    of ``_EDGE``: all those that ``restored`` finds something for, and a few more."""
+    code = np.frombuffer("\n".join(["", *words, ""]).encode("utf-32-le"), "<u4")
+    sort = _SORT[np.minimum(code, (1 << 16) - 1)]
+    ends = sort == 0
+    letter = (sort > 0) & (sort < 4)
+    odd = sort == 5
+    odd[1:] |= letter[1:] & (code[1:] == code[:-1])
+    found = np.logical_or.reduceat(odd, starts := np.flatnonzero(ends)[:-1])
+    found |= np.add.reduceat(letter[1:] & ~letter[:-1], starts, dtype="i4") > 1  # signs between letters
+    found |= np.logical_or.reduceat(sort == 2, starts) & np.logical_or.reduceat(sort == 3, starts)
+    return [words[i] for i in np.flatnonzero(found).tolist()]
+
+
+def word_sets(texts: list[str], known: pieces.Known) -> tuple[list[set[str]], set[str], dict[str, tuple[str, ...]]]:
+    """Lower-cased words of each text and of all, and the words behind those that are disguised."""
     low = [t.lower() for t in texts]
     words = [set(t.split()).union(run) for t, run in zip(low, spaced(low))]
-    odd = {w for w in set().union(*words) if not _is_plain(w)}  # plain words would push the decoded ones out of what is known
+    every = set().union(*words)
+    odd = doubtful([*every])  # plain words would push the decoded ones out of what is known
     found = known.get([odd])
-    hits = {w for w in odd if found[w]}
-    return [ws.union(*(found[w] for w in ws & hits)) for ws in words]
+    return words, every, {w: found[w] for w in odd if found[w]}
+
 
+def features(words: set[str]) -> set[str]:
+    """Words and their beginnings (marked by *)."""
+    long = {x for w in words if len(x := w.strip(_TRIM)) > 2}
+    return long.union(*({w[:k] + "*" for w in long if len(w) >= k} for k in (4, 5, 6)))
 
-def features(word: str) -> set[str]:
-    """A word and its beginnings (marked by *)."""
-    w = word.strip(_TRIM)
-    return {w, *(w[:k] + "*" for k in (4, 5, 6) if len(w) >= k)} if len(w) > 2 else set()
+
+def heaviest(words: set[str], weights: dict[str, float]) -> dict[str, float]:
+    """The largest weight among a word's features, for words that have one."""
+    begins, of, out = {f[:3] for f in weights}, weights.get, {}  # a feature begins as its word does
+    for word in words:
+        w = word.strip(_TRIM)
+        if w[:3] in begins and (v := max(of(w, 0.0), of(w[:4] + "*", 0.0), of(w[:5] + "*", 0.0), of(w[:6] + "*", 0.0))):
+            out[word] = v
+    return out
 
 
 def lexicon(labelled: DataFrame, model, most_words: int, batch_bytes: int, support: int, odds: float) -> dict[str, float]:
     def run(batches):
         back = restorer(np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3))
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
-            n: dict[str, list[int]] = {}
-            for words, y in zip(word_lists(texts, back), batch.column(1).to_pylist()):
-                for f in set().union(*map(features, words)) if words else ():
-                    n.setdefault(f, [0, 0])[y] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[0] for x in n.values()], pa.int64()),
-                                              pa.array([x[1] for x in n.values()], pa.int64())], ["f", "clean", "toxic"])
+            clean, toxic = n = Counter(), Counter()
+            words, _, behind = word_sets(texts, back)
+            for ws, y in zip(words, batch.column(1).to_pylist()):
+                n[y].update(features(ws.union(*(behind[w] for w in behind.keys() & ws))))
+            held = [*clean.keys() | toxic.keys()]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), *(pa.array([x[f] for f in held], pa.int64()) for x in n)], ["f", "clean", "toxic"])
 
     totals = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
     c, t = totals.get(0, 0), totals.get(1, 0)
@@ -247,11 +317,11 @@ def evidence(texts_df: DataFrame, model, lex, best: int, batch_bytes: int) -> Da
 
     def run(batches):
         back, weights = restorer(np.frombuffer(model.value, "f4").reshape((CLASSES,) * 3)), lex.value
-        known = pieces.Known(lambda new: [max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in new])
         for batch, texts in pieces.by_bytes(batches, "text", batch_bytes):
-            words = word_lists(texts, back)
-            found = known.get(words)
-            x = [sum(sorted((found[w] for w in ws if found[w]), reverse=True)[:best]) for ws in words]
+            words, every, behind = word_sets(texts, back)
+            found = heaviest(every.union(*behind.values()), weights)
+            brings = {w: xs for w in found.keys() | behind.keys() if (xs := {x for x in (w, *behind.get(w, ())) if x in found})}
+            x = [sum(sorted((found[w] for w in set().union(*(brings[w] for w in brings.keys() & ws))), reverse=True)[:best]) for ws in words]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in rest] + [pa.array(x, pa.float64())], [*rest, "x"])
 
     kinds = ", ".join(f"`{c}` {texts_df.schema[c].dataType.simpleString()}" for c in rest)

@@ -368,6 +368,35 @@ def test_toxicity_viterbi_is_the_best_of_all_paths():
             assert best[got] > max(best.values()) - 1e-4, (word, got)
 
 
+def test_toxicity_decodes_stretches_apart_as_whole_words():
+    rng = np.random.default_rng(4)
+    model = np.log(rng.dirichlet(np.ones(toxicity.CLASSES), (toxicity.CLASSES,) * 2)).astype("f4")
+    r, seen = random.Random(4), {}
+    words = ["".join(r.choices("abceilostt0011!$@*.-'\u00b2\u00bd\u00e9\u043e\u6f22\U00010400", k=r.randint(1, 16))) for _ in range(3000)]
+    words += ["x" * 500 + "-1", "id-" + 500 * "i" + "ot", "(well)", "wo.rd", "\u00bfque?", "...", "a..", "ab,cd"]
+    for word in words:
+        assert toxicity.decode(word, model, seen=seen) == toxicity.likeliest(word, model, toxicity.is_mixed(word)), word
+        if word.count("*") == 1:
+            assert toxicity.decode(word, model, star=3.3, seen=seen) == toxicity.likeliest(word, model, toxicity.is_mixed(word), 3.3), word
+    assert {w for w in words if toxicity.restored(w, model)} <= set(toxicity.doubtful(words))
+    assert not set(toxicity.doubtful(["plain", "(word),", "\u00bfcaf\u00e9?", "\u0441\u043b\u043e\u0432\u043e", "..."]))
+    assert toxicity.doubtful([]) == []
+
+
+def test_toxicity_decodes_a_stretch_once():
+    class Counting:
+        n = 0
+
+        def item(self, *at):
+            self.n += 1
+            return -1.0 - 0.01 * (at[0] + 2 * at[1] + 3 * at[2])
+
+    model = Counting()
+    words = [f"{a}{b}{c}en***" for a in "bcdfg" for b in "aeiou" for c in "klmnpr"] + [f"b{c}tt{v}r" for c in "aeiou" for v in "aeiou"]
+    toxicity.restorer(model).get([words])
+    assert model.n < 2 * len(words)  # 8 a word when each was decoded by itself
+
+
 def test_toxicity_restores_every_spelling(spark):
     r = random.Random(2)
     plain = ["this", "that", "house", "river", "stone", "green", "little", "water"]
