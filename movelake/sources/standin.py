@@ -55,7 +55,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flights(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> DataFrame:
-    e = _events(spark, sf_dir)
+    return _events(spark, sf_dir).select(*flight_columns(with_event_id))
+
+
+def flight_columns(with_event_id: bool = False) -> list[Column]:
+    """The columns of ``flights`` over ``_events``."""
     eid = F.col("event_id")
     missing = (eid % 17) == 0
     lat = F.when(~missing, _lat(eid))
@@ -81,7 +85,7 @@ def flights(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> Da
         cols.append(F.col("value").alias("value"))
         cols.append(et.alias("event_type"))
         cols.append(F.col("user_id"))
-    return e.select(*cols)
+    return cols
 
 
 def ship_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,10 +138,15 @@ def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem x orders x customer x nation -> departures.
+    return departure_lines(spark, sf_dir).select(*departure_columns())
+
+
+def departure_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem x orders x customer x nation, as they are stored.
 
-    lineitem/orders join on the order key (a shuffle join at scale);
-    customer joins on the customer key; nation (25 rows) is broadcast.
+    orders/customer join on the customer key and lineitem on the order key
+    (shuffle joins at scale): the largest table is shuffled once. nation (25
+    rows) is broadcast.
     """
     ensure_utc(spark)
     li = read(spark, sf_dir, "lineitem").select(
@@ -146,15 +155,19 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, F.col("o_custkey") == cu.c_custkey)
-           .join(F.broadcast(na), F.col("c_nationkey") == na.n_nationkey))
+    od = (od.join(cu, od.o_custkey == cu.c_custkey)
+            .join(F.broadcast(na), F.col("c_nationkey") == na.n_nationkey))
+    return li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def departure_columns() -> list[Column]:
+    """The columns of ``departures`` over ``departure_lines``."""
     ship = F.col("l_shipdate").cast("timestamp")
     planned = _micros_add(F.col("o_orderdate").cast("timestamp"),
                           F.col("l_linenumber").cast("long") * F.lit(3_600_000_000))
     delay = ((F.floor(F.col("l_quantity")) - 25) * 60).cast("int")
     p_actual = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
-    return j.select(
+    return [
         ship.alias("timestamp"),
         _micros_add(ship, F.col("l_linenumber").cast("long") * F.lit(1_000_000)).alias("ingested_at"),
         F.concat(F.lit("be:"), F.col("n_nationkey").cast("string")).alias("station_id"),
@@ -170,7 +183,7 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("platform_planned"),
         p_actual.alias("platform_actual"),
         (p_actual.isNotNull() & ~F.col("l_linestatus").eqNullSafe(p_actual)).alias("platform_changed"),
-    )
+    ]
 
 
 SAT_BASE_SECONDS = 1704067200  # 2024-01-01T00:00:00Z
