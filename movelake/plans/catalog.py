@@ -1004,8 +1004,8 @@ LANDINGS = {
 @register("dead_letter_all")
 def q_dead_letter_all(spark, sf):
     path = scratch_path(spark, "dead_letter")
-    for feed, land in LANDINGS.items():  # the fixed list of feeds
-        payloads.dead_letter(jobs.FEEDS[feed][2](land(spark, sf)), path)
+    # one write for the fixed list of feeds, so that those over the same rows share their shuffle
+    payloads.dead_letter(agg.union_all([jobs.FEEDS[feed][2](land(spark, sf)) for feed, land in LANDINGS.items()]), path)
     return payloads.read_dead_letter(spark, path).select("source", "endpoint", ntz("cycle_ts").alias("cycle_ts"), "seq", "status", "reason")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from movelake import jobs
 from movelake.operators import aggregates as agg
 from movelake.plans import catalog
-from movelake.sources import landed
+from movelake.sources import landed, payloads
 
 BOARDS = ("board_ch", "board_be", "board_at")
 AT = dt.datetime(2026, 4, 19, 12, 0, tzinfo=dt.timezone.utc)
@@ -58,6 +58,16 @@ def test_texts_are_made_after_the_shuffle(spark, sf, feed):
     assert "ToJson" in above and "ToJson" not in below and "MapInArrow" not in plan
 
 
+def test_all_rejects_are_written_at_once(spark, sf, monkeypatch):
+    written, real = [], payloads.dead_letter
+    monkeypatch.setattr(payloads, "dead_letter", lambda rejects, path: (written.append(rejects), real(rejects, path))[1])
+    got = catalog.q_dead_letter_all(spark, sf)
+    assert len(written) == 1
+    want = [r for f, land in catalog.LANDINGS.items() for r in jobs.FEEDS[f][2](land(spark, sf)).select("source", "endpoint", "seq", "status", "reason").collect()]
+    assert sorted(got.select("source", "endpoint", "seq", "status", "reason").collect()) == sorted(want)
+    assert {r.source for r in want} >= {*BOARDS, "gtfs_rt", "orbits", *landed.FEEDS}
+
+
 @pytest.mark.parametrize("dealt", [False, True])
 def test_documents_of_many_records(spark, dealt):
     """Longer than a block and than a block of blocks, equal orders, null keys."""
